@@ -82,6 +82,8 @@ class CountLedger:
     """Exactly-once totals per group, whoever replays what. One process merges at a time; any number may read."""
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], count_column: str = "count") -> None:
+        if not keys:
+            raise ValueError("a ledger needs group columns")
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = tuple(keys)
@@ -111,7 +113,9 @@ class CountLedger:
         if self.manifest().contains(run_id, batch_id):
             return False
         columns = [*self.keys, as_count(self.count_column).alias(self.count_column)]
-        counts.select(*columns).write.mode("overwrite").parquet(self._batch_path(run_id, batch_id))
+        target = self._batch_path(run_id, batch_id)
+        counts.select(*columns).write.mode("overwrite").parquet(target)
+        self.files.require_complete(target)
         return True
 
     # Reading

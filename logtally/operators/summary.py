@@ -14,6 +14,7 @@ from logtally.spec import SummarySpec
 
 def count_groups(records: DataFrame, spec: SummarySpec) -> DataFrame:
     """Rows per group. The partial count before the shuffle leaves one row per group and task, however hot a group."""
+    _require_groups(spec)
     return records.groupBy(*spec.group_by).agg(F.count(F.lit(1)).alias(spec.count_column))
 
 
@@ -24,6 +25,7 @@ def summarise(lines: DataFrame, spec: SummarySpec) -> DataFrame:
 
 def summarise_sql(spark: SparkSession, lines: DataFrame, spec: SummarySpec, view: str) -> DataFrame:
     """The same through SQL: registers the parsed records as a view and counts over it."""
+    _require_groups(spec)
     parse(lines, spec).createOrReplaceTempView(view)
     keys = ", ".join(_quoted(name) for name in spec.group_by)
     where = "" if spec.where is None else f"WHERE {spec.where}"
@@ -39,9 +41,15 @@ def add_up(counts: DataFrame, keys: Sequence[str], count_column: str) -> DataFra
 
 def recount(counts: DataFrame, spec: SummarySpec) -> DataFrame:
     """Add up a summary table that holds several rows per group, back to the text form of the table."""
+    _require_groups(spec)
     summed = add_up(counts, spec.group_by, spec.count_column)
     return summed.withColumn(spec.count_column, as_text(spec.count_column))
 
 
+def _require_groups(spec: SummarySpec) -> None:
+    if not spec.group_by:
+        raise ValueError("the spec has no group_by fields to count by")
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"

@@ -97,6 +97,7 @@ class SummaryTable:
 
     def _write_version(self, rows: DataFrame, version: int) -> None:
         rows.write.mode("overwrite").parquet(self._path(version))
+        self.files.require_complete(self._path(version))
 
     def _path(self, version: int) -> str:
         return f"{self.root}/version={version}"

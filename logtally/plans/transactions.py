@@ -49,14 +49,16 @@ SMS_MO = "channel_type = 'sms' AND travel_direction = 'mo'"
 DAY = (0, 10)
 
 
-def record_spec(*names: str, group_by: tuple[str, ...] = ("time_stamp", "app_id"), where: str | None = None) -> SummarySpec:
+def record_spec(*names: str, group_by: tuple[str, ...] = (), where: str | None = None) -> SummarySpec:
     """A spec over the named fields of the transaction log."""
     fields = tuple(FieldSpec(name, TRANSACTION_FIELDS.index(name) + 1) for name in names)
     return SummarySpec(fields=fields, group_by=group_by, where=where, field_count=FIELD_COUNT)
 
 
 # Counts per time stamp as written, to the millisecond, and per day.
-MILLISECOND_SUMMARY = record_spec("time_stamp", "app_id", "channel_type", "travel_direction", where=SMS_MO)
+MILLISECOND_SUMMARY = record_spec(
+    "time_stamp", "app_id", "channel_type", "travel_direction", group_by=("time_stamp", "app_id"), where=SMS_MO
+)
 DAILY_SUMMARY = MILLISECOND_SUMMARY.with_substring("time_stamp", DAY)
 
 

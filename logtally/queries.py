@@ -292,7 +292,7 @@ def raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_dir(spark, "archive")
     _finish(start_archive(_line_stream(spark, sf_dir), path, fresh_dir(spark, "checkpoint"), interval_seconds=None))
     archived = spark.read.parquet(path).select(F.col("line").alias("value"))
-    return pick(parse(archived, record_spec("id", group_by=("id",))), "id")
+    return pick(parse(archived, record_spec("id")), "id")
 
 
 def watermarked_app_count(spark: SparkSession, sf_dir: str) -> DataFrame:

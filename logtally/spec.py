@@ -36,10 +36,13 @@ class FieldSpec:
 
 @dataclass(frozen=True)
 class SummarySpec:
-    """Which fields to read, which records to keep, what to count by and where the totals go."""
+    """Which fields to read, which records to keep, what to count by and where the totals go.
+
+    Parsing alone needs no ``group_by``.
+    """
 
     fields: tuple[FieldSpec, ...]
-    group_by: tuple[str, ...]
+    group_by: tuple[str, ...] = ()
     where: str | None = None
     field_count: int = 60
     delimiter: str = "|"
@@ -57,8 +60,6 @@ class SummarySpec:
         for field in self.fields:
             if field.position > self.field_count:
                 raise ValueError(f"field {field.name}: position {field.position} is beyond {self.field_count} fields")
-        if not self.group_by:
-            raise ValueError("group_by needs at least one field")
         unknown = [name for name in self.group_by if name not in names]
         if unknown:
             raise ValueError(f"group_by names unknown fields {unknown}")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from logtally.operators.ledger import CountLedger
-from logtally.operators.records import keep, parse
+from logtally.operators.records import count_lines, keep, parse
 from logtally.operators.summary import count_groups
 from logtally.spec import SummarySpec
 from logtally.storage import Files
@@ -58,7 +58,7 @@ def start_summary(
         if compact_every and batch_id % compact_every == compact_every - 1:
             ledger.compact()
 
-    # Parse and filter belong to the stream's own plan, so only matching records cross over into the batch function.
-    matching = keep(parse(lines, spec), spec.where).select(*spec.group_by)
+    # The counter tells null lines, which carry no record, from read ones. Parse and filter belong to the stream's own plan, so only matching records cross over into the batch function.
+    matching = keep(parse(count_lines(lines), spec), spec.where).select(*spec.group_by)
     writer = matching.writeStream.foreachBatch(fold)
     return start(writer, checkpoint=checkpoint, interval_seconds=interval_seconds, pool=pool, name=name)
