@@ -7,19 +7,22 @@ from pyspark.sql import functions as F
 
 # Fixed value: how the record time is written, with a space before the milliseconds.
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss SSS"
+SECONDS_PER_DAY = 86400
 
 
 def daily_counts(records: DataFrame, delay: str = "10 minutes", key: str = "app_id") -> DataFrame:
     """``(day, key, count)`` per day of event time, each day sent once the watermark has passed its end.
 
-    Records more than ``delay`` behind the latest one seen by an earlier batch are dropped once their day is closed, so
-    input must be roughly in time order. A time that cannot be read leaves its record out.
+    A record whose day was sent already is dropped, so input must be in time order up to ``delay``. One whose time
+    cannot be read is left out.
     """
-    event_time = F.try_to_timestamp(F.col("time_stamp"), F.lit(TIME_FORMAT))
+    # Read as UTC, so that days begin at midnight as written, whatever zone the session has.
+    event_time = F.try_to_timestamp(F.concat("time_stamp", F.lit("Z")), F.lit(TIME_FORMAT + "X"))
     counted = (
         records.withColumn("event_time", event_time)
         .withWatermark("event_time", delay)
         .groupBy(F.window("event_time", "1 day").alias("window"), key)
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    return counted.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), key, "count")
+    day = F.date_from_unix_date((F.unix_seconds("window.start") / SECONDS_PER_DAY).cast("int")).cast("string")
+    return counted.select(day.alias("day"), key, "count")
