@@ -50,13 +50,18 @@ def parsed_fields(df: DataFrame, fields: Sequence[FieldSpec], delimiter: str) ->
     """
     last = max(field.position for field in fields)
     narrow = len(fields) <= NARROW_FIELDS
-    line = F.col("value") if narrow else F.rtrim(F.col("value"), F.lit(delimiter))
+    line = F.col("value") if narrow else _trimmed(F.col("value"), delimiter)
     tokens = F.split(line, re.escape(delimiter), last + 1)
     split = df.where(F.col("value").isNotNull()).select("value", F.explode(F.array(tokens)).alias("tokens"))
     token = _token_narrow if narrow else _token_wide
     return split.select(*[cut(token(field.position, delimiter), field).alias(field.name) for field in fields])
 
 
+def _trimmed(line: Column, delimiter: str) -> Column:
+    """Trimming walks the whole line, so it is left out where nothing is to be trimmed."""
+    return F.when(line.endswith(delimiter), F.rtrim(line, F.lit(delimiter))).otherwise(line)
+
+
 def _token_narrow(position: int, delimiter: str) -> Column:
     token = F.get(F.col("tokens"), F.lit(position - 1))
     behind = F.get(F.split(F.col("value"), re.escape(delimiter), position + 1), F.lit(position))

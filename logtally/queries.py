@@ -21,7 +21,6 @@ from logtally.operators import (
     summarise,
     summarise_sql,
 )
-from logtally.operators.summary import count_groups
 from logtally.plans import (
     DAILY_SUMMARY,
     MILLISECOND_SUMMARY,
@@ -30,9 +29,10 @@ from logtally.plans import (
     record_spec,
     sms_mo_records,
 )
+from logtally.plans.jobs import store_and_show_records
 from logtally.sources import read_lines, stream_lines
 from logtally.storage import Files, fresh_dir
-from logtally.streaming import daily_counts, start_archive, start_parquet_sink, start_preview, start_summary
+from logtally.streaming import daily_counts, start_archive, start_parquet_sink, start_summary
 from logtally.streaming.summary import checkpoint_id
 
 BATCHES = 4
@@ -270,20 +270,16 @@ def stream_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fan_out_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two queries over one stream definition, each with its own checkpoint and scheduler pool."""
     path = fresh_dir(spark, "records")
-    records = sms_mo_records(_line_stream(spark, sf_dir))
-    stored = start_parquet_sink(
-        records, path, fresh_dir(spark, "checkpoint"), interval_seconds=None, pool="pool1"
-    )
-    # The preview stays off standard output here.
-    previewed = start_preview(
-        records,
-        show=lambda batch, batch_id: batch.take(20),
-        checkpoint=fresh_dir(spark, "checkpoint"),
+    stored, shown = store_and_show_records(
+        _line_stream(spark, sf_dir),
+        path,
+        fresh_dir(spark, "checkpoint"),
         interval_seconds=None,
-        pool="pool2",
+        # Standard output is left alone here.
+        show=lambda batch, batch_id: batch.take(20),
     )
     _finish(stored)
-    _finish(previewed)
+    _finish(shown)
     return spark.read.parquet(path)
 
 

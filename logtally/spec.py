@@ -6,7 +6,9 @@ expressions, so nothing of it is looked up per row.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
+from typing import Any
 
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -81,6 +83,16 @@ class SummarySpec:
         """The stored summary: every column is text, the count too."""
         return string_schema(self.output_columns)
 
+    @classmethod
+    def from_dict(cls, config: Mapping[str, Any]) -> SummarySpec:
+        """A spec from plain data such as a JSON file: the same names, with each field as a mapping."""
+        given = dict(config)
+        fields = tuple(
+            FieldSpec(**{**field, "substring": tuple(field["substring"])} if field.get("substring") else field)
+            for field in given.pop("fields")
+        )
+        return cls(fields=fields, group_by=tuple(given.pop("group_by", ())), **given)
+
     def with_substring(self, name: str, bounds: tuple[int, int] | None, strict: bool = False) -> SummarySpec:
         if name not in self.field_names:
             raise ValueError(f"unknown field {name!r}")

@@ -44,7 +44,8 @@ def start_summary(
     what its first attempt left. A new checkpoint would read old input again, and count it again; it is refused while
     the ledger holds other runs, unless ``add_run`` says that its input is new.
 
-    ``compact_every`` merges the ledger after each so many batches, between two batches of this query.
+    ``compact_every`` merges the ledger after each so many batches, between two batches of this query. What a merge has
+    made redundant is removed at the next one, by when the readers of the old files should be done.
     """
     spark = lines.sparkSession
     others = ledger.runs() - {checkpoint_id(spark, checkpoint)}
@@ -56,6 +57,7 @@ def start_summary(
     def fold(batch: DataFrame, batch_id: int) -> None:
         ledger.write_batch(count_groups(batch, spec), checkpoint_id(spark, checkpoint), batch_id)
         if compact_every and batch_id % compact_every == compact_every - 1:
+            ledger.vacuum()
             ledger.compact()
 
     # The counter tells null lines, which carry no record, from read ones. Parse and filter belong to the stream's own plan, so only matching records cross over into the batch function.

@@ -57,3 +57,19 @@ def test_transaction_fields():
     assert positions == {"time_stamp": 2, "app_id": 5, "channel_type": 10, "travel_direction": 16}
     assert TRANSACTION_FIELDS[29:31] == ("transaction_keyword", "col_31")
     assert TRANSACTION_FIELDS[-1] == "col_60"
+
+
+def test_from_plain_data():
+    config = {
+        "fields": [
+            {"name": "time_stamp", "position": 2, "substring": [0, 10]},
+            {"name": "app_id", "position": 5},
+            {"name": "channel_type", "position": 10},
+            {"name": "travel_direction", "position": 16, "substring": None},
+        ],
+        "where": "channel_type = 'sms' AND travel_direction = 'mo'",
+        "group_by": ["time_stamp", "app_id"],
+    }
+    assert SummarySpec.from_dict(config) == DAILY_SUMMARY
+    with pytest.raises(TypeError):
+        SummarySpec.from_dict({**config, "unknown": 1})

@@ -8,7 +8,7 @@ import pytest
 
 from logtally import FieldSpec, SummarySpec
 from logtally.operators import CountLedger, pick, parse, summarise
-from logtally.plans import MILLISECOND_SUMMARY, TRANSACTION_FIELDS
+from logtally.plans import DAILY_SUMMARY, MILLISECOND_SUMMARY, TRANSACTION_FIELDS, jobs
 from logtally.sources import read_lines, stream_lines
 from logtally.storage import Files, fresh_dir
 from logtally.streaming import (
@@ -246,3 +246,27 @@ def test_daily_counts_send_closed_days_and_drop_what_is_too_late(spark, source,
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [("2024-01-01", "a", 2), ("2024-01-01", "b", 1), ("2024-01-02", "a", 2), ("2024-01-02", "b", 1)]
+
+
+def test_jobs(spark, source, capsys):
+    source.add([transaction("2024-01-01 10:00:00 000", "a"), transaction("2024-01-01 11:00:00 000", "a")])
+    source.add([transaction("2024-01-01 12:00:00 000", "a"), "x|y"])
+    ledger_path, checkpoint = fresh_dir(spark, "ledger"), fresh_dir(spark, "cp")
+    lines = stream_lines(spark, str(source.folder), max_files_per_trigger=1)
+    for _ in range(2):
+        jobs.keep_summary(lines, ledger_path, checkpoint, interval_seconds=None, compact_every=1).awaitTermination(120)
+    ledger = CountLedger.for_spec(spark, ledger_path, DAILY_SUMMARY)
+    assert rows(ledger.summary()) == [("2024-01-01", "a", "3")]
+    assert len(ledger.files.glob(f"{ledger_path}/merged/generation=*")) <= 3
+
+    seen = []
+    jobs.show_batch_counts(
+        lines, interval_seconds=None, show=lambda counts, batch_id: seen.append((batch_id, rows(counts)))
+    ).awaitTermination(120)
+    assert seen == [(0, [("2024-01-01", "a", 2)]), (1, [("2024-01-01", "a", 1)])]
+
+    path = fresh_dir(spark, "records")
+    for query in jobs.store_and_show_records(lines, path, fresh_dir(spark, "cp"), interval_seconds=None):
+        query.awaitTermination(120)
+    assert spark.read.parquet(path).count() == 3
+    assert "batch 1" in capsys.readouterr().out
