@@ -6,7 +6,8 @@ writing the same batch again replaces it instead of adding to it. Totals are sum
 * ``batches/run_id=R/batch_id=N/``: the counts of one batch, complete once Spark has left ``_SUCCESS``;
 * ``merged/generation=G/``: counts of many batches added up, ordered by group so that filters on a group column skip
   files and row groups;
-* ``manifests/G.json``: which generations are live and which batches they contain. The newest one rules.
+* ``manifests/G.json``: which generations are live and which batches they contain. The newest one rules;
+* ``columns.json``: the group and count columns, so that nobody reads or adds something else.
 
 A merge writes a new generation first and its manifest last; until then readers see the old state, and a merge that dies
 half-way leaves only files that nobody reads. Merged files go away in ``vacuum()``, not before.
@@ -101,19 +102,21 @@ class CountLedger:
 
     # Writing
 
-    def write_batch(self, counts: DataFrame, run_id: str, batch_id: int) -> bool:
+    def write_batch(self, counts: DataFrame, run_id: str, batch_id: int, *, replace: bool = True) -> bool:
         """Store one batch's counts under its id, replacing an earlier attempt.
 
-        A batch that a merge has already taken in is left alone and reported as ``False``.
+        A batch that a merge has already taken in is left alone and reported as ``False``. So is one that is complete,
+        with ``replace=False``: where a replay brings the same counts, readers then never miss them in between.
         """
         if not _RUN_ID.fullmatch(run_id):
             raise ValueError(f"run ids are letters, digits, '_', '.' and '-', got {run_id!r}")
         if batch_id < 0:
             raise ValueError(f"batch ids start at 0, got {batch_id}")
-        if self.manifest().contains(run_id, batch_id):
+        self._check_columns(claim=True)
+        target = self._batch_path(run_id, batch_id)
+        if self.manifest().contains(run_id, batch_id) or (not replace and self.files.is_complete(target)):
             return False
         columns = [*self.keys, as_count(self.count_column).alias(self.count_column)]
-        target = self._batch_path(run_id, batch_id)
         counts.select(*columns).write.mode("overwrite").parquet(target)
         self.files.require_complete(target)
         return True
@@ -122,6 +125,7 @@ class CountLedger:
 
     def batch_counts(self) -> DataFrame:
         """The unmerged batches as stored: ``run_id, batch_id, group..., count``."""
+        self._check_columns()
         pending = self._pending(self.manifest())
         ids = [StructField("run_id", StringType(), True), StructField("batch_id", LongType(), True)]
         schema = StructType([*ids, *self.counts_schema.fields])
@@ -132,6 +136,7 @@ class CountLedger:
 
     def totals(self) -> DataFrame:
         """``group..., count`` with BIGINT counts. A filter on group columns reaches the parquet scan."""
+        self._check_columns()
         manifest = self.manifest()
         return self._add_up([*self._live_paths(manifest), *self._pending(manifest).values()])
 
@@ -151,6 +156,7 @@ class CountLedger:
 
         ``full`` takes in all generations. Returns the new generation's number, or ``None`` if nothing was to be done.
         """
+        self._check_columns()
         manifest = self.manifest()
         pending = self._pending(manifest)
         kept, taken = self._split_generations(manifest.generations, pending, full)
@@ -197,6 +203,17 @@ class CountLedger:
         newest = max(found, key=_manifest_number)
         return Manifest.from_json(_manifest_number(newest), self.files.read(newest))
 
+    def _check_columns(self, claim: bool = False) -> None:
+        """Refuse a ledger that was written with other columns; ``claim`` fixes them for a new one."""
+        path, own = f"{self.path}/columns.json", json.dumps({"keys": self.keys, "count": self.count_column})
+        if claim and not self.files.exists(path):
+            try:
+                self.files.publish(path, own)
+            except FileExistsError:
+                pass  # Another writer was first; what it wrote is compared below.
+        if self.files.exists(path) and self.files.read(path) != own:
+            raise ValueError(f"{self.path} holds {self.files.read(path)}, not {own}")
+
     def _pending(self, manifest: Manifest) -> dict[tuple[str, int], str]:
         """Complete batches outside every generation, by run and batch."""
         pending = {}

@@ -215,8 +215,8 @@ def stream_file_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 class _Interrupted(CountLedger):
     """Dies once, after a batch is written and before Spark can note that it is done."""
 
-    def write_batch(self, counts: DataFrame, run_id: str, batch_id: int) -> bool:
-        written = super().write_batch(counts, run_id, batch_id)
+    def write_batch(self, counts: DataFrame, run_id: str, batch_id: int, *, replace: bool = True) -> bool:
+        written = super().write_batch(counts, run_id, batch_id, replace=replace)
         if batch_id == 1:
             raise RuntimeError("interrupted on purpose")
         return written

@@ -18,8 +18,8 @@ from logtally.functions.delimited import decode_value
 class KafkaSource:
     """Where to read and how fast.
 
-    ``max_records_per_partition`` lets Spark cut the offset range of a Kafka partition that holds far more than the
-    others into several tasks; ``max_offsets_per_trigger`` bounds a micro-batch.
+    ``max_records_per_partition`` and ``min_partitions`` let Spark cut the offset range of a Kafka partition that holds
+    far more than the others into several tasks; ``max_offsets_per_trigger`` bounds a micro-batch.
     """
 
     bootstrap_servers: str
@@ -28,6 +28,7 @@ class KafkaSource:
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int | None = None
     max_records_per_partition: int | None = None
+    min_partitions: int | None = None
     fail_on_data_loss: bool = True
     consumer: Mapping[str, str] = field(default_factory=dict)
 
@@ -53,6 +54,8 @@ class KafkaSource:
             options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
         if self.max_records_per_partition is not None:
             options["maxRecordsPerPartition"] = str(self.max_records_per_partition)
+        if self.min_partitions is not None:
+            options["minPartitions"] = str(self.min_partitions)
         options.update({f"kafka.{name}": value for name, value in self.consumer.items()})
         return options
 
@@ -61,10 +64,16 @@ class KafkaSource:
         return decode_value(spark.readStream.format("kafka").options(**self.options()).load())
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """What the topics hold now, for back-filling; a batch starts at the earliest offset."""
-        options = {**self.options(), "startingOffsets": "earliest"}
+        """What the topics hold now, for back-filling."""
+        return decode_value(spark.read.format("kafka").options(**self.batch_options()).load())
+
+    def batch_options(self) -> dict[str, str]:
+        """A batch cannot start at the latest offset and has no triggers."""
+        options = self.options()
         options.pop("maxOffsetsPerTrigger", None)
-        return decode_value(spark.read.format("kafka").options(**options).load())
+        if self.starting_offsets == "latest":
+            options["startingOffsets"] = "earliest"
+        return options
 
 
 def offsets_per_trigger(per_partition_per_second: int, seconds: float, partitions: int) -> int:

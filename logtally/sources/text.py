@@ -10,9 +10,20 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").text(path)
 
 
-def stream_lines(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The same as a stream. Files that are there at the first start are part of it."""
+def stream_lines(
+    spark: SparkSession,
+    path: str,
+    *,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = None,
+) -> DataFrame:
+    """The same as a stream. Files that are there at the first start are part of it.
+
+    A micro-batch can be bounded by files or, where their sizes differ, by bytes.
+    """
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.load(path)

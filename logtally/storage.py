@@ -48,9 +48,13 @@ class Files:
         found = self._fs.globStatus(self._path(pattern))
         return sorted(status.getPath().toString() for status in found) if found else []
 
+    def is_complete(self, folder: str) -> bool:
+        """Whether a Spark write into this folder has finished."""
+        return self.exists(f"{folder}/_SUCCESS")
+
     def require_complete(self, folder: str) -> None:
         """Readers tell a finished write by Spark's marker, which a cluster may have switched off."""
-        if not self.exists(f"{folder}/_SUCCESS"):
+        if not self.is_complete(folder):
             raise RuntimeError(f"no _SUCCESS in {folder}: set mapreduce.fileoutputcommitter.marksuccessfuljobs=true")
 
     def size(self, path: str) -> int:

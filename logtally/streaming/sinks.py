@@ -35,7 +35,7 @@ def start_archive(
     name: str | None = None,
 ) -> StreamingQuery:
     """Keep the raw lines, as they came, in a one-column table ``line``."""
-    archived = lines.select(F.col("value").alias("line"))
+    archived = lines.where(F.col("value").isNotNull()).select(F.col("value").alias("line"))
     return start_parquet_sink(
         archived, path, checkpoint, interval_seconds=interval_seconds, pool=pool, name=name
     )

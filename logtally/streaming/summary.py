@@ -40,8 +40,8 @@ def start_summary(
 ) -> StreamingQuery:
     """Fold a stream of lines into ``ledger``; the same call starts it, and resumes it after a crash.
 
-    Batches are filed under the checkpoint's id and their batch id. A batch that is replayed after a failure overwrites
-    what its first attempt left. A new checkpoint would read old input again, and count it again; it is refused while
+    Batches are filed under the checkpoint's id and their batch id. A batch that is replayed after a failure is written
+    only if its first attempt did not finish. A new checkpoint would read old input again, and count it again; it is refused while
     the ledger holds other runs, unless ``add_run`` says that its input is new.
 
     ``compact_every`` merges the ledger after each so many batches, between two batches of this query. What a merge has
@@ -55,7 +55,7 @@ def start_summary(
         )
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        ledger.write_batch(count_groups(batch, spec), checkpoint_id(spark, checkpoint), batch_id)
+        ledger.write_batch(count_groups(batch, spec), checkpoint_id(spark, checkpoint), batch_id, replace=False)
         if compact_every and batch_id % compact_every == compact_every - 1:
             ledger.vacuum()
             ledger.compact()

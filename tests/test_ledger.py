@@ -40,6 +40,28 @@ def test_batches_add_up_and_a_replay_replaces(ledger, counts):
     assert rows(ledger.batch_counts()) == [("r", 0, "d", "a", 1), ("r", 0, "d", "b", 2), ("r", 1, "d", "a", 10)]
 
 
+def test_a_complete_batch_can_be_left_alone(spark, ledger, counts):
+    assert ledger.write_batch(counts(("d", "a", 1)), "r", 0, replace=False)
+    assert not ledger.write_batch(counts(("d", "a", 9)), "r", 0, replace=False)
+    assert rows(ledger.totals()) == [("d", "a", 1)]
+    Files(spark, ledger.path).delete(f"{ledger.path}/batches/run_id=r/batch_id=0/_SUCCESS")
+    assert ledger.write_batch(counts(("d", "a", 9)), "r", 0, replace=False)
+    assert rows(ledger.totals()) == [("d", "a", 9)]
+
+
+def test_other_columns_are_refused(spark, ledger, counts):
+    ledger.write_batch(counts(("d", "a", 1)), "r", 0)
+    other = CountLedger(spark, ledger.path, ("day", "shop"))
+    swapped = CountLedger(spark, ledger.path, ("app", "day"))
+    renamed = CountLedger(spark, ledger.path, KEYS, "n")
+    for stranger in (other, swapped, renamed):
+        with pytest.raises(ValueError, match="holds"):
+            stranger.totals()
+        with pytest.raises(ValueError, match="holds"):
+            stranger.write_batch(counts(("d", "a", 1)), "r", 1)
+    assert rows(CountLedger(spark, ledger.path, KEYS).totals()) == [("d", "a", 1)]
+
+
 def test_runs_do_not_share_batch_ids(ledger, counts):
     ledger.write_batch(counts(("d", "a", 1)), "r1", 0)
     ledger.write_batch(counts(("d", "a", 1)), "r2", 0)

@@ -17,6 +17,7 @@ def test_kafka_options():
         group_id="sparkKafka",
         max_offsets_per_trigger=offsets_per_trigger(25, 7, 4),
         max_records_per_partition=1_000_000,
+        min_partitions=8,
         consumer={"session.timeout.ms": "100000", "max.partition.fetch.bytes": "1000000000"},
     )
     assert source.options() == {
@@ -27,6 +28,7 @@ def test_kafka_options():
         "kafka.group.id": "sparkKafka",
         "maxOffsetsPerTrigger": "700",
         "maxRecordsPerPartition": "1000000",
+        "minPartitions": "8",
         "kafka.session.timeout.ms": "100000",
         "kafka.max.partition.fetch.bytes": "1000000000",
     }
@@ -40,6 +42,14 @@ def test_kafka_defaults_and_topics():
         KafkaSource("h:1", " ,").options()
 
 
+def test_kafka_batch_options():
+    source = KafkaSource("h:1", "a", max_offsets_per_trigger=10)
+    assert source.batch_options()["startingOffsets"] == "earliest"
+    assert "maxOffsetsPerTrigger" not in source.batch_options()
+    given = '{"a":{"0":5}}'
+    assert KafkaSource("h:1", "a", starting_offsets=given).batch_options()["startingOffsets"] == given
+
+
 def test_rates_are_never_zero():
     assert offsets_per_trigger(25, 0.001, 1) == 1
 

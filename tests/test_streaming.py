@@ -7,6 +7,7 @@ import time
 import pytest
 
 from logtally import FieldSpec, SummarySpec
+from logtally.functions import decode_value
 from logtally.operators import CountLedger, pick, parse, summarise
 from logtally.plans import DAILY_SUMMARY, MILLISECOND_SUMMARY, TRANSACTION_FIELDS, jobs
 from logtally.sources import read_lines, stream_lines
@@ -108,10 +109,10 @@ def test_a_failing_batch_is_retried(spark, source, ledger, checkpoint, monkeypat
     source.add_random(4)
     write = ledger.write_batch
 
-    def die_in_batch_two(counts, run_id, batch_id):
+    def die_in_batch_two(counts, run_id, batch_id, **options):
         if batch_id == 2 and not after_the_write:
             raise OSError("gone")
-        write(counts, run_id, batch_id)
+        write(counts, run_id, batch_id, **options)
         if batch_id == 2:
             raise OSError("gone")
 
@@ -136,6 +137,39 @@ def test_a_lost_commit_mark_changes_nothing(spark, source, ledger, checkpoint, m
     assert rows(ledger.summary()) == batch_result(spark, source)
 
 
+def test_a_half_written_batch_is_written_again(spark, source, ledger, checkpoint):
+    source.add_random(3)
+    run(spark, source, ledger, checkpoint)
+    Files(spark, checkpoint).delete(f"{checkpoint}/commits/2")
+    (half,) = ledger.files.glob(f"{ledger.path}/batches/*/batch_id=2")
+    ledger.files.delete(f"{half}/_SUCCESS")
+    run(spark, source, ledger, checkpoint)
+    assert rows(ledger.summary()) == batch_result(spark, source)
+
+
+def test_null_lines_are_counted_and_left_out(spark, ledger, checkpoint):
+    path = fresh_dir(spark, "values")
+    spark.createDataFrame([(b"2024-01-01|a|sms",), (None,)], "value binary").write.parquet(path)
+    lines = decode_value(spark.readStream.schema("value binary").parquet(path))
+    query = start_summary(lines, SPEC, ledger, checkpoint, interval_seconds=None)
+    query.awaitTermination(120)
+    assert rows(ledger.summary()) == [("2024-01-01", "a", "1")]
+    assert batch_timings(query)[0]["observed"]["lines"] == {"all_lines": 2, "null_lines": 1}
+    archive = fresh_dir(spark, "archive")
+    start_archive(lines, archive, fresh_dir(spark, "cp"), interval_seconds=None).awaitTermination(120)
+    assert rows(spark.read.parquet(archive)) == [("2024-01-01|a|sms",)]
+
+
+def test_batches_can_be_bounded_by_bytes(spark, source, ledger, checkpoint):
+    source.add_random(4)
+    size = max(path.stat().st_size for path in source.folder.iterdir())
+    lines = stream_lines(spark, str(source.folder), max_bytes_per_trigger=size)
+    query = start_summary(lines, SPEC, ledger, checkpoint, interval_seconds=None)
+    query.awaitTermination(120)
+    assert len(batch_timings(query)) >= 3
+    assert rows(ledger.summary()) == batch_result(spark, source)
+
+
 def test_a_new_checkpoint_is_refused_unless_its_input_is_new(spark, source, ledger, checkpoint):
     source.add_random(2)
     run(spark, source, ledger, checkpoint)
