@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,13 +49,20 @@ def parsed_fields(df: DataFrame, fields: Sequence[FieldSpec], delimiter: str) ->
     Catalyst would push a later filter below a plain projection and repeat the split in each of its references,
     whereas a generator keeps its place, inside the same generated code.
     """
+    tokens, columns = _expressions(tuple(fields), delimiter)
+    return df.where(F.col("value").isNotNull()).select("value", tokens).select(*columns)
+
+
+@lru_cache(maxsize=64)
+def _expressions(fields: tuple[FieldSpec, ...], delimiter: str) -> tuple[Column, tuple[Column, ...]]:
+    """The token column over ``value``, and the fields over both. They are tied to no DataFrame, and building sixty of
+    them takes most of a second of calls into the JVM."""
     last = max(field.position for field in fields)
     narrow = len(fields) <= NARROW_FIELDS
     line = F.col("value") if narrow else _trimmed(F.col("value"), delimiter)
-    tokens = F.split(line, re.escape(delimiter), last + 1)
-    split = df.where(F.col("value").isNotNull()).select("value", F.explode(F.array(tokens)).alias("tokens"))
+    tokens = F.explode(F.array(F.split(line, re.escape(delimiter), last + 1))).alias("tokens")
     token = _token_narrow if narrow else _token_wide
-    return split.select(*[cut(token(field.position, delimiter), field).alias(field.name) for field in fields])
+    return tokens, tuple(cut(token(field.position, delimiter), field).alias(field.name) for field in fields)
 
 
 def _trimmed(line: Column, delimiter: str) -> Column:
@@ -63,8 +71,8 @@ def _trimmed(line: Column, delimiter: str) -> Column:
 
 
 def _token_narrow(position: int, delimiter: str) -> Column:
-    token = F.get(F.col("tokens"), F.lit(position - 1))
-    behind = F.get(F.split(F.col("value"), re.escape(delimiter), position + 1), F.lit(position))
+    token = F.get("tokens", position - 1)
+    behind = F.get(F.split("value", re.escape(delimiter), position + 1), position)
     exists = F.ltrim(behind, F.lit(delimiter)) != ""
     if position == 1:
         exists = exists | (F.col("value") == "")
@@ -72,7 +80,7 @@ def _token_narrow(position: int, delimiter: str) -> Column:
 
 
 def _token_wide(position: int, delimiter: str) -> Column:
-    token = F.coalesce(F.get(F.col("tokens"), F.lit(position - 1)), F.lit(MISSING))
+    token = F.coalesce(F.get("tokens", position - 1), F.lit(MISSING))
     if position > 1:
         return token
     # A line of delimiters only is empty once trimmed; unlike the empty line it has no first token.

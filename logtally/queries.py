@@ -50,14 +50,11 @@ def _staged_lines(spark: SparkSession, sf_dir: str) -> str:
     return stage_batches(spark, _events_path(sf_dir), fresh_dir(spark, "lines"), BATCHES)
 
 
-def _files_per_batch(spark: SparkSession, folder: str) -> int:
-    """A rate limit that makes about four micro-batches of the staged files, however many files there are."""
-    return -(-len(Files(spark, folder).glob(f"{folder}/batch=*/part-*")) // BATCHES)
-
-
 def _line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged lines as about four micro-batches, however much there is; only the total size is asked for."""
     folder = _staged_lines(spark, sf_dir)
-    return stream_lines(spark, folder, max_files_per_trigger=_files_per_batch(spark, folder))
+    size = Files(spark, folder).size(folder)
+    return stream_lines(spark, folder, max_bytes_per_trigger=size // BATCHES + 1)
 
 
 def _ledger(spark: SparkSession) -> CountLedger:
@@ -251,10 +248,12 @@ def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rate_limited_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts per micro-batch added up: the rate limit cuts the input, but loses none of it."""
+    """Counts per micro-batch added up: a limit on files per batch cuts the input, but loses none of it."""
     ledger = _ledger(spark)
     checkpoint = fresh_dir(spark, "checkpoint")
-    lines = _line_stream(spark, sf_dir)
+    folder = _staged_lines(spark, sf_dir)
+    files_per_batch = Files(spark, folder).file_count(folder) // BATCHES + 1
+    lines = stream_lines(spark, folder, max_files_per_trigger=files_per_batch)
     _finish(start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None))
     run = checkpoint_id(spark, checkpoint)
     return recount(ledger.batch_counts().where(F.col("run_id") == run), DAILY_SUMMARY)

@@ -60,6 +60,9 @@ class Files:
     def size(self, path: str) -> int:
         return self._fs.getContentSummary(self._path(path)).getLength()
 
+    def file_count(self, path: str) -> int:
+        return self._fs.getContentSummary(self._path(path)).getFileCount()
+
     def read(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:

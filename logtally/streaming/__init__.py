@@ -1,5 +1,6 @@
 from logtally.streaming.progress import batch_timings
 from logtally.streaming.sinks import start_archive, start_parquet_sink, start_preview
+from logtally.streaming.starting import stop_between_batches
 from logtally.streaming.summary import start_summary
 from logtally.streaming.watermark import daily_counts
 
@@ -10,4 +11,5 @@ __all__ = [
     "start_parquet_sink",
     "start_preview",
     "start_summary",
+    "stop_between_batches",
 ]

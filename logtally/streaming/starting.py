@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 # Fixed value: the micro-batch interval in seconds.
@@ -30,7 +32,7 @@ def start(
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{round(interval_seconds * 1000)} milliseconds")
-    context = _context_of(writer)
+    context = writer._spark.sparkContext
     before = context.getLocalProperty("spark.scheduler.pool")
     if pool:
         context.setLocalProperty("spark.scheduler.pool", pool)
@@ -41,5 +43,9 @@ def start(
             context.setLocalProperty("spark.scheduler.pool", before)
 
 
-def _context_of(writer: DataStreamWriter):
-    return writer._spark.sparkContext
+def stop_between_batches(query: StreamingQuery, timeout_seconds: float = 300) -> None:
+    """Let the batch at work finish, then stop. One that outlasts the timeout is cut off, and repeated at the restart."""
+    deadline = time.monotonic() + timeout_seconds
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < deadline:
+        time.sleep(0.05)
+    query.stop()

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import random
+import threading
 import time
 
 import pytest
@@ -19,6 +20,7 @@ from logtally.streaming import (
     start_parquet_sink,
     start_preview,
     start_summary,
+    stop_between_batches,
 )
 from logtally.streaming.summary import LedgerInUse, checkpoint_id
 
@@ -205,6 +207,24 @@ def test_interval_trigger_and_stop(spark, source, ledger, checkpoint):
     assert rows(ledger.summary()) == batch_result(spark, source)
 
 
+def test_stopping_lets_the_batch_finish(spark, source, ledger, checkpoint, monkeypatch):
+    source.add_random(2)
+    write, started = ledger.write_batch, threading.Event()
+
+    def slow(*args, **options):
+        started.set()
+        time.sleep(1.5)
+        return write(*args, **options)
+
+    monkeypatch.setattr(ledger, "write_batch", slow)
+    lines = stream_lines(spark, str(source.folder))
+    query = start_summary(lines, SPEC, ledger, checkpoint, interval_seconds=60)
+    assert started.wait(60)
+    stop_between_batches(query, timeout_seconds=60)
+    assert not query.isActive and query.exception() is None
+    assert rows(ledger.summary()) == batch_result(spark, source)
+
+
 def test_running_count_agrees(spark, source):
     """Spark's own complete-mode count over the stream, as a cross-check of the ledger."""
     source.add_random(3)
