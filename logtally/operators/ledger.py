@@ -4,19 +4,21 @@ Folding a batch writes that batch's counts and nothing else, so its cost does no
 writing the same batch again replaces it instead of adding to it. Totals are sums over what is there:
 
 * ``batches/run_id=R/batch_id=N/``: the counts of one batch, complete once Spark has left ``_SUCCESS``;
-* ``merged/generation=G/``: counts of many batches added up, ordered by group so that filters on a group column skip
+* ``merged/G-<unique>/``: a generation, counts of many batches added up, ordered by group so that filters on a group column skip
   files and row groups;
 * ``manifests/G.json``: which generations are live and which batches they contain. The newest one rules;
 * ``columns.json``: the group and count columns, so that nobody reads or adds something else.
 
 A merge writes a new generation first and its manifest last; until then readers see the old state, and a merge that dies
-half-way leaves only files that nobody reads. Merged files go away in ``vacuum()``, not before.
+half-way leaves only files that nobody reads. Of two merges at once, the one that comes second to publish its manifest
+is dropped. Merged files go away in ``vacuum()``, not before.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -38,7 +40,7 @@ _RUN_ID = re.compile(r"[A-Za-z0-9_.-]+")
 
 @dataclass(frozen=True)
 class Generation:
-    number: int
+    folder: str
     size: int
 
 
@@ -55,7 +57,7 @@ class Manifest:
 
     def to_json(self) -> str:
         return json.dumps(
-            {"generations": [[g.number, g.size] for g in self.generations], "merged": self.merged}, sort_keys=True
+            {"generations": [[g.folder, g.size] for g in self.generations], "merged": self.merged}, sort_keys=True
         )
 
     @staticmethod
@@ -80,7 +82,7 @@ def add_to_ranges(ranges: Iterable[tuple[int, int]], ids: Iterable[int]) -> list
 
 
 class CountLedger:
-    """Exactly-once totals per group, whoever replays what. One process merges at a time; any number may read."""
+    """Exactly-once totals per group, whoever replays what."""
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], count_column: str = "count") -> None:
         if not keys:
@@ -154,7 +156,8 @@ class CountLedger:
     def compact(self, full: bool = False) -> int | None:
         """Add up the complete batches, with the generations that are not much larger, into a new generation.
 
-        ``full`` takes in all generations. Returns the new generation's number, or ``None`` if nothing was to be done.
+        ``full`` takes in all generations. Returns the new manifest's number, or ``None`` if there was nothing to do or
+        another merge was faster.
         """
         self._check_columns()
         manifest = self.manifest()
@@ -162,25 +165,31 @@ class CountLedger:
         kept, taken = self._split_generations(manifest.generations, pending, full)
         if not pending and len(taken) < 2:
             return None
-        number = self._next_number(manifest)
-        target = self._generation_path(number)
-        sources = [*(self._generation_path(g.number) for g in taken), *pending.values()]
-        self._write_merged(sources, target)
+        number = manifest.number + 1
+        folder = f"{number}-{uuid.uuid4().hex}"
+        sources = [*(self._generation_path(g.folder) for g in taken), *pending.values()]
+        self._write_merged(sources, self._generation_path(folder))
         merged = dict(manifest.merged)
         for run_id in {run for run, _ in pending}:
             ids = [batch for run, batch in pending if run == run_id]
             merged[run_id] = add_to_ranges(merged.get(run_id, ()), ids)
-        newest = Manifest(number, [*kept, Generation(number, self.files.size(target))], merged)
-        self.files.publish(f"{self.path}/manifests/{number:010d}.json", newest.to_json())
+        size = self.files.size(self._generation_path(folder))
+        newest = Manifest(number, [*kept, Generation(folder, size)], merged)
+        try:
+            self.files.publish(f"{self.path}/manifests/{number:010d}.json", newest.to_json())
+        except FileExistsError:
+            self.files.delete(self._generation_path(folder))
+            return None
         return number
 
     def vacuum(self) -> None:
         """Remove what the newest manifest no longer needs. A reader that planned before the last merge must be done."""
         manifest = self.manifest()
-        live = set(self._live_paths(manifest))
-        for path in self.files.glob(f"{self.path}/merged/generation=*"):
-            number = int(path.rsplit("=", 1)[1])
-            if number <= manifest.number and self._generation_path(number) not in live:
+        live = {generation.folder for generation in manifest.generations}
+        for path in self.files.glob(f"{self.path}/merged/*"):
+            folder = path.rsplit("/", 1)[1]
+            # A higher number belongs to a merge at work.
+            if folder not in live and int(folder.split("-")[0]) <= manifest.number:
                 self.files.delete(path)
         for path in self.files.glob(f"{self.path}/batches/run_id=*/batch_id=*"):
             run_id, batch_id = _BATCH_PATH.search(path).groups()
@@ -250,16 +259,11 @@ class CountLedger:
         # A single generation or batch already has one row per group.
         return counts if len(paths) == 1 else add_up(counts, self.keys, self.count_column)
 
-    def _next_number(self, manifest: Manifest) -> int:
-        """Above the newest manifest and above what a merge that died may have left."""
-        left = [int(path.rsplit("=", 1)[1]) for path in self.files.glob(f"{self.path}/merged/generation=*")]
-        return max([manifest.number, *left]) + 1
-
     def _live_paths(self, manifest: Manifest) -> list[str]:
-        return [self._generation_path(g.number) for g in manifest.generations]
+        return [self._generation_path(generation.folder) for generation in manifest.generations]
 
-    def _generation_path(self, number: int) -> str:
-        return f"{self.path}/merged/generation={number}"
+    def _generation_path(self, folder: str) -> str:
+        return f"{self.path}/merged/{folder}"
 
     def _batch_path(self, run_id: str, batch_id: int) -> str:
         return f"{self.path}/batches/run_id={run_id}/batch_id={batch_id}"

@@ -41,17 +41,17 @@ def start_summary(
     """Fold a stream of lines into ``ledger``; the same call starts it, and resumes it after a crash.
 
     Batches are filed under the checkpoint's id and their batch id. A batch that is replayed after a failure is written
-    only if its first attempt did not finish. A new checkpoint would read old input again, and count it again; it is refused while
-    the ledger holds other runs, unless ``add_run`` says that its input is new.
+    only if its first attempt did not finish. A new checkpoint would read old input again, and count it again; it is
+    refused where the ledger holds other runs and none of its own, unless ``add_run`` says that its input is new.
 
     ``compact_every`` merges the ledger after each so many batches, between two batches of this query. What a merge has
     made redundant is removed at the next one, by when the readers of the old files should be done.
     """
     spark = lines.sparkSession
-    others = ledger.runs() - {checkpoint_id(spark, checkpoint)}
-    if others and not add_run:
+    runs = ledger.runs()
+    if runs and checkpoint_id(spark, checkpoint) not in runs and not add_run:
         raise LedgerInUse(
-            f"{ledger.path} holds batches of {sorted(others)}; reset() it, or pass add_run=True if this input is new"
+            f"{ledger.path} holds batches of {sorted(runs)}; reset() it, or pass add_run=True if this input is new"
         )
 
     def fold(batch: DataFrame, batch_id: int) -> None:
@@ -60,7 +60,8 @@ def start_summary(
             ledger.vacuum()
             ledger.compact()
 
-    # The counter tells null lines, which carry no record, from read ones. Parse and filter belong to the stream's own plan, so only matching records cross over into the batch function.
+    # The counter tells lines without a record from lines read. Parse and filter belong to the stream's own plan, so
+    # that only matching records cross over into the batch function.
     matching = keep(parse(count_lines(lines), spec), spec.where).select(*spec.group_by)
     writer = matching.writeStream.foreachBatch(fold)
     return start(writer, checkpoint=checkpoint, interval_seconds=interval_seconds, pool=pool, name=name)

@@ -141,11 +141,33 @@ def test_a_merge_that_dies_before_its_manifest_changes_nothing(ledger, counts, m
     assert rows(ledger.totals()) == [("d", "a", 2)]
     ledger.vacuum()
     assert rows(ledger.totals()) == [("d", "a", 2)]
-    assert ledger.compact() == 2
+    assert ledger.compact() == 1
+    assert len(ledger.files.glob(f"{ledger.path}/merged/*")) == 2
     ledger.vacuum()
+    assert len(ledger.files.glob(f"{ledger.path}/merged/*")) == 1
     assert rows(ledger.totals()) == [("d", "a", 2)]
 
 
+def test_of_two_merges_at_once_the_slower_is_dropped(spark, ledger, counts, monkeypatch):
+    ledger.write_batch(counts(("d", "a", 1)), "r", 0)
+    ledger.write_batch(counts(("d", "a", 1)), "r", 1)
+    other = CountLedger(spark, ledger.path, KEYS)
+    write = ledger._write_merged
+
+    def overtaken(*args):
+        write(*args)
+        other.write_batch(counts(("d", "a", 5)), "r", 2)
+        assert other.compact() == 1
+
+    with monkeypatch.context() as patched:
+        patched.setattr(ledger, "_write_merged", overtaken)
+        assert ledger.compact() is None
+    assert rows(ledger.totals()) == [("d", "a", 7)]
+    assert ledger.manifest().merged == {"r": [(0, 2)]}
+    ledger.vacuum()
+    assert rows(ledger.totals()) == [("d", "a", 7)]
+
+
 def test_a_merge_that_dies_before_cleaning_up_changes_nothing(ledger, counts, monkeypatch):
     for batch_id in range(4):
         ledger.write_batch(counts(("d", "a", 1)), "r", batch_id)
@@ -174,13 +196,13 @@ def test_a_larger_generation_is_left_alone_until_a_full_merge(ledger, spark):
     ledger.write_batch(big.limit(1), "r", 1)
     ledger.compact()
     manifest = ledger.manifest()
-    assert [g.number for g in manifest.generations] == [1, 2]
+    assert [g.folder.split("-")[0] for g in manifest.generations] == ["1", "2"]
     assert manifest.merged == {"r": [(0, 1)]}
     assert ledger.totals().count() == 20000
     assert ledger.compact() is None
     ledger.compact(full=True)
     ledger.vacuum()
-    assert [g.number for g in ledger.manifest().generations] == [3]
+    assert [g.folder.split("-")[0] for g in ledger.manifest().generations] == ["3"]
     assert ledger.totals().agg({"count": "sum"}).first()[0] == 20001
 
 
@@ -237,7 +259,7 @@ def test_ranges():
 
 
 def test_manifest_survives_its_text():
-    manifest = Manifest(4, [Generation(2, 10), Generation(4, 1)], {"r": [(0, 3), (5, 5)]})
+    manifest = Manifest(4, [Generation("2-a", 10), Generation("4-b", 1)], {"r": [(0, 3), (5, 5)]})
     assert Manifest.from_json(4, manifest.to_json()) == manifest
     assert manifest.contains("r", 2) and not manifest.contains("r", 4) and not manifest.contains("q", 2)
 

@@ -181,6 +181,9 @@ def test_a_new_checkpoint_is_refused_unless_its_input_is_new(spark, source, ledg
     assert rows(ledger.summary()) == batch_result(spark, source)
     run(spark, source, ledger, other, add_run=True)
     assert rows(ledger.summary()) == [(d, a, str(2 * int(n))) for d, a, n in batch_result(spark, source)]
+    run(spark, source, ledger, other)
+    run(spark, source, ledger, checkpoint)
+    assert rows(ledger.summary()) == [(d, a, str(2 * int(n))) for d, a, n in batch_result(spark, source)]
     ledger.reset()
     run(spark, source, ledger, fresh_dir(spark, "checkpoint"))
     assert rows(ledger.summary()) == batch_result(spark, source)
@@ -311,7 +314,7 @@ def test_jobs(spark, source, capsys):
         jobs.keep_summary(lines, ledger_path, checkpoint, interval_seconds=None, compact_every=1).awaitTermination(120)
     ledger = CountLedger.for_spec(spark, ledger_path, DAILY_SUMMARY)
     assert rows(ledger.summary()) == [("2024-01-01", "a", "3")]
-    assert len(ledger.files.glob(f"{ledger_path}/merged/generation=*")) <= 3
+    assert len(ledger.files.glob(f"{ledger_path}/merged/*")) <= 3
 
     seen = []
     jobs.show_batch_counts(
