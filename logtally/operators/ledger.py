@@ -4,8 +4,8 @@ Folding a batch writes that batch's counts and nothing else, so its cost does no
 writing the same batch again replaces it instead of adding to it. Totals are sums over what is there:
 
 * ``batches/run_id=R/batch_id=N/``: the counts of one batch, complete once Spark has left ``_SUCCESS``;
-* ``merged/G-<unique>/``: a generation, counts of many batches added up, ordered by group so that filters on a group column skip
-  files and row groups;
+* ``merged/G-<unique>/``: a generation, counts of many batches added up, ordered by group so that filters on a group
+  column skip files and row groups;
 * ``manifests/G.json``: which generations are live and which batches they contain. The newest one rules;
 * ``columns.json``: the group and count columns, so that nobody reads or adds something else.
 
@@ -128,7 +128,7 @@ class CountLedger:
     def batch_counts(self) -> DataFrame:
         """The unmerged batches as stored: ``run_id, batch_id, group..., count``."""
         self._check_columns()
-        pending = self._pending(self.manifest())
+        _, pending = self._snapshot()
         ids = [StructField("run_id", StringType(), True), StructField("batch_id", LongType(), True)]
         schema = StructType([*ids, *self.counts_schema.fields])
         if not pending:
@@ -139,8 +139,14 @@ class CountLedger:
     def totals(self) -> DataFrame:
         """``group..., count`` with BIGINT counts. A filter on group columns reaches the parquet scan."""
         self._check_columns()
-        manifest = self.manifest()
-        return self._add_up([*self._live_paths(manifest), *self._pending(manifest).values()])
+        manifest, pending = self._snapshot()
+        merged = [self._generation_path(generation.folder) for generation in manifest.generations]
+        paths = [*merged, *pending.values()]
+        if not paths:
+            return self.spark.createDataFrame([], self.counts_schema)
+        counts = self.spark.read.schema(self.counts_schema).parquet(*paths)
+        # A generation has one row per group already.
+        return counts if paths == merged[:1] else add_up(counts, self.keys, self.count_column)
 
     def summary(self) -> DataFrame:
         """The totals as the summary table shows them: all text."""
@@ -160,8 +166,7 @@ class CountLedger:
         another merge was faster.
         """
         self._check_columns()
-        manifest = self.manifest()
-        pending = self._pending(manifest)
+        manifest, pending = self._snapshot()
         kept, taken = self._split_generations(manifest.generations, pending, full)
         if not pending and len(taken) < 2:
             return None
@@ -176,7 +181,7 @@ class CountLedger:
         size = self.files.size(self._generation_path(folder))
         newest = Manifest(number, [*kept, Generation(folder, size)], merged)
         try:
-            self.files.publish(f"{self.path}/manifests/{number:010d}.json", newest.to_json())
+            self.files.publish(self._manifest_path(number), newest.to_json())
         except FileExistsError:
             self.files.delete(self._generation_path(folder))
             return None
@@ -196,7 +201,8 @@ class CountLedger:
             if manifest.contains(run_id, int(batch_id)):
                 self.files.delete(path)
         for path in self.files.glob(f"{self.path}/manifests/*.json"):
-            if _manifest_number(path) < manifest.number:
+            # The one before stays for a reader that has just seen it as the newest.
+            if _manifest_number(path) < manifest.number - 1:
                 self.files.delete(path)
 
     def reset(self) -> None:
@@ -206,11 +212,20 @@ class CountLedger:
     # Layout
 
     def manifest(self) -> Manifest:
-        found = self.files.glob(f"{self.path}/manifests/*.json")
-        if not found:
-            return Manifest()
-        newest = max(found, key=_manifest_number)
-        return Manifest.from_json(_manifest_number(newest), self.files.read(newest))
+        number = self._newest_number()
+        return Manifest.from_json(number, self.files.read(self._manifest_path(number))) if number else Manifest()
+
+    def _newest_number(self) -> int:
+        return max(map(_manifest_number, self.files.glob(f"{self.path}/manifests/*.json")), default=0)
+
+    def _snapshot(self) -> tuple[Manifest, dict[tuple[str, int], str]]:
+        """A manifest and the batches outside it, listed while it was the newest: a merge and a clean-up in between
+        would leave batches in neither."""
+        while True:
+            manifest = self.manifest()
+            pending = self._pending(manifest)
+            if self._newest_number() == manifest.number:
+                return manifest, pending
 
     def _check_columns(self, claim: bool = False) -> None:
         """Refuse a ledger that was written with other columns; ``claim`` fixes them for a new one."""
@@ -252,15 +267,8 @@ class CountLedger:
         summed = add_up(ranged, self.keys, self.count_column)
         summed.sortWithinPartitions(*self.keys).write.mode("overwrite").parquet(target)
 
-    def _add_up(self, paths: list[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], self.counts_schema)
-        counts = self.spark.read.schema(self.counts_schema).parquet(*paths)
-        # A single generation or batch already has one row per group.
-        return counts if len(paths) == 1 else add_up(counts, self.keys, self.count_column)
-
-    def _live_paths(self, manifest: Manifest) -> list[str]:
-        return [self._generation_path(generation.folder) for generation in manifest.generations]
+    def _manifest_path(self, number: int) -> str:
+        return f"{self.path}/manifests/{number:010d}.json"
 
     def _generation_path(self, folder: str) -> str:
         return f"{self.path}/merged/{folder}"

@@ -44,7 +44,7 @@ def start(
 
 
 def stop_between_batches(query: StreamingQuery, timeout_seconds: float = 300) -> None:
-    """Let the batch at work finish, then stop. One that outlasts the timeout is cut off, and repeated at the restart."""
+    """Let the batch at work finish, then stop. One that outlasts the timeout is cut off; the restart repeats it."""
     deadline = time.monotonic() + timeout_seconds
     while query.isActive and query.status["isTriggerActive"] and time.monotonic() < deadline:
         time.sleep(0.05)

@@ -62,6 +62,29 @@ def test_other_columns_are_refused(spark, ledger, counts):
     assert rows(CountLedger(spark, ledger.path, KEYS).totals()) == [("d", "a", 1)]
 
 
+def test_a_batch_may_repeat_a_group(ledger, counts):
+    ledger.write_batch(counts(("d", "a", 1), ("d", "a", 2)), "r", 0)
+    assert rows(ledger.totals()) == [("d", "a", 3)]
+
+
+def test_a_merge_and_a_clean_up_while_a_reader_lists_batches(spark, ledger, counts, monkeypatch):
+    ledger.write_batch(counts(("d", "a", 1)), "r", 0)
+    ledger.write_batch(counts(("d", "a", 1)), "r", 1)
+    reader = CountLedger(spark, ledger.path, KEYS)
+    listing, calls = reader._pending, []
+
+    def interrupted(manifest):
+        calls.append(manifest.number)
+        if len(calls) == 1:
+            ledger.compact()
+            ledger.vacuum()
+        return listing(manifest)
+
+    monkeypatch.setattr(reader, "_pending", interrupted)
+    assert rows(reader.totals()) == [("d", "a", 2)]
+    assert calls == [0, 1]
+
+
 def test_runs_do_not_share_batch_ids(ledger, counts):
     ledger.write_batch(counts(("d", "a", 1)), "r1", 0)
     ledger.write_batch(counts(("d", "a", 1)), "r2", 0)

@@ -13,8 +13,8 @@ from tests.conftest import rows
 def test_kafka_options():
     source = KafkaSource(
         bootstrap_servers="h1:9092,h2:9092",
-        topics="test_1, test_2,test_1",
-        group_id="sparkKafka",
+        topics="calls, texts,calls",
+        group_id="summary",
         max_offsets_per_trigger=offsets_per_trigger(25, 7, 4),
         max_records_per_partition=1_000_000,
         min_partitions=8,
@@ -22,10 +22,10 @@ def test_kafka_options():
     )
     assert source.options() == {
         "kafka.bootstrap.servers": "h1:9092,h2:9092",
-        "subscribe": "test_1,test_2",
+        "subscribe": "calls,texts",
         "startingOffsets": "latest",
         "failOnDataLoss": "true",
-        "kafka.group.id": "sparkKafka",
+        "kafka.group.id": "summary",
         "maxOffsetsPerTrigger": "700",
         "maxRecordsPerPartition": "1000000",
         "minPartitions": "8",

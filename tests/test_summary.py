@@ -14,7 +14,13 @@ SPEC = SummarySpec(
     where="kind = 'sms'",
     field_count=4,
 )
-LINES = ["2024-01-01 10|a|sms", "2024-01-01 11|a|sms|", "2024-01-01 11|a|web", "2024-01-02|a|sms", "2024-01-02|b|sms|x|y"]
+LINES = [
+    "2024-01-01 10|a|sms",
+    "2024-01-01 11|a|sms|",
+    "2024-01-01 11|a|web",
+    "2024-01-02|a|sms",
+    "2024-01-02|b|sms|x|y",
+]
 COUNTS = [("2024-01-01", "a", 2), ("2024-01-02", "a", 1), ("2024-01-02", "b", 1)]
 
 
