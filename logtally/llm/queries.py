@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logtally.llm.decontamination import op7_benchmark_decontamination
 from logtally.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from logtally.llm.ngram_join import OP9_SQL, op9_ngram_jaccard_join
+from logtally.llm.packing import op5_packing
+from logtally.llm.quality import op3_quality_classifier
 
-_ALL = (op1_exact_dedup, op9_ngram_jaccard_join)
+_ALL = (op1_exact_dedup, op3_quality_classifier, op5_packing, op7_benchmark_decontamination, op9_ngram_jaccard_join)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
