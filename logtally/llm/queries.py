@@ -6,13 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logtally.llm.chat import OP2_SQL, op2_chat_formatting
 from logtally.llm.decontamination import op7_benchmark_decontamination
 from logtally.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from logtally.llm.html_text import op10_html_extraction
+from logtally.llm.lm_scoring import op8_lm_scoring
 from logtally.llm.ngram_join import OP9_SQL, op9_ngram_jaccard_join
 from logtally.llm.packing import op5_packing
+from logtally.llm.private_data import op6_pii
 from logtally.llm.quality import op3_quality_classifier
-
-_ALL = (op1_exact_dedup, op3_quality_classifier, op5_packing, op7_benchmark_decontamination, op9_ngram_jaccard_join)
+from logtally.llm.secrets import op4_secret_scans
+
+_ALL = (
+    op1_exact_dedup,
+    op2_chat_formatting,
+    op3_quality_classifier,
+    op4_secret_scans,
+    op5_packing,
+    op6_pii,
+    op7_benchmark_decontamination,
+    op8_lm_scoring,
+    op9_ngram_jaccard_join,
+    op10_html_extraction,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +36,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op9_ngram_jaccard_join": OP9_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op2_chat_formatting": OP2_SQL, "op9_ngram_jaccard_join": OP9_SQL}
