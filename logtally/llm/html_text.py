@@ -1,10 +1,10 @@
 """Main text of web pages by consensus of their host's pages.
 
 First pass: each page is read into its containers, and each container that holds a good part of the page's text, menus and
-the like left out, is scored by that part, less links, with a small bonus for depth. Second: the scores are added up in
-Spark per host and path, a path being the chain of tags and classes with all numbers made alike, and the best
-path of each host wins. Third: each page's text is taken from what stands at its host's path; a page where that
-path is missing, or holds less than half of what its own best container does, uses its own.
+the like left out, is scored by that part, less links, with a small bonus for depth. Second: each page votes for the path of
+its best container, a path being the chain of tags and classes with all numbers made alike; votes are added up in Spark, and
+the path with most votes of each host wins, by score where votes are even. Third: each page's text is taken from what stands at its host's path; a page where that
+path is missing, or holds less than a quarter of what its own best container does, uses its own.
 
 Text is cut into blocks at block-level tags. References are decoded, white space in a block (line breaks too) becomes one
 space, blocks without text go. Elements that never hold the article (navigation, headers, footers, forms, scripts, ...) or are
@@ -32,6 +32,8 @@ from logtally.llm.tables import BROADCAST_IDS, look_up, saved
 #: A container is voted for from this part of its page's text on.
 LEAST_SHARE = 0.3
 DEPTH_BONUS = 0.02
+#: A host's path rules where it holds so much of what the page's own best one does.
+TRUSTED = 0.25
 
 _TOKEN = re.compile(r"""<!--.*?-->|<!--.*|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+)>""", re.DOTALL)
 _NAMED = re.compile(r"""\b(class|id|role|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
@@ -170,8 +172,8 @@ def parse(html: str) -> tuple[list[str], list[int], list[Node]]:
     return blocks, plain, nodes
 
 
-def container_scores(plain: list[int], nodes: list[Node]) -> dict[int, float]:
-    """Score of each path that holds at least LEAST_SHARE of the page's text."""
+def container_scores(plain: list[int], nodes: list[Node], least: float = LEAST_SHARE) -> dict[int, float]:
+    """Score of each path that holds at least so much of the page's text."""
     before = [0]
     for n in plain:
         before.append(before[-1] + n)
@@ -183,7 +185,7 @@ def container_scores(plain: list[int], nodes: list[Node]) -> dict[int, float]:
         held[n.path] += before[n.last] - before[n.first]
         depth[n.path] = n.depth
     shares = ((p, min(1.0, h / before[-1])) for p, h in held.items())
-    return {p: s * (1 + DEPTH_BONUS * min(depth[p], 20)) for p, s in shares if s >= LEAST_SHARE}
+    return {p: s * (1 + DEPTH_BONUS * min(depth[p], 20)) for p, s in shares if s >= least}
 
 
 def _signed(path: int) -> int:
@@ -195,9 +197,10 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         votes: dict[tuple[str, int], list[float]] = defaultdict(lambda: [0.0, 0])
         for host, html in zip(batch["host"], batch["html"], strict=True):
             _, plain, nodes = parse(html)
-            for path, score in container_scores(plain, nodes).items():
-                votes[host, _signed(path)][0] += score
-                votes[host, _signed(path)][1] += 1
+            if scores := container_scores(plain, nodes):
+                best = max(scores, key=lambda p: (scores[p], p))
+                votes[host, _signed(best)][0] += scores[best]
+                votes[host, _signed(best)][1] += 1
         yield pd.DataFrame([(h, p, s, n) for (h, p), (s, n) in votes.items()], columns=["host", "path", "score", "pages"])
 
 
@@ -208,10 +211,8 @@ def article(html: str, path: int | None) -> str:
     if not scores:
         return "\n".join(blocks)
     best = max(scores, key=lambda p: (scores[p], p))
-    mine = {_signed(p): p for p in scores}
-    chosen = mine.get(path, best)
-    if scores[chosen] < 0.5 * scores[best]:
-        chosen = best
+    everywhere = {_signed(p): p for p in container_scores(plain, nodes, TRUSTED * scores[best])}
+    chosen = everywhere.get(path, best)
     out, done = [], 0
     for n in nodes:
         if n.path == chosen and n.first >= done:
@@ -230,7 +231,7 @@ def winning_paths(pages: DataFrame) -> DataFrame:
     """host, path and the number of pages that ask for it."""
     votes = pages.select("host", "html").mapInPandas(_votes, "host string, path long, score double, pages long")
     votes = votes.groupBy("host", "path").agg(F.sum(F.col("score").cast("decimal(38,9)")).alias("score"), F.sum("pages").alias("pages"))
-    best = votes.groupBy("host").agg(F.max(F.struct("score", "path")).alias("best"), F.max("pages").alias("asked"))
+    best = votes.groupBy("host").agg(F.max(F.struct("pages", "score", "path")).alias("best"), F.sum("pages").alias("asked"))
     return best.select("host", F.col("best.path").alias("path"), "asked")
 
 

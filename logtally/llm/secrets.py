@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns, and character Markov models of random strings and of ordinary identifiers.
 
 The models are first-order: how likely is a character after another one. One is counted from values that the patterns
-mark as secrets, the other from long words and identifiers outside of these, each different string once, over all
-documents. A token's log-likelihood ratio per character says which model it fits better. A token that no pattern
+mark as secrets, the other from long words and identifiers outside of these (runs of letters in one case, of digits, and
+signs between them), each different string once, over all documents. A token's log-likelihood ratio per character says which model it fits better. A token that no pattern
 has is reported as ``random`` if its ratio is above zero and above that of all but one in ``FALSE_ONE_IN`` ordinary identifiers.
 
 Null text counts as empty. Documents without spans have counts of 0. Repeated rows are reported like any other. Without any
@@ -30,6 +30,8 @@ PATTERNS = {
 }
 LEAST_ASSIGNED = 6
 FALSE_ONE_IN = 20_000
+#: What counts as an ordinary identifier when the models are learned.
+ORDINARY = "^(?:[A-Z]?[a-z]{2,}+|[A-Z]{3,}+|[0-9]++|[_./=+-]++)++$"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 
 
@@ -79,13 +81,12 @@ def random_spans(scan: DataFrame, base: DataFrame) -> DataFrame:
     covered = F.exists(F.coalesce("own", F.array().cast("array<struct<start:bigint,end:bigint>>")), lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
     tokens = saved(tokens.withColumn("covered", covered).drop("own"), "tokens").where("NOT covered")
     secrets = base.where("length(value) >= 16").select(F.col("value").alias("token"), F.lit(True).alias("is_random"))
-    weights = ratios(secrets.union(tokens.select("found", F.lit(False))))
+    weights = ratios(secrets.union(tokens.where(F.col("found").rlike(ORDINARY)).select("found", F.lit(False))))
     none = tokens.where("false").selectExpr("row", "'random' AS kind", "start", "end")
     if weights is None:
         return none
     scores = saved(tokens.select("row", "start", "end", "found", score(F.col("found"), weights).alias("score")), "scores")
-    # Only tokens of letters with at most a leading capital are surely ordinary; they set the bar.
-    plain = scores.where("found RLIKE '^[A-Za-z]?[a-z]+$'").agg(F.percentile_approx("score", 1 - 1 / FALSE_ONE_IN, 100_000)).first()[0]
+    plain = scores.where(F.col("found").rlike(ORDINARY)).agg(F.percentile_approx("score", 1 - 1 / FALSE_ONE_IN, 100_000)).first()[0]
     return scores.where(F.col("score") > max(0.0, plain or 0.0)).selectExpr("row", "'random' AS kind", "start", "end")
 
 

@@ -48,8 +48,9 @@ class WordIds:
         for word in words:
             # Letters and then ASCII signs without an apostrophe: two pieces at most, whatever the tokenizer's pattern.
             m = _PLAIN.fullmatch(word)
-            if m and "'" not in word and "Σ" not in word and m[1].isalpha() and unicodedata.is_normalized("NFC", word):
-                cut[word] = (m[1].lower(), m[2]) if m[2] else (m[1].lower(),)
+            low = m[1].lower() if m else ""
+            if low.isalpha() and "'" not in word and "Σ" not in word and unicodedata.is_normalized("NFC", word):
+                cut[word] = (low, m[2]) if m[2] else (low,)
             else:
                 odd.append(word)
         new = [p for p in {p for pieces in cut.values() for p in pieces} if p not in self._of_piece]
