@@ -1,0 +1,65 @@
+import numpy as np
+import pytest
+
+from logtally.llm import decontamination as d
+from tests.llm.cases import PASSAGE, ROWS, documents, empty, plain
+
+
+def items(spark, rows):
+    return spark.createDataFrame(rows, "item_id long, text string, doc_id long, score double")
+
+
+def slow_best(item, text):
+    """Plain Smith-Waterman."""
+    h = np.zeros((len(item) + 1, len(text) + 1), int)
+    for i, a in enumerate(item, 1):
+        for j, b in enumerate(text, 1):
+            h[i, j] = max(0, h[i - 1, j - 1] + (1 if a == b else -1), h[i - 1, j] - 1, h[i, j - 1] - 1)
+    return h.max()
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_alignment(seed):
+    rng = np.random.default_rng(seed)
+    item = rng.integers(0, 6, 12)
+    windows = [rng.integers(0, 6, n) for n in (1, 5, 12, 40, 40)]
+    best, first, last = d.align(item, windows)
+    for w, s, a, b in zip(windows, best, first, last, strict=True):
+        assert s == slow_best(item, w) == slow_best(item, w[a:b])
+
+
+WORDS = PASSAGE.split()
+EDITED = [w if i % 6 else f"x{i}" for i, w in enumerate(WORDS)]
+
+
+def test_whole_edited_partial_and_clean_texts(spark):
+    rows = [(1, f"before {PASSAGE.upper()} after"), (2, " ".join(EDITED)), (3, " ".join(WORDS[:8]) + " rest"), (4, "clean words only"), (5, "some " * 50 + " ".join(WORDS[:10] + ["really"] + WORDS[10:])), (5, "again")]
+    got = {(r["doc_id"], r["item_id"]): r for r in d.contaminated(documents(spark, rows), items(spark, [(7, PASSAGE, None, None), (8, "", None, None), (9, None, None, None)])).collect()}
+    assert set(got) == {(1, 7), (2, 7), (5, 7)}
+    assert got[1, 7]["score"] == 1 and (got[1, 7]["first_word"], got[1, 7]["last_word"]) == (1, 1 + len(WORDS))
+    assert 0.5 <= got[2, 7]["score"] < 0.9
+
+
+def test_a_passage_that_most_documents_hold(spark):
+    rows = [(i, f"a{i} b{i} {PASSAGE} c{i}") for i in range(300)] + [(1000 + i, f"d{i} of the lazy dog e{i}") for i in range(20)]
+    got = d.contaminated(documents(spark, rows), items(spark, [(7, PASSAGE, None, None)]))
+    assert plain(got.select("doc_id")) == sorted([(i,) for i in range(300)], key=repr)
+
+
+def test_blocks_change_nothing(spark):
+    rows = items(spark, [(i, f"{PASSAGE} {i} " + " ".join(f"q{i * j}" for j in range(i))) for i in range(8)] and [(i, " ".join(f"q{i * j % 50}" for j in range(20)), None, None) for i in range(8)])
+    docs = documents(spark, [(i, " ".join(f"q{i * j % 50}" for j in range(30))) for i in range(12)])
+    assert plain(d.contaminated(docs, rows)) == plain(d.contaminated(docs, rows, block_words=20))
+
+
+def test_short_items_and_awkward_rows(spark):
+    got = d.contaminated(documents(spark), items(spark, [(1, "one", None, None), (2, PASSAGE, None, None), (None, "no id here", None, None)]))
+    pairs = sorted(((r["doc_id"], r["item_id"]) for r in got.collect()), key=repr)
+    assert pairs == sorted([(4, 1), (5, 1), (6, 1), (7, 2), (8, 2), (9, 2), (9, 2), (None, 2), (None, None)], key=repr)
+    left = d.drop_contaminated(documents(spark), items(spark, [(2, PASSAGE, None, None)]))
+    assert left.columns == documents(spark).columns and left.count() == len(ROWS) - 6
+
+
+def test_empty(spark):
+    assert plain(d.contaminated(empty(spark), items(spark, [(1, "one", None, None)]))) == []
+    assert plain(d.contaminated(documents(spark), items(spark, []))) == []
