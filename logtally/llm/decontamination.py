@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.llm.tables import text_of
+from logtally.llm.tables import text_of, without
 from logtally.llm.words import mixed, split_words
 
 SEED_WORDS = 3
@@ -216,8 +216,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = FOUN
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no item is found, with all columns."""
-    found = contaminated(documents, benchmark).select(F.col("doc_id").alias("__found")).distinct()
-    return documents.join(found, documents["doc_id"].eqNullSafe(found["__found"]), "left_anti").select(documents.columns)
+    return without(documents, contaminated(documents, benchmark).select("doc_id").distinct(), "doc_id")
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtally.llm import binary_fuse
-from logtally.llm.tables import look_up, saved, text_of
+from logtally.llm.tables import look_up, only, saved, text_of, without
 
 BUCKET_TEXTS = 250_000
 
@@ -107,11 +107,16 @@ def keepers(documents: DataFrame, bucket_texts: int = BUCKET_TEXTS) -> DataFrame
 
 def drop_copies(documents: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns. Repeats of a staying row (id and text alike) go too."""
-    kept = keepers(documents).where("kept").select("doc_id", "digest")
-    rows = documents.withColumn("__digest", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
-    kept = kept.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__kept"))
-    joined = rows.join(kept, rows["doc_id"].eqNullSafe(kept["__id"]) & (rows["__digest"] == kept["__kept"]), "left_semi")
-    return joined.dropDuplicates(["doc_id", "__digest"]).select(documents.columns)
+    rows = saved(keepers(documents).groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "keepers")
+    # Ids that only stand for texts that go; then the few that occur more than once are looked at by their texts.
+    by_id = rows.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.sum("n").alias("n"))
+    left = without(documents, by_id.where("NOT kept").select("doc_id"), "doc_id")
+    twice = by_id.where("kept AND n > 1").select("doc_id")
+    again = only(left, twice, "doc_id").withColumn("__digest", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+    kept = rows.where("kept").select(F.col("doc_id").alias("__kept"), F.col("digest").alias("__own"))
+    again = again.join(kept, again["doc_id"].eqNullSafe(kept["__kept"]) & (again["__digest"] == kept["__own"]), "left_semi")
+    again = again.dropDuplicates(["doc_id", "__digest"]).select(documents.columns)
+    return without(left, twice, "doc_id").unionByName(again)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,15 +1,16 @@
 """Near duplicates by a grouped prefix join: word shingle sets with a Jaccard similarity of 0.8 or more, and no other.
 
 Two linked sets that are both sorted by one order of all shingles have a shingle in common among their first
-n - ceil(0.8 n) + 1, their prefixes. This is used twice. By the order of the hashes, only the sets go on that share a
-shingle of their prefix with any other set. Of those, all shingles are counted, and rare ones come first in the order that
-the join itself uses, so that a passage in many documents reaches few prefixes.
+n - ceil(0.8 n) + 1, their prefixes, and k in common in prefixes that are longer by k - 1. This is used twice. By the order of
+the hashes and with a prefix longer by a fifth of the set, only those sets go on that share so many of these shingles with
+other sets. Of those, all shingles are counted, and rare ones come first in the order that the join itself uses, so that
+a passage in many documents reaches few prefixes.
 
 Documents with the same set are one class from the start. Classes with the same prefix and size are one group; groups
 are paired by their prefixes, pairs are filtered by size and by how much can still follow the shared shingle, and the
 classes of what remains are compared by their whole sets. A class that is already connected with another one is not
-compared with it again: first every class is compared with one leader of its group and of each of its shingles; what
-the leaders leave open is then expanded in full. So a group of n copies costs about n comparisons, and no link between
+compared with it again: first every class is compared with the leader of its group, and that with two leaders of each of
+its shingles; what the leaders leave open is then expanded in full. So a group of n copies costs about n comparisons, and no link between
 different components is lost.
 
 Null text counts as empty. Documents without words are linked with nothing. Rows that repeat an id are documents of their
@@ -19,6 +20,7 @@ own but have one component, the smallest id of all. A null id is larger than any
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,83 +29,110 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.llm.tables import components, look_up, saved, text_of
+from logtally.llm.tables import components, look_up, only, saved, text_of, without
 from logtally.llm.words import shingle_hashes, split_words
 
 #: Similarity as a fraction of whole numbers, so that no rounding decides.
 SIMILAR = (80, 100)
 #: Prefix entries that one shard of the first filter holds, about.
 SHARD_ENTRIES = 1_000_000
-#: Comparisons that meet in one task with one leader, at most.
-LEADER_SHARE = 2_000
-ROUNDS = 2
 
-_SIGNED = "doc_id long, n long, h1 long, h2 long, shard long, tokens binary, owners binary"
+_SIGNED = "doc_id long, n long, h1 long, h2 long, batch long, at int, own int, shard long, tokens binary, owners binary"
 _SETS = "doc_id long, n long, h1 long, h2 long, tokens array<long>"
 
+#: Owner of a shingle that several sets of a batch have: they are counted there.
+_MANY = 2**16 - 1
+
 
 def _signature(tokens: np.ndarray) -> tuple[int, int]:
     whole = xxhash.xxh3_128_intdigest(tokens.tobytes())
     return tuple(np.array([whole >> 64, whole % 2**64], np.uint64).astype(np.int64).tolist())
 
 
-def least_overlap(n: np.ndarray | int) -> np.ndarray | int:
+def least_overlap(n: int) -> int:
     """The fewest shingles a set of n shares with any set it is linked with."""
     return -(-n * SIMILAR[0] // SIMILAR[1])
 
 
+def extra(n: int) -> int:
+    """By so many shingles the first filter's prefix is longer than one common shingle needs; at least so many are common then."""
+    return max(1, n // 5)
+
+
+def least_common(n: int) -> int:
+    """Shingles of the longer prefix of a set of n that a linked set, of any size, has in its own."""
+    return extra(least_overlap(n))
+
+
 def _signed(shards: int):
-    """Signatures of all sets, and the prefixes of each batch by shard, every shingle once.
+    """Signatures of all sets, and the longer prefixes of each batch by shard, every shingle once.
 
-    A shingle that several sets of the batch have marks them at once (shard -1), and goes out with one of them only, so a
-    frequent one is as many rows as there are batches.
+    A shingle that several sets of the batch have is counted for them at once (``own``), so a frequent one is as many entries
+    as there are batches.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sizes, marks, prefixes = [], [], []
-            for text in batch["text"]:
-                tokens = shingle_hashes(split_words(text))
-                n = len(tokens)
-                sizes.append(n)
-                marks.append(_signature(tokens))
-                prefixes.append(tokens[: n - least_overlap(n) + 1 if n else 0])
-            h1 = np.array([m[0] for m in marks], np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n": sizes, "h1": h1, "h2": [m[1] for m in marks], "shard": None, "tokens": None, "owners": None})
-            _, first = np.unique(h1, return_index=True)
-            lengths = np.array([len(prefixes[i]) for i in first], np.int64)
-            tokens = np.concatenate([prefixes[i] for i in first] or [np.zeros(0, np.uint64)])
-            owners = np.repeat(h1[first], lengths)
-            order = np.argsort(tokens, kind="stable")
-            tokens, owners = tokens[order], owners[order]
-            if not len(tokens):
-                continue
-            new = np.r_[True, tokens[1:] != tokens[:-1]]
-            same = ~new | np.r_[~new[1:], False]
-            out = [(-1, b"", np.unique(owners[same]).tobytes())] if same.any() else []
-            tokens, owners = tokens[new], owners[new]
-            shard = ((tokens >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
-            edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
-            out += [(int(shard[i]), tokens[i:j].tobytes(), owners[i:j].tobytes()) for i, j in zip(edges[:-1], edges[1:], strict=True)]
-            yield pd.DataFrame({"doc_id": None, "n": None, "h1": None, "h2": None, "shard": [x[0] for x in out], "tokens": [x[1] for x in out], "owners": [x[2] for x in out]})
+        for whole in batches:
+            for begin in range(0, len(whole), _MANY):
+                yield from part(whole.iloc[begin : begin + _MANY])
+
+    def part(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        sizes, marks, prefixes = [], [], []
+        for text in batch["text"]:
+            tokens = shingle_hashes(split_words(text))
+            n = len(tokens)
+            sizes.append(n)
+            marks.append(_signature(tokens))
+            prefixes.append(tokens[: n - least_overlap(n) + extra(n)])
+        _, first = np.unique(np.array(marks, np.int64).reshape(-1, 2), axis=0, return_index=True)
+        number = int.from_bytes(os.urandom(8), "little", signed=True)
+        lengths = np.array([len(prefixes[i]) for i in first], np.int64)
+        tokens = np.concatenate([prefixes[i] for i in first] or [np.zeros(0, np.uint64)])
+        owners = np.repeat(first, lengths)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owners = tokens[order], owners[order].astype(np.uint16)
+        new = np.r_[True, tokens[1:] != tokens[:-1]][: len(tokens)]
+        same = ~new | np.r_[~new[1:], False][: len(tokens)]
+        own = np.bincount(owners[same], minlength=len(batch))
+        at = np.full(len(batch), -1)
+        at[first] = first
+        yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n": sizes, "h1": [m[0] for m in marks], "h2": [m[1] for m in marks], "batch": number, "at": at, "own": own, "shard": None, "tokens": None, "owners": None})
+        if not len(tokens):
+            return
+        owners[same] = _MANY
+        tokens, owners = tokens[new], owners[new]
+        shard = ((tokens >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+        edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
+        # 32 bits tell the shingles of a shard apart well enough for a filter.
+        low = tokens.astype(np.uint32)
+        out = [(int(shard[i]), low[i:j].tobytes(), owners[i:j].tobytes()) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+        rest = {c: None for c in ("doc_id", "n", "h1", "h2", "at", "own")}
+        yield pd.DataFrame(rest | {"batch": number, "shard": [x[0] for x in out], "tokens": [x[1] for x in out], "owners": [x[2] for x in out]})[["doc_id", "n", "h1", "h2", "batch", "at", "own", "shard", "tokens", "owners"]]
 
     return run
 
 
 def _shared(parts: pd.DataFrame) -> pd.DataFrame:
-    """Owners of the shingles of one shard that more than one batch has."""
-    tokens = np.frombuffer(b"".join(parts["tokens"]), np.uint64)
-    owners = np.frombuffer(b"".join(parts["owners"]), np.int64)
+    """How many shingles of one shard each set shares with sets of other batches."""
+    tokens = np.frombuffer(b"".join(parts["tokens"]), np.uint32)
+    owners = np.frombuffer(b"".join(parts["owners"]), np.uint16).astype(np.int64)
+    owners += np.repeat(np.arange(len(parts)) << 16, [len(x) // 2 for x in parts["owners"]])
     order = np.argsort(tokens)
     tokens, owners = tokens[order], owners[order]
     new = np.r_[True, tokens[1:] != tokens[:-1]]
-    same = ~new | np.r_[~new[1:], False]
-    return pd.DataFrame({"h1": np.unique(owners[same])})
+    same = (~new | np.r_[~new[1:], False]) & (owners % 2**16 != _MANY)
+    found, count = np.unique(owners[same], return_counts=True)
+    edges = np.searchsorted(found, np.arange(len(parts) + 1) << 16)
+    cells = np.stack([found % 2**16, count], 1).astype("<i8")
+    return pd.DataFrame({"batch": parts["batch"], "cells": [cells[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]})
 
 
-def _owners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"h1": np.unique(np.frombuffer(b"".join(batch["owners"]), np.int64))})
+def _summed(parts: pd.DataFrame) -> pd.DataFrame:
+    """The counts of one batch's sets over all shards."""
+    cells = np.frombuffer(b"".join(parts["cells"]), "<i8").reshape(-1, 2)
+    common = np.bincount(cells[:, 0], cells[:, 1]).astype(np.int64)
+    at = np.flatnonzero(common)
+    return pd.DataFrame({"batch": parts["batch"].iloc[0], "at": at.astype(np.int32), "common": common[at]})
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,26 +146,31 @@ def _classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, h1, h2) of every document; the classes that may be linked: cid, low, n, tokens."""
     documents = text_of(documents)
     chars = documents.agg(F.sum(F.length("text"))).first()[0] or 0
-    shards = max(1, math.ceil(chars / 30 / SHARD_ENTRIES))
+    shards = max(1, math.ceil(chars / 15 / SHARD_ENTRIES))
     both = saved(documents.mapInPandas(_signed(shards), _SIGNED), "prefixes")
-    signed = both.where("shard IS NULL").select("doc_id", "n", "h1", "h2")
-    blobs = both.where("shard IS NOT NULL").select("shard", "tokens", "owners")
-    near = blobs.where("shard >= 0").groupBy("shard").applyInPandas(_shared, "h1 long")
-    near = near.union(blobs.where("shard < 0").select("owners").mapInPandas(_owners, "h1 long")).distinct()
+    signed = both.where("shard IS NULL").select("doc_id", "n", "h1", "h2", "batch", "at", "own")
+    blobs = both.where("shard IS NOT NULL").select("batch", "shard", "tokens", "owners")
+    common = blobs.groupBy("shard").applyInPandas(_shared, "batch long, cells binary").where("length(cells) > 0")
+    common = common.groupBy("batch").applyInPandas(_summed, "batch long, at int, common long")
+    # Sets that a batch holds several times are counted with the first of them.
+    near = signed.where("n > 0 AND at >= 0").join(common, ["batch", "at"], "left")
+    least = f"greatest(1, ((n * {SIMILAR[0]} + {SIMILAR[1] - 1}) div {SIMILAR[1]}) div 5)"
+    near = near.where(f"own + coalesce(common, 0) >= {least}").select("h1", "h2").distinct()
     classes = signed.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("low"))
-    heads = saved(classes.join(near, "h1", "left_semi"), "heads")
+    heads = saved(classes.join(near, ["h1", "h2"], "left_semi"), "heads")
     # One text per class: of rows that share an id only those with the class's own set count.
-    texts = documents.join(heads.select(F.col("low").alias("__low")).distinct(), F.col("doc_id").eqNullSafe(F.col("__low")), "left_semi")
+    texts = only(documents, heads.select("low").distinct(), "low")
     sets = texts.mapInPandas(_sets, _SETS).join(heads, ["h1", "h2"])
     sets = sets.where(F.col("doc_id").eqNullSafe(F.col("low"))).dropDuplicates(["h1", "h2"])
-    return signed, saved(sets.withColumn("cid", F.monotonically_increasing_id()), "sets")
+    return signed.select("doc_id", "n", "h1", "h2"), saved(sets.withColumn("cid", F.monotonically_increasing_id()), "sets")
 
 
-def _grouped(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cid, gid) of the classes that can be linked, and the prefixes of groups: gid, n, token, rest."""
+def _grouped(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The classes that can be linked with their shared shingles (cid, n, shared), their groups (cid, gid), and the prefixes
+    of groups: gid, n, own, token, rest."""
     tokens = sets.select("cid", "n", F.explode("tokens").alias("token"))
     counts = saved(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "counts")
-    known = look_up(sets.select("cid", "n", F.explode("tokens").alias("token")), counts, ["token"], "df", "inner")
+    known = tokens.join(counts, "token")
     overlap = f"(n * {SIMILAR[0]} + {SIMILAR[1] - 1}) div {SIMILAR[1]}"
     ranked = (
         known.groupBy("cid", "n")
@@ -148,65 +182,60 @@ def _grouped(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
         .where("size(prefix) > 0")
         .withColumn("gid", F.md5(F.concat_ws(",", F.col("n").cast("string"), F.expr("transform(prefix, x -> cast(x AS string))"))))
     )
-    ranked = saved(ranked.select("cid", "gid", "n", "own", "prefix"), "ranked")
+    shared = F.expr("transform(shared, x -> x.token)").alias("shared")
+    ranked = saved(ranked.select("cid", "gid", "n", "own", "prefix", shared), "ranked")
     groups = ranked.groupBy("gid").agg(F.first("n").alias("n"), F.min("own").alias("own"), F.first("prefix").alias("prefix"))
     entries = groups.select("gid", "n", "own", F.posexplode("prefix").alias("at", "token"))
-    entries = entries.select("gid", "n", "token", F.expr("n - own - at").alias("rest"))
-    return ranked.select("cid", "gid"), saved(entries, "entries")
+    entries = entries.select("gid", "n", "own", "token", F.expr("n - own - at").alias("rest"))
+    return ranked.select("cid", "n", "shared"), ranked.select("cid", "gid"), saved(entries, "entries")
+
 
+def _verified(pairs: DataFrame, shared: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are linked; shingles that no other set has cannot be common and only count.
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked. A set that many are compared with is dealt out in several copies."""
+    The joins are plain: adaptive execution splits what many are compared with.
+    """
     pairs = saved(pairs.where("a != b").distinct(), "pairs")
-    own = sets.select("cid", "tokens")
-    shares = pairs.groupBy("b").agg(F.expr(f"(count(*) + {LEADER_SHARE - 1}) div {LEADER_SHARE}").alias("shares"), F.count("*").alias("w"))
-    shares = saved(shares, "shares")
-    left = pairs.join(own.select(F.col("cid").alias("a"), F.col("tokens").alias("ta")), "a")
-    left = look_up(left, shares, ["b"], "w").withColumn("share", F.expr("pmod(xxhash64(a), shares)"))
-    right = own.join(shares, own["cid"] == shares["b"]).select("b", F.col("tokens").alias("tb"), F.explode(F.expr("sequence(0L, shares - 1)")).alias("share"))
-    both = left.join(right, ["b", "share"]).withColumn("common", F.size(F.array_intersect("ta", "tb")).cast("long"))
-    linked = f"common * {SIMILAR[1]} >= {SIMILAR[0]} * (size(ta) + size(tb) - common)"
+    both = pairs.join(shared.selectExpr("cid AS a", "n AS na", "shared AS sa"), "a")
+    both = both.join(shared.selectExpr("cid AS b", "n AS nb", "shared AS sb"), "b")
+    both = both.withColumn("common", F.size(F.array_intersect("sa", "sb")).cast("long"))
+    linked = f"common * {SIMILAR[1]} >= {SIMILAR[0]} * (na + nb - common)"
     return saved(both.where(linked).select("a", "b"), "linked")
 
 
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """cid, gid, comp: the component so far of each class, itself where it has no link."""
-    found = components(links)
-    return saved(members.join(found.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "gid", F.coalesce("component", "cid").alias("comp")), "labelled")
-
-
-def links_between(sets: DataFrame) -> DataFrame:
-    """Links (a, b) between classes that connect all that is linked, though not every link within a component."""
-    members, entries = _grouped(sets)
-    # Every class with the leader of its group.
-    heads = saved(members.groupBy("gid").agg(F.min("cid").alias("lead"), F.count("*").alias("w")), "leads")
-    pairs = look_up(members, heads, ["gid"], "w").select(F.col("cid").alias("a"), F.col("lead").alias("b"))
-    links = _verified(pairs, sets)
-    for turn in range(ROUNDS):
-        # Every component of a group with one leader of each shingle that still joins different components.
-        labelled = _labelled(members, links)
-        nodes = _open_entries(entries, labelled)
-        score = F.xxhash64("cid", F.lit(turn))
-        leads = nodes.groupBy("token").agg(F.min_by(F.struct("cid", "comp", "n", "rest"), score).alias("lead"), F.count("*").alias("w"))
-        leads = saved(leads, "leads")
-        near = look_up(nodes, leads, ["token"], "w").where("comp != lead.comp").where(_reachable("n", "lead.n", "rest", "lead.rest"))
-        pairs = near.select(F.col("cid").alias("a"), F.col("lead.cid").alias("b"))
-        links = saved(links.union(_verified(pairs, sets)), "linked")
-    # What is left: all pairs of classes of different components with a prefix shingle in common.
-    labelled = _labelled(members, links)
-    nodes = _open_entries(entries, labelled)
-    parts = nodes.groupBy("token", "comp").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.max("rest").alias("rest"))
+def connected(sets: DataFrame) -> DataFrame:
+    """(node, component) of the classes that have a link."""
+    shared, members, entries = _grouped(sets)
+    # Every class with the leader of its group, and every leader with two leaders of each shingle of its prefix: the
+    # one with the fewest shingles of its own, which is likely to be what the others were made from, and any one.
+    heads = saved(members.groupBy("gid").agg(F.min("cid").alias("lead")), "heads")
+    pairs = members.join(heads, "gid").select(F.col("cid").alias("a"), F.col("lead").alias("b"))
+    led = entries.join(heads, "gid").select("token", F.col("lead").alias("cid"), "n", "own", "rest")
+    order = F.xxhash64("cid")
+    one = F.struct("cid", "n", "rest")
+    leads = saved(led.groupBy("token").agg(F.min_by(one, F.struct("own", order)).alias("first"), F.max_by(one, order).alias("last"), F.count("*").alias("held")).where("held > 1"), "leads")
+    near = led.join(leads, "token").select("cid", "n", "rest", F.explode(F.array("first", "last")).alias("lead"))
+    near = near.where(_reachable("n", "lead.n", "rest", "lead.rest")).select(F.col("cid").alias("a"), F.col("lead.cid").alias("b"))
+    found = saved(components(_verified(pairs.union(near), shared)), "components")
+    # What the leaders leave open: pairs of classes of different components with a prefix shingle in common.
+    nodes = members.join(found.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "gid", F.coalesce("component", "cid").alias("comp"))
+    nodes = saved(nodes, "nodes")
+    several = entries.join(nodes.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")), "gid")
+    several = saved(several.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo != hi").select("token"), "open")
+    still = saved(entries.join(several, "token").join(nodes, "gid").select("token", "cid", "comp", "n", "rest"), "still")
+    parts = still.groupBy("token", "comp").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.max("rest").alias("rest"))
     parts = saved(parts, "parts")
     other = parts.select("token", *(F.col(c).alias(f"b_{c}") for c in ("comp", "n", "most", "rest")))
     near = parts.join(other, "token").where("comp < b_comp").where(_reachable("n", "b_n", "rest", "b_rest"))
     near = near.where(f"most * {SIMILAR[1]} >= b_n * {SIMILAR[0]} AND b_most * {SIMILAR[1]} >= n * {SIMILAR[0]}")
-    near = saved(near.select("token", "comp", "b_comp"), "near")
-    every = _open_entries(entries, labelled, whole=True)
-    one = near.join(every.select("token", "comp", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra")), ["token", "comp"])
-    two = every.select("token", F.col("comp").alias("b_comp"), F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"))
+    near = near.select("token", "comp", "b_comp")
+    one = near.join(still.select("token", "comp", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra")), ["token", "comp"])
+    two = still.select("token", F.col("comp").alias("b_comp"), F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"))
     pairs = one.join(two, ["token", "b_comp"]).where(f"na * {SIMILAR[1]} >= nb * {SIMILAR[0]} AND nb * {SIMILAR[1]} >= na * {SIMILAR[0]}")
-    pairs = pairs.where(_reachable("na", "nb", "ra", "rb")).select("a", "b")
-    return links.union(_verified(pairs, sets))
+    more = _verified(pairs.where(_reachable("na", "nb", "ra", "rb")).select("a", "b"), shared)
+    if more.isEmpty():
+        return found
+    return components(more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
 
 def _reachable(na: str, nb: str, ra: str, rb: str) -> str:
@@ -215,23 +244,13 @@ def _reachable(na: str, nb: str, ra: str, rb: str) -> str:
     return f"least({ra}, {rb}) * {s + t} >= {s} * ({na} + {nb})"
 
 
-def _open_entries(entries: DataFrame, labelled: DataFrame, whole: bool = False) -> DataFrame:
-    """token, cid, comp, n, rest of shingles with several components; one class per group and component unless ``whole``."""
-    nodes = labelled if whole else labelled.groupBy("gid", "comp").agg(F.min("cid").alias("cid"))
-    sizes = saved(nodes.groupBy("gid").agg(F.count("*").alias("w"), F.min("comp").alias("lo"), F.max("comp").alias("hi")), "sizes")
-    tokens = entries.join(sizes, "gid").groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("g"))
-    tokens = saved(tokens.where("lo != hi").select("token", "g"), "open")
-    still = look_up(entries, tokens, ["token"], "g", "inner").select("token", "gid", "n", "rest")
-    return saved(still.join(nodes, "gid").select("token", "cid", "comp", "n", "rest"), "nodes")
-
-
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest id that links lead to."""
     signed, sets = _classes(documents)
-    found = components(links_between(sets)).withColumnRenamed("node", "cid")
+    found = connected(sets).withColumnRenamed("node", "cid")
     of_class = sets.select("cid", "h1", "h2", "low").join(found, "cid")
-    lowest = of_class.groupBy("component").agg(F.min("low").alias("component_id"), F.count("*").alias("w"))
-    of_class = look_up(of_class.select("component", "h1", "h2"), saved(lowest, "lowest"), ["component"], "w")
+    lowest = saved(of_class.groupBy("component").agg(F.min("low").alias("component_id")), "lowest")
+    of_class = of_class.select("component", "h1", "h2").join(lowest, "component")
     classes = signed.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.count("*").alias("w"))
     classes = classes.join(of_class.select("h1", "h2", "component_id"), ["h1", "h2"], "left")
     classes = saved(classes.select("h1", "h2", "w", F.coalesce("component_id", "low").alias("component_id")), "classes")
@@ -242,8 +261,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 def keep_one(documents: DataFrame) -> DataFrame:
     """One document of each component, that with the smallest id, with all columns; documents without words all stay."""
-    kept = near_duplicates(documents).where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    return documents.join(kept, documents["doc_id"].eqNullSafe(kept["__kept"]), "left_semi").select(documents.columns)
+    dropped = near_duplicates(documents).where("NOT doc_id <=> component_id").select("doc_id").distinct()
+    return without(documents, dropped, "doc_id")
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,8 @@ from logtally.storage import fresh_dir
 HOT_ROWS = 10_000
 #: So many keys at most can be hot, whatever the input.
 HOT_KEYS = 20_000
+#: A table of so many ids at most, some 20 MB, is broadcast.
+BROADCAST_IDS = 500_000
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
@@ -42,31 +44,51 @@ def look_up(rows: DataFrame, table: DataFrame, key: list[str], weight: str, how:
     return rows.join(hot, key).unionByName(rows.join(hot.select(*key), key, "left_anti").join(rest, key, how))
 
 
+def _by_id(documents: DataFrame, ids: DataFrame, column: str, how: str) -> DataFrame:
+    ids = saved(ids.select(F.col(column).alias("__id")), "ids")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return documents.join(ids, documents["doc_id"].eqNullSafe(ids["__id"]), how)
+
+
+def only(documents: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The documents with one of these ids. So few that they fit a broadcast spare the texts a shuffle."""
+    return _by_id(documents, ids, column, "left_semi")
+
+
+def without(documents: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The documents with none of these ids."""
+    return _by_id(documents, ids, column, "left_anti")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of links (a, b), component being the smallest node it is connected with.
 
     Each round hangs every neighbour of a node on the smallest node around, first the larger ones, then the smaller
-    ones; the number of rounds grows with the logarithm of the longest path.
+    ones; the number of rounds grows with the logarithm of the longest path. It ends when all that is left are stars. Minima
+    are saved before they are joined, so that the joins are plain ones, whose large keys adaptive execution splits.
     """
     edges = saved(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"), F.count("*").alias("n"))
-        larger = look_up(both, saved(least, "least"), ["a"], "n").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        least = saved(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), "least")
+        larger = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         larger = saved(larger.where("a != b").distinct(), "larger")
-        least = larger.groupBy("a").agg(F.min("b").alias("low"), F.count("*").alias("n"))
-        smaller = look_up(larger, saved(least, "least"), ["a"], "n")
+        least = saved(larger.groupBy("a").agg(F.min("b").alias("low")), "least")
+        smaller = larger.join(least, "a")
         smaller = smaller.select("a", F.col("low").alias("b")).union(smaller.select(F.col("b").alias("a"), F.col("low").alias("b")))
         edges = saved(smaller.where("a != b").distinct(), "links")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
     heads = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(heads)
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node hangs on one other node, on which it is not the other way round."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1))).groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return ends.where("hangs > 1 OR (hangs = 1 AND holds = 1)").isEmpty()
+
+
 def training_row(doc_id: Column, parts: int) -> Column:
     """Whether a row may be learned from: the checksum of its id as text leaves a remainder. A null id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts != 0
