@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from logtally.plans.transactions import FIELD_COUNT, TRANSACTION_FIELDS
 
 APPLICATIONS = 50
-_staged: dict[tuple[str, str, int], str] = {}
 
 
 def event_lines(events: DataFrame) -> DataFrame:
@@ -22,26 +21,37 @@ def event_lines(events: DataFrame) -> DataFrame:
     millis = F.rpad(F.substring(written, 21, 3), 3, "0")
     given = {
         "id": F.col("event_id").cast("string"),
-        "time_stamp": F.concat_ws(" ", F.substring(written, 1, 19), millis),
+        "time_stamp": F.concat(F.substring(written, 1, 19), F.lit(" "), millis),
         "app_id": F.concat(F.lit("APP_"), F.lpad((F.col("user_id") % APPLICATIONS).cast("string"), 6, "0")),
         "channel_type": F.when(F.col("event_type").isin("click", "view"), "sms").otherwise("ussd"),
         "travel_direction": F.when(F.col("event_id") % 2 == 0, "mo").otherwise("mt"),
     }
     last = max(TRANSACTION_FIELDS.index(name) for name in given)
-    parts = [given.get(name, F.lit("")) for name in TRANSACTION_FIELDS[: last + 1]]
+    # A null part is an empty field; left out, it would move all that follow.
+    parts = [F.coalesce(given.get(name, F.lit("")), F.lit("")) for name in TRANSACTION_FIELDS[: last + 1]]
     trailing = F.lit("|" * (FIELD_COUNT - 1 - last))
     return events.select("event_id", F.concat(F.concat_ws("|", *parts), trailing).alias("value"))
 
 
 def stage_batches(spark: SparkSession, events_path: str, root: str, batches: int = 4) -> str:
-    """Write the lines as text files below ``batch=0 .. batch=N-1`` and return their folder.
+    """Write the lines as text files below ``batch=0 .. batch=N-1`` of ``root``, a new folder, and return it."""
+    lines = event_lines(spark.read.parquet(events_path))
+    batch = F.coalesce(F.pmod(F.col("event_id"), F.lit(batches)), F.lit(0)).alias("batch")
+    lines.select("value", batch).write.partitionBy("batch").text(root)
+    return root
 
-    All lines are written, once per session; streaming queries over the same table share the files.
+
+def stage_slices(spark: SparkSession, events_path: str, root: str, slices: int = 4) -> tuple[str, float]:
+    """Write the lines as text files in order of time, slice after slice; also returns a slice's length in seconds.
+
+    A file source reads older files first, so a stream over the folder is in order up to the length of a slice.
     """
-    key = (spark.sparkContext.applicationId, events_path, batches)
-    if key not in _staged:
-        lines = event_lines(spark.read.parquet(events_path))
-        batch = F.pmod(F.col("event_id"), F.lit(batches)).alias("batch")
-        lines.select("value", batch).write.partitionBy("batch").text(root)
-        _staged[key] = root
-    return _staged[key]
+    events = spark.read.parquet(events_path)
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(seconds), F.max(seconds)).first()
+    first, last = first or 0, last or 0
+    length = (last - first) / slices + 1
+    part = F.coalesce(F.floor((seconds - first) / length), F.lit(0))
+    for i in range(slices):
+        event_lines(events.where(part == i)).select("value").write.text(f"{root}/slice={i}")
+    return root, length

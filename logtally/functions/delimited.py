@@ -26,9 +26,9 @@ MISSING = " "
 NARROW_FIELDS = 8
 
 
-def decode_value(df: DataFrame) -> DataFrame:
-    """The record value as text; Kafka delivers bytes, and null where a record has no value."""
-    return df.select(F.col("value").cast("string").alias("value"))
+def decode_value(df: DataFrame, *others: str) -> DataFrame:
+    """The record value as text; Kafka delivers bytes, and null where a record has no value. Other columns if named."""
+    return df.select(F.col("value").cast("string").alias("value"), *others)
 
 
 def cut(column: Column, field: FieldSpec) -> Column:

@@ -7,7 +7,8 @@ writing the same batch again replaces it instead of adding to it. Totals are sum
 * ``merged/G-<unique>/``: a generation, counts of many batches added up, ordered by group so that filters on a group
   column skip files and row groups;
 * ``manifests/G.json``: which generations are live and which batches they contain. The newest one rules;
-* ``columns.json``: the group and count columns, so that nobody reads or adds something else.
+* ``columns.json``: the group and count columns and the whole spec they come from, so that nobody reads or adds what was
+  parsed, filtered or grouped in another way.
 
 A merge writes a new generation first and its manifest last; until then readers see the old state, and a merge that dies
 half-way leaves only files that nobody reads. Of two merges at once, the one that comes second to publish its manifest
@@ -25,16 +26,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from logtally.functions.counts import as_count, as_text
+from logtally.functions.counts import as_text, strict_count
 from logtally.operators.summary import add_up
 from logtally.spec import SummarySpec
-from logtally.storage import Files
+from logtally.storage import Files, literal
 
 # A merge also takes in a generation that is at most this many times the size of what is being merged. Every row is
 # then rewritten only about log(total) times, while few generations remain to be added up by a reader.
 MERGE_FACTOR = 2
 
-_BATCH_PATH = re.compile(r"/run_id=([^/]+)/batch_id=(\d+)$")
 _RUN_ID = re.compile(r"[A-Za-z0-9_.-]+")
 
 
@@ -84,18 +84,26 @@ def add_to_ranges(ranges: Iterable[tuple[int, int]], ids: Iterable[int]) -> list
 class CountLedger:
     """Exactly-once totals per group, whoever replays what."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], count_column: str = "count") -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str],
+        count_column: str = "count",
+        spec: SummarySpec | None = None,
+    ) -> None:
         if not keys:
             raise ValueError("a ledger needs group columns")
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = tuple(keys)
         self.count_column = count_column
+        self.spec = spec
         self.files = Files(spark, self.path)
 
     @classmethod
     def for_spec(cls, spark: SparkSession, path: str, spec: SummarySpec) -> CountLedger:
-        return cls(spark, path, spec.group_by, spec.count_column)
+        return cls(spark, path, spec.group_by, spec.count_column, spec)
 
     @property
     def counts_schema(self) -> StructType:
@@ -118,7 +126,8 @@ class CountLedger:
         target = self._batch_path(run_id, batch_id)
         if self.manifest().contains(run_id, batch_id) or (not replace and self.files.is_complete(target)):
             return False
-        columns = [*self.keys, as_count(self.count_column).alias(self.count_column)]
+        # A count that is no number must fail here and not become a total that is too low.
+        columns = [*self.keys, strict_count(self.count_column).alias(self.count_column)]
         counts.select(*columns).write.mode("overwrite").parquet(target)
         self.files.require_complete(target)
         return True
@@ -134,7 +143,7 @@ class CountLedger:
         if not pending:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/batches")
-        return reader.parquet(*pending.values()).select(*schema.fieldNames())
+        return reader.parquet(*map(literal, pending.values())).select(*schema.fieldNames())
 
     def totals(self) -> DataFrame:
         """``group..., count`` with BIGINT counts. A filter on group columns reaches the parquet scan."""
@@ -144,7 +153,7 @@ class CountLedger:
         paths = [*merged, *pending.values()]
         if not paths:
             return self.spark.createDataFrame([], self.counts_schema)
-        counts = self.spark.read.schema(self.counts_schema).parquet(*paths)
+        counts = self.spark.read.schema(self.counts_schema).parquet(*map(literal, paths))
         # A generation has one row per group already.
         return counts if paths == merged[:1] else add_up(counts, self.keys, self.count_column)
 
@@ -154,8 +163,12 @@ class CountLedger:
 
     def runs(self) -> set[str]:
         """Every run that has put anything in here, complete or not."""
-        written = {_BATCH_PATH.search(path)[1] for path in self.files.glob(f"{self.path}/batches/run_id=*/batch_id=*")}
-        return written | set(self.manifest().merged)
+        return {run_id for run_id, _ in self._batch_folders()} | set(self.manifest().merged)
+
+    def missing(self, run_id: str, batch_ids: Iterable[int]) -> list[int]:
+        """Those of a run's batches that are in here neither by themselves nor merged."""
+        manifest, pending = self._snapshot()
+        return [i for i in batch_ids if (run_id, i) not in pending and not manifest.contains(run_id, i)]
 
     # Upkeep
 
@@ -187,23 +200,27 @@ class CountLedger:
             return None
         return number
 
-    def vacuum(self) -> None:
-        """Remove what the newest manifest no longer needs. A reader that planned before the last merge must be done."""
+    def vacuum(self, keep_seconds: float = 0) -> None:
+        """Remove what the newest manifest no longer needs and what has been so since ``keep_seconds``.
+
+        A reader that planned before the last merge must be done by then.
+        """
         manifest = self.manifest()
         live = {generation.folder for generation in manifest.generations}
-        for path in self.files.glob(f"{self.path}/merged/*"):
-            folder = path.rsplit("/", 1)[1]
+        # The newest manifest made them redundant, so its age is the time they have been so at least.
+        if not manifest.number or self.files.age_seconds(self._manifest_path(manifest.number)) < keep_seconds:
+            return
+        for folder in self.files.children(f"{self.path}/merged"):
             # A higher number belongs to a merge at work.
             if folder not in live and int(folder.split("-")[0]) <= manifest.number:
-                self.files.delete(path)
-        for path in self.files.glob(f"{self.path}/batches/run_id=*/batch_id=*"):
-            run_id, batch_id = _BATCH_PATH.search(path).groups()
-            if manifest.contains(run_id, int(batch_id)):
-                self.files.delete(path)
-        for path in self.files.glob(f"{self.path}/manifests/*.json"):
+                self.files.delete(self._generation_path(folder))
+        for run_id, batch_id in self._batch_folders():
+            if manifest.contains(run_id, batch_id):
+                self.files.delete(self._batch_path(run_id, batch_id))
+        for number in self._manifest_numbers():
             # The one before stays for a reader that has just seen it as the newest.
-            if _manifest_number(path) < manifest.number - 1:
-                self.files.delete(path)
+            if number < manifest.number - 1:
+                self.files.delete(self._manifest_path(number))
 
     def reset(self) -> None:
         """Forget everything, as truncating the table would."""
@@ -216,7 +233,22 @@ class CountLedger:
         return Manifest.from_json(number, self.files.read(self._manifest_path(number))) if number else Manifest()
 
     def _newest_number(self) -> int:
-        return max(map(_manifest_number, self.files.glob(f"{self.path}/manifests/*.json")), default=0)
+        return max(self._manifest_numbers(), default=0)
+
+    def _manifest_numbers(self) -> list[int]:
+        names = self.files.children(f"{self.path}/manifests")
+        return [int(name.removesuffix(".json")) for name in names if name[0].isdigit() and name.endswith(".json")]
+
+    def _batch_folders(self) -> list[tuple[str, int]]:
+        """Run and batch id of every batch folder, complete or not."""
+        root = f"{self.path}/batches"
+        runs = [name for name in self.files.children(root) if name.startswith("run_id=")]
+        return [
+            (run.removeprefix("run_id="), int(batch.removeprefix("batch_id=")))
+            for run in runs
+            for batch in self.files.children(f"{root}/{run}")
+            if batch.startswith("batch_id=")
+        ]
 
     def _snapshot(self) -> tuple[Manifest, dict[tuple[str, int], str]]:
         """A manifest and the batches outside it, listed while it was the newest: a merge and a clean-up in between
@@ -229,7 +261,9 @@ class CountLedger:
 
     def _check_columns(self, claim: bool = False) -> None:
         """Refuse a ledger that was written with other columns; ``claim`` fixes them for a new one."""
-        path, own = f"{self.path}/columns.json", json.dumps({"keys": self.keys, "count": self.count_column})
+        path, own = f"{self.path}/columns.json", json.dumps(
+            {"keys": self.keys, "count": self.count_column, "spec": self.spec and self.spec.meaning()}, sort_keys=True
+        )
         if claim and not self.files.exists(path):
             try:
                 self.files.publish(path, own)
@@ -240,12 +274,8 @@ class CountLedger:
 
     def _pending(self, manifest: Manifest) -> dict[tuple[str, int], str]:
         """Complete batches outside every generation, by run and batch."""
-        pending = {}
-        for marker in self.files.glob(f"{self.path}/batches/run_id=*/batch_id=*/_SUCCESS"):
-            run_id, batch_id = _BATCH_PATH.search(marker.rsplit("/", 1)[0]).groups()
-            if not manifest.contains(run_id, int(batch_id)):
-                pending[run_id, int(batch_id)] = self._batch_path(run_id, int(batch_id))
-        return pending
+        found = {batch: self._batch_path(*batch) for batch in self._batch_folders() if not manifest.contains(*batch)}
+        return {batch: path for batch, path in found.items() if self.files.is_complete(path)}
 
     def _split_generations(
         self, generations: list[Generation], pending: dict[tuple[str, int], str], full: bool
@@ -261,11 +291,11 @@ class CountLedger:
         return list(generations[:keep]), list(generations[keep:])
 
     def _write_merged(self, sources: list[str], target: str) -> None:
-        """One shuffle: ranges of the group columns serve both the sum and the order of the files."""
-        counts = self.spark.read.schema(self.counts_schema).parquet(*sources)
-        ranged = counts.repartitionByRange(*self.keys)
-        summed = add_up(ranged, self.keys, self.count_column)
-        summed.sortWithinPartitions(*self.keys).write.mode("overwrite").parquet(target)
+        """Sums first, so that what is put in order, and read twice for it, is one row per group and not per batch."""
+        counts = self.spark.read.schema(self.counts_schema).parquet(*map(literal, sources))
+        summed = add_up(counts, self.keys, self.count_column)
+        ranged = summed.repartitionByRange(*self.keys)
+        ranged.sortWithinPartitions(*self.keys).write.mode("overwrite").parquet(target)
 
     def _manifest_path(self, number: int) -> str:
         return f"{self.path}/manifests/{number:010d}.json"
@@ -275,7 +305,3 @@ class CountLedger:
 
     def _batch_path(self, run_id: str, batch_id: int) -> str:
         return f"{self.path}/batches/run_id={run_id}/batch_id={batch_id}"
-
-
-def _manifest_number(path: str) -> int:
-    return int(path.rsplit("/", 1)[1].removesuffix(".json"))

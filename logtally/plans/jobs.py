@@ -19,11 +19,8 @@ from logtally.operators.summary import count_groups
 from logtally.plans.transactions import DAILY_SUMMARY, sms_mo_records
 from logtally.spec import SummarySpec
 from logtally.streaming.sinks import start_parquet_sink, start_preview
-from logtally.streaming.starting import INTERVAL_SECONDS
-from logtally.streaming.summary import start_summary
-
-# About ten minutes of batches at the default interval.
-COMPACT_EVERY = 90
+from logtally.streaming.starting import INTERVAL_SECONDS, StopRequest
+from logtally.streaming.summary import COMPACT_EVERY, start_summary
 
 
 def keep_summary(
@@ -34,11 +31,15 @@ def keep_summary(
     *,
     interval_seconds: float | None = INTERVAL_SECONDS,
     compact_every: int | None = COMPACT_EVERY,
+    stop: StopRequest | None = None,
 ) -> StreamingQuery:
-    """Fold a stream into the cumulative summary; call it again with the same folders after a crash."""
+    """Fold a stream into the cumulative summary; call it again with the same folders after a crash.
+
+    ``stop.on_signal()`` lets the process end between two batches when it is told to.
+    """
     ledger = CountLedger.for_spec(lines.sparkSession, ledger_path, spec)
     return start_summary(
-        lines, spec, ledger, checkpoint, interval_seconds=interval_seconds, compact_every=compact_every
+        lines, spec, ledger, checkpoint, interval_seconds=interval_seconds, compact_every=compact_every, stop=stop
     )
 
 
@@ -47,10 +48,11 @@ def show_batch_counts(
     spec: SummarySpec = DAILY_SUMMARY,
     *,
     rows: int = 20,
+    checkpoint: str | None = None,
     interval_seconds: float | None = INTERVAL_SECONDS,
     show: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Print the counts of each batch by itself; nothing is kept."""
+    """Print the counts of each batch by itself; nothing is kept. With a checkpoint it goes on where it was."""
 
     def print_counts(batch: DataFrame, batch_id: int) -> None:
         counts = count_groups(batch, spec)
@@ -60,7 +62,7 @@ def show_batch_counts(
             counts.show(rows, truncate=False)
 
     matching = keep(parse(lines, spec), spec.where).select(*spec.group_by)
-    return start_preview(matching, show=print_counts, interval_seconds=interval_seconds)
+    return start_preview(matching, show=print_counts, checkpoint=checkpoint, interval_seconds=interval_seconds)
 
 
 def store_and_show_records(
@@ -70,12 +72,16 @@ def store_and_show_records(
     *,
     interval_seconds: float | None = INTERVAL_SECONDS,
     show: Callable[[DataFrame, int], None] | None = None,
+    show_checkpoint: str | None = None,
+    pools: tuple[str, str] = ("store", "show"),
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """The filtered projection to parquet and, as a query of its own in another scheduler pool, to the console.
 
     Each query reads the source itself, so a slow or stopped one does not hold up the other.
     """
     records = sms_mo_records(lines)
-    stored = start_parquet_sink(records, path, checkpoint, interval_seconds=interval_seconds, pool="pool1")
-    shown = start_preview(records, show=show, interval_seconds=interval_seconds, pool="pool2")
+    stored = start_parquet_sink(records, path, checkpoint, interval_seconds=interval_seconds, pool=pools[0])
+    shown = start_preview(
+        records, show=show, checkpoint=show_checkpoint, interval_seconds=interval_seconds, pool=pools[1]
+    )
     return stored, shown

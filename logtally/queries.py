@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from logtally.fixtures import event_lines, stage_batches
+from logtally.faults import INTERRUPTED, InterruptedLedger, WatchedLedger, lose_last_commit, must
+from logtally.fixtures import event_lines, stage_batches, stage_slices
 from logtally.functions.delimited import decode_value
 from logtally.operators import (
     CountLedger,
@@ -29,14 +32,20 @@ from logtally.plans import (
     record_spec,
     sms_mo_records,
 )
-from logtally.plans.jobs import store_and_show_records
+from logtally.plans.jobs import show_batch_counts, store_and_show_records
 from logtally.sources import read_lines, stream_lines
 from logtally.storage import Files, fresh_dir
-from logtally.streaming import daily_counts, start_archive, start_parquet_sink, start_summary
-from logtally.streaming.summary import checkpoint_id
+from logtally.streaming import BatchMetrics, StopRequest, daily_counts, start_archive, start_parquet_sink, start_summary
+from logtally.streaming.summary import LedgerInUse, checkpoint_id
 
 BATCHES = 4
 
+#: Bytes that a micro-batch of the file streams takes, whatever there is in all. A file is taken whole.
+BATCH_BYTES = 64 << 20
+
+#: How late a record may be in the watermark query: longer than one of its slices of time.
+WATERMARK_DAYS = 10
+
 
 def _events_path(sf_dir: str) -> str:
     return f"{sf_dir}/events.parquet"
@@ -50,11 +59,13 @@ def _staged_lines(spark: SparkSession, sf_dir: str) -> str:
     return stage_batches(spark, _events_path(sf_dir), fresh_dir(spark, "lines"), BATCHES)
 
 
-def _line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staged lines as about four micro-batches, however much there is; only the total size is asked for."""
-    folder = _staged_lines(spark, sf_dir)
-    size = Files(spark, folder).size(folder)
-    return stream_lines(spark, folder, max_bytes_per_trigger=size // BATCHES + 1)
+def _line_stream(spark: SparkSession, sf_dir: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    return stream_lines(spark, _staged_lines(spark, sf_dir), max_bytes_per_trigger=batch_bytes)
+
+
+def _file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per micro-batch, so that there are several however little there is."""
+    return stream_lines(spark, _staged_lines(spark, sf_dir), max_files_per_trigger=1)
 
 
 def _ledger(spark: SparkSession) -> CountLedger:
@@ -73,6 +84,21 @@ def _append_staged_batches(spark: SparkSession, sf_dir: str, ledger: CountLedger
         ledger.write_batch(summarise(batch, DAILY_SUMMARY), "backfill", batch_id)
 
 
+def _view_name(label: str) -> str:
+    return f"logtally_{label}_{uuid.uuid4().hex}"
+
+
+def _batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per batch and group, the batches being those that the staged lines have."""
+    lines = event_lines(spark.read.parquet(_events_path(sf_dir)))
+    records = lines.select(F.coalesce(F.pmod("event_id", F.lit(BATCHES)), F.lit(0)).alias("batch"), "value")
+    batches = [
+        summarise(records.where(F.col("batch") == i).select("value"), DAILY_SUMMARY).withColumn("batch", F.lit(i))
+        for i in range(BATCHES)
+    ]
+    return reduce(DataFrame.unionByName, batches)
+
+
 def _new_table(spark: SparkSession) -> SummaryTable:
     root = fresh_dir(spark, "daily_summary")
     table = SummaryTable(spark, DAILY_SUMMARY, root, root.rsplit("/", 1)[1].replace("-", "_"))
@@ -127,7 +153,11 @@ def millisecond_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_over_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summarise_sql(spark, _lines(spark, sf_dir), DAILY_SUMMARY, "transactions")
+    view = _view_name("transactions")
+    try:
+        return summarise_sql(spark, _lines(spark, sf_dir), DAILY_SUMMARY, view)
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 # The cumulative table
@@ -157,22 +187,22 @@ def compacted_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def recast_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Add up a table whose counts are text and whose groups have a row per batch."""
-    ledger = _ledger(spark)
-    _append_staged_batches(spark, sf_dir, ledger)
     table = _new_table(spark)
-    table.insert(ledger.batch_counts())
+    table.insert(_batch_counts(spark, sf_dir))
     return recount(table.read(), DAILY_SUMMARY)
 
 
 def summary_table_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Insert from a view, fold in the rest, select all."""
-    folder = _staged_lines(spark, sf_dir)
+    """Insert a first batch from a view, fold in the rest at once, select all."""
+    counts = _batch_counts(spark, sf_dir)
     table = _new_table(spark)
-    first, *rest = [summarise(read_lines(spark, f"{folder}/batch={i}"), DAILY_SUMMARY) for i in range(BATCHES)]
-    first.createOrReplaceTempView("update_data")
-    table.insert_from("update_data")
-    for counts in rest:
-        table.fold(counts)
+    view = _view_name("first_batch")
+    counts.where("batch = 0").createOrReplaceTempView(view)
+    try:
+        table.insert_from(view)
+    finally:
+        spark.catalog.dropTempView(view)
+    table.fold(counts.where("batch > 0"))
     return spark.sql(f"SELECT * FROM {table.name}")
 
 
@@ -188,13 +218,17 @@ def published_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def append_whole_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every column of a view, appended to a table that was just emptied."""
-    table = _new_table(spark)
-    counts = summarise(_lines(spark, sf_dir), DAILY_SUMMARY)
-    table.insert(counts)
+    """Every column of a view, appended to a table that was just emptied; the counts are made once."""
+    first, table = _new_table(spark), _new_table(spark)
+    first.insert(summarise(_lines(spark, sf_dir), DAILY_SUMMARY))
+    table.insert(first.read().limit(1))
     table.truncate()
-    counts.withColumn("count", F.col("count").cast("string")).createOrReplaceTempView("whole_update")
-    append_all(spark, "whole_update", table.name)
+    view = _view_name("whole")
+    first.read().createOrReplaceTempView(view)
+    try:
+        append_all(spark, view, table.name)
+    finally:
+        spark.catalog.dropTempView(view)
     return table.read()
 
 
@@ -209,52 +243,87 @@ def stream_file_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.summary()
 
 
-class _Interrupted(CountLedger):
-    """Dies once, after a batch is written and before Spark can note that it is done."""
-
-    def write_batch(self, counts: DataFrame, run_id: str, batch_id: int, *, replace: bool = True) -> bool:
-        written = super().write_batch(counts, run_id, batch_id, replace=replace)
-        if batch_id == 1:
-            raise RuntimeError("interrupted on purpose")
-        return written
-
-
 def restart_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream that dies between writing a batch and committing it, and is started again."""
     ledger = _ledger(spark)
     checkpoint = fresh_dir(spark, "checkpoint")
-    lines = _line_stream(spark, sf_dir)
-    doomed = _Interrupted.for_spec(spark, ledger.path, DAILY_SUMMARY)
+    lines = _file_stream(spark, sf_dir)
+    doomed = InterruptedLedger.for_spec(spark, ledger.path, DAILY_SUMMARY)
+    died = False
     try:
         _finish(start_summary(lines, DAILY_SUMMARY, doomed, checkpoint, interval_seconds=None))
     except Exception as failure:
-        if "interrupted on purpose" not in str(failure):
+        if INTERRUPTED not in str(failure):
             raise
+        died = True
+    must(died, "the stream was not interrupted")
     _finish(start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None))
     return ledger.summary()
 
 
 def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A finished stream whose last commit mark is lost, so that Spark runs the last batch again."""
+    ledger = WatchedLedger.for_spec(spark, fresh_dir(spark, "ledger"), DAILY_SUMMARY)
+    checkpoint = fresh_dir(spark, "checkpoint")
+    lines = _file_stream(spark, sf_dir)
+    _finish(start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None))
+    last = lose_last_commit(spark, checkpoint)
+    _finish(start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None))
+    must(ledger.asked.count((last, False)) == 1, f"batch {last} was not replayed")
+    return ledger.summary()
+
+
+def recovered_after_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger that was emptied: its old checkpoint would skip what it has read and is refused, a new one reads all."""
     ledger = _ledger(spark)
     checkpoint = fresh_dir(spark, "checkpoint")
-    lines = _line_stream(spark, sf_dir)
+    lines = _file_stream(spark, sf_dir)
     _finish(start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None))
-    files = Files(spark, checkpoint)
-    marks = [path for path in files.glob(f"{checkpoint}/commits/*") if path.rsplit("/", 1)[1].isdigit()]
-    files.delete(max(marks, key=lambda path: int(path.rsplit("/", 1)[1])))
+    ledger.reset()
+    refused = False
+    try:
+        start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None).stop()
+    except LedgerInUse:
+        refused = True
+    must(refused, "the old checkpoint was taken")
+    _finish(start_summary(lines, DAILY_SUMMARY, ledger, fresh_dir(spark, "checkpoint"), interval_seconds=None))
+    return ledger.summary()
+
+
+def stopped_and_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A busy stream is asked to stop in its first batch, ends after it without a failure, and is taken up again."""
+    ledger = WatchedLedger.for_spec(spark, fresh_dir(spark, "ledger"), DAILY_SUMMARY)
+    checkpoint = fresh_dir(spark, "checkpoint")
+    lines = _file_stream(spark, sf_dir)
+    stop = StopRequest()
+    stop.ask()
+    start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=0, stop=stop)
+    stop.wait()
+    must(1 <= len(ledger.asked) <= 2, f"the stream did not stop between two batches: {ledger.asked}")
     _finish(start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None))
     return ledger.summary()
 
 
+def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Input rows of all batches, as a listener has counted them."""
+    with BatchMetrics(spark) as metrics:
+        query = start_summary(
+            _file_stream(spark, sf_dir), DAILY_SUMMARY, _ledger(spark), fresh_dir(spark, "checkpoint"), interval_seconds=None
+        )
+        _finish(query)
+        table = metrics.table(query)
+    return table.agg(F.sum("input_rows").alias("input_rows"), F.sum("null_lines").alias("null_lines"))
+
+
 def rate_limited_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per micro-batch added up: a limit on files per batch cuts the input, but loses none of it."""
     ledger = _ledger(spark)
     checkpoint = fresh_dir(spark, "checkpoint")
-    folder = _staged_lines(spark, sf_dir)
-    files_per_batch = Files(spark, folder).file_count(folder) // BATCHES + 1
-    lines = stream_lines(spark, folder, max_files_per_trigger=files_per_batch)
-    _finish(start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None))
+    with BatchMetrics(spark) as metrics:
+        query = start_summary(_file_stream(spark, sf_dir), DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None, compact_every=None)
+        _finish(query)
+        batches = [rows for _, _, rows, *_ in metrics.rows(query) if rows]
+    must(len(batches) >= 2 and max(batches) < sum(batches), f"the limit did not cut the input: {batches}")
     run = checkpoint_id(spark, checkpoint)
     return recount(ledger.batch_counts().where(F.col("run_id") == run), DAILY_SUMMARY)
 
@@ -269,19 +338,41 @@ def stream_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fan_out_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two queries over one stream definition, each with its own checkpoint and scheduler pool."""
     path = fresh_dir(spark, "records")
-    stored, shown = store_and_show_records(
-        _line_stream(spark, sf_dir),
-        path,
-        fresh_dir(spark, "checkpoint"),
-        interval_seconds=None,
-        # Standard output is left alone here.
-        show=lambda batch, batch_id: batch.take(20),
-    )
-    _finish(stored)
-    _finish(shown)
+    shown_rows: dict[int, int] = {}
+    with BatchMetrics(spark) as metrics:
+        stored, shown = store_and_show_records(
+            _file_stream(spark, sf_dir),
+            path,
+            fresh_dir(spark, "checkpoint"),
+            show_checkpoint=fresh_dir(spark, "checkpoint"),
+            interval_seconds=None,
+            # Standard output is left alone here.
+            show=lambda batch, batch_id: shown_rows.update({batch_id: len(batch.take(20))}),
+        )
+        _finish(stored)
+        _finish(shown)
+        kept = {batch_id for _, batch_id, rows, *_ in metrics.rows(stored) if rows}
+    must(kept <= set(shown_rows) and any(shown_rows.values()), f"stored {sorted(kept)}, shown {sorted(shown_rows)}")
     return spark.read.parquet(path)
 
 
+def previewed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the preview of each batch's counts was offered, added up; it has a checkpoint and is started a second time."""
+    offered: dict[int, int] = {}
+    checkpoint = fresh_dir(spark, "checkpoint")
+
+    def show(counts: DataFrame, batch_id: int) -> None:
+        counts.take(20)
+        offered[batch_id] = counts.agg(F.sum("count")).first()[0] or 0
+
+    lines = _file_stream(spark, sf_dir)
+    _finish(show_batch_counts(lines, checkpoint=checkpoint, interval_seconds=None, show=show))
+    before = dict(offered)
+    _finish(show_batch_counts(lines, checkpoint=checkpoint, interval_seconds=None, show=show))
+    must(len(before) >= 2 and offered == before, f"the second start showed batches again: {before}, {offered}")
+    return spark.createDataFrame([(sum(offered.values()),)], "records long")
+
+
 def raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids read back from the archived lines."""
     path = fresh_dir(spark, "archive")
@@ -291,11 +382,19 @@ def raw_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watermarked_app_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closed days only. All files go into one micro-batch: split by id, they are in no order of time."""
-    lines = stream_lines(spark, _staged_lines(spark, sf_dir))
+    """Closed days only, from micro-batches in order of time; the delay covers the length of a slice."""
+    folder, length = stage_slices(spark, _events_path(sf_dir), fresh_dir(spark, "slices"), BATCHES)
+    must(length < WATERMARK_DAYS * 86_400, f"a slice of {length} s is longer than the delay")
+    lines = stream_lines(spark, folder, max_files_per_trigger=1)
     path = fresh_dir(spark, "app_counts")
     records = keep(parse(lines, MILLISECOND_SUMMARY), MILLISECOND_SUMMARY.where)
-    _finish(start_parquet_sink(daily_counts(records), path, fresh_dir(spark, "checkpoint"), interval_seconds=None))
+    with BatchMetrics(spark) as metrics:
+        counts = daily_counts(records, f"{WATERMARK_DAYS} days")
+        query = start_parquet_sink(counts, path, fresh_dir(spark, "checkpoint"), interval_seconds=None)
+        _finish(query)
+        rows = metrics.rows(query)
+    must(sum(1 for row in rows if row[2]) >= BATCHES, f"not {BATCHES} batches with data")
+    must(not any(late for *_, late in rows), "rows came behind the watermark")
     return spark.read.parquet(path)
 
 
@@ -321,9 +420,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stream_file_summary,
         restart_from_checkpoint,
         replay_idempotent,
+        recovered_after_reset,
+        stopped_and_resumed,
+        batch_metrics,
         rate_limited_stream,
         stream_parquet_sink,
         fan_out_sinks,
+        previewed_batches,
         raw_archive,
         watermarked_app_count,
     ]
@@ -389,12 +492,16 @@ FROM m WHERE {_SMS_MO} GROUP BY event_id % {BATCHES}, day, app_id""",
         "restart_from_checkpoint": cumulative,
         "replay_idempotent": cumulative,
         "rate_limited_stream": cumulative,
+        "recovered_after_reset": cumulative,
+        "stopped_and_resumed": cumulative,
+        "batch_metrics": "SELECT count(*) AS input_rows, CAST(0 AS BIGINT) AS null_lines FROM events",
+        "previewed_batches": f"{_RECORDS} SELECT count(*) AS records FROM m WHERE {_SMS_MO}",
         "stream_parquet_sink": projected,
         "fan_out_sinks": projected,
         "raw_archive": f"{_RECORDS} SELECT id FROM m",
         "watermarked_app_count": f"""{_RECORDS},
 kept AS (SELECT * FROM m WHERE {_SMS_MO}),
-mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS closed_until FROM kept)
+mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL {WATERMARK_DAYS} DAY AS closed_until FROM kept)
 SELECT day, app_id, count(*) AS "count" FROM kept, mark
 WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= closed_until GROUP BY day, app_id""",
     }

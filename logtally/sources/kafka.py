@@ -24,6 +24,7 @@ class KafkaSource:
 
     bootstrap_servers: str
     topics: str | tuple[str, ...]
+    separator: str = ","
     group_id: str | None = None
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int | None = None
@@ -32,9 +33,9 @@ class KafkaSource:
     fail_on_data_loss: bool = True
     consumer: Mapping[str, str] = field(default_factory=dict)
 
-    def topic_list(self, separator: str = ",") -> list[str]:
-        """The distinct topics, from a tuple or from one separated string."""
-        names = self.topics.split(separator) if isinstance(self.topics, str) else self.topics
+    def topic_list(self) -> list[str]:
+        """The distinct topics, from a tuple or from one string with separators."""
+        names = self.topics.split(self.separator) if isinstance(self.topics, str) else self.topics
         topics = list(dict.fromkeys(name.strip() for name in names if name.strip()))
         if not topics:
             raise ValueError("no Kafka topic given")
@@ -59,23 +60,30 @@ class KafkaSource:
         options.update({f"kafka.{name}": value for name, value in self.consumer.items()})
         return options
 
-    def stream(self, spark: SparkSession) -> DataFrame:
-        """Record values as a stream of ``value`` strings."""
-        return decode_value(spark.readStream.format("kafka").options(**self.options()).load())
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """What the topics hold now, for back-filling."""
-        return decode_value(spark.read.format("kafka").options(**self.batch_options()).load())
-
-    def batch_options(self) -> dict[str, str]:
-        """A batch cannot start at the latest offset and has no triggers."""
-        options = self.options()
+    def stream(self, spark: SparkSession, *, with_time: bool = False) -> DataFrame:
+        """Record values as a stream of ``value`` strings; ``with_time`` adds the record's own time as ``record_time``."""
+        return _values(spark.readStream.format("kafka").options(**self.options()).load(), with_time)
+
+    def read(
+        self, spark: SparkSession, start: str = "earliest", end: str = "latest", *, with_time: bool = False
+    ) -> DataFrame:
+        """What the topics hold between two offsets, for back-filling. The stream's own start has no part in it."""
+        return _values(spark.read.format("kafka").options(**self.batch_options(start, end)).load(), with_time)
+
+    def batch_options(self, start: str = "earliest", end: str = "latest") -> dict[str, str]:
+        """Reader options of a batch, which has no triggers and cannot start at the latest offset."""
+        if start == "latest":
+            raise ValueError("a batch cannot start at the latest offset")
+        options = self.options() | {"startingOffsets": start, "endingOffsets": end}
         options.pop("maxOffsetsPerTrigger", None)
-        if self.starting_offsets == "latest":
-            options["startingOffsets"] = "earliest"
         return options
 
 
+def _values(records: DataFrame, with_time: bool) -> DataFrame:
+    decoded = decode_value(records, "timestamp") if with_time else decode_value(records)
+    return decoded.withColumnRenamed("timestamp", "record_time")
+
+
 def offsets_per_trigger(per_partition_per_second: int, seconds: float, partitions: int) -> int:
     """A rate per partition and second as the number of records one micro-batch may take."""
     return max(1, int(per_partition_per_second * seconds * partitions))

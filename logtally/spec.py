@@ -6,8 +6,9 @@ expressions, so nothing of it is looked up per row.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 from typing import Any
 
 from pyspark.sql.types import StringType, StructField, StructType
@@ -76,6 +77,12 @@ class SummarySpec:
     def output_columns(self) -> tuple[str, ...]:
         return (*self.group_by, self.count_column)
 
+    def meaning(self) -> dict[str, Any]:
+        """All that decides what a count means, as plain data; the table's name does not."""
+        given = asdict(self)
+        del given["table"]
+        return json.loads(json.dumps(given))
+
     def record_schema(self) -> StructType:
         return string_schema(self.field_names)
 

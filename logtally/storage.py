@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -10,6 +12,7 @@ from pyspark.sql import SparkSession
 SHARED_DIR = "spark.checkpoint.dir"
 
 _local_roots: dict[str, str] = {}
+_handed_out: dict[str, list[str]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -30,7 +33,20 @@ def shared_root(spark: SparkSession) -> str:
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder; nothing is created there yet."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def literal(path: str) -> str:
+    """A path for Spark's readers, which would take some of its characters for a pattern."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the folders that ``fresh_dir`` has handed out in this session. What was read from them must be done with."""
+    for path in _handed_out.pop(spark.sparkContext.applicationId, []):
+        Files(spark, path).delete(path)
 
 
 class Files:
@@ -44,9 +60,15 @@ class Files:
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
-    def glob(self, pattern: str) -> list[str]:
-        found = self._fs.globStatus(self._path(pattern))
-        return sorted(status.getPath().toString() for status in found) if found else []
+    def children(self, folder: str) -> list[str]:
+        """Names in a folder, none if it isn't there. The path is taken literally, whatever characters it has."""
+        if not self.exists(folder):
+            return []
+        return sorted(status.getPath().getName() for status in self._fs.listStatus(self._path(folder)))
+
+    def age_seconds(self, path: str) -> float:
+        """Since the last change, by the store's clock and this driver's."""
+        return time.time() - self._fs.getFileStatus(self._path(path)).getModificationTime() / 1000
 
     def is_complete(self, folder: str) -> bool:
         """Whether a Spark write into this folder has finished."""
@@ -71,7 +93,11 @@ class Files:
             stream.close()
 
     def publish(self, path: str, text: str) -> None:
-        """Write a new small file so that readers see it whole or not at all; an existing one is an error."""
+        """Write a new small file so that readers see it whole or not at all; an existing one is an error.
+
+        On file systems whose rename is atomic and refuses an existing target, as HDFS and local disks, one of several
+        publishers wins. An object store gives no such promise; there, keep one writer per ledger or table.
+        """
         if self.exists(path):
             raise FileExistsError(path)
         parent, name = path.rsplit("/", 1)

@@ -1,15 +1,16 @@
-from logtally.streaming.progress import batch_timings
+from logtally.streaming.progress import BatchMetrics, batch_timings
 from logtally.streaming.sinks import start_archive, start_parquet_sink, start_preview
-from logtally.streaming.starting import stop_between_batches
+from logtally.streaming.starting import StopRequest
 from logtally.streaming.summary import start_summary
 from logtally.streaming.watermark import daily_counts
 
 __all__ = [
+    "BatchMetrics",
+    "StopRequest",
     "batch_timings",
     "daily_counts",
     "start_archive",
     "start_parquet_sink",
     "start_preview",
     "start_summary",
-    "stop_between_batches",
 ]

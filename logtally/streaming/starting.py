@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import signal
+import threading
 import time
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 # Fixed value: the micro-batch interval in seconds.
@@ -43,9 +47,66 @@ def start(
             context.setLocalProperty("spark.scheduler.pool", before)
 
 
-def stop_between_batches(query: StreamingQuery, timeout_seconds: float = 300) -> None:
-    """Let the batch at work finish, then stop. One that outlasts the timeout is cut off; the restart repeats it."""
-    deadline = time.monotonic() + timeout_seconds
-    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < deadline:
-        time.sleep(0.05)
-    query.stop()
+class StopRequest:
+    """A stop that takes effect between two batches.
+
+    A batch function that is wrapped with ``pausing`` does its work and then, if a stop was asked for, waits until the
+    query is being stopped: the batch is whole and no other begins. The stop itself comes from a thread of its own. Spark
+    may not get to note that last batch as done and then repeats it at the restart, which the ledger takes for what it is.
+    """
+
+    def __init__(self) -> None:
+        self._asked = threading.Event()
+        self._paused = threading.Event()
+        self._query: StreamingQuery | None = None
+        self._stopper: threading.Thread | None = None
+        self._batches = 0
+        self._attached = threading.Event()
+
+    def ask(self, *_: object) -> None:
+        """Ask for the stop; also fits as a signal handler."""
+        self._asked.set()
+
+    def on_signal(self, number: int = signal.SIGTERM) -> None:
+        """Ask for the stop when the process gets this signal. Only the main thread can set this up."""
+        signal.signal(number, self.ask)
+
+    def pausing(self, function: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+        def run(batch: DataFrame, batch_id: int) -> None:
+            self._batches += 1
+            function(batch, batch_id)
+            if self._asked.is_set():
+                self._paused.set()
+                self._attached.wait()
+                while self._query.isActive:
+                    time.sleep(0.01)
+
+        return run
+
+    def attach(self, query: StreamingQuery) -> StreamingQuery:
+        self._query = query
+        self._attached.set()
+        self._stopper = threading.Thread(target=self._stop_when_asked, daemon=True)
+        self._stopper.start()
+        return query
+
+    def _stop_when_asked(self) -> None:
+        query = self._query
+        while not self._asked.wait(0.2):
+            if not query.isActive:
+                return
+        quiet, seen = 0, self._batches
+        while query.isActive and not self._paused.wait(0.1):
+            # A query that waits for input has no batch function to stop at; one look may fall between two batches.
+            quiet = quiet + 1 if self._batches == seen and not query.status["isTriggerActive"] else 0
+            seen = self._batches
+            if quiet >= 5:
+                break
+        query.stop()
+
+    def wait(self, timeout_seconds: float | None = None) -> bool:
+        """Until the query has ended; its failure is raised here."""
+        ended = self._query.awaitTermination(timeout_seconds) if timeout_seconds else self._query.awaitTermination() or True
+        if ended and self._stopper is not None:
+            self._stopper.join(10)
+        return bool(ended)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -12,11 +13,17 @@ from logtally.operators.records import count_lines, keep, parse
 from logtally.operators.summary import count_groups
 from logtally.spec import SummarySpec
 from logtally.storage import Files
-from logtally.streaming.starting import INTERVAL_SECONDS, start
+from logtally.streaming.starting import INTERVAL_SECONDS, StopRequest, start
+
+# About ten minutes of batches at the default interval.
+COMPACT_EVERY = 90
+KEEP_SECONDS = 600
+
+_log = logging.getLogger(__name__)
 
 
 class LedgerInUse(RuntimeError):
-    """The ledger holds batches of another checkpoint."""
+    """Ledger and checkpoint don't belong together: one of them has batches that the other lacks."""
 
 
 def checkpoint_id(spark: SparkSession, checkpoint: str) -> str | None:
@@ -26,6 +33,12 @@ def checkpoint_id(spark: SparkSession, checkpoint: str) -> str | None:
     return json.loads(files.read(metadata))["id"] if files.exists(metadata) else None
 
 
+def finished_batches(spark: SparkSession, checkpoint: str) -> list[int]:
+    """Batches that Spark has noted as done, as far back as it keeps these notes."""
+    names = Files(spark, checkpoint).children(f"{checkpoint.rstrip('/')}/commits")
+    return sorted(int(name) for name in names if name.isdigit())
+
+
 def start_summary(
     lines: DataFrame,
     spec: SummarySpec,
@@ -33,8 +46,9 @@ def start_summary(
     checkpoint: str,
     *,
     interval_seconds: float | None = INTERVAL_SECONDS,
-    compact_every: int | None = None,
+    compact_every: int | None = COMPACT_EVERY,
     add_run: bool = False,
+    stop: StopRequest | None = None,
     pool: str | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
@@ -42,26 +56,35 @@ def start_summary(
 
     Batches are filed under the checkpoint's id and their batch id. A batch that is replayed after a failure is written
     only if its first attempt did not finish. A new checkpoint would read old input again, and count it again; it is
-    refused where the ledger holds other runs and none of its own, unless ``add_run`` says that its input is new.
+    refused where the ledger holds other runs and none of its own, unless ``add_run`` says that its input is new. A
+    checkpoint that has finished batches which the ledger lacks would go on behind them; it is refused, too.
 
-    ``compact_every`` merges the ledger after each so many batches, between two batches of this query. What a merge has
-    made redundant is removed at the next one, by when the readers of the old files should be done.
+    ``compact_every`` merges the ledger after each so many batches, between two batches of this query; a merge that fails
+    is logged and left to the next one. What merges have made redundant is removed once it has been so for
+    ``KEEP_SECONDS``, by when the readers of the old files should be done. ``stop`` ends the query between two batches.
     """
     spark = lines.sparkSession
     runs = ledger.runs()
-    if runs and checkpoint_id(spark, checkpoint) not in runs and not add_run:
+    own = checkpoint_id(spark, checkpoint)
+    if runs and own not in runs and not add_run:
         raise LedgerInUse(
             f"{ledger.path} holds batches of {sorted(runs)}; reset() it, or pass add_run=True if this input is new"
         )
+    if own and (lost := ledger.missing(own, finished_batches(spark, checkpoint))):
+        raise LedgerInUse(f"{ledger.path} lacks batches {lost} of {checkpoint}; start again with a new checkpoint")
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         ledger.write_batch(count_groups(batch, spec), checkpoint_id(spark, checkpoint), batch_id, replace=False)
         if compact_every and batch_id % compact_every == compact_every - 1:
-            ledger.vacuum()
-            ledger.compact()
+            try:
+                ledger.vacuum(KEEP_SECONDS)
+                ledger.compact()
+            except Exception:
+                _log.exception("merging %s failed; the next merge will take in its batches", ledger.path)
 
     # The counter tells lines without a record from lines read. Parse and filter belong to the stream's own plan, so
     # that only matching records cross over into the batch function.
     matching = keep(parse(count_lines(lines), spec), spec.where).select(*spec.group_by)
-    writer = matching.writeStream.foreachBatch(fold)
-    return start(writer, checkpoint=checkpoint, interval_seconds=interval_seconds, pool=pool, name=name)
+    writer = matching.writeStream.foreachBatch(stop.pausing(fold) if stop else fold)
+    query = start(writer, checkpoint=checkpoint, interval_seconds=interval_seconds, pool=pool, name=name)
+    return stop.attach(query) if stop else query

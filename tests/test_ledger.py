@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 
 from logtally.operators.ledger import CountLedger, Generation, Manifest, add_to_ranges
+from logtally.plans import DAILY_SUMMARY, MILLISECOND_SUMMARY
 from logtally.storage import Files, fresh_dir
 
 from tests.conftest import rows
@@ -165,9 +167,9 @@ def test_a_merge_that_dies_before_its_manifest_changes_nothing(ledger, counts, m
     ledger.vacuum()
     assert rows(ledger.totals()) == [("d", "a", 2)]
     assert ledger.compact() == 1
-    assert len(ledger.files.glob(f"{ledger.path}/merged/*")) == 2
+    assert len(ledger.files.children(f"{ledger.path}/merged")) == 2
     ledger.vacuum()
-    assert len(ledger.files.glob(f"{ledger.path}/merged/*")) == 1
+    assert len(ledger.files.children(f"{ledger.path}/merged")) == 1
     assert rows(ledger.totals()) == [("d", "a", 2)]
 
 
@@ -294,4 +296,48 @@ def test_publishing_never_overwrites(spark):
     with pytest.raises(FileExistsError):
         files.publish(f"{folder}/a.json", "2")
     assert files.read(f"{folder}/a.json") == "1"
-    assert [path.rsplit("/", 1)[1] for path in files.glob(f"{folder}/*")] in (["a.json"], [".a.json.crc", "a.json"])
+    assert files.children(folder) in (["a.json"], [".a.json.crc", "a.json"])
+
+
+def test_a_path_with_pattern_characters(spark, counts):
+    path = f"{fresh_dir(spark, 'ledger')}/led{{x}}[1]*?"
+    ledger = CountLedger(spark, path, KEYS)
+    for i in range(3):
+        ledger.write_batch(counts(("d", "a", 1)), "r", i)
+    assert ledger.runs() == {"r"} and rows(ledger.totals()) == [("d", "a", 3)]
+    assert ledger.batch_counts().count() == 3
+    ledger.compact()
+    ledger.vacuum()
+    ledger.write_batch(counts(("d", "a", 1)), "r", 3)
+    assert rows(ledger.totals()) == [("d", "a", 4)] and ledger.missing("r", range(6)) == [4, 5]
+
+
+def test_another_spec_on_the_same_columns_is_refused(spark, counts):
+    path = fresh_dir(spark, "ledger")
+    batch = counts(("d", "a", 1)).toDF("time_stamp", "app_id", "count")
+    CountLedger.for_spec(spark, path, DAILY_SUMMARY).write_batch(batch, "r", 0)
+    renamed = replace(DAILY_SUMMARY, table="other_name")
+    assert CountLedger.for_spec(spark, path, renamed).totals().count() == 1
+    for other in (MILLISECOND_SUMMARY, replace(DAILY_SUMMARY, where=None), replace(DAILY_SUMMARY, delimiter=";")):
+        ledger = CountLedger.for_spec(spark, path, other)
+        with pytest.raises(ValueError):
+            ledger.write_batch(batch, "r", 1)
+        with pytest.raises(ValueError):
+            ledger.totals()
+
+
+def test_a_count_that_is_no_number_fails_the_write(spark, counts):
+    ledger = CountLedger(spark, fresh_dir(spark, "ledger"), KEYS)
+    with pytest.raises(Exception, match="no number"):
+        ledger.write_batch(counts(("d", "a", 1)).selectExpr("day", "app", "'x' AS count"), "r", 0)
+    assert rows(ledger.totals()) == []
+
+
+def test_clean_up_waits(spark, counts):
+    ledger = CountLedger(spark, fresh_dir(spark, "ledger"), KEYS)
+    ledger.write_batch(counts(("d", "a", 1)), "r", 0)
+    ledger.compact()
+    ledger.vacuum(keep_seconds=3600)
+    assert len(ledger.files.children(f"{ledger.path}/batches/run_id=r")) == 1
+    ledger.vacuum()
+    assert ledger.files.children(f"{ledger.path}/batches/run_id=r") == []

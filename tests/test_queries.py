@@ -8,12 +8,12 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as entry_points
+from logtally import queries as catalogue
 
 from tests.conftest import TESTDATA
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = catalogue.queries()
+SQL = catalogue.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not Path(TESTDATA).exists(), reason="no test data here")
 

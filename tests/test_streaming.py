@@ -14,13 +14,14 @@ from logtally.plans import DAILY_SUMMARY, MILLISECOND_SUMMARY, TRANSACTION_FIELD
 from logtally.sources import read_lines, stream_lines
 from logtally.storage import Files, fresh_dir
 from logtally.streaming import (
+    BatchMetrics,
+    StopRequest,
     batch_timings,
     daily_counts,
     start_archive,
     start_parquet_sink,
     start_preview,
     start_summary,
-    stop_between_batches,
 )
 from logtally.streaming.summary import LedgerInUse, checkpoint_id
 
@@ -143,7 +144,8 @@ def test_a_half_written_batch_is_written_again(spark, source, ledger, checkpoint
     source.add_random(3)
     run(spark, source, ledger, checkpoint)
     Files(spark, checkpoint).delete(f"{checkpoint}/commits/2")
-    (half,) = ledger.files.glob(f"{ledger.path}/batches/*/batch_id=2")
+    (run_id,) = ledger.runs()
+    half = f"{ledger.path}/batches/run_id={run_id}/batch_id=2"
     ledger.files.delete(f"{half}/_SUCCESS")
     run(spark, source, ledger, checkpoint)
     assert rows(ledger.summary()) == batch_result(spark, source)
@@ -221,13 +223,89 @@ def test_stopping_lets_the_batch_finish(spark, source, ledger, checkpoint, monke
 
     monkeypatch.setattr(ledger, "write_batch", slow)
     lines = stream_lines(spark, str(source.folder))
-    query = start_summary(lines, SPEC, ledger, checkpoint, interval_seconds=60)
+    stop = StopRequest()
+    query = start_summary(lines, SPEC, ledger, checkpoint, interval_seconds=60, stop=stop)
     assert started.wait(60)
-    stop_between_batches(query, timeout_seconds=60)
+    stop.ask()
+    assert stop.wait(60)
     assert not query.isActive and query.exception() is None
     assert rows(ledger.summary()) == batch_result(spark, source)
 
 
+def test_a_busy_stream_stops_between_batches(spark, source, ledger, checkpoint):
+    for i in range(120):
+        source.add([f"{i}|a|b|c|d"])
+    lines = stream_lines(spark, str(source.folder), max_files_per_trigger=1)
+    stop = StopRequest()
+    done, write = [], ledger.write_batch
+
+    def noted(counts, run_id, batch_id, **options):
+        done.append(batch_id)
+        if batch_id == 2:
+            stop.ask()
+        return write(counts, run_id, batch_id, **options)
+
+    ledger.write_batch = noted
+    query = start_summary(lines, SPEC, ledger, checkpoint, interval_seconds=0, stop=stop)
+    assert stop.wait(60) and query.exception() is None
+    assert max(done) <= 3
+    run(spark, source, ledger, checkpoint)
+    assert rows(ledger.summary()) == batch_result(spark, source)
+
+
+def test_an_idle_stream_stops(spark, source, ledger, checkpoint):
+    source.add_random(1)
+    stop = StopRequest()
+    query = start_summary(stream_lines(spark, str(source.folder)), SPEC, ledger, checkpoint, interval_seconds=60, stop=stop)
+    query.processAllAvailable()
+    stop.ask()
+    assert stop.wait(30) and query.exception() is None
+
+
+def test_an_emptied_ledger_refuses_its_old_checkpoint(spark, source, ledger, checkpoint):
+    source.add_random(3)
+    run(spark, source, ledger, checkpoint)
+    ledger.reset()
+    source.add_random(1)
+    with pytest.raises(LedgerInUse, match="lacks"):
+        run(spark, source, ledger, checkpoint)
+    run(spark, source, ledger, fresh_dir(spark, "cp"))
+    assert rows(ledger.summary()) == batch_result(spark, source)
+
+
+def test_a_failing_merge_does_not_stop_the_stream(spark, source, ledger, checkpoint, monkeypatch):
+    source.add_random(2)
+    monkeypatch.setattr(ledger, "compact", lambda: 1 / 0)
+    lines = stream_lines(spark, str(source.folder), max_files_per_trigger=1)
+    start_summary(lines, SPEC, ledger, checkpoint, interval_seconds=None, compact_every=1).awaitTermination(120)
+    assert rows(ledger.summary()) == batch_result(spark, source)
+
+
+def test_metrics_have_every_batch(spark, tmp_path):
+    for i in range(110):
+        (tmp_path / f"{i:03}.txt").write_text(f"line {i}\n")
+    lines = stream_lines(spark, str(tmp_path), max_files_per_trigger=1)
+    with BatchMetrics(spark) as metrics:
+        query = lines.writeStream.foreachBatch(lambda batch, i: None).option("checkpointLocation", fresh_dir(spark, "cp"))
+        query = query.trigger(availableNow=True).start()
+        query.awaitTermination(300)
+        got = metrics.table(query)
+    assert got.where("batch_id >= 0").select("batch_id").distinct().count() >= 110
+
+
+def test_metrics_count_what_is_left_out(spark, source, checkpoint):
+    source.add([transaction("2024-01-01 10:00:00 000", "a"), transaction("no time", "a")])
+    source.add([transaction("2024-01-20 10:00:00 000", "a")])
+    source.add([transaction("2024-01-01 10:00:00 000", "a"), transaction("2024-01-30 10:00:00 000", "a")])
+    source.add([transaction("2024-01-01 10:00:00 000", "a")])
+    records = parse(stream_lines(spark, str(source.folder), max_files_per_trigger=1), MILLISECOND_SUMMARY)
+    with BatchMetrics(spark) as metrics:
+        query = start_parquet_sink(daily_counts(records), fresh_dir(spark, "out"), checkpoint, interval_seconds=None)
+        query.awaitTermination(120)
+        got = metrics.table(query).groupBy().sum("unreadable_times", "late_rows").first()
+    assert got[0] == 1 and got[1] >= 1
+
+
 def test_running_count_agrees(spark, source):
     """Spark's own complete-mode count over the stream, as a cross-check of the ledger."""
     source.add_random(3)
@@ -314,7 +392,7 @@ def test_jobs(spark, source, capsys):
         jobs.keep_summary(lines, ledger_path, checkpoint, interval_seconds=None, compact_every=1).awaitTermination(120)
     ledger = CountLedger.for_spec(spark, ledger_path, DAILY_SUMMARY)
     assert rows(ledger.summary()) == [("2024-01-01", "a", "3")]
-    assert len(ledger.files.glob(f"{ledger_path}/merged/*")) <= 3
+    assert len(ledger.files.children(f"{ledger_path}/merged")) <= 3
 
     seen = []
     jobs.show_batch_counts(
