@@ -10,7 +10,7 @@ Documents with the same set are one class from the start. Classes with the same
 are paired by their prefixes, pairs are filtered by size and by how much can still follow the shared shingle, and the
 classes of what remains are compared by their whole sets. A class that is already connected with another one is not
 compared with it again: first every class is compared with the leader of its group, and that with two leaders of each of
-its shingles; what the leaders leave open is then expanded in full. So a group of n copies costs about n comparisons, and no link between
+its shingles, then with a few more where components are left apart; what these leave open is expanded in full. So a group of n copies costs about n comparisons, and no link between
 different components is lost.
 
 Null text counts as empty. Documents without words are linked with nothing. Rows that repeat an id are documents of their
@@ -36,6 +36,8 @@ from logtally.llm.words import shingle_hashes, split_words
 SIMILAR = (80, 100)
 #: Prefix entries that one shard of the first filter holds, about.
 SHARD_ENTRIES = 1_000_000
+#: Leaders of a shingle that classes are compared with before all the rest are.
+LEADERS = 6
 
 _SIGNED = "doc_id long, n long, h1 long, h2 long, batch long, at int, own int, shard long, tokens binary, owners binary"
 _SETS = "doc_id long, n long, h1 long, h2 long, tokens array<long>"
@@ -195,7 +197,7 @@ def _verified(pairs: DataFrame, shared: DataFrame) -> DataFrame:
 
     The joins are plain: adaptive execution splits what many are compared with.
     """
-    pairs = saved(pairs.where("a != b").distinct(), "pairs")
+    pairs = saved(pairs.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
     both = pairs.join(shared.selectExpr("cid AS a", "n AS na", "shared AS sa"), "a")
     both = both.join(shared.selectExpr("cid AS b", "n AS nb", "shared AS sb"), "b")
     both = both.withColumn("common", F.size(F.array_intersect("sa", "sb")).cast("long"))
@@ -217,12 +219,18 @@ def connected(sets: DataFrame) -> DataFrame:
     near = led.join(leads, "token").select("cid", "n", "rest", F.explode(F.array("first", "last")).alias("lead"))
     near = near.where(_reachable("n", "lead.n", "rest", "lead.rest")).select(F.col("cid").alias("a"), F.col("lead.cid").alias("b"))
     found = saved(components(_verified(pairs.union(near), shared)), "components")
+    still = _still_open(entries, members, found)
+    # Where a large group is left, a few more leaders join most of what a single one did not.
+    one = F.struct("cid", "comp", "n", "rest")
+    leads = F.array(*(F.min_by(one, F.xxhash64("cid", F.lit(seed))) for seed in range(LEADERS)))
+    leads = saved(still.groupBy("token").agg(leads.alias("leads")), "leads")
+    near = still.join(leads, "token").select("cid", "comp", "n", "rest", F.explode("leads").alias("lead")).where("comp != lead.comp")
+    near = near.where(_reachable("n", "lead.n", "rest", "lead.rest")).select(F.col("cid").alias("a"), F.col("lead.cid").alias("b"))
+    more = _verified(near, shared)
+    if not more.isEmpty():
+        found = _joined(found, more)
+        still = _still_open(entries, members, found)
     # What the leaders leave open: pairs of classes of different components with a prefix shingle in common.
-    nodes = members.join(found.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "gid", F.coalesce("component", "cid").alias("comp"))
-    nodes = saved(nodes, "nodes")
-    several = entries.join(nodes.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")), "gid")
-    several = saved(several.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo != hi").select("token"), "open")
-    still = saved(entries.join(several, "token").join(nodes, "gid").select("token", "cid", "comp", "n", "rest"), "still")
     parts = still.groupBy("token", "comp").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.max("rest").alias("rest"))
     parts = saved(parts, "parts")
     other = parts.select("token", *(F.col(c).alias(f"b_{c}") for c in ("comp", "n", "most", "rest")))
@@ -233,9 +241,21 @@ def connected(sets: DataFrame) -> DataFrame:
     two = still.select("token", F.col("comp").alias("b_comp"), F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"))
     pairs = one.join(two, ["token", "b_comp"]).where(f"na * {SIMILAR[1]} >= nb * {SIMILAR[0]} AND nb * {SIMILAR[1]} >= na * {SIMILAR[0]}")
     more = _verified(pairs.where(_reachable("na", "nb", "ra", "rb")).select("a", "b"), shared)
-    if more.isEmpty():
-        return found
-    return components(more.union(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    return found if more.isEmpty() else _joined(found, more)
+
+
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components with some more links."""
+    return saved(components(links.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))), "components")
+
+
+def _still_open(entries: DataFrame, members: DataFrame, found: DataFrame) -> DataFrame:
+    """token, cid, comp, n, rest of the shingles that more than one component has in its prefixes."""
+    nodes = members.join(found.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "gid", F.coalesce("component", "cid").alias("comp"))
+    nodes = saved(nodes, "nodes")
+    several = entries.join(nodes.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")), "gid")
+    several = saved(several.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo != hi").select("token"), "open")
+    return saved(entries.join(several, "token").join(nodes, "gid").select("token", "cid", "comp", "n", "rest"), "still")
 
 
 def _reachable(na: str, nb: str, ra: str, rb: str) -> str:
