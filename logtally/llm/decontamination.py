@@ -1,14 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds find test items in training documents, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: shared word pairs find test items in training documents, Smith-Waterman alignment scores them.
 
-The benchmark is taken in blocks of a bounded number of words; for each block two passes go over the documents, and no text
-is shuffled. The first counts in how many documents each n-gram of the block occurs. An item's seeds are those of its
-n-grams that are no more frequent than its own median or ``COMMON`` documents, so that turns of phrase are no seeds, but
-an item that a third of all documents hold still has half of its n-grams. The second pass aligns the words around every
-seed with the item: a match is 1, a different, missing or added word -1, and the best local alignment over the item's
-length is the score. An item counts as found from ``FOUND`` on, which a few edits in ten words do not hide.
+In an alignment a match is 1, a different, missing or added word -1; the best local alignment over the item's length is the
+score. An item counts as found from ``FOUND`` on, which a few edits in ten words do not hide, if that is ``LEAST_WORDS`` or
+the whole of a shorter item.
 
-Words are what stands between ASCII white space, A-Z in lower case. Items with fewer words than an n-gram are one seed as
-they are. Empty or null items and texts match nothing. Repeated rows are reported once per row, items once per row too.
+The benchmark is taken in blocks of a bounded number of words; for each block one pass goes over the documents, and no text
+is shuffled. Where an item is aligned follows from arithmetic and not from how frequent its words are: m matches with e
+errors stand in e + 1 runs at most, so that an alignment worth t = m - e holds t - 1 pairs of neighbouring words of the
+item, within 2 * length - t words of the text. Every place with so many pairs is aligned, and no other place can be found.
+
+Words are what stands between ASCII white space, A-Z in lower case. Empty or null items and texts match nothing. Repeated rows are reported once per row, items once per row too.
 A document is reported once for each item, with the best place. Empty tables give no rows; other columns are ignored.
 """
 
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from logtally.llm.tables import text_of, without
 from logtally.llm.words import mixed, split_words
 
-SEED_WORDS = 3
-COMMON = 5
+SEED_WORDS = 2
+LEAST_WORDS = 3
 FOUND = 0.5
 BLOCK_WORDS = 200_000
 #: Cells of one alignment step, at most; more windows go in several steps.
@@ -37,11 +38,12 @@ _HITS = "doc_id long, item_id long, score double, first_word long, last_word lon
 
 
 class Block(NamedTuple):
-    """Items as word numbers and their n-grams: codes in order, and for each the (item, place) pairs in ``of``."""
+    """Items as word numbers, and their word pairs: codes in order, and for each the items that have it in ``of``."""
 
     words: dict[bytes, int]
     ids: list
     items: list[np.ndarray]
+    lengths: np.ndarray
     widths: np.ndarray
     codes: np.ndarray
     edges: np.ndarray
@@ -69,22 +71,23 @@ def block_of(rows: list[tuple]) -> Block:
         numbers = np.array([words.setdefault(w, len(words)) for w in split_words(text)], np.int64)
         if not len(numbers):
             continue
-        own = _codes(numbers, min(SEED_WORDS, len(numbers)))
+        own = np.unique(_codes(numbers, min(SEED_WORDS, len(numbers))))
         codes.append(own)
-        of.append(np.stack([np.full(len(own), len(items)), np.arange(len(own))], 1))
+        of.append(np.full(len(own), len(items)))
         ids.append(item_id)
         items.append(numbers)
     if not items:
-        return Block(words, [], [], np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros((0, 2), np.int64))
+        none = np.zeros(0, np.int64)
+        return Block(words, [], [], none, none, np.zeros(0, np.uint64), np.zeros(1, np.int64), none)
     every, places = np.concatenate(codes), np.concatenate(of)
     order = np.argsort(every, kind="stable")
     found, first = np.unique(every[order], return_index=True)
-    widths = np.unique([min(SEED_WORDS, len(x)) for x in items])
-    return Block(words, ids, items, widths, found, np.r_[first, len(every)], places[order])
+    lengths = np.array([len(x) for x in items])
+    return Block(words, ids, items, lengths, np.unique(np.minimum(SEED_WORDS, lengths)), found, np.r_[first, len(every)], places[order])
 
 
 def _found(block: Block, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word numbers of a text, and the places and code indexes of the block's n-grams in it."""
+    """Word numbers of a text, and the places and code indexes of the block's word pairs in it."""
     get = block.words.get
     numbers = np.array([get(w, -1) for w in split_words(text)], np.int64)
     places, found = [], []
@@ -98,24 +101,9 @@ def _found(block: Block, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return numbers, np.concatenate(places), np.concatenate(found)
 
 
-def _counter(block: Block):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            n = np.zeros(len(block.codes), np.int64)
-            for text in batch["text"]:
-                n[np.unique(_found(block, text)[2])] += 1
-            yield pd.DataFrame({"code": np.flatnonzero(n), "n": n[n > 0]})
-
-    return run
-
-
-def seeds_of(block: Block, frequency: np.ndarray) -> np.ndarray:
-    """Which (item, place) pairs of the block are seeds."""
-    n = np.repeat(frequency, np.diff(block.edges))
-    middle = np.zeros(len(block.items))
-    for i in range(len(block.items)):
-        middle[i] = np.median(n[block.of[:, 0] == i])
-    return n <= np.maximum(COMMON, middle[block.of[:, 0]])
+def least_scores(lengths: np.ndarray, least: float) -> np.ndarray:
+    """The score, in words, from which an item of each length counts as found."""
+    return np.maximum(np.ceil(least * lengths - 1e-9).astype(np.int64), np.minimum(LEAST_WORDS, lengths))
 
 
 def align(item: np.ndarray, windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,46 +137,63 @@ def align(item: np.ndarray, windows: list[np.ndarray]) -> tuple[np.ndarray, np.n
     return best, first, last
 
 
-def _windows(block: Block, seeds: np.ndarray, text: str) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(item, place of the window, its words) around all seeds of a text; windows of an item that touch are one."""
+def _windows(block: Block, needed: np.ndarray, text: str) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(item, place of the window, its words) wherever a text has enough pairs of an item; windows that touch are one."""
     numbers, places, codes = _found(block, text)
-    spans: dict[int, list[tuple[int, int]]] = {}
-    for place, code in zip(places.tolist(), codes.tolist(), strict=True):
-        for i in range(block.edges[code], block.edges[code + 1]):
-            if seeds[i]:
-                item, at = block.of[i].tolist()
-                length = len(block.items[item])
-                spare = length // 2 + 2
-                spans.setdefault(item, []).append((max(0, place - at - spare), min(len(numbers), place - at + length + spare)))
-    for item, own in spans.items():
-        own.sort()
-        low, high = own[0]
-        for a, b in own[1:]:
-            if a > high:
-                yield item, low, numbers[low:high]
-                low = a
-            high = max(high, b)
-        yield item, low, numbers[low:high]
-
-
-def _scorer(block: Block, seeds: np.ndarray, least: float):
+    times = block.edges[codes + 1] - block.edges[codes]
+    which = np.repeat(block.edges[codes] - np.cumsum(times) + times, times) + np.arange(times.sum())
+    item, place = block.of[which], np.repeat(places, times)
+    pairs = np.maximum(needed - 1, 1)
+    enough = np.bincount(item, minlength=len(block.items)) >= pairs
+    item, place = item[enough[item]], place[enough[item]]
+    order = np.lexsort((place, item))
+    item, place = item[order], place[order]
+    # From each pair on, whether the last one that is needed is of the same item and near enough.
+    last = np.arange(len(item)) + pairs[item] - 1
+    near = np.flatnonzero(last < len(item))
+    near = near[item[last[near]] == item[near]]
+    span = 2 * block.lengths[item] - needed[item]
+    near = near[place[last[near]] - place[near] + np.minimum(SEED_WORDS, block.lengths[item[near]]) <= span[near]]
+    lows, highs = np.maximum(place[last[near]] + SEED_WORDS - span[near], 0), np.minimum(place[near] + span[near], len(numbers))
+    held = None
+    for i, a, b in zip(item[near].tolist(), np.minimum(lows, place[near]).tolist(), highs.tolist(), strict=True):
+        if held and held[0] == i and a <= held[2]:
+            held = (i, held[1], max(held[2], b))
+            continue
+        if held:
+            yield held[0], held[1], numbers[held[1] : held[2]]
+        held = (i, a, b)
+    if held:
+        yield held[0], held[1], numbers[held[1] : held[2]]
+
+
+def _best(block: Block, needed: np.ndarray, texts: list[str]) -> dict[tuple[int, int], tuple[int, int, int]]:
+    """Of each (text, item) that is found: the score in words, the first place, negative, and the end."""
+    asked: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+    for row, text in enumerate(texts):
+        for item, place, words in _windows(block, needed, text):
+            asked.setdefault(item, []).append((row, place, words))
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for item, own in asked.items():
+        own.sort(key=lambda x: len(x[2]))
+        while own:
+            n = max(1, min(len(own), CELLS // max(1, len(own[min(len(own), 256) - 1][2]))))
+            n = max(1, min(n, 256))
+            part, own = own[:n], own[n:]
+            for (row, place, _), s, a, b in zip(part, *align(block.items[item], [w for _, _, w in part]), strict=True):
+                if s >= needed[item]:
+                    found = (int(s), -(place + int(a)), place + int(b))
+                    best[row, item] = max(found, best.get((row, item), found))
+    return best
+
+
+def _scorer(block: Block, least: float):
+    needed = least_scores(block.lengths, least)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            asked: dict[int, list[tuple[int, int, np.ndarray]]] = {}
-            for row, text in enumerate(batch["text"]):
-                for item, place, words in _windows(block, seeds, text):
-                    asked.setdefault(item, []).append((row, place, words))
-            best: dict[tuple[int, int], tuple[float, int, int]] = {}
-            for item, own in asked.items():
-                own.sort(key=lambda x: len(x[2]))
-                while own:
-                    n = max(1, min(len(own), CELLS // max(1, len(own[min(len(own), 256) - 1][2]))))
-                    n = max(1, min(n, 256))
-                    part, own = own[:n], own[n:]
-                    for (row, place, _), s, a, b in zip(part, *align(block.items[item], [w for _, _, w in part]), strict=True):
-                        found = (s / len(block.items[item]), -(place + int(a)), place + int(b))
-                        best[row, item] = max(found, best.get((row, item), found))
-            out = [(batch["doc_id"].iloc[r], block.ids[i], s, -a, b) for (r, i), (s, a, b) in best.items() if s >= least]
+            best = _best(block, needed, batch["text"].tolist())
+            out = [(batch["doc_id"].iloc[r], block.ids[i], s / len(block.items[i]), -a, b) for (r, i), (s, a, b) in best.items()]
             frame = pd.DataFrame(out, columns=["doc_id", "item_id", "score", "first_word", "last_word"])
             yield frame.astype({"doc_id": "Int64", "item_id": "Int64"})
 
@@ -206,11 +211,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = FOUN
         block = block_of([tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()])
         if not block.items:
             continue
-        counts = documents.mapInPandas(_counter(block), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-        frequency = np.zeros(len(block.codes), np.int64)
-        for code, n in counts.collect():
-            frequency[code] = n
-        found = found.union(documents.mapInPandas(_scorer(block, seeds_of(block, frequency), least), _HITS))
+        found = found.union(documents.mapInPandas(_scorer(block, least), _HITS))
     return found
 
 

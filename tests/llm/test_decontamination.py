@@ -46,6 +46,35 @@ def test_a_passage_that_most_documents_hold(spark):
     assert plain(got.select("doc_id")) == sorted([(i,) for i in range(300)], key=repr)
 
 
+def test_an_edited_passage_in_many_documents(spark):
+    """Every fifth word changed, or a word put in behind every two: no matter how many documents have it, or the exact item."""
+    item = [f"w{i}" for i in range(40)]
+    changed = [w if i % 5 else "other" for i, w in enumerate(item)]
+    longer = [x for i in range(0, 40, 2) for x in (item[i], item[i + 1], "more")]
+    rows = [(i, f"a{i} " + " ".join(changed)) for i in range(300)] + [(300 + i, " ".join(longer) + f" b{i}") for i in range(20)]
+    rows += [(1000, " ".join(item)), (1001, "w0 w1 w2 w3 and no more"), (1002, " ".join(item[:19])), (1003, " ".join(item[:20]))]
+    got = d.contaminated(documents(spark, rows), items(spark, [(7, " ".join(item), None, None)]))
+    assert {r["doc_id"] for r in got.collect()} == {*range(320), 1000, 1003}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_windows_miss_no_alignment(seed):
+    """Random texts of few words: what is found is what plain Smith-Waterman over the whole text finds, whatever its length."""
+    rng = np.random.default_rng(seed)
+    rows = [(n, " ".join(f"w{x}" for x in rng.integers(0, 12, n))) for n in (1, 2, 3, 4, 5, 6, 9, 12, 17)]
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 14, n)) for n in rng.integers(0, 60, 150)]
+    for _, text in rows:
+        words = text.split()
+        for _ in range(30):
+            kinds = rng.choice(3, len(words), p=[0.7, 0.15, 0.15])
+            texts.append(" ".join([x, f"{x} w99", "w98"][k] for x, k in zip(words, kinds, strict=True)))
+    block = d.block_of(rows)
+    needed = d.least_scores(block.lengths, d.FOUND)
+    got = {k: v[0] for k, v in d._best(block, needed, texts).items()}
+    best = {(r, i): slow_best(item.split(), t.split()) for r, t in enumerate(texts) for i, (_, item) in enumerate(rows)}
+    assert got == {(r, i): s for (r, i), s in best.items() if s >= needed[i]} and len(got) > 100
+
+
 def test_blocks_change_nothing(spark):
     rows = items(spark, [(i, f"{PASSAGE} {i} " + " ".join(f"q{i * j}" for j in range(i))) for i in range(8)] and [(i, " ".join(f"q{i * j % 50}" for j in range(20)), None, None) for i in range(8)])
     docs = documents(spark, [(i, " ".join(f"q{i * j % 50}" for j in range(30))) for i in range(12)])
