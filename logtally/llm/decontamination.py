@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.llm.tables import text_of, without
+from logtally.llm.tables import rows_with, text_of
 from logtally.llm.words import mixed, split_words
 
 SEED_WORDS = 2
@@ -200,24 +200,40 @@ def _scorer(block: Block, least: float):
     return run
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = FOUND, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, item_id, score, first_word, last_word (end excluded) of every item found in a document."""
-    documents = text_of(documents)
+def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[Block]:
     items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(chars / 4 / block_words))
-    found = documents.sparkSession.createDataFrame([], _HITS)
     for k in range(blocks):
         block = block_of([tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()])
-        if not block.items:
-            continue
+        if block.items:
+            yield block
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, least: float = FOUND, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """doc_id, item_id, score, first_word, last_word (end excluded) of every item found in a document."""
+    documents = text_of(documents)
+    found = documents.sparkSession.createDataFrame([], _HITS)
+    for block in _blocks(benchmark, block_words):
         found = found.union(documents.mapInPandas(_scorer(block, least), _HITS))
     return found
 
 
+def _clean(block: Block, least: float):
+    needed = least_scores(block.lengths, least)
+
+    def keep(texts: list[str]) -> list[bool]:
+        rows = {row for row, _ in _best(block, needed, texts)}
+        return [row not in rows for row in range(len(texts))]
+
+    return keep
+
+
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no item is found, with all columns."""
-    return without(documents, contaminated(documents, benchmark).select("doc_id").distinct(), "doc_id")
+    """The documents in which no item is found, with all columns. Rows that share an id, or have none, are told apart."""
+    for block in _blocks(benchmark, BLOCK_WORDS):
+        documents = rows_with(documents, _clean(block, FOUND))
+    return documents
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

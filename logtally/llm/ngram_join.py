@@ -25,9 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from logtally.llm.tables import components, look_up, only, saved, text_of, without
 from logtally.llm.words import shingle_hashes, split_words
@@ -264,8 +266,8 @@ def _reachable(na: str, nb: str, ra: str, rb: str) -> str:
     return f"least({ra}, {rb}) * {s + t} >= {s} * ({na} + {nb})"
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id: the smallest id that links lead to."""
+def _placed(documents: DataFrame) -> DataFrame:
+    """doc_id, n, h1, h2, component_id of every row; h1 and h2 are its set's signature."""
     signed, sets = _classes(documents)
     found = connected(sets).withColumnRenamed("node", "cid")
     of_class = sets.select("cid", "h1", "h2", "low").join(found, "cid")
@@ -274,15 +276,40 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     classes = signed.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.count("*").alias("w"))
     classes = classes.join(of_class.select("h1", "h2", "component_id"), ["h1", "h2"], "left")
     classes = saved(classes.select("h1", "h2", "w", F.coalesce("component_id", "low").alias("component_id")), "classes")
-    rows = look_up(signed.where("n > 0"), classes, ["h1", "h2"], "w").select("doc_id", "n", "component_id")
-    rows = rows.union(signed.where("n = 0").select("doc_id", "n", "doc_id"))
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    rows = look_up(signed.where("n > 0"), classes, ["h1", "h2"], "w").select("doc_id", "n", "h1", "h2", "component_id")
+    return rows.union(signed.where("n = 0").select("doc_id", "n", "h1", "h2", "doc_id"))
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id: the smallest id that links lead to."""
+    return _placed(documents).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the signatures of their sets."""
+    for batch in batches:
+        marks = [_signature(shingle_hashes(split_words(t or ""))) for t in batch.column("text").to_pylist()]
+        own = [pa.array([m[i] for m in marks], pa.int64()) for i in range(2)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=[*batch.schema.names, "__h1", "__h2"])
 
 
 def keep_one(documents: DataFrame) -> DataFrame:
-    """One document of each component, that with the smallest id, with all columns; documents without words all stay."""
-    dropped = near_duplicates(documents).where("NOT doc_id <=> component_id").select("doc_id").distinct()
-    return without(documents, dropped, "doc_id")
+    """One document of each component, that with the smallest id, with all columns; documents without words all stay.
+
+    Of rows that share an id, or have none, those go whose own sets do.
+    """
+    rows = _placed(documents).groupBy("doc_id", "h1", "h2").agg(F.max(~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("gone"))
+    rows = saved(rows, "placed")
+    by_id = saved(rows.groupBy("doc_id").agg(F.max("gone").alias("some"), F.min("gone").alias("every")).where("some"), "gone")
+    left = without(documents, by_id.where("every"), "doc_id")
+    mixed = by_id.where("NOT every")
+    if mixed.isEmpty():
+        return left
+    schema = StructType([*documents.schema.fields, StructField("__h1", LongType()), StructField("__h2", LongType())])
+    gone = rows.where("gone").select(F.col("doc_id").alias("__gone"), F.col("h1").alias("__own1"), F.col("h2").alias("__own2"))
+    again = only(left, mixed, "doc_id").mapInArrow(_marked, schema)
+    again = again.join(gone, again["doc_id"].eqNullSafe(gone["__gone"]) & (again["__h1"] == gone["__own1"]) & (again["__h2"] == gone["__own2"]), "left_anti")
+    return without(left, mixed, "doc_id").unionByName(again.select(documents.columns))
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,6 +63,16 @@ def without(documents: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return _by_id(documents, ids, column, "left_anti")
 
 
+def rows_with(documents: DataFrame, keep: Callable[[list[str]], list[bool]]) -> DataFrame:
+    """The rows whose texts are kept, with all columns, each decided by its own text whatever its id. Null text counts as empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keep([t or "" for t in batch.column("text").to_pylist()]), pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of links (a, b), component being the smallest node it is connected with.
 

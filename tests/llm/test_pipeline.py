@@ -5,7 +5,9 @@ import pytest
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
+from logtally.llm import decontamination, ngram_join, quality
 from tests.conftest import TESTDATA
+from tests.llm.cases import PASSAGE, documents
 
 
 def test_stages_keep_columns_and_pieces_cover_what_is_left(spark):
@@ -38,3 +40,30 @@ def test_sql_gives_the_same_rows(spark, name):
     columns = sorted(want.columns)
     got = entry_points.queries()[name](spark, TESTDATA).select(*columns).collect()
     assert sorted(map(tuple, got)) == sorted(want.select(*columns).fetchall())
+
+
+CLEAN = [(None, "clean words without any id at all"), (5, "clean words that share their id with other ones"), (7, "one more clean text of its own")]
+
+
+def kept(df):
+    return sorted(((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()), key=repr)
+
+
+def test_a_contaminated_row_takes_no_other_row_along(spark):
+    rows = documents(spark, [(None, PASSAGE), (5, PASSAGE + " end"), (6, PASSAGE), *CLEAN])
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    assert kept(decontamination.drop_contaminated(rows, items)) == sorted(CLEAN, key=repr)
+
+
+def test_a_near_copy_takes_no_other_row_along(spark):
+    rows = documents(spark, [(3, PASSAGE), (None, PASSAGE + " a"), (5, PASSAGE + " b"), (6, PASSAGE), *CLEAN])
+    assert kept(ngram_join.keep_one(rows)) == sorted([(3, PASSAGE), *CLEAN], key=repr)
+
+
+def test_a_rejected_row_takes_no_other_row_along(spark):
+    bad = lambda i: " ".join(f"BUY{i}!! %%% $$$ X{i}!!" for _ in range(9))
+    good = lambda i: f"This is text number {i}, and it says what there is to say, calmly and in order."
+    rows = [(100 + i, good(i) if i % 2 else bad(i)) for i in range(60)]
+    labels = spark.createDataFrame([(100 + i, i % 2) for i in range(60)], "doc_id long, quality int")
+    rows = documents(spark, [*rows, (None, bad(61)), (5, bad(62)), (None, good(63)), (5, good(64))])
+    assert kept(quality.keep_good(rows, labels).where("doc_id IS NULL OR doc_id < 100")) == sorted([(None, good(63)), (5, good(64))], key=repr)
