@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from logtally.llm.centroids import OP11_SQL, op11_centroid_clustering
 from logtally.llm.chat import OP2_SQL, op2_chat_formatting
 from logtally.llm.decontamination import op7_benchmark_decontamination
 from logtally.llm.exact_dedup import OP1_SQL, op1_exact_dedup
@@ -28,6 +29,7 @@ _ALL = (
     op8_lm_scoring,
     op9_ngram_jaccard_join,
     op10_html_extraction,
+    op11_centroid_clustering,
 )
 
 
@@ -36,4 +38,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op2_chat_formatting": OP2_SQL, "op9_ngram_jaccard_join": OP9_SQL}
+    return {
+        "op1_exact_dedup": OP1_SQL,
+        "op2_chat_formatting": OP2_SQL,
+        "op9_ngram_jaccard_join": OP9_SQL,
+        "op11_centroid_clustering": OP11_SQL,
+    }
