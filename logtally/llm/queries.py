@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logtally.llm.centroids import OP11_SQL, op11_centroid_clustering
 from logtally.llm.chat import OP2_SQL, op2_chat_formatting
+from logtally.llm.conversation_repair import OP12_SQL, op12_conversation_repair
 from logtally.llm.decontamination import op7_benchmark_decontamination
 from logtally.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from logtally.llm.html_text import op10_html_extraction
@@ -17,6 +18,7 @@ from logtally.llm.packing import op5_packing
 from logtally.llm.private_data import op6_pii
 from logtally.llm.quality import op3_quality_classifier
 from logtally.llm.secrets import op4_secret_scans
+from logtally.llm.toxicity import op13_toxicity
 
 _ALL = (
     op1_exact_dedup,
@@ -30,6 +32,8 @@ _ALL = (
     op9_ngram_jaccard_join,
     op10_html_extraction,
     op11_centroid_clustering,
+    op12_conversation_repair,
+    op13_toxicity,
 )
 
 
@@ -43,4 +47,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_chat_formatting": OP2_SQL,
         "op9_ngram_jaccard_join": OP9_SQL,
         "op11_centroid_clustering": OP11_SQL,
+        "op12_conversation_repair": OP12_SQL,
     }

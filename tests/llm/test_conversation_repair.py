@@ -1,0 +1,163 @@
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+
+from logtally.llm import conversation_repair as r
+from tests.conftest import TESTDATA
+
+FULL = {"s": "system", "u": "user", "a": "assistant"}
+
+
+def brute(rows):
+    """(cost, audit, repaired) of (role, must go, broken) rows by trying every edit of every row; a state is the last role."""
+    best = {"": (0, "", ())}
+
+    def add(found, state, option):
+        if state not in found or option[:2] < found[state][:2]:
+            found[state] = option
+
+    def follows(state, role):
+        return (state, role) in {("", "s"), ("", "u"), ("s", "u"), ("u", "a"), ("a", "u")}
+
+    def step(states, options):
+        found = {}
+        for state, (c, a, out) in states.items():
+            for role, cost, letter, row in options:
+                if role is None:
+                    add(found, state, (c + cost, a + letter, out))
+                elif follows(state, role):
+                    add(found, role, (c + cost, a + letter, (*out, (role, row))))
+        return found
+
+    def inserted(states):
+        found = dict(states)
+        for _ in range(3):
+            for state, (c, a, out) in list(found.items()):
+                for role in "ua":
+                    if follows(state, role):
+                        add(found, role, (c + 3, a + "I", (*out, (role, None))))
+        return found
+
+    states = best
+    for i, (role, gone, broken) in enumerate(rows):
+        options = [(None, 4, "D", i)]
+        if not gone:
+            options += [(x, 3 + 3 * broken, "R", i) for x in "ua"]
+            if role[:1] in ("s", "u", "a"):
+                options.append((role[:1], 3 * broken, "K", i))
+        states = step(inserted(states), options)
+    ends = [v for k, v in inserted(states).items() if k in ("", "a")]
+    return min(ends, key=lambda v: v[:2])
+
+
+def symbol(role, gone, broken):
+    own = "sua".find(role[:1]) if role else -1
+    return 8 if gone else 2 * (own if own >= 0 else 3) + broken
+
+
+def test_there_are_few_vectors():
+    assert len(r._tables().vectors) < 200
+
+
+def test_letters_and_costs_by_trying_all_edits():
+    rng = random.Random(5)
+    for _ in range(3000):
+        rows = [(rng.choice(["system", "user", "assistant", "user", "assistant", "tool", ""]), rng.random() < 0.2, rng.random() < 0.3) for _ in range(rng.randrange(0, 12))]
+        cost, audit, _ = brute(rows)
+        symbols = bytes(symbol(*row) for row in rows)
+        cuts = sorted(rng.randrange(len(symbols) + 1) for _ in range(2))
+        pieces = [p for p in (symbols[: cuts[0]], symbols[cuts[0] : cuts[1]], symbols[cuts[1] :]) if p]
+        got, letters = r.cheapest(pieces)
+        assert (got, "".join(letters)) == (cost, audit), rows
+        assert all(len(x.replace("I", "")) == len(p) for x, p in zip(letters, pieces, strict=True))
+
+
+def expected(rows):
+    """Per conversation the report's columns, in plain Python, from rows (conv_id, turn, role, text) with faults already in."""
+    out = {}
+    for conv in {row[0] for row in rows}:
+        own = [(t, " " if role is None else role, " " if text is None else text) for c, t, role, text in rows if c == conv]
+        own.sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1], hashlib.sha256(x[2].encode()).digest()))
+        seen, faults = set(), []
+        for _, role, text in own:
+            rest = text.strip(" \t\n\x0b\f\r")
+            faults.append("blank" if not rest else "duplicate" if (role, text) in seen else "truncated" if rest[-1] not in ".!?" else "")
+            seen.add((role, text))
+        turns = [t for t, *_ in own if t is not None]
+        cost, audit, kept = brute([(role, f in ("blank", "duplicate"), f == "truncated") for (_, role, _), f in zip(own, faults, strict=True)])
+        lines = []
+        for role, i in kept:
+            text = "" if i is None else own[i][2]
+            given = FULL[role] if i is None or own[i][1][:1] != role else own[i][1]
+            lines.append(f"{given}:{text}")
+        initials = [role[:1] for _, role, _ in own]
+        out[conv] = (
+            max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, faults.count("blank"), faults.count("duplicate"), faults.count("truncated"),
+            sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:], strict=False)), cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest(),
+        )
+    return out
+
+
+def table(spark, rows):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return df.selectExpr("*", "1 AS digest", "2 AS n", "3 AS place", "4 AS kind", "5 AS seq", "6 AS letters", "7 AS fault", "8 AS copy")
+
+
+def report(df):
+    return {row[0]: tuple(row[1:]) for row in df.collect()}
+
+
+def awkward():
+    rng = random.Random(9)
+    texts = ["Hello.", "Why?", "no end", "", " \n\t", None, "Yes!", "An answer.  \n", "ends here … ", "Ünïcödé.", " ", "x" * 40_000 + "."]
+    roles = ["system", "user", "assistant", "user", "assistant", "tool", "", None, "User", "sudo"]
+    rows = [(rng.choice([1, 2, 3, 4, 5, None]), rng.choice([None, 0, 1, 1, 2, 3, 5, 9]), rng.choice(roles), rng.choice(texts)) for _ in range(150)]
+    # One conversation has most of the rows, and one row most of them again.
+    rows += [(6, i // 2, ("user", "assistant")[i % 2], f"text {i % 300}" + "." * (i % 5 > 0)) for i in range(900)]
+    rows += [(7, 4, "user", "again and again")] * 300 + [(8, None, "assistant", "alone")]
+    return rows
+
+
+@pytest.mark.parametrize("piece", [r.PIECE, 7])
+def test_awkward_tables_against_plain_python(spark, monkeypatch, piece):
+    monkeypatch.setattr(r, "PIECE", piece)
+    rows = awkward()
+    df = table(spark, rows).repartition(5)
+    ids = spark.createDataFrame([(i,) for i in (1, 1, 2, 3, 4, 5, 6, 7, 8, 99, None)], "conv_id long")
+    nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())
+    assert report(r.repair_report(ids, df)) == expected(rows) | {99: nothing}
+
+
+def test_repaired_rows_are_in_order(spark):
+    rows = [(1, 0, "assistant", "Hi."), (1, 1, "user", "A?"), (1, 2, "assistant", "B."), (2, 0, "user", "Cut"), (2, 0, "user", "Cut")]
+    turns = table(spark, rows)
+    audited = r.audits(turns)
+    assert {row["conv_id"]: (row["cost"], row["audit"]) for row in audited.collect()} == {1: (3, "IKKK"), 2: (8, "DD")}
+    got = [tuple(x) for x in r.repaired(turns, audited).orderBy("conv_id", "place").collect()]
+    assert [x for x in got if x[0] == 1] == [(1, 0, "user", ""), (1, 1, "assistant", "Hi."), (1, 2, "user", "A?"), (1, 3, "assistant", "B.")]
+
+
+def test_damage(spark):
+    rows = [(i, t, None if t else "user", "One. Two! Three?") for i in range(40) for t in (0, 1, None)]
+    want = []
+    for conv, turn, role, text in rows:
+        role = " " if role is None else role
+        fault = zlib.crc32(f"{conv}:{' ' if turn is None else turn}".encode()) % 20
+        text = {1: "", 2: re.sub("[.!?]", "", text)}.get(fault, text)
+        want += [(conv, turn, "user" if fault == 4 else role, text)] * {0: 0, 3: 2}.get(fault, 1)
+    got = [tuple(x) for x in r.damaged(table(spark, rows)).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and len({len(got), len(rows)}) == 2
+
+
+def test_empty(spark):
+    assert report(r.repair_report(table(spark, []), r.damaged(table(spark, [])))) == {}
+
+
+def test_given_data(spark):
+    rows = spark.read.parquet(f"{TESTDATA}/conversations.parquet")
+    nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())
+    every = {x["conv_id"]: nothing for x in rows.select("conv_id").distinct().collect()}
+    assert report(r.op12_conversation_repair(spark, TESTDATA)) == every | expected([tuple(x) for x in r.damaged(rows).collect()])
