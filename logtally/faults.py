@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 
 from logtally.operators import CountLedger
-from logtally.storage import Files
-from logtally.streaming.summary import finished_batches
+from logtally.operators.batches import BatchTable, Part
+from logtally.streaming import StopRequest
 
 INTERRUPTED = "interrupted on purpose"
 
@@ -20,27 +22,33 @@ def must(happened: bool, what: str) -> None:
         raise NotHappened(what)
 
 
-class InterruptedLedger(CountLedger):
-    """Dies once, after a batch is written and before Spark can note that it is done."""
+class WatchedLedger(CountLedger):
+    """Notes which batches it was asked to write, and whether it did."""
 
     def write_batch(self, counts: DataFrame, run_id: str, batch_id: int, *, replace: bool = True) -> bool:
         written = super().write_batch(counts, run_id, batch_id, replace=replace)
-        if batch_id == 1:
-            raise RuntimeError(INTERRUPTED)
+        self.__dict__.setdefault("asked", []).append((batch_id, written))
         return written
 
 
-class WatchedLedger(CountLedger):
-    """Notes which batches it was asked to write, and whether it did."""
+class InterruptedLedger(CountLedger):
+    """Dies after a batch is written and before Spark can note that it is done; ``dies_in`` says in which one."""
+
+    dies_in = 1
 
     def write_batch(self, counts: DataFrame, run_id: str, batch_id: int, *, replace: bool = True) -> bool:
         written = super().write_batch(counts, run_id, batch_id, replace=replace)
-        self.__dict__.setdefault("asked", []).append((batch_id, written))
+        if batch_id == self.dies_in:
+            raise RuntimeError(INTERRUPTED)
         return written
 
 
-def lose_last_commit(spark: SparkSession, checkpoint: str) -> int:
-    """Take away Spark's note that the last batch is done; returns that batch's id."""
-    last = max(finished_batches(spark, checkpoint))
-    Files(spark, checkpoint).delete(f"{checkpoint}/commits/{last}")
-    return last
+class StoppingTable(BatchTable):
+    """Asks for a stop once its second batch is written."""
+
+    stop: StopRequest | None = None
+
+    def write(self, rows: DataFrame, part: Part, order: Sequence[str] = ()) -> None:
+        super().write(rows, part, order)
+        if self.stop and part.last == 1:
+            self.stop.ask()

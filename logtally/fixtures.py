@@ -6,16 +6,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtally.plans.transactions import FIELD_COUNT, TRANSACTION_FIELDS
+from logtally.storage import Files
 
 APPLICATIONS = 50
 
 
-def event_lines(events: DataFrame) -> DataFrame:
-    """One line per event as ``value``; ``event_id`` stays beside it for splitting the lines into batches."""
+def event_lines(events: DataFrame, *others: Column) -> DataFrame:
+    """One line per event as ``value``; ``event_id`` stays beside it, as do others, for splitting the lines into batches."""
     # The text of a timestamp drops trailing zeros of its fraction; no session time zone is involved.
     written = F.col("ts").cast("string")
     millis = F.rpad(F.substring(written, 21, 3), 3, "0")
@@ -30,7 +31,7 @@ def event_lines(events: DataFrame) -> DataFrame:
     # A null part is an empty field; left out, it would move all that follow.
     parts = [F.coalesce(given.get(name, F.lit("")), F.lit("")) for name in TRANSACTION_FIELDS[: last + 1]]
     trailing = F.lit("|" * (FIELD_COUNT - 1 - last))
-    return events.select("event_id", F.concat(F.concat_ws("|", *parts), trailing).alias("value"))
+    return events.select("event_id", F.concat(F.concat_ws("|", *parts), trailing).alias("value"), *others)
 
 
 def stage_batches(spark: SparkSession, events_path: str, root: str, batches: int = 4) -> str:
@@ -44,14 +45,27 @@ def stage_batches(spark: SparkSession, events_path: str, root: str, batches: int
 def stage_slices(spark: SparkSession, events_path: str, root: str, slices: int = 4) -> tuple[str, float]:
     """Write the lines as text files in order of time, slice after slice; also returns a slice's length in seconds.
 
-    A file source reads older files first, so a stream over the folder is in order up to the length of a slice.
+    A file source reads older files first, so the files of a slice are made to look a second older than those of the next:
+    a stream over the folder is in order up to the length of a slice.
     """
     events = spark.read.parquet(events_path)
     seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
     first, last = events.agg(F.min(seconds), F.max(seconds)).first()
     first, last = first or 0, last or 0
     length = (last - first) / slices + 1
-    part = F.coalesce(F.floor((seconds - first) / length), F.lit(0))
-    for i in range(slices):
-        event_lines(events.where(part == i)).select("value").write.text(f"{root}/slice={i}")
+    part = F.coalesce(F.floor((seconds - first) / length), F.lit(0)).alias("slice")
+    event_lines(events, part).select("value", "slice").write.partitionBy("slice").text(root)
+    files = Files(spark, root)
+    now = files.modified_millis(root)
+    for name in files.children(root):
+        if name.startswith("slice="):
+            for file in files.children(f"{root}/{name}"):
+                files.set_modified(f"{root}/{name}/{file}", now - 1000 * (slices - int(name.removeprefix("slice="))))
     return root, length
+
+
+def stage_part(spark: SparkSession, events_path: str, root: str, part: int, parts: int, files: int = 1) -> int:
+    """Add the lines of every ``parts``-th event to a folder, as so many files; returns how many lines that is."""
+    events = spark.read.parquet(events_path).where(F.coalesce(F.pmod("event_id", F.lit(parts)), F.lit(0)) == part)
+    event_lines(events).select("value").repartition(files).write.mode("append").text(root)
+    return events.count()

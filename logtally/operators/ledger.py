@@ -1,84 +1,27 @@
-"""The cumulative summary as an append-only ledger of per-batch counts.
+"""The cumulative summary as per-batch counts that are added up when they are read.
 
-Folding a batch writes that batch's counts and nothing else, so its cost does not depend on how much has piled up, and
-writing the same batch again replaces it instead of adding to it. Totals are sums over what is there:
+Folding a batch writes that batch's counts, as a partition of its own, and nothing else. Its cost does not depend on how much
+has piled up, and writing the same batch again replaces it instead of adding to it. Totals are ``groupBy().sum()`` over what is
+there; a merge replaces many batches by their sum, ordered by group so that a filter on a day skips files and row groups.
 
-* ``batches/run_id=R/batch_id=N/``: the counts of one batch, complete once Spark has left ``_SUCCESS``;
-* ``merged/G-<unique>/``: a generation, counts of many batches added up, ordered by group so that filters on a group
-  column skip files and row groups;
-* ``manifests/G.json``: which generations are live and which batches they contain. The newest one rules;
-* ``columns.json``: the group and count columns and the whole spec they come from, so that nobody reads or adds what was
-  parsed, filtered or grouped in another way.
-
-A merge writes a new generation first and its manifest last; until then readers see the old state, and a merge that dies
-half-way leaves only files that nobody reads. Of two merges at once, the one that comes second to publish its manifest
-is dropped. Merged files go away in ``vacuum()``, not before.
+``ledger.json`` holds the ledger's own id, its columns and the whole spec they come from, so that nobody reads or adds what was
+parsed, filtered or grouped in another way.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import uuid
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from logtally.functions.counts import as_text, strict_count
+from logtally.operators.batches import BatchTable, Part
 from logtally.operators.summary import add_up
 from logtally.spec import SummarySpec
-from logtally.storage import Files, literal
-
-# A merge also takes in a generation that is at most this many times the size of what is being merged. Every row is
-# then rewritten only about log(total) times, while few generations remain to be added up by a reader.
-MERGE_FACTOR = 2
-
-_RUN_ID = re.compile(r"[A-Za-z0-9_.-]+")
-
-
-@dataclass(frozen=True)
-class Generation:
-    folder: str
-    size: int
-
-
-@dataclass
-class Manifest:
-    """Live generations, oldest first, and per run the batch ids in them as closed ranges."""
-
-    number: int = 0
-    generations: list[Generation] = field(default_factory=list)
-    merged: dict[str, list[tuple[int, int]]] = field(default_factory=dict)
-
-    def contains(self, run_id: str, batch_id: int) -> bool:
-        return any(low <= batch_id <= high for low, high in self.merged.get(run_id, ()))
-
-    def to_json(self) -> str:
-        return json.dumps(
-            {"generations": [[g.folder, g.size] for g in self.generations], "merged": self.merged}, sort_keys=True
-        )
-
-    @staticmethod
-    def from_json(number: int, text: str) -> Manifest:
-        data = json.loads(text)
-        return Manifest(
-            number,
-            [Generation(*pair) for pair in data["generations"]],
-            {run: [(low, high) for low, high in ranges] for run, ranges in data["merged"].items()},
-        )
-
-
-def add_to_ranges(ranges: Iterable[tuple[int, int]], ids: Iterable[int]) -> list[tuple[int, int]]:
-    """Closed ranges covering ``ranges`` and ``ids``, neighbours joined."""
-    joined: list[tuple[int, int]] = []
-    for low, high in sorted([*ranges, *((i, i) for i in ids)]):
-        if joined and low <= joined[-1][1] + 1:
-            joined[-1] = (joined[-1][0], max(joined[-1][1], high))
-        else:
-            joined.append((low, high))
-    return joined
+from logtally.storage import Files
 
 
 class CountLedger:
@@ -100,6 +43,7 @@ class CountLedger:
         self.count_column = count_column
         self.spec = spec
         self.files = Files(spark, self.path)
+        self.batches = BatchTable(spark, f"{self.path}/batches", self.counts_schema)
 
     @classmethod
     def for_spec(cls, spark: SparkSession, path: str, spec: SummarySpec) -> CountLedger:
@@ -115,193 +59,87 @@ class CountLedger:
     def write_batch(self, counts: DataFrame, run_id: str, batch_id: int, *, replace: bool = True) -> bool:
         """Store one batch's counts under its id, replacing an earlier attempt.
 
-        A batch that a merge has already taken in is left alone and reported as ``False``. So is one that is complete,
-        with ``replace=False``: where a replay brings the same counts, readers then never miss them in between.
+        A batch that a merge has already taken in is left alone and reported as ``False``. So is one that is there, with
+        ``replace=False``: where a replay brings the same counts, readers then never miss them in between.
         """
-        if not _RUN_ID.fullmatch(run_id):
-            raise ValueError(f"run ids are letters, digits, '_', '.' and '-', got {run_id!r}")
-        if batch_id < 0:
-            raise ValueError(f"batch ids start at 0, got {batch_id}")
-        self._check_columns(claim=True)
-        target = self._batch_path(run_id, batch_id)
-        if self.manifest().contains(run_id, batch_id) or (not replace and self.files.is_complete(target)):
+        self.claim()
+        own = Part(run_id, batch_id, batch_id)
+        there = [part for part in self.batches.parts() if part.spans(own) or part == own]
+        if any(part != own for part in there) or (there and not replace):
             return False
         # A count that is no number must fail here and not become a total that is too low.
         columns = [*self.keys, strict_count(self.count_column).alias(self.count_column)]
-        counts.select(*columns).write.mode("overwrite").parquet(target)
-        self.files.require_complete(target)
+        self.batches.write(counts.select(*columns), own)
         return True
 
     # Reading
 
     def batch_counts(self) -> DataFrame:
         """The unmerged batches as stored: ``run_id, batch_id, group..., count``."""
-        self._check_columns()
-        _, pending = self._snapshot()
-        ids = [StructField("run_id", StringType(), True), StructField("batch_id", LongType(), True)]
-        schema = StructType([*ids, *self.counts_schema.fields])
-        if not pending:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/batches")
-        return reader.parquet(*map(literal, pending.values())).select(*schema.fieldNames())
+        self._check()
+        single = [part for part in self.batches.live() if part.first == part.last]
+        return self.batches.read(single).select("run_id", "batch_id", *self.keys, self.count_column)
 
     def totals(self) -> DataFrame:
         """``group..., count`` with BIGINT counts. A filter on group columns reaches the parquet scan."""
-        self._check_columns()
-        manifest, pending = self._snapshot()
-        merged = [self._generation_path(generation.folder) for generation in manifest.generations]
-        paths = [*merged, *pending.values()]
-        if not paths:
-            return self.spark.createDataFrame([], self.counts_schema)
-        counts = self.spark.read.schema(self.counts_schema).parquet(*map(literal, paths))
-        # A generation has one row per group already.
-        return counts if paths == merged[:1] else add_up(counts, self.keys, self.count_column)
+        self._check()
+        live = self.batches.live()
+        counts = self.batches.read(live).select(*self.keys, self.count_column)
+        # A merged partition has one row per group already.
+        return counts if len(live) == 1 and live[0].first < live[0].last else add_up(counts, self.keys, self.count_column)
 
     def summary(self) -> DataFrame:
         """The totals as the summary table shows them: all text."""
         return self.totals().withColumn(self.count_column, as_text(self.count_column))
 
     def runs(self) -> set[str]:
-        """Every run that has put anything in here, complete or not."""
-        return {run_id for run_id, _ in self._batch_folders()} | set(self.manifest().merged)
+        """Every run that has put anything in here."""
+        return {part.run_id for part in self.batches.parts()}
 
-    def missing(self, run_id: str, batch_ids: Iterable[int]) -> list[int]:
-        """Those of a run's batches that are in here neither by themselves nor merged."""
-        manifest, pending = self._snapshot()
-        return [i for i in batch_ids if (run_id, i) not in pending and not manifest.contains(run_id, i)]
+    def last_batch(self, run_id: str) -> int | None:
+        return max((part.last for part in self.batches.parts() if part.run_id == run_id), default=None)
 
     # Upkeep
 
-    def compact(self, full: bool = False) -> int | None:
-        """Add up the complete batches, with the generations that are not much larger, into a new generation.
-
-        ``full`` takes in all generations. Returns the new manifest's number, or ``None`` if there was nothing to do or
-        another merge was faster.
-        """
-        self._check_columns()
-        manifest, pending = self._snapshot()
-        kept, taken = self._split_generations(manifest.generations, pending, full)
-        if not pending and len(taken) < 2:
-            return None
-        number = manifest.number + 1
-        folder = f"{number}-{uuid.uuid4().hex}"
-        sources = [*(self._generation_path(g.folder) for g in taken), *pending.values()]
-        self._write_merged(sources, self._generation_path(folder))
-        merged = dict(manifest.merged)
-        for run_id in {run for run, _ in pending}:
-            ids = [batch for run, batch in pending if run == run_id]
-            merged[run_id] = add_to_ranges(merged.get(run_id, ()), ids)
-        size = self.files.size(self._generation_path(folder))
-        newest = Manifest(number, [*kept, Generation(folder, size)], merged)
-        try:
-            self.files.publish(self._manifest_path(number), newest.to_json())
-        except FileExistsError:
-            self.files.delete(self._generation_path(folder))
-            return None
-        return number
-
-    def vacuum(self, keep_seconds: float = 0) -> None:
-        """Remove what the newest manifest no longer needs and what has been so since ``keep_seconds``.
+    def compact(self, full: bool = False, keep_seconds: float = 0) -> int:
+        """Add up each run's younger batches into one partition; ``full`` takes in older sums, too. Returns how many are new.
 
-        A reader that planned before the last merge must be done by then.
+        Batches that were added up ``keep_seconds`` ago are removed: readers of that time must be done by now. One process at
+        a time may do this for a ledger; the summary stream does it between two of its batches.
         """
-        manifest = self.manifest()
-        live = {generation.folder for generation in manifest.generations}
-        # The newest manifest made them redundant, so its age is the time they have been so at least.
-        if not manifest.number or self.files.age_seconds(self._manifest_path(manifest.number)) < keep_seconds:
-            return
-        for folder in self.files.children(f"{self.path}/merged"):
-            # A higher number belongs to a merge at work.
-            if folder not in live and int(folder.split("-")[0]) <= manifest.number:
-                self.files.delete(self._generation_path(folder))
-        for run_id, batch_id in self._batch_folders():
-            if manifest.contains(run_id, batch_id):
-                self.files.delete(self._batch_path(run_id, batch_id))
-        for number in self._manifest_numbers():
-            # The one before stays for a reader that has just seen it as the newest.
-            if number < manifest.number - 1:
-                self.files.delete(self._manifest_path(number))
+        self._check()
+        return len(self.batches.merge(self._summed, self.keys, full=full, keep_seconds=keep_seconds))
 
     def reset(self) -> None:
-        """Forget everything, as truncating the table would."""
+        """Forget everything, as truncating the table would. A checkpoint that has filled it is refused from now on."""
         self.files.delete(self.path)
 
-    # Layout
-
-    def manifest(self) -> Manifest:
-        number = self._newest_number()
-        return Manifest.from_json(number, self.files.read(self._manifest_path(number))) if number else Manifest()
-
-    def _newest_number(self) -> int:
-        return max(self._manifest_numbers(), default=0)
-
-    def _manifest_numbers(self) -> list[int]:
-        names = self.files.children(f"{self.path}/manifests")
-        return [int(name.removesuffix(".json")) for name in names if name[0].isdigit() and name.endswith(".json")]
-
-    def _batch_folders(self) -> list[tuple[str, int]]:
-        """Run and batch id of every batch folder, complete or not."""
-        root = f"{self.path}/batches"
-        runs = [name for name in self.files.children(root) if name.startswith("run_id=")]
-        return [
-            (run.removeprefix("run_id="), int(batch.removeprefix("batch_id=")))
-            for run in runs
-            for batch in self.files.children(f"{root}/{run}")
-            if batch.startswith("batch_id=")
-        ]
+    def _summed(self, rows: DataFrame) -> DataFrame:
+        """Sums first, so that what is put in order, and read twice for it, is one row per group and not per batch."""
+        return add_up(rows, self.keys, self.count_column)
 
-    def _snapshot(self) -> tuple[Manifest, dict[tuple[str, int], str]]:
-        """A manifest and the batches outside it, listed while it was the newest: a merge and a clean-up in between
-        would leave batches in neither."""
-        while True:
-            manifest = self.manifest()
-            pending = self._pending(manifest)
-            if self._newest_number() == manifest.number:
-                return manifest, pending
+    # What it is
 
-    def _check_columns(self, claim: bool = False) -> None:
-        """Refuse a ledger that was written with other columns; ``claim`` fixes them for a new one."""
-        path, own = f"{self.path}/columns.json", json.dumps(
-            {"keys": self.keys, "count": self.count_column, "spec": self.spec and self.spec.meaning()}, sort_keys=True
-        )
-        if claim and not self.files.exists(path):
+    def claim(self) -> str:
+        """This ledger's id; a new ledger gets one, with the columns and the spec it is for."""
+        path = f"{self.path}/ledger.json"
+        if not self.files.exists(path):
             try:
-                self.files.publish(path, own)
+                self.files.publish(path, json.dumps({"id": uuid.uuid4().hex, **self._meaning()}))
             except FileExistsError:
                 pass  # Another writer was first; what it wrote is compared below.
-        if self.files.exists(path) and self.files.read(path) != own:
-            raise ValueError(f"{self.path} holds {self.files.read(path)}, not {own}")
-
-    def _pending(self, manifest: Manifest) -> dict[tuple[str, int], str]:
-        """Complete batches outside every generation, by run and batch."""
-        found = {batch: self._batch_path(*batch) for batch in self._batch_folders() if not manifest.contains(*batch)}
-        return {batch: path for batch, path in found.items() if self.files.is_complete(path)}
-
-    def _split_generations(
-        self, generations: list[Generation], pending: dict[tuple[str, int], str], full: bool
-    ) -> tuple[list[Generation], list[Generation]]:
-        """Older generations to keep and younger ones to merge with the pending batches."""
-        if full:
-            return [], list(generations)
-        size = sum(self.files.size(path) for path in pending.values())
-        keep = len(generations)
-        while keep and generations[keep - 1].size <= MERGE_FACTOR * size:
-            keep -= 1
-            size += generations[keep].size
-        return list(generations[:keep]), list(generations[keep:])
-
-    def _write_merged(self, sources: list[str], target: str) -> None:
-        """Sums first, so that what is put in order, and read twice for it, is one row per group and not per batch."""
-        counts = self.spark.read.schema(self.counts_schema).parquet(*map(literal, sources))
-        summed = add_up(counts, self.keys, self.count_column)
-        ranged = summed.repartitionByRange(*self.keys)
-        ranged.sortWithinPartitions(*self.keys).write.mode("overwrite").parquet(target)
-
-    def _manifest_path(self, number: int) -> str:
-        return f"{self.path}/manifests/{number:010d}.json"
-
-    def _generation_path(self, folder: str) -> str:
-        return f"{self.path}/merged/{folder}"
-
-    def _batch_path(self, run_id: str, batch_id: int) -> str:
-        return f"{self.path}/batches/run_id={run_id}/batch_id={batch_id}"
+        self._check()
+        return json.loads(self.files.read(path))["id"]
+
+    def _meaning(self) -> dict:
+        given = {"keys": self.keys, "count": self.count_column, "spec": self.spec and self.spec.meaning()}
+        return json.loads(json.dumps(given))
+
+    def _check(self) -> None:
+        """Refuse a ledger that was written with other columns."""
+        path = f"{self.path}/ledger.json"
+        if self.files.exists(path):
+            found = json.loads(self.files.read(path))
+            found.pop("id")
+            if found != self._meaning():
+                raise ValueError(f"{self.path} holds {found}, not {self._meaning()}")

@@ -1,10 +1,8 @@
 """The summary as a catalog table that SQL users can select from.
 
-The table is external and its location is a version folder of a name of its own. Replacing the content writes a new
-folder, publishes its name under the next number, and points the table at it, a change of metadata only, so there is no
-moment at which the table is empty or half written. What counts is the published number: a folder that was not
-published is never read, and a table whose catalog entry is missing or behind is pointed at what was published last.
-Of two writers at once, the second to publish fails and its content is dropped; it may try again on the new content.
+The table is external. New content is staged in a folder of its own, and once it is whole the catalog is told to look there,
+a change of metadata only: at no moment is the table empty or half written, and what died half-way is never read. The folder
+before stays until the next change, for queries that are still reading it. One process at a time may change the table.
 """
 
 from __future__ import annotations
@@ -34,13 +32,11 @@ class SummaryTable:
         return ".".join(_quoted(part) for part in self.name.split("."))
 
     def create(self) -> None:
-        """Create the table if it does not exist, and point it at the version that was published last."""
-        columns = ", ".join(f"{_quoted(name)} STRING" for name in self.spec.output_columns)
-        if not self._published():
-            self._publish(1, self._write_version(self.spark.createDataFrame([], self.spec.summary_schema())))
-        location = self._location(self._published()[-1])
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._sql_name} ({columns}) USING parquet LOCATION {location}")
-        self._point()
+        """Create the table, empty, if it does not exist."""
+        if not self.spark.catalog.tableExists(self.name):
+            columns = ", ".join(f"{_quoted(name)} STRING" for name in self.spec.output_columns)
+            folder = self._staged(self.spark.createDataFrame([], self.spec.summary_schema()))
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self._sql_name} ({columns}) USING parquet LOCATION {_text(folder)}")
 
     def read(self) -> DataFrame:
         """``SELECT *``."""
@@ -63,34 +59,21 @@ class SummaryTable:
 
     def fold(self, counts: DataFrame) -> None:
         """Add one batch's counts to the totals. For a stream use the ledger: this rewrites the table each time."""
-        self._point()
-        before = self._published()[-1]
-        self._swap(before, recount(self.read().unionByName(self._as_rows(counts)), self.spec))
+        self.replace(recount(self.read().unionByName(self._as_rows(counts)), self.spec))
 
     def publish(self, ledger: CountLedger) -> None:
         """Replace the content with the ledger's totals."""
         self.replace(ledger.summary())
 
     def replace(self, counts: DataFrame) -> None:
-        """Swap in new content. The version before is kept for queries that are still reading it."""
-        before = self._published()[-1]
-        self._swap(before, self._as_rows(counts))
-
-    def _swap(self, before: int, rows: DataFrame) -> None:
-        folder = self._write_version(rows)
-        try:
-            self._publish(before + 1, folder)
-        except FileExistsError:
-            self.files.delete(f"{self.root}/{folder}")
-            raise ReplacedMeanwhile(f"{self.name}: somebody else has replaced version {before}") from None
-        self._point()
-        kept = {self._folder(number) for number in (before, before + 1)}
-        old = {self._folder(number) for number in self._published() if number < before} - kept
-        for name in old:
-            self.files.delete(f"{self.root}/{name}")
-        for number in self._published():
-            if number < before:
-                self.files.delete(self._pointer(number))
+        """Stage new content, then swap it in."""
+        before = self._location()
+        after = self._staged(self._as_rows(counts))
+        self.spark.sql(f"ALTER TABLE {self._sql_name} SET LOCATION {_text(after)}")
+        self.spark.catalog.refreshTable(self._sql_name)
+        for name in self.files.children(self.root):
+            if name not in (before.rsplit("/", 1)[1], after.rsplit("/", 1)[1]):
+                self.files.delete(f"{self.root}/{name}")
 
     def truncate(self) -> None:
         self.replace(self.spark.createDataFrame([], self.spec.summary_schema()))
@@ -103,39 +86,19 @@ class SummaryTable:
     def _as_rows(self, counts: DataFrame) -> DataFrame:
         return counts.select(*[as_text(F.col(_quoted(name))).alias(name) for name in self.spec.output_columns])
 
-    def _published(self) -> list[int]:
-        """Numbers of the published versions, oldest first."""
-        names = self.files.children(f"{self.root}/published")
-        return sorted(int(name.removesuffix(".txt")) for name in names if name[0].isdigit() and name.endswith(".txt"))
-
-    def _publish(self, number: int, folder: str) -> None:
-        self.files.publish(self._pointer(number), folder)
-
-    def _write_version(self, rows: DataFrame) -> str:
-        folder = f"version-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.root}/{folder}")
-        self.files.require_complete(f"{self.root}/{folder}")
+    def _staged(self, rows: DataFrame) -> str:
+        folder = f"{self.root}/content-{uuid.uuid4().hex}"
+        rows.write.parquet(folder)
         return folder
 
-    def _point(self) -> None:
-        """Let the catalog's entry follow what was published last."""
-        self.spark.sql(f"ALTER TABLE {self._sql_name} SET LOCATION {self._location(self._published()[-1])}")
-        self.spark.catalog.refreshTable(self._sql_name)
-
-    def _folder(self, number: int) -> str:
-        return self.files.read(self._pointer(number))
-
-    def _pointer(self, number: int) -> str:
-        return f"{self.root}/published/{number:010d}.txt"
-
-    def _location(self, number: int) -> str:
-        """As a SQL text literal."""
-        path = f"{self.root}/{self._folder(number)}".replace("\\", "\\\\").replace("'", "\\'")
-        return f"'{path}'"
+    def _location(self) -> str:
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self._sql_name}")
+        return described.where("col_name = 'Location'").first()["data_type"].rstrip("/")
 
 
-class ReplacedMeanwhile(RuntimeError):
-    """Another writer's content was published first; nothing of this one's is in the table."""
+def _text(path: str) -> str:
+    """As a SQL text literal."""
+    return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def append_all(spark: SparkSession, view: str, table: str) -> None:

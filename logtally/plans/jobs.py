@@ -13,14 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from logtally.operators.batches import BatchTable, Part
 from logtally.operators.ledger import CountLedger
 from logtally.operators.records import keep, parse
 from logtally.operators.summary import count_groups
+from logtally.functions.delimited import cut
 from logtally.plans.transactions import DAILY_SUMMARY, sms_mo_records
 from logtally.spec import SummarySpec
-from logtally.streaming.sinks import start_parquet_sink, start_preview
+from logtally.streaming.sinks import start_fan_out, start_parquet_sink, start_preview
 from logtally.streaming.starting import INTERVAL_SECONDS, StopRequest
-from logtally.streaming.summary import COMPACT_EVERY, start_summary
+from logtally.streaming.summary import COMPACT_EVERY, bound_run, start_summary
 
 
 def keep_summary(
@@ -85,3 +87,29 @@ def store_and_show_records(
         records, show=show, checkpoint=show_checkpoint, interval_seconds=interval_seconds, pool=pools[1]
     )
     return stored, shown
+
+
+def store_and_count_records(
+    lines: DataFrame,
+    records: BatchTable,
+    ledger: CountLedger,
+    checkpoint: str,
+    *,
+    interval_seconds: float | None = INTERVAL_SECONDS,
+    stop: StopRequest | None = None,
+) -> StreamingQuery:
+    """The filtered projection into a table of batches and its daily counts into a ledger, from one reading of the source.
+
+    Both take a batch that is repeated as the one they have.
+    """
+    run_id = bound_run(ledger, checkpoint)
+    fields = {field.name: field for field in DAILY_SUMMARY.fields}
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        records.write(batch, Part(run_id, batch_id, batch_id))
+
+    def count(batch: DataFrame, batch_id: int) -> None:
+        keys = batch.select(*[cut(batch[name], fields[name]).alias(name) for name in DAILY_SUMMARY.group_by])
+        ledger.write_batch(count_groups(keys, DAILY_SUMMARY), run_id, batch_id, replace=False)
+
+    return start_fan_out(sms_mo_records(lines), [store, count], checkpoint, interval_seconds=interval_seconds, stop=stop)

@@ -9,12 +9,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
-from logtally.faults import INTERRUPTED, InterruptedLedger, WatchedLedger, lose_last_commit, must
-from logtally.fixtures import event_lines, stage_batches, stage_slices
+from logtally.faults import INTERRUPTED, InterruptedLedger, StoppingTable, WatchedLedger, must
+from logtally.fixtures import event_lines, stage_batches, stage_part, stage_slices
+from logtally.functions import create_parse_function
 from logtally.functions.delimited import decode_value
 from logtally.operators import (
     CountLedger,
+    RunningCounts,
     SummaryTable,
     append_all,
     keep,
@@ -32,11 +35,28 @@ from logtally.plans import (
     record_spec,
     sms_mo_records,
 )
-from logtally.plans.jobs import show_batch_counts, store_and_show_records
-from logtally.sources import read_lines, stream_lines
+from logtally.operators.batches import BatchTable
+from logtally.operators.summary import count_groups
+from logtally.plans.jobs import show_batch_counts, store_and_count_records, store_and_show_records
+from logtally.sources import read_lines, starting_point, stream_lines
 from logtally.storage import Files, fresh_dir
-from logtally.streaming import BatchMetrics, StopRequest, daily_counts, start_archive, start_parquet_sink, start_summary
-from logtally.streaming.summary import LedgerInUse, checkpoint_id
+from logtally.streaming import (
+    BatchMetrics,
+    Pace,
+    StopRequest,
+    daily_counts,
+    run_paced,
+    start_archive,
+    start_parquet_sink,
+    start_running_count,
+    start_state_summary,
+    start_stored_batches,
+    start_summary,
+    stored_rows,
+    without_redelivered,
+)
+from logtally.streaming import state_summary as read_state_summary
+from logtally.streaming.summary import LedgerInUse
 
 BATCHES = 4
 
@@ -176,12 +196,12 @@ def cumulative_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compacted_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merge, add a batch, replay a merged one, read both parts."""
+    """Merge, add a batch, replay a merged one, merge again, read both parts."""
     ledger = _ledger(spark)
     _append_staged_batches(spark, sf_dir, ledger, range(BATCHES - 1))
-    ledger.compact()
-    ledger.vacuum()
+    must(ledger.compact() == 1, "nothing was merged")
     _append_staged_batches(spark, sf_dir, ledger, range(BATCHES - 2, BATCHES))
+    ledger.compact()
     return ledger.summary()
 
 
@@ -243,12 +263,10 @@ def stream_file_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.summary()
 
 
-def restart_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream that dies between writing a batch and committing it, and is started again."""
-    ledger = _ledger(spark)
-    checkpoint = fresh_dir(spark, "checkpoint")
-    lines = _file_stream(spark, sf_dir)
+def _die_in(spark: SparkSession, lines: DataFrame, ledger: CountLedger, checkpoint: str, batch: int) -> None:
+    """Run a summary stream up to the moment when a batch is written and Spark has not noted it."""
     doomed = InterruptedLedger.for_spec(spark, ledger.path, DAILY_SUMMARY)
+    doomed.dies_in = batch
     died = False
     try:
         _finish(start_summary(lines, DAILY_SUMMARY, doomed, checkpoint, interval_seconds=None))
@@ -257,19 +275,28 @@ def restart_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
             raise
         died = True
     must(died, "the stream was not interrupted")
+
+
+def restart_from_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that dies between writing a batch and committing it, and is started again."""
+    ledger = _ledger(spark)
+    checkpoint = fresh_dir(spark, "checkpoint")
+    lines = _file_stream(spark, sf_dir)
+    _die_in(spark, lines, ledger, checkpoint, 1)
     _finish(start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None))
     return ledger.summary()
 
 
 def replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A finished stream whose last commit mark is lost, so that Spark runs the last batch again."""
+    """A stream that dies with its last batch written and merged: Spark runs that batch again, and it is left alone."""
     ledger = WatchedLedger.for_spec(spark, fresh_dir(spark, "ledger"), DAILY_SUMMARY)
     checkpoint = fresh_dir(spark, "checkpoint")
     lines = _file_stream(spark, sf_dir)
+    last = BATCHES - 1
+    _die_in(spark, lines, ledger, checkpoint, last)
+    must(ledger.compact() == 1, "nothing was merged")
     _finish(start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None))
-    last = lose_last_commit(spark, checkpoint)
-    _finish(start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None))
-    must(ledger.asked.count((last, False)) == 1, f"batch {last} was not replayed")
+    must(ledger.asked.count((last, False)) == 1, f"batch {last} was not replayed: {ledger.asked}")
     return ledger.summary()
 
 
@@ -324,8 +351,7 @@ def rate_limited_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         _finish(query)
         batches = [rows for _, _, rows, *_ in metrics.rows(query) if rows]
     must(len(batches) >= 2 and max(batches) < sum(batches), f"the limit did not cut the input: {batches}")
-    run = checkpoint_id(spark, checkpoint)
-    return recount(ledger.batch_counts().where(F.col("run_id") == run), DAILY_SUMMARY)
+    return recount(ledger.batch_counts(), DAILY_SUMMARY)
 
 
 def stream_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -398,6 +424,155 @@ def watermarked_app_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stateful_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts from a query that is stopped between two batches and loads its state from the checkpoint."""
+    folder, length = stage_slices(spark, _events_path(sf_dir), fresh_dir(spark, "slices"), BATCHES)
+    must(length < WATERMARK_DAYS * 86_400, f"a slice of {length} s is longer than the delay")
+    checkpoint = fresh_dir(spark, "checkpoint")
+    table = StoppingTable(spark, fresh_dir(spark, "app_counts"), StructType.fromDDL("day string, app_id string, count long"))
+
+    def run(stop: StopRequest) -> list[tuple[int, int, int]]:
+        records = keep(parse(stream_lines(spark, folder, max_files_per_trigger=1), MILLISECOND_SUMMARY), MILLISECOND_SUMMARY.where)
+        with BatchMetrics(spark) as metrics:
+            counts = daily_counts(records, f"{WATERMARK_DAYS} days")
+            query = start_stored_batches(counts, table, checkpoint, interval_seconds=None, stop=stop)
+            stop.wait()
+            return metrics.state_rows(query)
+
+    table.stop = StopRequest()
+    run(table.stop)
+    stored = table.parts()
+    must(2 <= len(stored) <= 3, f"the stream did not stop between two batches: {stored}")
+    table.stop = None
+    states = run(StopRequest())
+    # State that a batch has not made itself was there before it.
+    must(bool(states) and states[0][0] > 0 and states[0][1] > states[0][2], f"no state was loaded: {states}")
+    return stored_rows(table)
+
+
+def redelivered_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a stream in which a slice of time is delivered twice."""
+    folder, length = stage_slices(spark, _events_path(sf_dir), fresh_dir(spark, "slices"), BATCHES)
+    must(length < WATERMARK_DAYS * 86_400, f"a slice of {length} s is longer than the delay")
+    files = Files(spark, folder)
+    # The second slice comes again behind it, in files of its own; the next one waits.
+    read_lines(spark, f"{folder}/slice=1").write.text(f"{folder}/slice=1/again")
+    then = files.modified_millis(f"{folder}/slice=2/{files.children(f'{folder}/slice=2')[-1]}")
+    for name in files.children(f"{folder}/slice=1/again"):
+        files.set_modified(f"{folder}/slice=1/again/{name}", then - 500)
+    spec = record_spec("id", "time_stamp", "app_id", "channel_type", "travel_direction", where=MILLISECOND_SUMMARY.where)
+    lines = stream_lines(spark, folder, max_files_per_trigger=1)
+    records = without_redelivered(keep(parse(lines, spec), spec.where), f"{WATERMARK_DAYS} days")
+    kept = BatchTable(spark, fresh_dir(spark, "records"), StructType.fromDDL("id string, time_stamp string, app_id string"))
+    with BatchMetrics(spark) as metrics:
+        query = start_stored_batches(records, kept, fresh_dir(spark, "checkpoint"), interval_seconds=None)
+        _finish(query)
+        rows = metrics.rows(query)
+    must(sum(row[-2] for row in rows) > 0, "nothing was delivered twice")
+    must(not any(row[-1] for row in rows), "rows came behind the watermark")
+    return count_groups(stored_rows(kept).withColumn("time_stamp", F.substring("time_stamp", 1, 10)), DAILY_SUMMARY)
+
+
+def running_app_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per application since the stream began, those of the earliest days coming last."""
+    folder, _ = stage_slices(spark, _events_path(sf_dir), fresh_dir(spark, "slices"), BATCHES)
+    files = Files(spark, folder)
+    newest = files.modified_millis(folder)
+    for i in range(BATCHES):
+        for name in files.children(f"{folder}/slice={i}"):
+            files.set_modified(f"{folder}/slice={i}/{name}", newest - 1000 * i)
+    records = keep(parse(stream_lines(spark, folder, max_files_per_trigger=1), MILLISECOND_SUMMARY), MILLISECOND_SUMMARY.where)
+    counts = RunningCounts(spark, fresh_dir(spark, "app_counts"), ["app_id"])
+    with BatchMetrics(spark) as metrics:
+        query = start_running_count(records, counts, fresh_dir(spark, "checkpoint"), interval_seconds=None, compact_every=3)
+        _finish(query)
+        rows = metrics.rows(query)
+    must(sum(1 for row in rows if row[2]) >= BATCHES, f"not {BATCHES} batches with data")
+    return counts.current()
+
+
+def state_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals that Spark keeps in the query's state, read from its checkpoint; the query is stopped once on the way."""
+    checkpoint = fresh_dir(spark, "checkpoint")
+    lines = _file_stream(spark, sf_dir)
+    stop = StopRequest()
+    stop.ask()
+    start_state_summary(lines, DAILY_SUMMARY, checkpoint, interval_seconds=None, stop=stop)
+    stop.wait()
+    _finish(start_state_summary(lines, DAILY_SUMMARY, checkpoint, interval_seconds=None))
+    return read_state_summary(spark, checkpoint, DAILY_SUMMARY)
+
+
+def new_files_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are there before the first start add nothing; those that come later count, also while it is down."""
+    folder, checkpoint, ledger = fresh_dir(spark, "lines"), fresh_dir(spark, "checkpoint"), _ledger(spark)
+    path = _events_path(sf_dir)
+    must(stage_part(spark, path, folder, 0, BATCHES) > 0, "no files before the start")
+    for part in range(1, BATCHES):
+        since = starting_point(spark, checkpoint)
+        lines = stream_lines(spark, folder, max_files_per_trigger=1, since_millis=since)
+        _finish(start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None))
+        if part == 1:
+            must(ledger.totals().isEmpty(), "files from before the start were counted")
+        stage_part(spark, path, folder, part, BATCHES)
+    lines = stream_lines(spark, folder, since_millis=starting_point(spark, checkpoint))
+    _finish(start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None))
+    return ledger.summary()
+
+
+def paced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs whose byte limit goes by the time that batches take: far below the target, so it grows up to its cap."""
+    folder, checkpoint, ledger = fresh_dir(spark, "lines"), fresh_dir(spark, "checkpoint"), _ledger(spark)
+    path = _events_path(sf_dir)
+    stage_part(spark, path, folder, 0, BATCHES, 8)
+    files = Files(spark, folder)
+    one = max(files.size(f"{folder}/{name}") for name in files.children(folder) if name.startswith("part-"))
+    pace = Pace(3600, one, 3 * one)
+    start = lambda limit, stop: start_summary(
+        stream_lines(spark, folder, max_bytes_per_trigger=limit), DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None, stop=stop
+    )
+    limits, most = [], []
+    for part in range(1, BATCHES + 1):
+        limits.append(pace.limit)
+        most.append(max(rows for _, rows, _ in run_paced(spark, pace, start)))
+        if part < BATCHES:
+            stage_part(spark, path, folder, part, BATCHES, 8)
+    must(limits[0] < limits[1] < limits[2] == limits[3] == 3 * one, f"the limit did not go up to its cap: {limits}")
+    must(most[0] < most[1] < most[2], f"batches did not grow: {most}")
+    return ledger.summary()
+
+
+def fan_out_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One query stores the records and folds their counts; the source is read once for both."""
+    ledger = _ledger(spark)
+    spec = record_spec("id", "sp_id", "app_id", "time_stamp")
+    records = BatchTable(spark, fresh_dir(spark, "records"), spec.record_schema())
+    with BatchMetrics(spark) as metrics:
+        query = store_and_count_records(
+            _file_stream(spark, sf_dir), records, ledger, fresh_dir(spark, "checkpoint"), interval_seconds=None
+        )
+        _finish(query)
+        read = sum(row[2] for row in metrics.rows(query))
+    events = spark.read.parquet(_events_path(sf_dir)).count()
+    must(read == events, f"{read} input rows for {events} lines")
+    stored = stored_rows(records)
+    counts = count_groups(stored.withColumn("time_stamp", F.substring("time_stamp", 1, 10)), DAILY_SUMMARY)
+    must(counts.exceptAll(ledger.totals()).isEmpty() and ledger.totals().exceptAll(counts).isEmpty(), "the sinks differ")
+    return stored
+
+
+def sql_parse_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parse rules as a table function in SQL."""
+    view, function = _view_name("lines"), _view_name("parse")
+    _lines(spark, sf_dir).createOrReplaceTempView(view)
+    create_parse_function(spark, MILLISECOND_SUMMARY, function)
+    try:
+        return spark.sql(f"SELECT p.* FROM {view} AS l, LATERAL {function}(l.value) AS p WHERE l.value IS NOT NULL")
+    finally:
+        spark.sql(f"DROP TEMPORARY FUNCTION {function}")
+        spark.catalog.dropTempView(view)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         parse_delimited,
@@ -429,6 +604,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         previewed_batches,
         raw_archive,
         watermarked_app_count,
+        stateful_restart,
+        redelivered_records,
+        running_app_count,
+        state_summary,
+        new_files_only,
+        paced_stream,
+        fan_out_once,
+        sql_parse_function,
     ]
     return {query.__name__: query for query in listed}
 
@@ -467,6 +650,11 @@ SELECT day AS time_stamp, app_id, count(*) AS "count" FROM m WHERE {_SMS_MO} GRO
 SELECT day AS time_stamp, app_id, CAST(count(*) AS VARCHAR) AS "count" FROM m WHERE {_SMS_MO} GROUP BY day, app_id"""
     projected = f"{_RECORDS} SELECT id, sp_id, app_id, time_stamp FROM m WHERE {_SMS_MO}"
     fields = "time_stamp, app_id, channel_type, travel_direction"
+    closed_days = f"""{_RECORDS},
+kept AS (SELECT * FROM m WHERE {_SMS_MO}),
+mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL {WATERMARK_DAYS} DAY AS closed_until FROM kept)
+SELECT day, app_id, count(*) AS "count" FROM kept, mark
+WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= closed_until GROUP BY day, app_id"""
     return {
         "parse_delimited": f"{_RECORDS} SELECT id, {fields}, ' ' AS col_60 FROM m",
         "select_fields": f"{_RECORDS} SELECT {fields} FROM m",
@@ -499,9 +687,15 @@ FROM m WHERE {_SMS_MO} GROUP BY event_id % {BATCHES}, day, app_id""",
         "stream_parquet_sink": projected,
         "fan_out_sinks": projected,
         "raw_archive": f"{_RECORDS} SELECT id FROM m",
-        "watermarked_app_count": f"""{_RECORDS},
-kept AS (SELECT * FROM m WHERE {_SMS_MO}),
-mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL {WATERMARK_DAYS} DAY AS closed_until FROM kept)
-SELECT day, app_id, count(*) AS "count" FROM kept, mark
-WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= closed_until GROUP BY day, app_id""",
+        "watermarked_app_count": closed_days,
+        "stateful_restart": closed_days,
+        "redelivered_records": counted,
+        "running_app_count": f"""{_RECORDS} SELECT app_id, count(*) AS "count" FROM m WHERE {_SMS_MO} GROUP BY app_id""",
+        "state_summary": cumulative,
+        "new_files_only": f"""{_RECORDS}
+SELECT day AS time_stamp, app_id, CAST(count(*) AS VARCHAR) AS "count" FROM m
+WHERE {_SMS_MO} AND event_id % {BATCHES} != 0 GROUP BY day, app_id""",
+        "paced_stream": cumulative,
+        "fan_out_once": projected,
+        "sql_parse_function": f"{_RECORDS} SELECT {fields} FROM m",
     }

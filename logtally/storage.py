@@ -66,18 +66,16 @@ class Files:
             return []
         return sorted(status.getPath().getName() for status in self._fs.listStatus(self._path(folder)))
 
-    def age_seconds(self, path: str) -> float:
-        """Since the last change, by the store's clock and this driver's."""
-        return time.time() - self._fs.getFileStatus(self._path(path)).getModificationTime() / 1000
+    def modified_millis(self, path: str) -> int:
+        """Of the last change, by the store's clock."""
+        return self._fs.getFileStatus(self._path(path)).getModificationTime()
 
-    def is_complete(self, folder: str) -> bool:
-        """Whether a Spark write into this folder has finished."""
-        return self.exists(f"{folder}/_SUCCESS")
+    def set_modified(self, path: str, millis: int) -> None:
+        self._fs.setTimes(self._path(path), millis, -1)
 
-    def require_complete(self, folder: str) -> None:
-        """Readers tell a finished write by Spark's marker, which a cluster may have switched off."""
-        if not self.is_complete(folder):
-            raise RuntimeError(f"no _SUCCESS in {folder}: set mapreduce.fileoutputcommitter.marksuccessfuljobs=true")
+    def age_seconds(self, path: str) -> float:
+        """Since the last change, by the store's clock and this driver's."""
+        return time.time() - self.modified_millis(path) / 1000
 
     def size(self, path: str) -> int:
         return self._fs.getContentSummary(self._path(path)).getLength()
@@ -111,5 +109,9 @@ class Files:
             self._fs.delete(self._path(hidden), False)
             raise FileExistsError(path)
 
+    def rename(self, path: str, target: str) -> None:
+        self._fs.mkdirs(self._path(target).getParent())
+        self._fs.rename(self._path(path), self._path(target))
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)

@@ -67,6 +67,10 @@ class StopRequest:
         """Ask for the stop; also fits as a signal handler."""
         self._asked.set()
 
+    @property
+    def asked(self) -> bool:
+        return self._asked.is_set()
+
     def on_signal(self, number: int = signal.SIGTERM) -> None:
         """Ask for the stop when the process gets this signal. Only the main thread can set this up."""
         signal.signal(number, self.ask)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -26,17 +27,26 @@ class LedgerInUse(RuntimeError):
     """Ledger and checkpoint don't belong together: one of them has batches that the other lacks."""
 
 
-def checkpoint_id(spark: SparkSession, checkpoint: str) -> str | None:
-    """The id Spark gave the query of this checkpoint; it stays the same over restarts."""
+def run_of(spark: SparkSession, checkpoint: str) -> dict[str, str] | None:
+    """The run that a checkpoint stands for, and its ledger: a note of ours, which is lost where the checkpoint is."""
+    path = f"{checkpoint.rstrip('/')}/logtally-run.json"
     files = Files(spark, checkpoint)
-    metadata = f"{checkpoint.rstrip('/')}/metadata"
-    return json.loads(files.read(metadata))["id"] if files.exists(metadata) else None
+    return json.loads(files.read(path)) if files.exists(path) else None
 
 
-def finished_batches(spark: SparkSession, checkpoint: str) -> list[int]:
-    """Batches that Spark has noted as done, as far back as it keeps these notes."""
-    names = Files(spark, checkpoint).children(f"{checkpoint.rstrip('/')}/commits")
-    return sorted(int(name) for name in names if name.isdigit())
+def bound_run(ledger: CountLedger, checkpoint: str, add_run: bool = False) -> str:
+    """The run id of this checkpoint, which belongs to this ledger from its first start on."""
+    run, own = run_of(ledger.spark, checkpoint), ledger.claim()
+    if run is None:
+        if (others := ledger.runs()) and not add_run:
+            raise LedgerInUse(
+                f"{ledger.path} holds batches of {sorted(others)}; reset() it, or pass add_run=True if this input is new"
+            )
+        run = {"run": uuid.uuid4().hex, "ledger": own}
+        Files(ledger.spark, checkpoint).publish(f"{checkpoint.rstrip('/')}/logtally-run.json", json.dumps(run))
+    if run["ledger"] != own:
+        raise LedgerInUse(f"{ledger.path} lacks the batches of {checkpoint}; start again with a new checkpoint")
+    return run["run"]
 
 
 def start_summary(
@@ -54,31 +64,22 @@ def start_summary(
 ) -> StreamingQuery:
     """Fold a stream of lines into ``ledger``; the same call starts it, and resumes it after a crash.
 
-    Batches are filed under the checkpoint's id and their batch id. A batch that is replayed after a failure is written
+    Batches are filed under the checkpoint's run id and their batch id. A batch that is replayed after a failure is written
     only if its first attempt did not finish. A new checkpoint would read old input again, and count it again; it is
-    refused where the ledger holds other runs and none of its own, unless ``add_run`` says that its input is new. A
-    checkpoint that has finished batches which the ledger lacks would go on behind them; it is refused, too.
+    refused where the ledger holds other runs, unless ``add_run`` says that its input is new. A checkpoint whose ledger was
+    emptied would go on behind the batches that are gone; it is refused, too.
 
     ``compact_every`` merges the ledger after each so many batches, between two batches of this query; a merge that fails
-    is logged and left to the next one. What merges have made redundant is removed once it has been so for
-    ``KEEP_SECONDS``, by when the readers of the old files should be done. ``stop`` ends the query between two batches.
+    is logged and left to the next one. What a merge has made redundant is removed by a later one, ``KEEP_SECONDS`` after it
+    at the least, by when the readers of the old files should be done. ``stop`` ends the query between two batches.
     """
-    spark = lines.sparkSession
-    runs = ledger.runs()
-    own = checkpoint_id(spark, checkpoint)
-    if runs and own not in runs and not add_run:
-        raise LedgerInUse(
-            f"{ledger.path} holds batches of {sorted(runs)}; reset() it, or pass add_run=True if this input is new"
-        )
-    if own and (lost := ledger.missing(own, finished_batches(spark, checkpoint))):
-        raise LedgerInUse(f"{ledger.path} lacks batches {lost} of {checkpoint}; start again with a new checkpoint")
+    run_id = bound_run(ledger, checkpoint, add_run)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        ledger.write_batch(count_groups(batch, spec), checkpoint_id(spark, checkpoint), batch_id, replace=False)
+        ledger.write_batch(count_groups(batch, spec), run_id, batch_id, replace=False)
         if compact_every and batch_id % compact_every == compact_every - 1:
             try:
-                ledger.vacuum(KEEP_SECONDS)
-                ledger.compact()
+                ledger.compact(keep_seconds=KEEP_SECONDS)
             except Exception:
                 _log.exception("merging %s failed; the next merge will take in its batches", ledger.path)
 

@@ -10,17 +10,22 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss SSS"
 SECONDS_PER_DAY = 86400
 
 
+def event_time(records: DataFrame) -> DataFrame:
+    """``time_stamp`` as a point in time in ``event_time``, null where it cannot be read; how often that is so is observed."""
+    # Read as UTC, so that days begin at midnight as written, whatever zone the session has.
+    read = F.try_to_timestamp(F.concat("time_stamp", F.lit("Z")), F.lit(TIME_FORMAT + "X"))
+    timed = records.withColumn("event_time", read)
+    return timed.observe("event_times", F.count_if(F.col("event_time").isNull()).alias("unreadable_times"))
+
+
 def daily_counts(records: DataFrame, delay: str = "10 minutes", key: str = "app_id") -> DataFrame:
     """``(day, key, count)`` per day of event time, each day sent once the watermark has passed its end.
 
     A record whose day was sent already is dropped, so input must be in time order up to ``delay``. One whose time
     cannot be read is left out. ``BatchMetrics`` reports both numbers for each batch.
     """
-    # Read as UTC, so that days begin at midnight as written, whatever zone the session has.
-    event_time = F.try_to_timestamp(F.concat("time_stamp", F.lit("Z")), F.lit(TIME_FORMAT + "X"))
     counted = (
-        records.withColumn("event_time", event_time)
-        .observe("event_times", F.count_if(F.col("event_time").isNull()).alias("unreadable_times"))
+        event_time(records)
         .withWatermark("event_time", delay)
         .groupBy(F.window("event_time", "1 day").alias("window"), key)
         .agg(F.count(F.lit(1)).alias("count"))

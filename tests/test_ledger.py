@@ -6,7 +6,8 @@ from dataclasses import replace
 
 import pytest
 
-from logtally.operators.ledger import CountLedger, Generation, Manifest, add_to_ranges
+from logtally.operators.batches import BatchTable, Part, _consecutive
+from logtally.operators.ledger import CountLedger
 from logtally.plans import DAILY_SUMMARY, MILLISECOND_SUMMARY
 from logtally.storage import Files, fresh_dir
 
@@ -30,7 +31,7 @@ def test_an_empty_ledger(ledger):
     assert rows(ledger.totals()) == [] and rows(ledger.summary()) == [] and rows(ledger.batch_counts()) == []
     assert ledger.summary().schema.simpleString() == "struct<day:string,app:string,count:string>"
     assert ledger.runs() == set()
-    assert ledger.compact() is None
+    assert ledger.compact() == 0
 
 
 def test_batches_add_up_and_a_replay_replaces(ledger, counts):
@@ -42,12 +43,11 @@ def test_batches_add_up_and_a_replay_replaces(ledger, counts):
     assert rows(ledger.batch_counts()) == [("r", 0, "d", "a", 1), ("r", 0, "d", "b", 2), ("r", 1, "d", "a", 10)]
 
 
-def test_a_complete_batch_can_be_left_alone(spark, ledger, counts):
+def test_a_complete_batch_can_be_left_alone(ledger, counts):
     assert ledger.write_batch(counts(("d", "a", 1)), "r", 0, replace=False)
     assert not ledger.write_batch(counts(("d", "a", 9)), "r", 0, replace=False)
     assert rows(ledger.totals()) == [("d", "a", 1)]
-    Files(spark, ledger.path).delete(f"{ledger.path}/batches/run_id=r/batch_id=0/_SUCCESS")
-    assert ledger.write_batch(counts(("d", "a", 9)), "r", 0, replace=False)
+    assert ledger.write_batch(counts(("d", "a", 9)), "r", 0)
     assert rows(ledger.totals()) == [("d", "a", 9)]
 
 
@@ -69,22 +69,23 @@ def test_a_batch_may_repeat_a_group(ledger, counts):
     assert rows(ledger.totals()) == [("d", "a", 3)]
 
 
-def test_a_merge_and_a_clean_up_while_a_reader_lists_batches(spark, ledger, counts, monkeypatch):
-    ledger.write_batch(counts(("d", "a", 1)), "r", 0)
-    ledger.write_batch(counts(("d", "a", 1)), "r", 1)
-    reader = CountLedger(spark, ledger.path, KEYS)
-    listing, calls = reader._pending, []
+def test_a_merge_while_a_reader_has_its_list(ledger, counts):
+    """What a reader has listed stays until the merge after the next one, so it neither misses batches nor counts them twice."""
+    for i in range(2):
+        ledger.write_batch(counts(("d", "a", 1)), "r", i)
+    before = ledger.totals()
+    assert ledger.compact() == 1
+    assert rows(before) == rows(ledger.totals()) == [("d", "a", 2)]
 
-    def interrupted(manifest):
-        calls.append(manifest.number)
-        if len(calls) == 1:
-            ledger.compact()
-            ledger.vacuum()
-        return listing(manifest)
 
-    monkeypatch.setattr(reader, "_pending", interrupted)
-    assert rows(reader.totals()) == [("d", "a", 2)]
-    assert calls == [0, 1]
+def test_a_batch_without_rows_is_there(ledger, counts):
+    ledger.write_batch(counts(("d", "a", 1)), "r", 0)
+    ledger.write_batch(counts(), "r", 1)
+    ledger.write_batch(counts((None, None, None)), "r", 2)
+    assert ledger.last_batch("r") == 2 and ledger.last_batch("q") is None
+    assert rows(ledger.totals()) == sorted([("d", "a", 1), (None, None, None)], key=repr)
+    assert ledger.compact() == 1
+    assert ledger.batches.live() == [Part("r", 0, 2)]
 
 
 def test_runs_do_not_share_batch_ids(ledger, counts):
@@ -104,18 +105,18 @@ def test_null_group_values_survive(ledger, counts):
     ledger.write_batch(counts((None, "a", 1)), "r", 0)
     ledger.write_batch(counts((None, "a", 2)), "r", 1)
     assert rows(ledger.totals()) == [(None, "a", 3)]
-    ledger.compact()
+    assert ledger.compact() == 1
     assert rows(ledger.totals()) == [(None, "a", 3)]
 
 
-def test_a_batch_without_its_marker_does_not_count(spark, ledger, counts):
+def test_what_a_writer_left_behind_is_not_read(spark, ledger, counts):
     ledger.write_batch(counts(("d", "a", 1)), "r", 0)
-    ledger.write_batch(counts(("d", "a", 5)), "r", 1)
-    Files(spark, ledger.path).delete(f"{ledger.path}/batches/run_id=r/batch_id=1/_SUCCESS")
-    assert rows(ledger.totals()) == [("d", "a", 1)]
-    ledger.compact()
-    assert rows(ledger.totals()) == [("d", "a", 1)]
-    assert ledger.write_batch(counts(("d", "a", 5)), "r", 1)
+    ledger.write_batch(counts(("d", "a", 5)), "q", 0)
+    files, root = ledger.files, ledger.batches.path
+    # As a job leaves it that dies before Spark moves its partition into place.
+    files.rename(f"{root}/run_id=q", f"{root}/.spark-staging-1/run_id=q")
+    assert rows(ledger.totals()) == [("d", "a", 1)] and ledger.runs() == {"r"}
+    assert ledger.write_batch(counts(("d", "a", 5)), "q", 0, replace=False)
     assert rows(ledger.totals()) == [("d", "a", 6)]
 
 
@@ -126,78 +127,65 @@ def test_merging_changes_no_total(ledger, counts):
     assert ledger.compact() == 1
     assert rows(ledger.totals()) == before
     assert rows(ledger.batch_counts()) == []
-    ledger.vacuum()
+    assert ledger.compact() == 0
     assert rows(ledger.totals()) == before
-    assert ledger.compact() is None
+    assert ledger.batches.parts() == [Part("r", 0, 2)]
 
 
 def test_a_merged_batch_is_not_counted_again(ledger, counts):
-    ledger.write_batch(counts(("d", "a", 1)), "r", 0)
+    for i in range(2):
+        ledger.write_batch(counts(("d", "a", 1)), "r", i)
     ledger.compact()
-    assert not ledger.write_batch(counts(("d", "a", 1)), "r", 0)
-    assert rows(ledger.totals()) == [("d", "a", 1)]
-    ledger.vacuum()
-    assert not ledger.write_batch(counts(("d", "a", 1)), "r", 0)
-    assert rows(ledger.totals()) == [("d", "a", 1)]
+    for _ in range(2):
+        for i in range(2):
+            assert not ledger.write_batch(counts(("d", "a", 1)), "r", i)
+        assert rows(ledger.totals()) == [("d", "a", 2)]
+        ledger.compact()
 
 
 def test_batches_may_come_out_of_order(ledger, counts):
-    """An id below a merged one that was not there at the merge is new, not a replay."""
-    ledger.write_batch(counts(("d", "a", 1)), "r", 5)
-    ledger.compact()
-    assert ledger.write_batch(counts(("d", "a", 1)), "r", 3)
-    assert rows(ledger.totals()) == [("d", "a", 2)]
-    ledger.compact()
-    assert ledger.manifest().merged == {"r": [(3, 3), (5, 5)]}
-    assert rows(ledger.totals()) == [("d", "a", 2)]
+    """Nothing is merged across an id that isn't there, so one that comes late is new and not taken for a replay."""
+    for i in (5, 6, 2, 3):
+        ledger.write_batch(counts(("d", "a", 1)), "r", i)
+    assert ledger.compact() == 2
+    assert ledger.write_batch(counts(("d", "a", 1)), "r", 4)
+    assert rows(ledger.totals()) == [("d", "a", 5)]
+    ledger.compact(full=True)
+    assert ledger.batches.live() == [Part("r", 2, 6)]
+    assert rows(ledger.totals()) == [("d", "a", 5)]
 
 
-def test_a_merge_that_dies_before_its_manifest_changes_nothing(ledger, counts, monkeypatch):
-    ledger.write_batch(counts(("d", "a", 1)), "r", 0)
-    ledger.write_batch(counts(("d", "a", 1)), "r", 1)
+def test_a_merge_that_dies_changes_nothing(ledger, counts, monkeypatch):
+    for i in range(2):
+        ledger.write_batch(counts(("d", "a", 1)), "r", i)
 
     def die(*_):
         raise OSError("gone")
 
     with monkeypatch.context() as patched:
-        patched.setattr(ledger.files, "publish", die)
+        patched.setattr(ledger.batches, "write", die)
         with pytest.raises(OSError):
             ledger.compact()
     assert rows(ledger.totals()) == [("d", "a", 2)]
-    ledger.vacuum()
-    assert rows(ledger.totals()) == [("d", "a", 2)]
     assert ledger.compact() == 1
-    assert len(ledger.files.children(f"{ledger.path}/merged")) == 2
-    ledger.vacuum()
-    assert len(ledger.files.children(f"{ledger.path}/merged")) == 1
     assert rows(ledger.totals()) == [("d", "a", 2)]
 
 
-def test_of_two_merges_at_once_the_slower_is_dropped(spark, ledger, counts, monkeypatch):
-    ledger.write_batch(counts(("d", "a", 1)), "r", 0)
-    ledger.write_batch(counts(("d", "a", 1)), "r", 1)
-    other = CountLedger(spark, ledger.path, KEYS)
-    write = ledger._write_merged
-
-    def overtaken(*args):
-        write(*args)
-        other.write_batch(counts(("d", "a", 5)), "r", 2)
-        assert other.compact() == 1
-
-    with monkeypatch.context() as patched:
-        patched.setattr(ledger, "_write_merged", overtaken)
-        assert ledger.compact() is None
-    assert rows(ledger.totals()) == [("d", "a", 7)]
-    assert ledger.manifest().merged == {"r": [(0, 2)]}
-    ledger.vacuum()
-    assert rows(ledger.totals()) == [("d", "a", 7)]
+def test_two_merges_that_overlap_are_noticed(ledger, counts):
+    for i in range(4):
+        ledger.write_batch(counts(("d", "a", 1)), "r", i)
+    for first, last in ((0, 2), (1, 3)):
+        ledger.batches.write(counts(("d", "a", 3)), Part("r", first, last))
+    with pytest.raises(RuntimeError, match="overlap"):
+        ledger.totals()
 
 
-def test_a_merge_that_dies_before_cleaning_up_changes_nothing(ledger, counts, monkeypatch):
+def test_a_merge_that_dies_while_cleaning_up_changes_nothing(ledger, counts, monkeypatch):
     for batch_id in range(4):
         ledger.write_batch(counts(("d", "a", 1)), "r", batch_id)
     ledger.compact()
-    delete, calls = ledger.files.delete, []
+    files = ledger.batches.files
+    delete, calls = files.delete, []
 
     def die_on_second(path):
         calls.append(path)
@@ -206,33 +194,30 @@ def test_a_merge_that_dies_before_cleaning_up_changes_nothing(ledger, counts, mo
         delete(path)
 
     with monkeypatch.context() as patched:
-        patched.setattr(ledger.files, "delete", die_on_second)
+        patched.setattr(files, "delete", die_on_second)
         with pytest.raises(OSError):
-            ledger.vacuum()
-    assert rows(ledger.totals()) == [("d", "a", 4)]
-    ledger.vacuum()
+            ledger.compact()
     assert rows(ledger.totals()) == [("d", "a", 4)]
+    ledger.compact()
+    assert rows(ledger.totals()) == [("d", "a", 4)] and ledger.batches.parts() == [Part("r", 0, 3)]
 
 
-def test_a_larger_generation_is_left_alone_until_a_full_merge(ledger, spark):
+def test_a_larger_sum_is_left_alone_until_a_full_merge(ledger, spark):
     big = spark.range(20000).selectExpr("cast(id as string) day", "cast(hash(id) as string) app", "1L count")
-    ledger.write_batch(big, "r", 0)
-    ledger.compact()
-    ledger.write_batch(big.limit(1), "r", 1)
-    ledger.compact()
-    manifest = ledger.manifest()
-    assert [g.folder.split("-")[0] for g in manifest.generations] == ["1", "2"]
-    assert manifest.merged == {"r": [(0, 1)]}
+    for i, batch in enumerate((big, big, big.limit(1), big.limit(1))):
+        ledger.write_batch(batch, "r", i)
+        if i % 2:
+            assert ledger.compact() == 1
+    assert ledger.batches.live() == [Part("r", 0, 1), Part("r", 2, 3)]
     assert ledger.totals().count() == 20000
-    assert ledger.compact() is None
-    ledger.compact(full=True)
-    ledger.vacuum()
-    assert [g.folder.split("-")[0] for g in ledger.manifest().generations] == ["3"]
-    assert ledger.totals().agg({"count": "sum"}).first()[0] == 20001
+    assert ledger.compact() == 0
+    assert ledger.compact(full=True) == 1
+    assert ledger.batches.live() == [Part("r", 0, 3)]
+    assert ledger.totals().agg({"count": "sum"}).first()[0] == 40002
 
 
 def test_random_histories(spark, ledger, counts):
-    """Batches, replays, merges and clean-ups in any order leave the totals of the distinct batches."""
+    """Batches, replays and merges, with and without cleaning up, in any order leave the totals of the distinct batches."""
     draw = random.Random(7)
     written: dict[tuple[str, int], list] = {}
     for _ in range(25):
@@ -243,10 +228,8 @@ def test_random_histories(spark, ledger, counts):
                 (run, batch), [(draw.choice("de"), app, draw.randint(1, 5)) for app in draw.sample("abc", 2)]
             )
             ledger.write_batch(counts(*content), run, batch)
-        elif action < 0.85:
-            ledger.compact(full=draw.random() < 0.3)
         else:
-            ledger.vacuum()
+            ledger.compact(full=draw.random() < 0.3, keep_seconds=draw.choice([0, 3600]))
         expected = Counter()
         for content in written.values():
             for day, app, count in content:
@@ -277,16 +260,15 @@ def test_one_source_needs_no_shuffle(ledger, counts):
     assert "Exchange" not in plan()
 
 
-def test_ranges():
-    assert add_to_ranges([], [3, 1, 2]) == [(1, 3)]
-    assert add_to_ranges([(0, 4)], [5, 7]) == [(0, 5), (7, 7)]
-    assert add_to_ranges([(0, 4), (7, 7)], [5, 6]) == [(0, 7)]
+def test_rows_without_a_gap():
+    parts = [Part("q", 1, 1), Part("r", 0, 4), Part("r", 5, 5), Part("r", 7, 7)]
+    assert _consecutive(parts) == [[parts[0]], parts[1:3], parts[3:]]
+    assert parts[1].spans(Part("r", 4, 4)) and not parts[1].spans(parts[1]) and not parts[1].spans(parts[2])
 
 
-def test_manifest_survives_its_text():
-    manifest = Manifest(4, [Generation("2-a", 10), Generation("4-b", 1)], {"r": [(0, 3), (5, 5)]})
-    assert Manifest.from_json(4, manifest.to_json()) == manifest
-    assert manifest.contains("r", 2) and not manifest.contains("r", 4) and not manifest.contains("q", 2)
+def test_names_of_its_own_are_refused(spark):
+    with pytest.raises(ValueError, match="batch_id"):
+        CountLedger(spark, fresh_dir(spark, "ledger"), ("day", "batch_id"))
 
 
 def test_publishing_never_overwrites(spark):
@@ -300,16 +282,15 @@ def test_publishing_never_overwrites(spark):
 
 
 def test_a_path_with_pattern_characters(spark, counts):
-    path = f"{fresh_dir(spark, 'ledger')}/led{{x}}[1]*?"
+    path = f"{fresh_dir(spark, 'ledger')}/led{{x}}[1]*? %20=ä"
     ledger = CountLedger(spark, path, KEYS)
     for i in range(3):
         ledger.write_batch(counts(("d", "a", 1)), "r", i)
     assert ledger.runs() == {"r"} and rows(ledger.totals()) == [("d", "a", 3)]
     assert ledger.batch_counts().count() == 3
-    ledger.compact()
-    ledger.vacuum()
+    assert ledger.compact() == 1
     ledger.write_batch(counts(("d", "a", 1)), "r", 3)
-    assert rows(ledger.totals()) == [("d", "a", 4)] and ledger.missing("r", range(6)) == [4, 5]
+    assert rows(ledger.totals()) == [("d", "a", 4)] and ledger.last_batch("r") == 3
 
 
 def test_another_spec_on_the_same_columns_is_refused(spark, counts):
@@ -335,9 +316,20 @@ def test_a_count_that_is_no_number_fails_the_write(spark, counts):
 
 def test_clean_up_waits(spark, counts):
     ledger = CountLedger(spark, fresh_dir(spark, "ledger"), KEYS)
-    ledger.write_batch(counts(("d", "a", 1)), "r", 0)
+    for i in range(2):
+        ledger.write_batch(counts(("d", "a", 1)), "r", i)
+    ledger.compact()
+    ledger.compact(keep_seconds=3600)
+    assert len(ledger.batches.parts()) == 3
     ledger.compact()
-    ledger.vacuum(keep_seconds=3600)
-    assert len(ledger.files.children(f"{ledger.path}/batches/run_id=r")) == 1
-    ledger.vacuum()
-    assert ledger.files.children(f"{ledger.path}/batches/run_id=r") == []
+    assert ledger.batches.parts() == [Part("r", 0, 1)]
+
+
+def test_a_partition_is_replaced_and_no_other(spark):
+    table = BatchTable(spark, fresh_dir(spark, "table"), spark.createDataFrame([], "a string, n int").schema)
+    make = lambda *given: spark.createDataFrame(list(given), "n int, a string")
+    table.write(make((1, "x"), (2, "y")), Part("1", 0, 0))
+    table.write(make((3, "z")), Part("1", 1, 1))
+    table.write(make((4, None)), Part("1", 0, 0))
+    assert rows(table.read(table.live())) == sorted([(None, 4, "1", 0, 0), ("z", 3, "1", 1, 1)], key=repr)
+    assert table.read([]).columns == ["a", "n", "run_id", "first_batch", "batch_id"]

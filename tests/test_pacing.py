@@ -1,0 +1,195 @@
+"""Byte limits that follow batch times, files that are there before the start, several sinks for one reading, the console."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+import time
+
+import pytest
+
+from logtally.operators import CountLedger, summarise
+from logtally.operators.batches import BatchTable
+from logtally.plans import DAILY_SUMMARY, TRANSACTION_FIELDS, jobs, sms_mo_records
+from logtally.plans.transactions import record_spec
+from logtally.sources import read_lines, starting_point, stream_lines
+from logtally.storage import fresh_dir
+from logtally.streaming import BatchMetrics, Pace, run_paced, start_console, start_fan_out, start_summary, stored_rows
+from logtally.streaming.summary import LedgerInUse
+
+from tests.conftest import ROOT, rows
+
+
+def line(app, day="01"):
+    given = {"id": app, "time_stamp": f"2024-05-{day} 10:00:00 000", "app_id": app, "channel_type": "sms", "travel_direction": "mo"}
+    return "|".join(given.get(name, "") for name in TRANSACTION_FIELDS)
+
+
+@pytest.fixture
+def ledger(spark):
+    return CountLedger.for_spec(spark, fresh_dir(spark, "ledger"), DAILY_SUMMARY)
+
+
+@pytest.fixture
+def checkpoint(spark):
+    return fresh_dir(spark, "checkpoint")
+
+
+# Pace
+
+
+def test_the_limit_follows_the_time():
+    pace = Pace(10, least=100, most=1000, limit=400)
+    assert pace.learn([]) == 400
+    assert pace.learn([10.0]) == 400
+    assert pace.learn([5.0, 5.0, 60.0]) == 800
+    assert pace.learn([0.001]) == 1000
+    assert pace.learn([12.5]) == 800
+    assert pace.learn([1000.0]) == 400
+    assert [pace.learn([99.0]) for _ in range(3)] == [200, 100, 100]
+    assert not pace.far_above(99.0)
+    assert Pace(10, 100, 1000, 5).limit == 100 and Pace(10, 100, 1000, 5000).limit == 1000 and Pace(10, 100, 1000).limit == 100
+    assert Pace(10, 100, 1000, 200).far_above(21) and not Pace(10, 100, 1000, 200).far_above(19)
+    for bad in ((0, 1, 2), (1, 0, 2), (1, 3, 2)):
+        with pytest.raises(ValueError):
+            Pace(*bad)
+
+
+def test_a_run_that_is_far_too_slow_goes_on_with_less(spark, tmp_path, ledger, checkpoint):
+    for i in range(12):
+        (tmp_path / f"{i:02}.txt").write_text("".join(line(f"app{j}") + "\n" for j in range(20)))
+    size = (tmp_path / "00.txt").stat().st_size
+    pace = Pace(0.2, least=size, most=4 * size, limit=4 * size)
+    write, seen = ledger.write_batch, []
+
+    def slow(counts, run_id, batch_id, **options):
+        seen.append(pace.limit)
+        time.sleep(0.8)
+        return write(counts, run_id, batch_id, **options)
+
+    ledger.write_batch = slow
+    start = lambda limit, stop: start_summary(
+        stream_lines(spark, str(tmp_path), max_bytes_per_trigger=limit), DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None, stop=stop
+    )
+    run_paced(spark, pace, start)
+    assert seen[0] == 4 * size and min(seen) == size == pace.limit
+    assert rows(ledger.totals()) == rows(summarise(read_lines(spark, str(tmp_path)), DAILY_SUMMARY))
+
+
+# New files only
+
+
+def test_only_files_that_come_after_the_first_start(spark, tmp_path, ledger, checkpoint):
+    def run():
+        lines = stream_lines(spark, str(tmp_path), max_files_per_trigger=1, since_millis=starting_point(spark, checkpoint))
+        start_summary(lines, DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None).awaitTermination(120)
+        return rows(ledger.totals())
+
+    (tmp_path / "old.txt").write_text(line("old") + "\n")
+    os.utime(tmp_path / "old.txt", (1_700_000_000, 1_700_000_000))
+    assert run() == []
+    point = starting_point(spark, checkpoint)
+    time.sleep(0.05)
+    (tmp_path / "new.txt").write_text(line("new") + "\n")
+    assert run() == [("2024-05-01", "new", 1)]
+    time.sleep(0.05)
+    (tmp_path / "while-down.txt").write_text(line("new") + "\n")
+    # Moved here with the time it had: the source takes it for old.
+    (tmp_path / "moved.txt").write_text(line("moved") + "\n")
+    os.utime(tmp_path / "moved.txt", (1_700_000_001, 1_700_000_001))
+    assert run() == [("2024-05-01", "new", 2)]
+    assert starting_point(spark, checkpoint) == point
+
+
+def test_old_files_are_not_opened(spark, tmp_path, checkpoint):
+    (tmp_path / "a.txt").write_text("x\n" * 1000)
+    lines = stream_lines(spark, str(tmp_path), since_millis=int(time.time() * 1000) + 60_000)
+    with BatchMetrics(spark) as metrics:
+        query = lines.writeStream.format("noop").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination(120)
+        assert sum(row[2] for row in metrics.rows(query)) == 0
+
+
+# One reading, several sinks
+
+
+def test_fan_out_reads_once_and_repeats_for_all(spark, tmp_path, ledger, checkpoint):
+    for i in range(3):
+        (tmp_path / f"{i}.txt").write_text("".join(line(f"app{j % 3}", f"0{1 + j % 4}") + "\n" for j in range(10)) + "other\n")
+        os.utime(tmp_path / f"{i}.txt", (1_700_000_000 + i, 1_700_000_000 + i))
+    records = BatchTable(spark, fresh_dir(spark, "records"), record_spec("id", "sp_id", "app_id", "time_stamp").record_schema())
+    lines = lambda: stream_lines(spark, str(tmp_path), max_files_per_trigger=1)
+    write = ledger.write_batch
+
+    def die(counts, run_id, batch_id, **options):
+        if batch_id == 1:
+            raise OSError("gone")
+        return write(counts, run_id, batch_id, **options)
+
+    ledger.write_batch = die
+    with pytest.raises(Exception, match="gone"):
+        jobs.store_and_count_records(lines(), records, ledger, checkpoint, interval_seconds=None).awaitTermination(120)
+    ledger.write_batch = write
+    with BatchMetrics(spark) as metrics:
+        query = jobs.store_and_count_records(lines(), records, ledger, checkpoint, interval_seconds=None)
+        query.awaitTermination(120)
+        assert [row[2] for row in metrics.rows(query) if row[2]] == [11, 11]
+    source = read_lines(spark, str(tmp_path))
+    assert rows(stored_rows(records)) == rows(sms_mo_records(source).select("id", "sp_id", "app_id", "time_stamp"))
+    assert rows(ledger.totals()) == rows(summarise(source, DAILY_SUMMARY))
+    with pytest.raises(LedgerInUse):
+        jobs.store_and_count_records(lines(), records, ledger, fresh_dir(spark, "checkpoint"), interval_seconds=None)
+
+
+def test_a_kept_batch_is_let_go(spark, tmp_path, checkpoint):
+    (tmp_path / "a.txt").write_text("x\n")
+    levels = []
+    start_fan_out(
+        stream_lines(spark, str(tmp_path)), [lambda batch, i: levels.append(batch.storageLevel.useDisk), lambda batch, i: levels.append(batch)], checkpoint, interval_seconds=None
+    ).awaitTermination(120)
+    assert levels[0] and not levels[1].storageLevel.useDisk
+
+
+# Console
+
+
+def test_the_console_sink_prints(spark, tmp_path, capfd):
+    (tmp_path / "a.txt").write_text("".join(f"line {i}\n" for i in range(5)))
+    start_console(stream_lines(spark, str(tmp_path)), rows=2, interval_seconds=None, name="shown").awaitTermination(120)
+    out = capfd.readouterr().out
+    if "Batch: 0" not in out:  # The JVM has its own standard output where pytest has not caught it.
+        code = (
+            "import sys\nfrom pyspark.sql import SparkSession\nfrom logtally.sources import stream_lines\nfrom logtally.streaming import start_console\n"
+            "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "start_console(stream_lines(spark, sys.argv[1]), rows=2, interval_seconds=None).awaitTermination(120)\n"
+        )
+        done = subprocess.run([sys.executable, "-c", code, str(tmp_path)], env={**os.environ, "PYTHONPATH": str(ROOT)}, capture_output=True, timeout=200, check=True)
+        out = done.stdout.decode()
+    assert "Batch: 0" in out and "|line 0|" in out and "|line 1|" in out and "line 2" not in out
+    assert "only showing top 2 rows" in out
+
+
+def test_the_console_sink_in_complete_mode(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("a\nb\na\n")
+    counts = stream_lines(spark, str(tmp_path)).groupBy("value").count()
+    query = start_console(counts, output_mode="complete", interval_seconds=None)
+    assert query.awaitTermination(120) and query.exception() is None
+
+
+# The session
+
+
+def test_the_hive_settings():
+    """The settings alone: no metastore is asked for anything."""
+    code = (
+        "from logtally.session import build_session\n"
+        "s = build_session('x', 'local[1]', metastore_uri='thrift://nowhere:9083', warehouse_dir='/tmp/nowhere', shuffle_partitions=3, "
+        "fair_scheduling=True, config={'spark.ui.enabled': 'false'})\n"
+        "names = ['spark.sql.catalogImplementation', 'spark.sql.shuffle.partitions', 'spark.sql.session.timeZone', 'spark.scheduler.mode']\n"
+        "print([s.conf.get(n) for n in names], s.sparkContext.getConf().get('hive.metastore.uris'), s.conf.get('spark.sql.warehouse.dir'))\n"
+    )
+    done = subprocess.run([sys.executable, "-c", code], env={**os.environ, "PYTHONPATH": str(ROOT)}, capture_output=True, timeout=200, check=False)
+    assert done.returncode == 0, done.stderr.decode()[-2000:]
+    said = done.stdout.decode().strip().splitlines()[-1]
+    assert said.startswith("['hive', '3', 'UTC', 'FAIR'] thrift://nowhere:9083 ") and said.endswith("/tmp/nowhere")

@@ -8,10 +8,13 @@ import pytest
 from pyspark.errors import PySparkException
 
 from logtally import FieldSpec, SummarySpec
+from logtally.functions import create_parse_function
 from logtally.functions.delimited import NARROW_FIELDS, decode_value
 from logtally.operators import keep, parse, pick
 from logtally.plans import full_records, record_spec, sms_mo_records
 
+from tests.conftest import rows
+
 
 def model(line: str, count: int, delimiter: str = "|") -> tuple[str, ...]:
     tokens = line.split(delimiter)
@@ -123,3 +126,32 @@ def test_filter_is_exact_and_may_use_fields_that_are_not_picked(lines_of):
     assert [row.id for row in padded.collect()] == ["short"]
     assert pick(parse(lines, spec), "id", where="channel_type LIKE 'sms%'").count() == 3
     assert keep(parse(lines, spec), None).count() == 5
+
+
+# The same rules as a table function in SQL
+
+
+def test_the_sql_function_keeps_the_rules(spark, lines_of):
+    fields = tuple(FieldSpec(name, position) for name, position in (("a", 1), ("b", 2), ("c`", 3), ("d", 5)))
+    for delimiter in ("|", ".", "\\", "'", "x"):
+        spec = SummarySpec(fields=fields, field_count=5, delimiter=delimiter)
+        draw = random.Random(delimiter)
+        lines = ["", delimiter, delimiter * 9, f"a{delimiter}", f"{delimiter}a", " "]
+        lines += ["".join(draw.choice(["", "a", "é", " ", delimiter, delimiter]) for _ in range(draw.randint(0, 12))) for _ in range(150)]
+        given = lines_of(lines)
+        create_parse_function(spark, spec, "parse_line")
+        given.createOrReplaceTempView("given_lines")
+        got = spark.sql("SELECT p.* FROM given_lines AS l, LATERAL parse_line(l.value) AS p")
+        assert got.columns == ["a", "b", "c`", "d"]
+        assert rows(got) == rows(parse(given, spec)), delimiter
+
+
+def test_the_sql_function_cuts(spark, lines_of):
+    spec = SummarySpec(fields=(FieldSpec("a", 1, (1, 3)), FieldSpec("b", 2, (0, 2), strict=True)), field_count=2)
+    create_parse_function(spark, spec, "cut_line")
+    assert [tuple(r) for r in spark.sql("SELECT * FROM cut_line('abcd|xyz')").collect()] == [("bc", "xy")]
+    assert [tuple(r) for r in spark.sql("SELECT * FROM cut_line(NULL)").collect()] == [(None, None)]
+    with pytest.raises(Exception, match="shorter than 2"):
+        spark.sql("SELECT * FROM cut_line('abcd|x')").collect()
+    plan = spark.sql("SELECT p.b FROM range(3) AS r, LATERAL cut_line(r.id || '|yy') AS p")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
