@@ -21,17 +21,21 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.llm.tables import saved, text_of
-from logtally.llm.token_ids import word_ids
+from logtally.llm.tables import saved, scratch, text_of
+from logtally.llm.token_ids import WordIds, word_ids
 
 WINDOW = 4096
 END_ID = 2
 STEP = 16
 #: Rests that one task ranks, about.
 RANKED_ROWS = 100_000
+#: Characters of text that are looked up at a time, about.
+ENCODED_CHARS = 4_000_000
 
 _TOKENS = "doc_id long, doc_tokens long, ids binary"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence long, place int"
@@ -129,15 +133,26 @@ def plan(histogram: np.ndarray) -> tuple[dict[int, list[Use]], int]:
 def tokenised(documents: DataFrame, tokenizer: str, end: int = END_ID) -> DataFrame:
     """doc_id, doc_tokens and ids (little-endian, 16 bits each) of every whole text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(tokenizer)
-        for batch in batches:
-            for i in range(0, len(batch), 500):
-                part = batch.iloc[i : i + 500]
-                ids = encoder.encode(part["text"].tolist(), end)
-                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "doc_tokens": [len(x) // 2 for x in ids], "ids": ids})
+        try:
+            for batch in batches:
+                yield from _encoded(batch, encoder, end)
+        finally:
+            # The worker goes on to other tasks, and these words would stay with it.
+            encoder.clear()
+
+    return text_of(documents).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, _TOKENS)
+
 
-    return text_of(documents).mapInPandas(run, _TOKENS)
+def _encoded(batch: pa.RecordBatch, encoder: WordIds, end: int) -> Iterator[pa.RecordBatch]:
+    """Rows with their ids, so many texts at a time that their words are a bounded part of what is kept."""
+    begin, chars = 0, pc.utf8_length(batch.column("text")).to_numpy(zero_copy_only=False).cumsum()
+    while begin < batch.num_rows:
+        stop = max(begin + 1, int(np.searchsorted(chars, (chars[begin - 1] if begin else 0) + ENCODED_CHARS, "right")))
+        tokens, ids = encoder.encoded(batch.column("text").slice(begin, stop - begin), end)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, stop - begin), pa.array(tokens, pa.int64()), ids], ["doc_id", "doc_tokens", "ids"])
+        begin = stop
 
 
 def _cut(uses: dict[int, list[Use]], window: int, step: int):
@@ -173,24 +188,25 @@ def pack(tokens: DataFrame, window: int = WINDOW, step: int = STEP, ranked_rows:
     """Pieces of a table with doc_id, doc_tokens and ids: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     if window % step:
         raise ValueError("the window must be a whole number of steps")
-    tokens = saved(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
-    tokens = tokens.withColumn("steps", F.expr(f"cast(ceil((doc_tokens % {window}) / {step}) AS int)"))
-    counted = {r["steps"]: r["n"] for r in tokens.groupBy("steps").agg(F.count("*").alias("n")).collect()}
-    histogram = np.zeros(window // step + 1, np.int64)
-    for s, n in counted.items():
-        histogram[s] = n
-    full = int(histogram[0])
-    histogram[0] = 0
-    uses, windows = plan(histogram)
-    # Ranks within a step: places in chunks of rows, and the rows before each chunk.
-    shares = max(1, math.ceil((int(histogram.sum()) + full) / ranked_rows))
-    rows = tokens.withColumn("share", F.pmod(F.xxhash64("row"), F.lit(shares)))
-    chunks = rows.groupBy("steps", "share").agg(F.count("*").alias("n"))
-    chunks = chunks.selectExpr("steps", "share", "sum(n) OVER (PARTITION BY steps ORDER BY share) - n AS before")
-    ranked = rows.select("row", "steps", "share").selectExpr("*", "row_number() OVER (PARTITION BY steps, share ORDER BY row) - 1 AS place")
-    ranks = ranked.join(chunks, ["steps", "share"]).select("row", (F.col("before") + F.col("place")).alias("rank"))
-    placed = tokens.select("row", "doc_id", "doc_tokens", "ids").join(ranks, "row")
-    pieces = saved(placed.mapInPandas(_cut(uses, window, step), _PIECES), "pieces")
+    with scratch(tokens.sparkSession) as keep:
+        tokens = saved(tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
+        tokens = tokens.withColumn("steps", F.expr(f"cast(ceil((doc_tokens % {window}) / {step}) AS int)"))
+        counted = {r["steps"]: r["n"] for r in tokens.groupBy("steps").agg(F.count("*").alias("n")).collect()}
+        histogram = np.zeros(window // step + 1, np.int64)
+        for s, n in counted.items():
+            histogram[s] = n
+        full = int(histogram[0])
+        histogram[0] = 0
+        uses, windows = plan(histogram)
+        # Ranks within a step: places in chunks of rows, and the rows before each chunk.
+        shares = max(1, math.ceil((int(histogram.sum()) + full) / ranked_rows))
+        rows = tokens.withColumn("share", F.pmod(F.xxhash64("row"), F.lit(shares)))
+        chunks = rows.groupBy("steps", "share").agg(F.count("*").alias("n"))
+        chunks = chunks.selectExpr("steps", "share", "sum(n) OVER (PARTITION BY steps ORDER BY share) - n AS before")
+        ranked = rows.select("row", "steps", "share").selectExpr("*", "row_number() OVER (PARTITION BY steps, share ORDER BY row) - 1 AS place")
+        ranks = ranked.join(chunks, ["steps", "share"]).select("row", (F.col("before") + F.col("place")).alias("rank"))
+        placed = tokens.select("row", "doc_id", "doc_tokens", "ids").join(ranks, "row")
+        pieces = keep(placed.mapInPandas(_cut(uses, window, step), _PIECES), "pieces")
     # Whole windows are numbered behind the planned ones.
     planned = pieces.where("sequence IS NOT NULL").withColumnRenamed("sequence", "sequence_id")
     planned = planned.selectExpr(

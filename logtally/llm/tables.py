@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.storage import fresh_dir
+from logtally.storage import Files, fresh_dir
 
 #: A key with more rows than this, and than its part of all rows, is looked up by broadcast.
 HOT_ROWS = 10_000
@@ -19,9 +20,40 @@ HOT_KEYS = 20_000
 BROADCAST_IDS = 500_000
 
 
+#: Folders of the open scratches, the innermost last.
+_scratches: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables that are saved in here are removed at the end, but for those saved by the function that this gives.
+
+    What leaves must be such a table, for it is whole by itself and needs none of the others.
+    """
+    own: list[str] = []
+    outer = _scratches[-1] if _scratches else None
+    _scratches.append(own)
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        table = saved(df, label)
+        path = own.pop()
+        if outer is not None:
+            outer.append(path)
+        return table
+
+    try:
+        yield keep
+    finally:
+        _scratches.remove(own)
+        for path in own:
+            Files(spark, path).delete(path)
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """The table written to the folder that all executors share, and read back: it cuts the lineage and is never redone."""
     path = fresh_dir(df.sparkSession, label)
+    if _scratches:
+        _scratches[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -80,18 +112,20 @@ def components(links: DataFrame) -> DataFrame:
     ones; the number of rounds grows with the logarithm of the longest path. It ends when all that is left are stars. Minima
     are saved before they are joined, so that the joins are plain ones, whose large keys adaptive execution splits.
     """
-    edges = saved(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    while not _stars(edges):
-        both = edges.union(edges.select("b", "a"))
-        least = saved(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), "least")
-        larger = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        larger = saved(larger.where("a != b").distinct(), "larger")
-        least = saved(larger.groupBy("a").agg(F.min("b").alias("low")), "least")
-        smaller = larger.join(least, "a")
-        smaller = smaller.select("a", F.col("low").alias("b")).union(smaller.select(F.col("b").alias("a"), F.col("low").alias("b")))
-        edges = saved(smaller.where("a != b").distinct(), "links")
-    heads = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(heads)
+    with scratch(links.sparkSession) as keep:
+        edges = saved(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+        while not _stars(edges):
+            with scratch(links.sparkSession) as keep_round:
+                both = edges.union(edges.select("b", "a"))
+                least = saved(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), "least")
+                larger = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+                larger = saved(larger.where("a != b").distinct(), "larger")
+                least = saved(larger.groupBy("a").agg(F.min("b").alias("low")), "least")
+                smaller = larger.join(least, "a")
+                smaller = smaller.select("a", F.col("low").alias("b")).union(smaller.select(F.col("b").alias("a"), F.col("low").alias("b")))
+                edges = keep_round(smaller.where("a != b").distinct(), "links")
+        heads = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+        return keep(edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(heads), "components")
 
 
 def _stars(edges: DataFrame) -> bool:

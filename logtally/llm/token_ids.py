@@ -1,81 +1,153 @@
 """Ids of whole texts under a public tokenizer file, worked out once per word.
 
 The tokenizer cuts at white space before anything else, so a text's ids are the ids of its words in order, and a word's
-are those of its pieces. Words are looked up in a table that a Python worker keeps between batches; only new pieces go
-through the tokenizer, many at a time.
+are those of its pieces. Words and then pieces are numbered by Arrow's dictionary encoding, so that only different ones are
+looked at; pieces are looked up in a table that a task keeps between batches, of bounded size, and only new ones go through
+the tokenizer. The ids of all texts are then gathered by number in one go. A text in which one of the tokenizer's special
+strings may stand goes through the tokenizer whole.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Words and pieces that a Python worker keeps; beyond it, it starts afresh.
-KEPT = 600_000
+#: Bytes of pieces that a task keeps; beyond it, it starts afresh.
+KEPT_BYTES = 80_000_000
+#: What an entry takes besides its bytes, about.
+_ENTRY = 180
+_IDS = np.dtype("<u2")
 
-_SPACE = re.compile("[ \t\n\r\v\f]+")
-_PLAIN = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
+# The signs of ASCII.
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+#: The model has bytes as characters: those that can be seen in Latin-1 as themselves, the others behind its end, in order.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 255 and b != 173)]
+_SEEN = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 
 
-@lru_cache(maxsize=4)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def _low(word: str) -> str:
+    """Letters in lower case, where that and nothing else is what the tokenizer makes of them; else nothing."""
+    low = word.lower()
+    return low if word.isalpha() and low.isalpha() and "Σ" not in word and unicodedata.is_normalized("NFC", word) else ""
+
+
+def _list(texts: pa.Array) -> list[str]:
+    """As Python's own, by way of numpy, which is much the faster one."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
 
 
 class WordIds:
-    def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer, pre_tokenizers
+    """The tokenizer of a file, which must have ids of 16 bits."""
+
+    def __init__(self, path: str, kept_bytes: int = KEPT_BYTES) -> None:
+        from tokenizers import Tokenizer
 
         self._whole = Tokenizer.from_file(path)
-        self._whole.encode_special_tokens = True
-        #: The model alone, for pieces that need neither normalising nor cutting, given side by side.
-        self._pieces = Tokenizer(self._whole.model)
-        self._pieces.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        )
+        if self._whole.get_vocab_size() > 1 << 16:
+            raise ValueError(f"{path} has more than {1 << 16} ids")
+        #: What every special string has in it, besides letters of either case.
+        added = [token.content for token in self._whole.get_added_tokens_decoder().values()]
+        self._signs = sorted({max(re.findall(r"[^\w\s]+", content) or [""], key=len) for content in added})
+        #: The model alone, for pieces that need neither normalising nor cutting.
+        self._pieces = self._whole.model.tokenize
+        self._kept_bytes = kept_bytes
+        self.clear()
+
+    def clear(self) -> None:
         self._of_piece: dict[str, bytes] = {}
-        self._of_word: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self._of_word) + len(words) > KEPT:
-            self._of_word = {"": b""}
-        if len(self._of_piece) + len(words) > KEPT:
-            self._of_piece = {}
-        cut, odd = {}, []
-        for word in words:
+        self._room = self._kept_bytes
+
+    def _cut(self, words: pa.Array) -> tuple[pa.Array, pa.Array, list[int]]:
+        """Letters in lower case and signs of each word, and which words have to go through the tokenizer as they are."""
+        core = pc.utf8_rtrim(words, characters=_SIGNS)
+        plain = pc.and_(pc.string_is_ascii(words), pc.and_not(pc.ascii_is_alpha(core), pc.match_substring(words, "'")))
+        others = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
+        lows, signs, odd = [], [], []
+        for i, word, own in zip(others.tolist(), _list(words.take(others)), _list(core.take(others)), strict=True):
             # Letters and then ASCII signs without an apostrophe: two pieces at most, whatever the tokenizer's pattern.
-            m = _PLAIN.fullmatch(word)
-            low = m[1].lower() if m else ""
-            if low.isalpha() and "'" not in word and "Σ" not in word and unicodedata.is_normalized("NFC", word):
-                cut[word] = (low, m[2]) if m[2] else (low,)
-            else:
-                odd.append(word)
-        new = [p for p in {p for pieces in cut.values() for p in pieces} if p not in self._of_piece]
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            found = self._pieces.encode(" ".join(part), add_special_tokens=False)
-            ids, at = np.array(found.ids, np.uint16), np.array(found.word_ids, np.int64)
-            edges = np.searchsorted(at, np.arange(len(part) + 1))
-            self._of_piece |= {p: ids[a:b].tobytes() for p, a, b in zip(part, edges[:-1], edges[1:], strict=True)}
-        for word, pieces in cut.items():
-            self._of_word[word] = b"".join(map(self._of_piece.__getitem__, pieces))
-        for word, found in zip(odd, self._whole.encode_batch(odd, add_special_tokens=False), strict=True):
-            self._of_word[word] = np.array(found.ids, np.uint16).tobytes()
+            low = "" if "'" in word else _low(own)
+            lows.append(low)
+            signs.append(word[len(own) :] if low else "")
+            if not low:
+                odd.append(i)
+        mask = pc.invert(plain)
+        given = pc.replace_with_mask(pc.ascii_lower(core), mask, pa.array(lows, pa.string()))
+        return given, pc.replace_with_mask(pc.ascii_ltrim(words, characters=_LETTERS), mask, pa.array(signs, pa.string())), odd
+
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        table = self._of_piece
+        new = [piece for piece in pieces if piece not in table]
+        ids: list[int] = []
+        edges = [0]
+        for piece in new:
+            if piece:
+                seen = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(_SEEN)
+                ids += [token.id for token in self._pieces(seen)]
+            edges.append(2 * len(ids))
+        found = np.array(ids, _IDS).tobytes()
+        table |= {piece: found[i:j] for piece, i, j in zip(new, edges, edges[1:], strict=False)}
+        self._room -= sum(map(len, new)) + len(found) + _ENTRY * len(new)
+        return [table[piece] for piece in pieces]
+
+    def _whole_ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(found.ids, _IDS).tobytes() for found in self._whole.encode_batch(texts, add_special_tokens=False)]
+
+    def encoded(self, texts: pa.Array, end: int) -> tuple[np.ndarray, pa.Array]:
+        """How many ids each text has, and the ids, little-endian with 16 bits each; the last one ends the text."""
+        if self._room < 0:
+            self.clear()
+        special = np.zeros(len(texts), bool)
+        for sign in self._signs:
+            special |= pc.match_substring(texts, sign).to_numpy(zero_copy_only=False)
+        split = pc.ascii_split_whitespace(pc.if_else(pa.array(~special), texts, ""))
+        coded = split.values.dictionary_encode()
+        words = coded.dictionary
+        lows, signs, odd = self._cut(words)
+        # Numbers of pieces: those of the letters, those of the signs, then the odd words, the texts that are whole, the end.
+        both = pa.concat_arrays([lows, signs]).dictionary_encode()
+        number = both.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        first, second = number[: len(words)].copy(), number[len(words) :]
+        own = self._ids_of(_list(both.dictionary))
+        first[odd] = len(own) + np.arange(len(odd))
+        own += self._whole_ids(_list(words.take(pa.array(odd, pa.int64()))))
+        begin = np.full(len(texts), len(own), np.int64)
+        begin[special] += 1 + np.arange(special.sum())
+        own += [b"", *self._whole_ids(_list(texts.filter(pa.array(special)))), np.array([end], _IDS).tobytes()]
+        # Text by text: what is whole, the pieces of each word, the end.
+        at = np.asarray(split.offsets)[: len(texts) + 1].astype(np.int64)
+        at -= at[0]
+        used = np.empty(2 * len(coded) + 2 * len(texts), np.int64)
+        starts, ends = 2 * at[:-1] + 2 * np.arange(len(texts)), 2 * at[1:] + 2 * np.arange(len(texts)) + 1
+        inner = np.ones(len(used), bool)
+        inner[starts] = inner[ends] = False
+        used[starts], used[ends] = begin, len(own) - 1
+        of_word = coded.indices.to_numpy(zero_copy_only=False)
+        used[inner] = np.stack([first[of_word], second[of_word]], 1).ravel()
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 2
+        ids = np.frombuffer(b"".join(own), _IDS)
+        length = sizes[used]
+        behind = np.cumsum(length)
+        from_ = np.repeat((np.cumsum(sizes) - sizes)[used] - (behind - length), length)
+        gathered = ids[from_ + np.arange(len(from_))]
+        edges = np.r_[0, behind[ends]]
+        offsets = pa.py_buffer((2 * edges).astype(np.int64).tobytes())
+        return np.diff(edges), pa.Array.from_buffers(pa.large_binary(), len(texts), [None, offsets, pa.py_buffer(gathered.tobytes())]).cast(pa.binary())
 
     def encode(self, texts: list[str], end: int) -> list[bytes]:
-        """Little-endian 16-bit ids of each text, and the id that ends a document."""
-        words = [_SPACE.split(t) for t in texts]
-        if new := {w for ws in words for w in ws if w not in self._of_word}:
-            self._learn(new)
-            if not self._of_word.keys() >= new:  # pragma: no cover
-                raise RuntimeError("more new words in a batch than are kept")
-        last = np.array([end], np.uint16).tobytes()
-        get = self._of_word
-        try:
-            return [b"".join([get[w] for w in ws]) + last for ws in words]
-        except KeyError:  # the table was started afresh in between
-            self._learn({w for ws in words for w in ws})
-            return [b"".join([self._of_word[w] for w in ws]) + last for ws in words]
+        """The ids of each text, little-endian with 16 bits each, and the id that ends it."""
+        return self.encoded(pa.array(texts, pa.string()), end)[1].to_pylist()
+
+
+_loaded: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The tokenizer of a file, loaded once per Python worker."""
+    if path not in _loaded:
+        _loaded[path] = WordIds(path)
+    return _loaded[path]

@@ -12,23 +12,26 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
 def whole():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_ids_are_those_of_the_whole_text():
     texts = [t or "" for _, t in ROWS] + ["don't, we'll ... it's 3.14!!! <|endoftext|> a\x0bb\x85c  d’e İstanbul ΑΣ ΑΣ. ½x² \u2028 ﬁ", "'s 's' 'S x's"]
+    texts += ["hello <|endoftext|> world", "<|ENDOFTEXT|><|endoftext", "a<|startoftext|>b <| c", "x < | y"]
     got = [np.frombuffer(b, np.uint16).tolist() for b in token_ids.WordIds(PATH).encode(texts, 2)]
     tokenizer = whole()
     assert got == [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
 
 
-def test_ids_when_words_are_forgotten(monkeypatch):
-    monkeypatch.setattr(token_ids, "KEPT", 3)
-    encoder = token_ids.WordIds(PATH)
+def test_special_strings_are_one_id():
+    ids = np.frombuffer(token_ids.WordIds(PATH).encode(["hello <|endoftext|> world"], 2)[0], np.uint16).tolist()
+    assert ids == [3306, 49407, 1002, 2]
+
+
+def test_ids_when_words_are_forgotten():
+    encoder = token_ids.WordIds(PATH, kept_bytes=3)
     for text in ("a b c d e f", "g a b", "a"):
-        assert np.frombuffer(encoder.encode([text], 2)[0], np.uint16).tolist()[:-1] == whole().encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode([text, text], 2)[1], np.uint16).tolist()[:-1] == whole().encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("seed", range(6))
