@@ -1,8 +1,8 @@
 """Exact dedup of incoming batches against immutable snapshots.
 
-A snapshot holds one row per different text, in buckets by digest, and a binary fuse filter of each bucket's digests. An
-incoming batch is grouped by digest on its own first. Its digests then pass the filters; a text is only moved and compared
-byte for byte with the snapshot's if its filter says yes.
+A snapshot holds one row per different digest, in buckets, and a binary fuse filter of each bucket's digests. An incoming
+batch is grouped by digest on its own first. Its digests then pass the filters, and those that pass are looked up in the
+buckets. Only for digests that are in both are texts fetched, one of either side, and compared byte for byte.
 
 Null text counts as empty. Repeated rows are members like any other, and one of them stays. Rows without an id never stay
 where another one has one. An empty batch or snapshot gives no rows. Other columns are ignored.
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtally.llm import binary_fuse
-from logtally.llm.tables import look_up, only, saved, text_of, without
+from logtally.llm.tables import BROADCAST_IDS, look_up, only, saved, scratch, text_of, without
 
 BUCKET_TEXTS = 250_000
 
@@ -27,11 +27,12 @@ _FILTER = "bucket long, seed string, segment long, starts long, cells binary"
 
 
 class Snapshot(NamedTuple):
-    """texts: digest, mark, bucket, text, keep_id, size; filters: one row per bucket."""
+    """groups: digest, mark, bucket, keep_id, size; filters: one row per bucket; documents: where the texts are."""
 
-    texts: DataFrame
+    groups: DataFrame
     filters: DataFrame
     buckets: int
+    documents: DataFrame
 
 
 def digests(documents: DataFrame) -> DataFrame:
@@ -40,13 +41,21 @@ def digests(documents: DataFrame) -> DataFrame:
 
 
 def _grouped(documents: DataFrame) -> DataFrame:
-    """One row per different text; the shuffle carries one text per task and digest."""
-    groups = digests(documents).groupBy("digest").agg(
-        F.max("doc_id").alias("keep_id"), F.count("*").alias("size"), F.first("text").alias("text")
-    )
+    """One row per different digest, added up before the shuffle; no text is moved."""
+    groups = digests(documents).groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("size"))
     return saved(groups.withColumn("mark", F.xxhash64("digest")), "dedup-groups")
 
 
+def _texts(documents: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """digest and the text, as ``name``, of the rows with these digests and ids (digest, keep_id), one of each digest."""
+    wanted = saved(wanted.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__id")), "dedup-wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    rows = digests(documents)
+    rows = rows.join(wanted, (rows["digest"] == wanted["__digest"]) & rows["doc_id"].eqNullSafe(wanted["__id"]), "left_semi")
+    return rows.groupBy("digest").agg(F.first("text").alias(name))
+
+
 def _filter_of(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
     f = binary_fuse.build(part["mark"].to_numpy())
     return pd.DataFrame({"bucket": [key[0]], "seed": [str(f.seed)], "segment": [f.segment], "starts": [f.starts], "cells": [f.cells.tobytes()]})
@@ -56,9 +65,9 @@ def build_snapshot(documents: DataFrame, bucket_texts: int = BUCKET_TEXTS) -> Sn
     """Freeze these documents. The number of buckets follows the number of texts, so a bucket's filter stays small."""
     groups = _grouped(documents)
     buckets = max(1, math.ceil(groups.count() / bucket_texts))
-    texts = groups.withColumn("bucket", F.pmod("mark", F.lit(buckets)))
-    filters = texts.select("bucket", "mark").groupBy("bucket").applyInPandas(_filter_of, _FILTER)
-    return Snapshot(texts, saved(filters, "dedup-filters"), buckets)
+    groups = groups.withColumn("bucket", F.pmod("mark", F.lit(buckets)))
+    filters = groups.select("bucket", "mark").groupBy("bucket").applyInPandas(_filter_of, _FILTER)
+    return Snapshot(groups, saved(filters, "dedup-filters"), buckets, documents)
 
 
 def _screened(asked: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
@@ -78,16 +87,14 @@ def screen(batch: DataFrame, snapshot: Snapshot) -> DataFrame:
 def merge_batch(documents: DataFrame, snapshot: Snapshot) -> DataFrame:
     """One row per different text of snapshot and batch together: digest, keep_id (the largest), size."""
     batch = _grouped(documents)
-    likely = saved(screen(batch, snapshot), "dedup-likely")
-    old = snapshot.texts.select("digest", F.col("text").alias("old_text"), F.col("keep_id").alias("old_id"), F.col("size").alias("old_size"))
-    found = saved(
-        batch.join(likely, "digest")
-        .join(old, "digest")
-        .where(F.col("text") == F.col("old_text"))
-        .select("digest", F.greatest("keep_id", "old_id").alias("keep_id"), (F.col("size") + F.col("old_size")).alias("size")),
-        "dedup-found",
-    )
-    plain = batch.select("digest", "keep_id", "size").unionByName(snapshot.texts.select("digest", "keep_id", "size"))
+    old = snapshot.groups.select("digest", F.col("keep_id").alias("old_id"), F.col("size").alias("old_size"))
+    both = saved(batch.join(screen(batch, snapshot), "digest").join(old, "digest"), "dedup-both")
+    new_texts = _texts(documents, both.select("digest", "keep_id"), "new_text")
+    old_texts = _texts(snapshot.documents, both.select("digest", F.col("old_id").alias("keep_id")), "old_text")
+    same = new_texts.join(old_texts, "digest").where(F.col("new_text") == F.col("old_text")).select("digest")
+    added = both.join(same, "digest").select("digest", F.greatest("keep_id", "old_id").alias("keep_id"), (F.col("size") + F.col("old_size")).alias("size"))
+    found = saved(added, "dedup-found")
+    plain = batch.select("digest", "keep_id", "size").unionByName(snapshot.groups.select("digest", "keep_id", "size"))
     return found.unionByName(plain.join(found.select("digest"), "digest", "left_anti"))
 
 
@@ -96,13 +103,13 @@ def keepers(documents: DataFrame, bucket_texts: int = BUCKET_TEXTS) -> DataFrame
 
     Half of the ids, by checksum, are frozen as the snapshot; the others come in as its batch.
     """
-    old = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 2 == 0
-    groups = saved(merge_batch(documents.where(~old), build_snapshot(documents.where(old), bucket_texts)), "dedup-texts")
-    rows = saved(digests(documents).groupBy("doc_id", "digest").agg(F.count("*").alias("copies")), "dedup-rows")
-    found = look_up(rows, groups, ["digest"], "size")
-    return found.select("doc_id", "digest", "keep_id", F.col("size").alias("group_size"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy")).select(
-        "doc_id", "digest", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept")
-    )
+    with scratch(documents.sparkSession) as keep:
+        old = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 2 == 0
+        groups = saved(merge_batch(documents.where(~old), build_snapshot(documents.where(old), bucket_texts)), "dedup-merged")
+        rows = saved(digests(documents).groupBy("doc_id", "digest").agg(F.count("*").alias("copies")), "dedup-rows")
+        found = keep(look_up(rows, groups, ["digest"], "size"), "dedup-found")
+    found = found.select("doc_id", "digest", "keep_id", F.col("size").alias("group_size"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    return found.select("doc_id", "digest", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"))
 
 
 def drop_copies(documents: DataFrame) -> DataFrame:
