@@ -1,10 +1,12 @@
 """Personal data: fixed patterns, and bootstrapped extraction of identifiers that they miss.
 
-What the patterns find are seed entities. A candidate is a word with digits in it, of the shape that its character kinds
-make (``9-9``); its lexical patterns are that shape with the word before, the word behind, and both. Patterns and the
-candidates' strings form a graph. In rounds, a pattern's confidence is the confidence of its strings, averaged with a prior
+What the patterns find are seed entities, whole spans of any kind. A candidate is another word with a digit, ``@`` or ``_`` in
+it. Both have a shape that their character kinds make (``a@a.a``) and stand in a context of words; lexical patterns are two words
+before, the word before and the one behind, and either of these with the shape. Patterns and the strings that stand in them
+form a graph. In rounds, a pattern's confidence is the confidence of its strings, averaged with a prior
 of ``PRIOR`` strings that are none; a string's is that of its best pattern, and seeds stay certain. Candidates outside the
 base spans are reported as ``found`` where a pattern of at least ``CONFIDENT``, learned from ``SUPPORT`` different seeds, has them.
+A word that goes on beyond ``spans.CONTEXT`` characters away is no context. Candidates may touch each other, but don't overlap.
 
 Null text counts as empty. Documents without spans have counts of 0. Repeated rows are reported like any other; they don't
 make a pattern stronger, as a pattern counts different strings. An empty table gives no rows.
@@ -15,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.llm.spans import reported, scanned, spans_of
+from logtally.llm.spans import CONTEXT, reported, scanned, spans_of
 from logtally.llm.tables import look_up, saved
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -26,9 +28,8 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9]){12,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "candidate": r"(?<![^\x20\x09-\x0D])[^0-9\x20\x09-\x0D]*+[0-9][^\x20\x09-\x0D]*+",
+    "candidate": r"(?<![^\x20\x09-\x0D])[^0-9@_\x20\x09-\x0D]*+[0-9@_][^\x20\x09-\x0D]*+",
 }
-LEAST_DIGITS = 5
 #: Signs around a word that are not part of it.
 EDGES = "\"'([{<>}]).,;:!?*%&#$"
 PRIOR = 3
@@ -48,7 +49,7 @@ def luhn(digits: Column) -> Column:
 
 
 def base_spans(scan: DataFrame) -> DataFrame:
-    """The spans that the patterns and their conditions fix."""
+    """The spans that the patterns and their conditions fix, with what they have found and what stands around it."""
     at_most_255 = lambda p: (F.length(F.ltrim(p, F.lit("0"))) <= 3) & (F.coalesce(F.right(p, F.lit(3)).try_cast("int"), F.lit(0)) <= 255)
     digits = _digits(F.col("found"))
     size = F.length(digits)
@@ -58,25 +59,44 @@ def base_spans(scan: DataFrame) -> DataFrame:
         "card": size.between(13, 19) & luhn(digits),
         "phone": size.between(9, 15),
     }
-    parts = [spans_of(scan, k).where(valid[k]).select("row", "kind", "start", "end") for k in KINDS]
+    parts = [spans_of(scan, k).where(valid[k]).select("row", "kind", "start", "end", "found", "left", "right") for k in KINDS]
     return saved(parts[0].union(parts[1]).union(parts[2]).union(parts[3]), "private")
 
 
+def _patterns() -> Column:
+    """Hashes of the patterns that ``value`` stands in between ``left`` and ``right``; a side without a whole word has none."""
+    space, word = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]++"
+    # Where the context is shorter than it could be, the text or another match ends there, and so does a word.
+    left = F.lower(F.when(F.length("left") < CONTEXT, F.concat(F.lit(" "), "left")).otherwise(F.col("left")))
+    right = F.lower(F.when(F.length("right") < CONTEXT, F.concat("right", F.lit(" "))).otherwise(F.col("right")))
+    one = F.regexp_extract(left, f"{space}({word}){space}*+$", 1)
+    two = F.regexp_replace(F.regexp_extract(left, f"{space}({word}{space}++{word}){space}*+$", 1), f"{space}+", " ")
+    next_ = F.regexp_extract(right, f"^{space}*+({word}){space}", 1)
+    shape = F.regexp_replace(F.regexp_replace(F.lower("value"), r"\p{L}+", "a"), "[0-9]+", "9")
+    key = lambda name, needs, *parts: F.when(needs, F.xxhash64(F.lit(name), *parts))
+    return F.array_compact(
+        F.array(
+            key("two", two != "", two),
+            key("both", (one != "") & (next_ != ""), one, next_),
+            key("left", one != "", one, shape),
+            key("right", next_ != "", next_, shape),
+        )
+    )
+
+
 def candidates(scan: DataFrame, base: DataFrame) -> DataFrame:
-    """row, start, end, value, seed, patterns of words with at least LEAST_DIGITS digits, outer punctuation taken off."""
-    words = spans_of(scan, "candidate").where(F.length(_digits(F.col("found"))) >= LEAST_DIGITS)
+    """row, start, end, value, seed, patterns of the base spans and of the candidates outside of them, outer punctuation taken off."""
+    words = spans_of(scan, "candidate")
     lead = F.length("found") - F.length(F.ltrim("found", F.lit(EDGES)))
-    words = words.withColumn("value", F.trim("found", F.lit(EDGES))).where("value != ''")
+    words = words.withColumn("value", F.trim("found", F.lit(EDGES))).where("value RLIKE '[0-9@_]'")
     words = words.withColumn("start", F.col("start") + lead).withColumn("end", F.col("start") + F.length("value"))
-    shape = F.regexp_replace(F.regexp_replace(F.lower("value"), r"\p{L}+", "a"), "[0-9]+", "9")
-    left = F.coalesce(F.lower(F.regexp_extract("left", r"([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+$", 1)), F.lit(""))
-    right = F.coalesce(F.lower(F.regexp_extract("right", r"^[\x20\x09-\x0D]*+([^\x20\x09-\x0D]++)", 1)), F.lit(""))
-    key = lambda side, *parts: F.xxhash64(F.lit(side), shape, *parts)
-    patterns = F.array(key("left", left), key("right", right), key("both", left, right))
     own = base.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("own"))
-    words = words.withColumn("patterns", patterns).join(own, "row", "left")
-    seed = F.exists(F.coalesce("own", F.array().cast("array<struct<start:bigint,end:bigint>>")), lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    return saved(words.select("row", "start", "end", "value", "patterns", seed.alias("seed")), "candidates")
+    words = words.join(own, "row", "left")
+    overlap = F.exists(F.coalesce("own", F.array().cast("array<struct<start:bigint,end:bigint>>")), lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
+    columns = ["row", "start", "end", "value", "left", "right"]
+    words = words.where(~overlap).select(*columns, F.lit(False).alias("seed"))
+    seeds = base.withColumn("value", F.col("found")).select(*columns, F.lit(True).alias("seed"))
+    return saved(seeds.union(words).select("row", "start", "end", "value", "seed", _patterns().alias("patterns")), "candidates")
 
 
 def confident_patterns(found: DataFrame) -> DataFrame:
@@ -98,7 +118,7 @@ def confident_patterns(found: DataFrame) -> DataFrame:
 
 
 def private_data(documents: DataFrame) -> DataFrame:
-    scan = scanned(documents, PATTERNS, frozenset({"candidate"}))
+    scan = scanned(documents, PATTERNS, frozenset(PATTERNS))
     base = base_spans(scan)
     found = candidates(scan, base)
     kept = saved(confident_patterns(found), "kept")

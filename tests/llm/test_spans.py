@@ -89,3 +89,22 @@ def test_contexts_of_known_entities_find_unknown_ones(spark):
     rows += [(100, "please call +123456789012345678 today"), (101, "we sold 99123456 today in all")]
     got = {r["doc_id"]: r["spans"] for r in private_data.private_data(documents(spark, rows)).collect()}
     assert got[100] == "found:12:31" and got[101] == ""
+
+
+def test_every_kind_is_a_seed(spark):
+    cards = [f"{4000_0000_0000_0000 + 7919 * i}" for i in range(400)]
+    cards = [" ".join(c[k : k + 4] for k in range(0, 16, 4)) for c in cards if luhn(c)][:20]
+    rows = [(i, f"you can please write to name{i}x@mail{i}.example.com for more") for i in range(20)]
+    rows += [(100 + i, f"it was paid with {card} by them") for i, card in enumerate(cards)]
+    rows += [(200 + i, f"or dial the office +1 ({200 + i}) 555-77{10 + i} at noon") for i in range(20)]
+    rows += [(300 + i, f"as is said in part_{i} of the book, see item {i}a there") for i in range(40)]
+    rows += [
+        (1, "please write to agent_smith77 now"), (2, "it was paid with 9999-x12 by somebody"), (3, "dial the office ext.4711 please"),
+        (4, "Please write\n  to: agent_smith77"), (5, "nobody can write to us about part_9"), (6, "x" * 70 + "please write to agent_smith77"),
+    ]
+    got = {}
+    for r in private_data.private_data(documents(spark, [(i + 1000 * (k >= len(rows) - 6), t) for k, (i, t) in enumerate(rows)])).collect():
+        got[r["doc_id"]] = [s for s in r["spans"].split(",") if s.startswith("found")]
+    assert got[1001] == ["found:16:29"] and got[1002] == ["found:17:25"] and got[1003] == ["found:16:24"]
+    assert not got[1004] and not got[1005] and got[1006] == ["found:86:99"]
+    assert not any(v for k, v in got.items() if k < 1000)
