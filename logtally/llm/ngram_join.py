@@ -8,12 +8,17 @@ a passage in many documents reaches few prefixes.
 
 Documents with the same set are one class from the start. Classes with the same prefix and size are one group; groups
 are paired by their prefixes, pairs are filtered by size and by how much can still follow the shared shingle, and the
-classes of what remains are compared by their whole sets. A class that is already connected with another one is not
-compared with it again: first every class is compared with the leader of its group, and that with two leaders of each of
-its shingles, then with a few more where components are left apart; what these leave open is expanded in full. So a group of n copies costs about n comparisons, and no link between
-different components is lost.
+classes of what remains are compared by their whole sets. Before that, a pair must pass a mask: each class has ``MASK`` bits in
+which every shingle that others have, too, turns one over, so two sets differ by at least as many shingles as their masks do
+by bits, besides those that are theirs alone. Sets that differ by more than a ninth of both sizes cannot be linked.
 
-Null text counts as empty. Documents without words are linked with nothing. Rows that repeat an id are documents of their
+A class that is already connected with another one is not compared with it again: first every class is compared with the
+leader of its group, and that with two leaders of each of its shingles, then with a few more where components are left apart.
+What these leave open is joined in full, shingle by shingle, with all these conditions in the join: a hot shingle is dealt over
+many tasks, and of its pairs only those come out whose masks are near. So a group of n copies costs about n comparisons, n
+forms of one template that are not alike enough cost next to none, and no link between different components is lost.
+
+Null text counts as empty. Texts may be of any length. Other columns are ignored. Documents without words are linked with nothing. Rows that repeat an id are documents of their
 own but have one component, the smallest id of all. A null id is larger than any other. No documents, no rows.
 """
 
@@ -31,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from logtally.llm.tables import components, look_up, only, saved, text_of, without
+from logtally.llm.tables import components, look_up, only, saved, scratch, text_of, without
 from logtally.llm.words import shingle_hashes, split_words
 
 #: Similarity as a fraction of whole numbers, so that no rounding decides.
@@ -40,8 +45,15 @@ SIMILAR = (80, 100)
 SHARD_ENTRIES = 1_000_000
 #: Leaders of a shingle that classes are compared with before all the rest are.
 LEADERS = 6
+#: Bits of a class's mask, in words of 64.
+MASK = 512
+#: Entries of a shingle that one task sets against all of its entries, about.
+SHARE = 10_000
 
 _SIGNED = "doc_id long, n long, h1 long, h2 long, batch long, at int, own int, shard long, tokens binary, owners binary"
+# White space between words.
+_SPACE = " \t\n\x0b\f\r"
+
 _SETS = "doc_id long, n long, h1 long, h2 long, tokens array<long>"
 
 #: Owner of a shingle that several sets of a batch have: they are counted there.
@@ -170,15 +182,16 @@ def _classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _grouped(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The classes that can be linked with their shared shingles (cid, n, shared), their groups (cid, gid), and the prefixes
-    of groups: gid, n, own, token, rest."""
+    """The classes that can be linked with their shared shingles (cid, n, shared), the same with their groups and masks
+    (cid, gid, n, own, mask), and the prefixes of groups: gid, token, rest."""
     tokens = sets.select("cid", "n", F.explode("tokens").alias("token"))
     counts = saved(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "counts")
     known = tokens.join(counts, "token")
     overlap = f"(n * {SIMILAR[0]} + {SIMILAR[1] - 1}) div {SIMILAR[1]}"
+    words = [f"bit_xor(CASE WHEN shiftrightunsigned(token, 6) & {MASK // 64 - 1} = {i} THEN shiftleft(1L, cast(token & 63 AS int)) ELSE 0L END)" for i in range(MASK // 64)]
     ranked = (
         known.groupBy("cid", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"))
+        .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"), F.expr(f"array({', '.join(words)})").alias("mask"))
         .where(f"size(shared) >= {overlap}")
         # The n - size(shared) shingles that no other set has come first and need no entry.
         .withColumn("own", F.expr("n - size(shared)"))
@@ -187,11 +200,11 @@ def _grouped(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         .withColumn("gid", F.md5(F.concat_ws(",", F.col("n").cast("string"), F.expr("transform(prefix, x -> cast(x AS string))"))))
     )
     shared = F.expr("transform(shared, x -> x.token)").alias("shared")
-    ranked = saved(ranked.select("cid", "gid", "n", "own", "prefix", shared), "ranked")
+    ranked = saved(ranked.select("cid", "gid", "n", "own", "mask", "prefix", shared), "ranked")
     groups = ranked.groupBy("gid").agg(F.first("n").alias("n"), F.min("own").alias("own"), F.first("prefix").alias("prefix"))
     entries = groups.select("gid", "n", "own", F.posexplode("prefix").alias("at", "token"))
-    entries = entries.select("gid", "n", "own", "token", F.expr("n - own - at").alias("rest"))
-    return ranked.select("cid", "n", "shared"), ranked.select("cid", "gid"), saved(entries, "entries")
+    entries = entries.select("gid", "token", F.expr("n - own - at").alias("rest"))
+    return ranked.select("cid", "n", "shared"), ranked.select("cid", "gid", "n", "own", "mask"), saved(entries, "entries")
 
 
 def _verified(pairs: DataFrame, shared: DataFrame) -> DataFrame:
@@ -212,72 +225,82 @@ def connected(sets: DataFrame) -> DataFrame:
     shared, members, entries = _grouped(sets)
     # Every class with the leader of its group, and every leader with two leaders of each shingle of its prefix: the
     # one with the fewest shingles of its own, which is likely to be what the others were made from, and any one.
-    heads = saved(members.groupBy("gid").agg(F.min("cid").alias("lead")), "heads")
-    pairs = members.join(heads, "gid").select(F.col("cid").alias("a"), F.col("lead").alias("b"))
-    led = entries.join(heads, "gid").select("token", F.col("lead").alias("cid"), "n", "own", "rest")
-    order = F.xxhash64("cid")
-    one = F.struct("cid", "n", "rest")
-    leads = saved(led.groupBy("token").agg(F.min_by(one, F.struct("own", order)).alias("first"), F.max_by(one, order).alias("last"), F.count("*").alias("held")).where("held > 1"), "leads")
-    near = led.join(leads, "token").select("cid", "n", "rest", F.explode(F.array("first", "last")).alias("lead"))
-    near = near.where(_reachable("n", "lead.n", "rest", "lead.rest")).select(F.col("cid").alias("a"), F.col("lead.cid").alias("b"))
+    heads = saved(members.groupBy("gid").agg(F.min_by(F.struct("cid", "n", "own", "mask"), "cid").alias("b")), "heads")
+    pairs = _alike(members.select("gid", F.struct("cid", "n", "own", "mask").alias("a")).join(heads, "gid"), rest=False)
+    led = entries.join(heads, "gid").select("token", F.struct("b.*", "rest").alias("a"))
+    order = F.xxhash64("a.cid")
+    leads = led.groupBy("token").agg(F.min_by("a", F.struct("a.own", order)).alias("first"), F.max_by("a", order).alias("last"), F.count("*").alias("held"))
+    leads = saved(leads.where("held > 1").select("token", F.array("first", "last").alias("leads")), "leads")
+    near = _alike(led.join(leads, "token").select("a", F.explode("leads").alias("b")))
     found = saved(components(_verified(pairs.union(near), shared)), "components")
     still = _still_open(entries, members, found)
     # Where a large group is left, a few more leaders join most of what a single one did not.
-    one = F.struct("cid", "comp", "n", "rest")
-    leads = F.array(*(F.min_by(one, F.xxhash64("cid", F.lit(seed))) for seed in range(LEADERS)))
+    leads = F.array(*(F.min_by("a", F.xxhash64("a.cid", F.lit(seed))) for seed in range(LEADERS)))
     leads = saved(still.groupBy("token").agg(leads.alias("leads")), "leads")
-    near = still.join(leads, "token").select("cid", "comp", "n", "rest", F.explode("leads").alias("lead")).where("comp != lead.comp")
-    near = near.where(_reachable("n", "lead.n", "rest", "lead.rest")).select(F.col("cid").alias("a"), F.col("lead.cid").alias("b"))
-    more = _verified(near, shared)
+    near = still.join(leads, "token").select("a", F.explode("leads").alias("b")).where("a.comp != b.comp")
+    more = _verified(_alike(near), shared)
     if not more.isEmpty():
         found = _joined(found, more)
         still = _still_open(entries, members, found)
-    # What the leaders leave open: pairs of classes of different components with a prefix shingle in common.
-    parts = still.groupBy("token", "comp").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.max("rest").alias("rest"))
-    parts = saved(parts, "parts")
-    other = parts.select("token", *(F.col(c).alias(f"b_{c}") for c in ("comp", "n", "most", "rest")))
-    near = parts.join(other, "token").where("comp < b_comp").where(_reachable("n", "b_n", "rest", "b_rest"))
-    near = near.where(f"most * {SIMILAR[1]} >= b_n * {SIMILAR[0]} AND b_most * {SIMILAR[1]} >= n * {SIMILAR[0]}")
-    near = near.select("token", "comp", "b_comp")
-    one = near.join(still.select("token", "comp", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra")), ["token", "comp"])
-    two = still.select("token", F.col("comp").alias("b_comp"), F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"))
-    pairs = one.join(two, ["token", "b_comp"]).where(f"na * {SIMILAR[1]} >= nb * {SIMILAR[0]} AND nb * {SIMILAR[1]} >= na * {SIMILAR[0]}")
-    more = _verified(pairs.where(_reachable("na", "nb", "ra", "rb")).select("a", "b"), shared)
+    # What the leaders leave open. A shingle's entries are dealt into shares, and each share meets all of them.
+    shares = still.groupBy("token").agg(F.expr(f"cast(ceil(count(*) / {SHARE}) AS int)").alias("shares"))
+    still = still.join(saved(shares, "shares"), "token")
+    one = still.select("token", F.expr("cast(pmod(xxhash64(a.cid), shares) AS int)").alias("share"), "a")
+    two = still.select("token", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.col("a").alias("b"))
+    both = one.join(two.withColumnsRenamed({"token": "token_b", "share": "share_b"}), F.expr(f"token = token_b AND share = share_b AND a.comp < b.comp AND {_ALIKE} AND {_REACHABLE}"))
+    more = _verified(both.selectExpr("a.cid AS a", "b.cid AS b"), shared)
     return found if more.isEmpty() else _joined(found, more)
 
 
+#: Sets a and b of these sizes that differ by a ninth of both at most, as far as their masks and what each has alone can tell.
+_ALIKE = (
+    f"(a.own + b.own + {' + '.join(f'bit_count(a.mask[{i}] ^ b.mask[{i}])' for i in range(MASK // 64))}) * {SIMILAR[0] + SIMILAR[1]}"
+    f" <= (a.n + b.n) * {SIMILAR[1] - SIMILAR[0]}"
+)
+#: Sets that first meet with so much left can still overlap enough: s / (1 + s) of both sizes.
+_REACHABLE = f"least(a.rest, b.rest) * {sum(SIMILAR)} >= {SIMILAR[0]} * (a.n + b.n)"
+
+
+def _alike(pairs: DataFrame, rest: bool = True) -> DataFrame:
+    """Pairs of structs a and b that may be linked, as (a, b) of their classes."""
+    near = pairs.where("a.cid != b.cid").where(_ALIKE)
+    return (near.where(_REACHABLE) if rest else near).selectExpr("a.cid AS a", "b.cid AS b")
+
+
 def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
     """Components with some more links."""
     return saved(components(links.union(found.select(F.col("node").alias("a"), F.col("component").alias("b")))), "components")
 
 
 def _still_open(entries: DataFrame, members: DataFrame, found: DataFrame) -> DataFrame:
-    """token, cid, comp, n, rest of the shingles that more than one component has in its prefixes."""
-    nodes = members.join(found.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "gid", F.coalesce("component", "cid").alias("comp"))
-    nodes = saved(nodes, "nodes")
+    """token and a (cid, n, own, mask, comp, rest) of the shingles that more than one component has in its prefixes."""
+    nodes = members.join(found.withColumnRenamed("node", "cid"), "cid", "left")
+    nodes = saved(nodes.select("gid", "cid", "n", "own", "mask", F.coalesce("component", "cid").alias("comp")), "nodes")
     several = entries.join(nodes.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")), "gid")
     several = saved(several.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo != hi").select("token"), "open")
-    return saved(entries.join(several, "token").join(nodes, "gid").select("token", "cid", "comp", "n", "rest"), "still")
-
-
-def _reachable(na: str, nb: str, ra: str, rb: str) -> str:
-    """Sets of these sizes that first meet with so much left can still overlap enough: s / (1 + s) of both sizes."""
-    s, t = SIMILAR
-    return f"least({ra}, {rb}) * {s + t} >= {s} * ({na} + {nb})"
+    still = entries.join(several, "token").join(nodes, "gid")
+    return saved(still.select("token", F.struct("cid", "n", "own", "mask", "comp", "rest").alias("a")), "still")
 
 
 def _placed(documents: DataFrame) -> DataFrame:
-    """doc_id, n, h1, h2, component_id of every row; h1 and h2 are its set's signature."""
-    signed, sets = _classes(documents)
-    found = connected(sets).withColumnRenamed("node", "cid")
-    of_class = sets.select("cid", "h1", "h2", "low").join(found, "cid")
-    lowest = saved(of_class.groupBy("component").agg(F.min("low").alias("component_id")), "lowest")
-    of_class = of_class.select("component", "h1", "h2").join(lowest, "component")
-    classes = signed.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.count("*").alias("w"))
-    classes = classes.join(of_class.select("h1", "h2", "component_id"), ["h1", "h2"], "left")
-    classes = saved(classes.select("h1", "h2", "w", F.coalesce("component_id", "low").alias("component_id")), "classes")
-    rows = look_up(signed.where("n > 0"), classes, ["h1", "h2"], "w").select("doc_id", "n", "h1", "h2", "component_id")
-    return rows.union(signed.where("n = 0").select("doc_id", "n", "h1", "h2", "doc_id"))
+    """doc_id, n, h1, h2, component_id, place of every row: its set's signature, and its component by id and for itself.
+
+    ``place`` is null for a row without words, and else the same for all rows of a component and for no others.
+    """
+    with scratch(documents.sparkSession) as keep:
+        signed, sets = _classes(documents)
+        found = connected(sets).withColumnRenamed("node", "cid")
+        of_class = sets.select("cid", "h1", "h2", "low").join(found, "cid")
+        lowest = saved(of_class.groupBy("component").agg(F.min("low").alias("component_id"), F.min(F.struct("h1", "h2")).alias("place")), "lowest")
+        of_class = of_class.select("component", "h1", "h2").join(lowest, "component")
+        classes = signed.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.count("*").alias("w"))
+        classes = classes.join(of_class.select("h1", "h2", "component_id", "place"), ["h1", "h2"], "left")
+        place = F.coalesce("place", F.struct("h1", "h2")).alias("place")
+        id_of = F.when(F.col("place").isNull(), F.col("low")).otherwise(F.col("component_id")).alias("component_id")
+        classes = saved(classes.select("h1", "h2", "w", id_of, place), "classes")
+        rows = look_up(signed.where("n > 0"), classes, ["h1", "h2"], "w").select("doc_id", "n", "h1", "h2", "component_id", "place")
+        none = signed.where("n = 0").select("doc_id", "n", "h1", "h2", F.col("doc_id").alias("component_id"))
+        return keep(rows.unionByName(none, allowMissingColumns=True), "placed")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -296,20 +319,29 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def keep_one(documents: DataFrame) -> DataFrame:
     """One document of each component, that with the smallest id, with all columns; documents without words all stay.
 
-    Of rows that share an id, or have none, those go whose own sets do.
+    Where rows share that id, or none of the component has one, one row of them stays: one with the smallest signature.
     """
-    rows = _placed(documents).groupBy("doc_id", "h1", "h2").agg(F.max(~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("gone"))
-    rows = saved(rows, "placed")
-    by_id = saved(rows.groupBy("doc_id").agg(F.max("gone").alias("some"), F.min("gone").alias("every")).where("some"), "gone")
-    left = without(documents, by_id.where("every"), "doc_id")
-    mixed = by_id.where("NOT every")
+    rows = _placed(documents).where("n > 0").groupBy("doc_id", "h1", "h2", "place").agg(F.count("*").alias("copies"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h1", "h2")).alias("first")
+    rows = saved(rows, "rows")
+    # One row per component, of ids and numbers: no component is moved whole.
+    heads = rows.groupBy("place").agg(first).selectExpr("first.doc_id AS head", "first.h1 AS head1", "first.h2 AS head2", "true AS stays")
+    rows = rows.join(heads, F.expr("doc_id <=> head AND h1 = head1 AND h2 = head2"), "left")
+    rows = saved(rows.select("doc_id", "h1", "h2", "copies", F.coalesce("stays", F.lit(False)).alias("stays")), "stays")
+    # By id alone where that says it all. Else, of ids that several rows have, each row's own set decides.
+    by_id = saved(rows.groupBy("doc_id").agg(F.max("stays").alias("some"), F.sum("copies").alias("copies")).where("NOT some OR copies > 1"), "ids")
+    wordless = F.rtrim(F.coalesce("text", F.lit("")), F.lit(_SPACE)) == ""
+    plain = documents.where(~wordless)
+    left = without(plain, by_id, "doc_id").unionByName(documents.where(wordless))
+    mixed = by_id.where("some")
     if mixed.isEmpty():
         return left
     schema = StructType([*documents.schema.fields, StructField("__h1", LongType()), StructField("__h2", LongType())])
-    gone = rows.where("gone").select(F.col("doc_id").alias("__gone"), F.col("h1").alias("__own1"), F.col("h2").alias("__own2"))
-    again = only(left, mixed, "doc_id").mapInArrow(_marked, schema)
-    again = again.join(gone, again["doc_id"].eqNullSafe(gone["__gone"]) & (again["__h1"] == gone["__own1"]) & (again["__h2"] == gone["__own2"]), "left_anti")
-    return without(left, mixed, "doc_id").unionByName(again.select(documents.columns))
+    stay = rows.where("stays").select(F.col("doc_id").alias("__id"), F.col("h1").alias("__own1"), F.col("h2").alias("__own2"))
+    again = only(plain, mixed, "doc_id").mapInArrow(_marked, schema)
+    again = again.join(stay, again["doc_id"].eqNullSafe(stay["__id"]) & (again["__h1"] == stay["__own1"]) & (again["__h2"] == stay["__own2"]), "left_semi")
+    again = again.dropDuplicates(["doc_id", "__h1", "__h2"])
+    return left.unionByName(again.select(documents.columns))
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ of ``PRIOR`` strings that are none; a string's is that of its best pattern, and
 base spans are reported as ``found`` where a pattern of at least ``CONFIDENT``, learned from ``SUPPORT`` different seeds, has them.
 A word that goes on beyond ``spans.CONTEXT`` characters away is no context. Candidates may touch each other, but don't overlap.
 
-Null text counts as empty. Documents without spans have counts of 0. Repeated rows are reported like any other; they don't
+Null text counts as empty. Texts may be of any length. Other columns are ignored. Documents without spans have counts of 0. Repeated rows are reported like any other; they don't
 make a pattern stronger, as a pattern counts different strings. An empty table gives no rows.
 """
 

@@ -5,7 +5,10 @@ mark as secrets, the other from long words and identifiers outside of these (run
 signs between them), each different string once, over all documents. A token's log-likelihood ratio per character says which model it fits better. A token that no pattern
 has is reported as ``random`` if its ratio is above zero and above that of all but one in ``FALSE_ONE_IN`` ordinary identifiers.
 
-Null text counts as empty. Documents without spans have counts of 0. Repeated rows are reported like any other. Without any
+Learned from, and scored, are tokens of 16 characters and more: fewer say too little about where they come from, and what the
+patterns find stays whatever its length. Added spans don't overlap with others, as tokens are taken from left to right.
+
+Null text counts as empty. Texts may be of any length. Other columns are ignored. Documents without spans have counts of 0. Repeated rows are reported like any other. Without any
 secret, or any ordinary token, to learn from, no span is added. An empty table gives no rows.
 """
 

@@ -6,8 +6,8 @@ import numpy as np
 import xxhash
 
 WORD = 5
-#: Words whose hashes a Python worker keeps between batches; beyond it, it starts afresh.
-KEPT_WORDS = 500_000
+#: Words whose hashes a Python worker keeps between batches, some 20 MB; beyond it, it starts afresh.
+KEPT_WORDS = 100_000
 
 
 class WordHashes(dict):

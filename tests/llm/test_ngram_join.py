@@ -68,6 +68,66 @@ def test_keep_one(spark):
     assert LONG in texts and LONG + " end" not in texts and texts.count(None) == 1
 
 
+def test_one_row_stays_of_repeated_and_missing_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = lambda k: " ".join([*base, f"end{k}"])
+    rows = [(None, near(0)), (None, near(1)), (None, near(1))]
+    rows += [(i, x.replace("w", "v")) for i, x in ((7, near(0)), (7, near(1)), (8, near(2)), (7, near(0)))]
+    rows += [(7, "something else altogether that stands here by itself"), (8, ""), (None, None), (9, " \n")]
+    out = [(r["doc_id"], r["text"]) for r in ngram_join.keep_one(documents(spark, rows)).collect()]
+    assert len([x for x in out if not (x[1] or "").strip()]) == 3
+    assert len([x for x in out if x[0] is None and (x[1] or "").startswith("w0")]) == 1
+    assert len([x for x in out if (x[1] or "").startswith("v0")]) == 1 and (7, rows[-4][1]) in out and len(out) == 6
+    # Which one it is does not depend on the order of the rows.
+    again = ngram_join.keep_one(documents(spark, rows[::-1]).repartition(3)).collect()
+    assert sorted(out, key=repr) == sorted(((r["doc_id"], r["text"]) for r in again), key=repr)
+
+
+@pytest.mark.parametrize("vocabulary", [10**9, 12])
+def test_forms_of_one_template_are_hardly_compared(spark, monkeypatch, vocabulary):
+    """Two words of a hundred are another in each form: most pairs of forms are near but not near enough."""
+    rng = random.Random(6)
+    template = [f"w{i}" for i in range(104)]
+    rows = []
+    for i in range(600):
+        words = list(template)
+        for k in rng.sample(range(104), 2):
+            words[k] = f"x{rng.randrange(vocabulary)}"
+        rows.append((i, " ".join(words)))
+    compared, verified = [], ngram_join._verified
+
+    def counted(pairs, shared):
+        compared.append(pairs.where("a != b").selectExpr("least(a, b)", "greatest(a, b)").distinct().count())
+        return verified(pairs, shared)
+
+    monkeypatch.setattr(ngram_join, "_verified", counted)
+    got = plain(ngram_join.near_duplicates(documents(spark, rows)))
+    assert got == expected(rows)
+    sets = [shingles(t) for _, t in rows]
+    links = sum(100 * len(a & b) >= 80 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert sum(compared) < 10 * len(rows) + links, compared
+
+
+def test_a_hot_shingle_is_dealt_into_shares(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "SHARE", 7)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[6 * i : 6 * i + 100])) for i in range(40)] + [(100 + i, " ".join([*words[:80], *(f"y{i}_{j}" for j in range(16))])) for i in range(40)]
+    assert plain(ngram_join.near_duplicates(documents(spark, rows))) == expected(rows)
+
+
+def test_scratch_tables_go(spark):
+    with tables.scratch(spark) as keep:
+        first = tables.saved(spark.range(3), "first")
+        with tables.scratch(spark) as keep_inner:
+            inner = keep_inner(first.selectExpr("id + 1 AS id"), "inner")
+            lost = tables.saved(spark.range(2), "lost")
+        out = keep(inner.selectExpr("id + 1 AS id"), "out")
+    assert [r["id"] for r in out.orderBy("id").collect()] == [2, 3, 4]
+    for gone in (first, inner, lost):
+        with pytest.raises(Exception, match="(?i)does not exist|not_exist"):
+            gone.collect()
+
+
 def test_empty(spark):
     assert plain(ngram_join.near_duplicates(empty(spark))) == []
 
