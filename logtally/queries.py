@@ -526,7 +526,8 @@ def paced_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _events_path(sf_dir)
     stage_part(spark, path, folder, 0, BATCHES, 8)
     files = Files(spark, folder)
-    one = max(files.size(f"{folder}/{name}") for name in files.children(folder) if name.startswith("part-"))
+    # A little more than a file, as those of later parts may be somewhat larger.
+    one = max(files.size(f"{folder}/{name}") for name in files.children(folder) if name.startswith("part-")) * 11 // 10 + 1
     pace = Pace(3600, one, 3 * one)
     start = lambda limit, stop: start_summary(
         stream_lines(spark, folder, max_bytes_per_trigger=limit), DAILY_SUMMARY, ledger, checkpoint, interval_seconds=None, stop=stop
