@@ -31,10 +31,20 @@ def test_an_empty_table_passes_through(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op1_exact_dedup", "op2_chat_formatting", "op9_ngram_jaccard_join"])
+def test_an_awkward_table_passes_through(spark, tmp_path):
+    """Of nulls, repeats, near copies, benchmark passages and long texts, the right rows are packed."""
+    documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, PASSAGE), (None, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"] for r in pieces} == {None, 2, 3, 5, 6, 10, 12, 13, 14, 15}
+    assert sum(r["length"] for r in pieces) == sum({r["doc_id"]: r["doc_tokens"] for r in pieces}.values())
+
+
+@pytest.mark.parametrize("name", ["op1_exact_dedup", "op2_chat_formatting", "op9_ngram_jaccard_join", "op11_centroid_clustering", "op12_conversation_repair"])
 def test_sql_gives_the_same_rows(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         connection.sql(f"CREATE VIEW {table} AS SELECT * FROM '{TESTDATA}/{table}.parquet'")
     want = connection.sql(entry_points.oracle_sql()[name])
     columns = sorted(want.columns)
