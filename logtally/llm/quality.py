@@ -6,9 +6,10 @@ differences of their features, so that P(good is preferred) = 1 / (1 + exp(-(sco
 is a threshold on the score: the quantile of training scores at the share of bad documents, moved to the quantile near it
 that tells the training rows apart best. The score is then given as a probability that is ``CUT`` at the threshold.
 
-Features are computed in Spark, once for each document that is scored or fitted to. The fit uses at most ``LABELLED`` rows of either label, those with
-the smallest checksums of their ids, so that its size is the same whatever the table's; with one label only, nothing can
-be preferred and every score is 0.5.
+Features are computed in Spark, once for each document that is scored or fitted to. The fit uses every labelled training row: rows
+are dealt into blocks of bounded size, pairs are made within a block, and the sums that a step of the fit needs are added up
+over all blocks. A label that is rare has each of its rows in several blocks, so that none is without partners. The threshold's
+quantiles are exact ones of all training scores. With one label only, nothing can be preferred and every score is 0.5.
 
 Null text counts as empty; it gets a score like any other, as does a text of any length. Other columns are ignored. Where
 training scores are even around the threshold, all of them are on the same side of it. Repeated labels count as often as they occur, null labels and
@@ -17,7 +18,8 @@ labels of no document not at all. Repeated rows get equal scores. An empty table
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from math import ceil
 from typing import NamedTuple
 
 import numpy as np
@@ -27,8 +29,10 @@ from pyspark.sql import functions as F
 
 from logtally.llm.tables import only, rows_with, saved, text_of, training_row
 
-#: Labelled rows of either label that are learned from, at most.
-LABELLED = 20_000
+#: Labelled rows of a block, about.
+BLOCK_ROWS = 10_000
+#: Rows of either label that a block has, about, unless there are fewer in all.
+BLOCK_LEAST = 200
 #: Preference pairs per row of the larger class.
 PARTNERS = 8
 #: Scores from here on are good.
@@ -84,36 +88,114 @@ class Ranking(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(s + np.log(CUT / (1 - CUT)), -500, 500)))
 
 
-def fit(x: np.ndarray, good: np.ndarray, partners: int = PARTNERS, turns: int = 25, penalty: float = 1e-3) -> Ranking:
-    """Learn from rows of features and their labels."""
-    if good.all() or not good.any():
-        return Ranking(np.zeros(x.shape[1]), np.ones(x.shape[1]), np.zeros(x.shape[1]), float(np.log(CUT / (1 - CUT))))
-    middle, scale = x.mean(0), np.maximum(x.std(0), 1e-6)
-    z = (x - middle) / scale
+_BLOCK = "block int, x binary, good binary, own binary"
+
+
+def _block(rows: pd.DataFrame) -> pd.DataFrame:
+    """The rows of a block as arrays, in an order that doesn't depend on how they came."""
+    x = np.array(rows["features"].tolist(), float).reshape(-1, FEATURES)
+    order = np.lexsort([*x.T, rows["doc_id"], rows["order"], rows["quality"]])
+    good, own = (rows[c].to_numpy(bool)[order] for c in ("quality", "own"))
+    return pd.DataFrame({"block": [rows["block"].iloc[0]], "x": [x[order].tobytes()], "good": [good.tobytes()], "own": [own.tobytes()]})
+
+
+def blocks_of(rows: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """Labelled rows (doc_id, quality, features) in blocks; a row that stands in several is marked as ``own`` in one."""
+    blocks = ceil(sum(counts.values()) / BLOCK_ROWS)
+    copies = {q: min(blocks, ceil(blocks * BLOCK_LEAST / n)) for q, n in counts.items()}
+    times = F.when(F.col("quality") == 1, copies[1]).otherwise(copies[0])
+    # By the row and not by its id alone, which many rows may share.
+    rows = rows.withColumn("at", F.xxhash64("doc_id", F.monotonically_increasing_id()))
+    rows = rows.select("doc_id", "quality", "features", _order().alias("order"), "at", F.explode(F.sequence(F.lit(0), times - 1)).alias("copy"))
+    rows = rows.withColumn("block", F.pmod(F.pmod("at", F.lit(blocks)) + F.col("copy"), F.lit(blocks)).cast("int")).withColumn("own", F.col("copy") == 0)
+    return saved(rows.select("doc_id", "quality", "features", "order", "block", "own").groupBy("block").applyInPandas(_block, _BLOCK), "blocks")
+
+
+def _arrays(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for block, x, good, own in zip(*(batch[c] for c in ("block", "x", "good", "own")), strict=True):
+            yield block, np.frombuffer(x).reshape(-1, FEATURES), np.frombuffer(good, bool), np.frombuffer(own, bool)
+
+
+def _total(blocks: DataFrame, function: Callable[[int, np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum of what a function makes of each block; a task hands on one array."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for arrays in _arrays(batches):
+            found = function(*arrays)
+            total = found if total is None else total + found
+        if total is not None:
+            yield pd.DataFrame({"total": [total]})
+
+    return np.sum([r["total"] for r in blocks.mapInPandas(run, "total array<double>").collect()], axis=0)
+
+
+def _differences(block: int, z: np.ndarray, good: np.ndarray, partners: int) -> np.ndarray:
+    """Good rows less bad ones, so many pairs for each row of the larger class of a block."""
     a, b = np.flatnonzero(good), np.flatnonzero(~good)
-    rng = np.random.default_rng(7)
-    n = max(len(a), len(b)) * partners
-    d = z[np.resize(rng.permutation(a), n)] - z[rng.choice(b, n)]
-    w = np.zeros(x.shape[1])
+    n = max(len(a), len(b)) * partners if len(a) and len(b) else 0
+    rng = np.random.default_rng(7 + block)
+    return z[np.resize(rng.permutation(a), n)] - z[rng.choice(b, n)] if n else np.zeros((0, z.shape[1]))
+
+
+def fit(blocks: DataFrame, counts: dict[int, int], partners: int = PARTNERS, turns: int = 25, penalty: float = 1e-3) -> Ranking:
+    """Learn from all rows of the blocks, of which there are so many by label."""
+    every = sum(counts.values())
+    middle = _total(blocks, lambda _, x, good, own: x[own].sum(0)) / every
+    scale = np.maximum(np.sqrt(_total(blocks, lambda _, x, good, own: ((x[own] - middle) ** 2).sum(0)) / every), 1e-6)
+    w = np.zeros(FEATURES)
     for _ in range(turns):
-        p = 1 / (1 + np.exp(np.clip(d @ w, -500, 500)))
-        grad = d.T @ p / n - penalty * w
-        bend = (d * (p * (1 - p))[:, None]).T @ d / n + penalty * np.eye(len(w))
+
+        def sums(block: int, x: np.ndarray, good: np.ndarray, own: np.ndarray, w: np.ndarray = w) -> np.ndarray:
+            d = _differences(block, (x - middle) / scale, good, partners)
+            p = 1 / (1 + np.exp(np.clip(d @ w, -500, 500)))
+            return np.concatenate([[len(d)], d.T @ p, ((d * (p * (1 - p))[:, None]).T @ d).ravel()])
+
+        n, *found = np.split(_total(blocks, sums), [1, 1 + FEATURES])
+        grad = found[0] / n - penalty * w
+        bend = found[1].reshape(FEATURES, FEATURES) / n + penalty * np.eye(FEATURES)
         step = np.linalg.solve(bend, grad)
         w = w + step / max(1.0, np.linalg.norm(step) / 5)
         if np.abs(step).max() < 1e-6:
             break
-    scores = z @ w
-    rank = np.sort(scores)
-    share = (~good).mean()
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, x, good, own in _arrays(batches):
+            yield pd.DataFrame({"score": (((x - middle) / scale) @ w)[own], "good": good[own]})
+
+    return Ranking(middle, scale, w, best_threshold(blocks.mapInPandas(score, "score double, good boolean"), counts))
+
+
+def best_threshold(scores: DataFrame, counts: dict[int, int]) -> float:
+    """Of the quantiles of all scores near the share of bad ones, the one that tells (score, good) apart best."""
+    every = sum(counts.values())
+    share = counts[0] / every
+    places = {min(int(q * every), every - 1) for q in np.unique(np.clip(share * np.linspace(0.5, 1.5, 201), 0, 1))}
+    wanted = np.unique([p for k in places for p in (max(0, k - 1), k)])
+    # Different scores in order, with the rows and the bad ones before each: those of the parts before, and in its own part.
+    by = scores.groupBy("score").agg(F.count("*").alias("n"), F.count_if(~F.col("good")).alias("bad"))
+    by = saved(by.orderBy("score").withColumn("part", F.spark_partition_id()), "scores")
+    parts = by.groupBy("part").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    parts = parts.selectExpr("part", "sum(n) OVER (ORDER BY part) - n AS n_before", "sum(bad) OVER (ORDER BY part) - bad AS bad_before")
+    own = "OVER (PARTITION BY part ORDER BY score)"
+    by = by.join(F.broadcast(parts), "part").selectExpr("score", "n", f"n_before + sum(n) {own} - n AS first", f"bad_before + sum(bad) {own} - bad AS worse")
+
+    def at_places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch[np.searchsorted(wanted, batch["first"]) < np.searchsorted(wanted, batch["first"] + batch["n"])]
+
+    found = by.mapInPandas(at_places, "score double, n long, first long, worse long").orderBy("score").collect()
+    score, first, worse = (np.array([r[c] for r in found]) for c in ("score", "first", "worse"))
     best = (-1.0, 0.0)
-    for q in np.unique(np.clip(share * np.linspace(0.5, 1.5, 201), 0, 1)):
+    for k in places:
+        low, high = np.searchsorted(first, [max(0, k - 1), k], "right") - 1
         # Between two neighbouring scores, so that no training row lies on the threshold.
-        k = min(int(q * len(rank)), len(rank) - 1)
-        t = (rank[max(0, k - 1)] + rank[k]) / 2
-        right = ((scores >= t) == good).mean()
-        best = max(best, (right, float(t)))
-    return Ranking(middle, scale, w, best[1])
+        t = (score[low] + score[high]) / 2
+        at = high if t > score[low] else low
+        good_above = counts[1] - (first[at] - worse[at])
+        best = max(best, (float(worse[at] + good_above) / every, float(t)))
+    return best[1]
 
 
 def _order() -> Column:
@@ -121,23 +203,31 @@ def _order() -> Column:
     return F.crc32(F.concat(F.lit("fit:"), F.col("doc_id").cast("string")))
 
 
-def fit_rows(documents: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
-    """The documents that ``learn`` can take rows of, so that no others need be described for it; by ids, no text is moved."""
+def _first(rows: DataFrame, labelled: int | None) -> DataFrame:
+    """All rows, or of either label so many at most, for a fit that is to be cheaper."""
+    if labelled is None:
+        return rows
+    taken = [rows.where(F.col("quality") == q).orderBy(_order(), "doc_id").limit(labelled) for q in (0, 1)]
+    return taken[0].union(taken[1])
+
+
+def fit_rows(documents: DataFrame, labels: DataFrame, labelled: int | None = None) -> DataFrame:
+    """The documents that ``learn`` takes rows of, so that no others need be described for it."""
     known = labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("__labelled"), "quality")
     rows = documents.select("doc_id").where(training_row(F.col("doc_id"), HELD_OUT))
     rows = saved(rows.join(known, rows["doc_id"] == known["__labelled"]).select("doc_id", "quality"), "labelled")
-    taken = [rows.where(F.col("quality") == q).orderBy(_order(), "doc_id").limit(labelled).select("doc_id") for q in (0, 1)]
-    return only(documents, taken[0].union(taken[1]).distinct(), "doc_id")
+    return only(documents, _first(rows, labelled).select("doc_id").distinct(), "doc_id")
 
 
-def learn(described: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Ranking:
-    """Fit to the labelled rows that aren't held out."""
-    known = labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("__labelled"), "quality")
+def learn(described: DataFrame, labels: DataFrame, labelled: int | None = None) -> Ranking:
+    """Fit to all labelled rows that aren't held out."""
+    known = labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("__labelled"), F.col("quality").cast("int").alias("quality"))
     rows = described.where("NOT held_out").join(known, described["doc_id"] == known["__labelled"])
-    taken = [rows.where(F.col("quality") == q).orderBy(_order(), "doc_id").limit(labelled).select("features", "quality").toPandas() for q in (0, 1)]
-    taken = pd.concat(taken)
-    x = np.array(taken["features"].tolist(), float).reshape(-1, FEATURES)
-    return fit(x, taken["quality"].to_numpy() == 1)
+    rows = saved(_first(rows.select("doc_id", "features", "quality"), labelled), "labelled")
+    counts = {0: 0, 1: 0} | {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
+    if not all(counts.values()):
+        return Ranking(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), float(np.log(CUT / (1 - CUT))))
+    return fit(blocks_of(rows, counts), counts)
 
 
 def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from logtally.llm import quality
 from tests.conftest import TESTDATA
@@ -57,3 +59,44 @@ def test_given_data(spark):
     docs, labels = (spark.read.parquet(f"{TESTDATA}/{t}.parquet") for t in ("documents", "labels"))
     rows = quality.scored(docs, labels).where("held_out").join(labels, "doc_id").collect()
     assert sum(r["predicted"] == r["quality"] for r in rows) >= 0.8 * len(rows)
+
+
+def described(spark, rows):
+    """Rows with made-up features, every ninth one bad."""
+    bad = (F.col("id") % 9 == 0).cast("double")
+    parts = [F.sin(F.col("id") * (k + 1.7)) + bad * (k % 4) / 5 for k in range(quality.FEATURES)]
+    docs = spark.range(rows).select(F.col("id").alias("doc_id"), F.lit(False).alias("held_out"), F.array(*parts).alias("features"))
+    return docs, spark.range(rows).selectExpr("id AS doc_id", "cast(id % 9 > 0 AS int) AS quality")
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    docs, labels = described(spark, 30_000)
+    x = np.array([r["features"] for r in docs.collect()])
+    ranking = quality.learn(docs, labels)
+    assert ranking.middle == pytest.approx(x.mean(0), abs=1e-9) and ranking.scale == pytest.approx(x.std(0), abs=1e-9)
+
+
+def test_blocks_learn_what_one_block_does(spark, monkeypatch):
+    docs, labels = described(spark, 4_000)
+    x = np.array([r["features"] for r in docs.orderBy("doc_id").collect()])
+    good = np.arange(4_000) % 9 > 0
+    whole = quality.learn(docs, labels)
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 150)
+    monkeypatch.setattr(quality, "BLOCK_LEAST", 40)
+    ranking = quality.learn(docs, labels)
+    assert ranking.middle == pytest.approx(whole.middle) and np.corrcoef(ranking.weights, whole.weights)[0, 1] > 0.95
+    right = [((r.probability(x) >= quality.CUT) == good).mean() for r in (whole, ranking)]
+    assert right[1] >= right[0] - 0.01 and right[1] > 0.9
+
+
+def test_threshold_is_the_best_quantile_of_all_scores(spark):
+    rng = np.random.default_rng(5)
+    good = rng.random(3_000) < 0.8
+    scores = np.round(rng.normal(size=3_000) + 1.5 * good, 2)
+    rows = spark.createDataFrame([(float(s), bool(g)) for s, g in zip(scores, good, strict=True)], "score double, good boolean").repartition(7)
+    rank, best = np.sort(scores), (-1.0, 0.0)
+    for q in np.unique(np.clip((~good).mean() * np.linspace(0.5, 1.5, 201), 0, 1)):
+        k = min(int(q * len(rank)), len(rank) - 1)
+        t = (rank[max(0, k - 1)] + rank[k]) / 2
+        best = max(best, (((scores >= t) == good).mean(), float(t)))
+    assert quality.best_threshold(rows, {0: int((~good).sum()), 1: int(good.sum())}) == pytest.approx(best[1])
