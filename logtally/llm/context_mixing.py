@@ -5,12 +5,17 @@ code, so that common bytes take few; all decisions of one depth are made togethe
 the byte before, hashes of the two and of the three bytes before, and a hash of the word so far; each counts ones and
 zeros per slot. Their log odds are added with weights of a set that a gate picks from the decision's depth and from how much the two
 longest contexts have seen. A last table refines the result by the byte so far. Weights are learned online, chunk by chunk;
-the refinement adapts to what the mixed result was worth.
+the refinement adapts to what the mixed result was worth. What several tasks have learned is averaged, by how often each has met
+a set of weights.
+
+All that bears on a byte is the three bytes before, the word so far and the byte itself, 64 bits; what follows from them is
+worked out once for each of the different ones of a chunk.
 """
 
 from __future__ import annotations
 
 import heapq
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -21,6 +26,8 @@ SLOTS = [1 << b for b in BITS]
 END = 0xFF
 _GATES = 8 * 4 * 4
 _STEPS = 33
+#: Weights are added up in such parts of one.
+_WHOLE = 2.0**20
 _WORDLIKE = np.zeros(256, bool)
 _WORDLIKE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -73,7 +80,8 @@ class Sequence(NamedTuple):
     at_depth: np.ndarray
 
 
-def sequence(texts: list[bytes], code: Code) -> Sequence:
+def _keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each byte of all texts and their ends: hash of the word so far, three bytes before, byte; and the texts' starts."""
     pad = b"\0\0\0"
     raw = np.frombuffer(b"".join(pad + t + b"\xff" for t in texts), np.uint8)
     lengths = np.array([len(t) + 1 for t in texts])
@@ -81,26 +89,55 @@ def sequence(texts: list[bytes], code: Code) -> Sequence:
     heads = np.cumsum(lengths + 3) - lengths - 3
     for i in range(3):
         real[heads + i] = False
-    wide = raw.astype(np.uint32)
-    one, two, three = (np.r_[np.zeros(i, np.uint32), wide[:-i]] for i in (1, 2, 3))
     # Word so far: sums of byte times power, the power taken out again, so that every word starts afresh.
-    factor = 0x5851F42D4C957F2D
-    powers = np.cumprod(np.full(len(raw), factor, np.uint64))
-    inverse = np.cumprod(np.full(len(raw), pow(factor, -1, 2**64), np.uint64))
-    wordlike = _WORDLIKE[raw] & (raw != END)
-    total = np.cumsum(np.where(wordlike, (raw.astype(np.uint64) | np.uint64(32)) * inverse, np.uint64(0)))
+    powers, inverse = _powers(len(raw))
+    wordlike = _WORDLIKE[raw]
+    total = np.cumsum(np.where(wordlike, (raw | np.uint8(32)) * inverse, np.uint64(0)))
     broken = np.maximum.accumulate(np.where(wordlike, 0, np.arange(len(raw))))
     word = np.where(wordlike, (total - total[broken]) * powers, np.uint64(0))
     word = np.r_[np.uint64(0), word[:-1]]
-    word = ((word ^ (word >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32)
+    key = (word ^ (word >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) & np.uint64(0xFFFFFFFF00000000)
+    key |= raw
+    for i in (1, 2, 3):
+        key[i:] |= raw[:-i].astype(np.uint64) << np.uint64(8 * i)
+    return key[real], np.cumsum(lengths) - lengths
+
+
+@lru_cache(1)
+def _power_table(size: int) -> tuple[np.ndarray, np.ndarray]:
+    factor = 0x5851F42D4C957F2D
+    return np.cumprod(np.full(size, factor, np.uint64)), np.cumprod(np.full(size, pow(factor, -1, 2**64), np.uint64))
+
+
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse; those of the usual sizes are kept."""
+    powers, inverse = _power_table(2**20) if size <= 2**20 else _power_table.__wrapped__(size)
+    return powers[:size], inverse[:size]
+
+
+def _of_keys(keys: np.ndarray, starts: np.ndarray, code: Code) -> Sequence:
+    symbols, one, two, three = ((keys >> np.uint64(8 * i)).astype(np.uint8) for i in range(4))
+    depth = code.lengths[symbols].astype(np.int8)
+    order = np.argsort(-depth, kind="stable")
+    at_depth = len(order) - np.cumsum(np.bincount(depth, minlength=len(code.nodes) + 1))
+    symbols, one, two, three = (x[order].astype(np.uint32) for x in (symbols, one, two, three))
+    word = (keys >> np.uint64(32)).astype(np.uint32)[order]
     pair = (one | two << np.uint32(8)) * np.uint32(0x9E3779B1)
     triple = (one | two << np.uint32(8) | three << np.uint32(16)) * np.uint32(0x85EBCA77)
-    depth = code.lengths[raw[real]]
-    order = np.argsort(-depth.astype(np.int8), kind="stable")
-    at_depth = len(order) - np.cumsum(np.bincount(depth, minlength=len(code.nodes) + 1))
-    place = np.flatnonzero(real)[order]
-    hashes = [h[place] for h in (pair, triple, word ^ one * np.uint32(0xC2B2AE3D))]
-    return Sequence(raw[place].astype(np.intp), one[place], hashes, order, np.cumsum(lengths) - lengths, code, at_depth)
+    return Sequence(symbols.astype(np.intp), one, [pair, triple, word ^ one * np.uint32(0xC2B2AE3D)], order, starts, code, at_depth)
+
+
+def sequence(texts: list[bytes], code: Code) -> Sequence:
+    return _of_keys(*_keys(texts), code)
+
+
+def different(texts: list[bytes], code: Code) -> tuple[Sequence, np.ndarray]:
+    """The different bytes in their contexts as a sequence of their own, and how often each occurs."""
+    keys = np.sort(_keys(texts)[0])
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    times = np.diff(np.r_[first, len(keys)])
+    s = _of_keys(keys[first], np.zeros(1, np.intp), code)
+    return s, times[s.order]
 
 
 def _slots(s: Sequence, depth: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
@@ -121,16 +158,14 @@ def _slots(s: Sequence, depth: int) -> tuple[np.ndarray, list[np.ndarray], np.nd
 def count(texts: list[bytes], code: Code) -> np.ndarray:
     """Zeros and ones of every slot of all predictors, as one array."""
     total = np.zeros(2 * sum(SLOTS), np.int64)
-    s = sequence(texts, code)
+    if not texts:
+        return total
+    s, times = different(texts, code)
     for depth in range(len(code.nodes)):
         _, slots, bit = _slots(s, depth)
         at = 0
         for x, size in zip(slots, SLOTS, strict=True):
-            cells = (x << 1 | bit).astype(np.intp)
-            if len(cells) * 4 > size:
-                total[at : at + 2 * size] += np.bincount(cells, minlength=2 * size)
-            else:
-                np.add.at(total, cells + at, 1)
+            np.add.at(total, (x << 1 | bit).astype(np.intp) + at, times[: len(bit)])
             at += 2 * size
     return total
 
@@ -165,17 +200,25 @@ def _grid() -> np.ndarray:
     return np.linspace(-8, 8, _STEPS).astype(np.float32)
 
 
-def _mixed(m: Model, s: Sequence, depth: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+def _inputs(m: Model, s: Sequence, depth: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+    """The node, the bit, what the predictors say and the gate, at one depth."""
     node, slots, bit = _slots(s, depth)
-    place = min(depth, 7)
     inputs = [t.take(x, mode="clip") for t, x in zip(m.odds, slots, strict=True)]
     gate = ((inputs[2].view(np.int32) & 3) << 2 | inputs[3].view(np.int32) & 3).astype(np.intp)
-    own = m.weights[:, place * 16 : place * 16 + 16]
-    total = own[-1].take(gate, mode="clip")
-    for w, x in zip(own, inputs, strict=False):
+    gate += min(depth, 7) * 16
+    return node, bit, inputs, gate
+
+
+def _mix(weights: np.ndarray, inputs: list[np.ndarray], gate: np.ndarray) -> np.ndarray:
+    total = weights[-1].take(gate, mode="clip")
+    for w, x in zip(weights, inputs, strict=False):
         total += w.take(gate, mode="clip") * x
-    gate += place * 16
-    return node, bit, inputs, gate, total
+    return total
+
+
+def _mixed(m: Model, s: Sequence, depth: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    node, bit, inputs, gate = _inputs(m, s, depth)
+    return node, bit, inputs, gate, _mix(m.weights, inputs, gate)
 
 
 def _cell(node: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -183,41 +226,74 @@ def _cell(node: np.ndarray, total: np.ndarray) -> np.ndarray:
     return node.astype(np.intp) * _STEPS + step
 
 
-def learn(m: Model, texts: list[bytes], turns: int = 4, chunk: int = 16_384, rate: float = 0.15) -> Model:
-    """Online: weights follow the error after every chunk of about so many bytes, then the refinement is counted."""
-    chunks, own = [], []
-    for t in texts:
-        own.append(t)
-        if sum(map(len, own)) >= chunk:
-            chunks.append(sequence(own, m.code))
-            own = []
-    chunks += [sequence(own, m.code)] if own else []
-    weights = m.weights.copy()
-    m = m._replace(weights=weights)
-    for turn in range(turns):
-        step = rate / (1 + turn)
-        for s in chunks:
-            for depth in range(len(m.code.nodes)):
-                _, bit, inputs, gate, total = _mixed(m, s, depth)
-                error = bit - 1 / (1 + np.exp(-np.clip(total, -30, 30)))
-                n = np.maximum(np.bincount(gate, minlength=_GATES), 32)
-                for j, x in enumerate([*inputs, np.ones_like(total)]):
-                    weights[j] += step * np.clip(np.bincount(gate, error * x, _GATES) / n, -1, 1)
-    good, every = np.zeros(256 * _STEPS), np.zeros(256 * _STEPS)
-    for s in chunks:
+class Learner:
+    """Online: weights follow the error chunk by chunk, the refinement counts what each chunk's result was then worth.
+
+    The first chunks are gone over several times. Models may differ from chunk to chunk in their tables.
+    """
+
+    def __init__(self, weights: np.ndarray, rate: float = 0.15) -> None:
+        self.weights = weights.copy()
+        self._rate = rate
+        self._chunks = 0
+        self._visits = np.zeros(_GATES)
+        self._good, self._every = np.zeros(256 * _STEPS), np.zeros(256 * _STEPS)
+
+    def add(self, m: Model, texts: list[bytes]) -> None:
+        s, times = different(texts, m.code)
+        times = times.astype(np.float32)
+        self._chunks += 1
+        turns = 4 if self._chunks <= 8 else 1
         for depth in range(len(m.code.nodes)):
-            node, bit, _, _, total = _mixed(m, s, depth)
-            cell = _cell(node, total)
-            good += np.bincount(cell, bit, len(good))
-            every += np.bincount(cell, minlength=len(every))
+            node, bit, inputs, gate = _inputs(m, s, depth)
+            own = times[: len(bit)]
+            visits = np.bincount(gate, own, _GATES)
+            self._visits += visits
+            n = np.maximum(visits, 32)
+            for turn in range(turns):
+                step = self._rate / ((1 + turn) * (1 + self._chunks / 64) ** 0.5)
+                error = own * (bit - 1 / (1 + np.exp(-np.clip(_mix(self.weights, inputs, gate), -30, 30))))
+                for j, x in enumerate(inputs):
+                    self.weights[j] += step * np.clip(np.bincount(gate, error * x, _GATES) / n, -1, 1)
+                self.weights[-1] += step * np.clip(np.bincount(gate, error, _GATES) / n, -1, 1)
+            cell = _cell(node, _mix(self.weights, inputs, gate))
+            self._good += np.bincount(cell, bit * own, len(self._good))
+            self._every += np.bincount(cell, own, len(self._every))
+
+    def sums(self) -> np.ndarray:
+        """Whole numbers that can be added up over learners: visits, weights by visits, and what the refinement counted."""
+        weighted = np.rint(self.weights * self._visits * _WHOLE)
+        return np.concatenate([self._visits, weighted.ravel(), self._good, self._every]).astype(np.int64)
+
+
+def learned(m: Model, sums: np.ndarray) -> Model:
+    """The model with the weights and the refinement of all learners; without any, as it is."""
+    visits, weighted, good, every = np.split(sums.astype(float), np.cumsum([_GATES, m.weights.size, 256 * _STEPS]))
+    mean = weighted.reshape(m.weights.shape) / _WHOLE / np.maximum(visits, 1)
     prior = 1 / (1 + np.exp(-np.tile(_grid(), 256).astype(float)))
     p = (good + 4 * prior) / (every + 4)
-    return m._replace(refined=np.log(p / (1 - p)).astype(np.float32))
+    weights = np.where(visits > 0, mean, m.weights).astype(np.float32)
+    return m._replace(weights=weights, refined=np.log(p / (1 - p)).astype(np.float32))
+
+
+def learn(m: Model, texts: list[bytes], chunk: int = 16_384) -> Model:
+    """What one learner makes of these texts, chunks of about so many bytes at a time."""
+    learner, own = Learner(m.weights), []
+    for i, t in enumerate(texts):
+        own.append(t)
+        if sum(map(len, own)) >= chunk or i == len(texts) - 1:
+            learner.add(m, own)
+            own = []
+    return learned(m, learner.sums())
 
 
 def log_probabilities(m: Model, texts: list[bytes]) -> np.ndarray:
     """Natural logarithm of the probability of each text with its end."""
-    s = sequence(texts, m.code)
+    if not texts:
+        return np.zeros(0)
+    keys, starts = _keys(texts)
+    keys, place = np.unique(keys, return_inverse=True)
+    s = _of_keys(keys, starts, m.code)
     # 1 / p of each byte is the product of its decisions'; clipped odds keep it finite.
     inverse = np.ones(len(s.symbols))
     for depth in range(len(m.code.nodes)):
@@ -228,4 +304,4 @@ def log_probabilities(m: Model, texts: list[bytes]) -> np.ndarray:
         inverse[: len(odds)] *= 1 + np.exp(odds, dtype=np.float64)
     lost = np.empty(len(inverse))
     lost[s.order] = np.log(inverse)
-    return -np.add.reduceat(lost, s.starts) if len(texts) else np.zeros(0)
+    return -np.add.reduceat(lost[place], starts)

@@ -1,10 +1,10 @@
 """Language-model scores: a smoothed word model, and online logistic context mixing over bytes.
 
-Training texts are counted twice, over all of them: words, and the slots of the bit predictors of ``context_mixing``. Slot
-counts are added up in Spark by pieces of the tables, whose size is fixed. The mixing weights and the refinement are then
-learned online on a sample of about ``SAMPLE_TEXTS`` training texts of at most ``SAMPLE_BYTES`` each, taken by checksum;
-the sample's own counts are taken out of the tables for this, so that it is unseen text. The model is a few megabytes
-whatever the corpus. Scoring is one pass over all texts.
+Training texts are counted twice, over all of them: words and bytes, and the slots of the bit predictors of ``context_mixing``. Slot
+counts are added up in Spark by pieces of the tables, whose size is fixed, apart for two halves of the training texts by
+checksum. The mixing weights and the refinement are then learned online from every training text, each with the counts
+of the other half, so that it is unseen text: each task goes through its texts, and what the tasks have learned is averaged in
+Spark. The model is a few megabytes whatever the corpus. Scoring is one pass over all texts.
 
 For the word model, the most frequent words, at most ``HEAD_WORDS``, are looked up where the text is; the other words are
 joined with the whole table of counts.
@@ -28,22 +28,22 @@ from pyspark.sql import functions as F
 
 from logtally.llm import context_mixing as mixing
 from logtally.llm.tables import saved, text_of, training_row
-from logtally.llm.words import split_words
 
 HELD_OUT = 10
 ALPHA = 0.1
 HEAD_WORDS = 200_000
-SAMPLE_TEXTS = 500
-SAMPLE_BYTES = 50_000
 #: Words that a task counts before it hands them on.
 COUNTED_WORDS = 250_000
-#: Bytes that are counted, and scored, at once.
-COUNTED_BYTES = 1_000_000
-SCORED_BYTES = 200_000
+#: Bytes that are counted, learned from, and scored, at once.
+COUNTED_BYTES = 500_000
+LEARNED_BYTES = 200_000
+SCORED_BYTES = 500_000
 PIECES = 64
 
 #: The end mark; no word is empty.
 _END = ""
+#: What stands before the number of a byte; no word has white space.
+_BYTE = " "
 
 
 def _parts(texts: Iterator, size: int) -> Iterator[list]:
@@ -63,35 +63,87 @@ def _bytes(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass")
 
 
+def _counted(counts: Counter[bytes]) -> pd.DataFrame:
+    return pd.DataFrame({"word": [w.decode("utf-8", "replace") for w in counts], "n": list(counts.values())})
+
+
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts: Counter[bytes] = Counter()
+    histogram = np.zeros(256, np.int64)
     for batch in batches:
         for text in batch["text"]:
-            counts.update(split_words(text))
+            raw = _bytes(text)
+            histogram += np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
+            histogram[mixing.END] += 1
+            counts.update(raw.lower().split())
             counts[b""] += 1
             if len(counts) > COUNTED_WORDS:
-                yield pd.DataFrame({"word": [w.decode("utf-8", "replace") for w in counts], "n": list(counts.values())})
+                yield _counted(counts)
                 counts.clear()
+    counts.update({f"{_BYTE}{b}".encode(): int(n) for b, n in enumerate(histogram) if n})
     if counts:
-        yield pd.DataFrame({"word": [w.decode("utf-8", "replace") for w in counts], "n": list(counts.values())})
+        yield _counted(counts)
 
 
-def word_counts(training: DataFrame) -> DataFrame:
-    """word, n of all words of the training texts; the end mark is ''."""
-    return saved(training.select("text").mapInPandas(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+def word_counts(training: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """word, n of all words of the training texts, the end mark being ''; how often each byte occurs, with the ends of texts."""
+    counts = saved(training.select("text").mapInPandas(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    of_byte = F.col("word").startswith(_BYTE)
+    histogram = np.zeros(256, np.int64)
+    for r in counts.where(of_byte).collect():
+        histogram[int(r["word"])] = r["n"]
+    return counts.where(~of_byte), histogram
 
 
-def _slot_counter(code: mixing.Code):
-    edges = np.linspace(0, 2 * sum(mixing.SLOTS), PIECES + 1).astype(int)
+def _halves(batches: Iterator[pd.DataFrame], size: int) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts of one half and then of the other, about so many bytes at a time."""
+    own: list[list[bytes]] = [[], []]
+    held = [0, 0]
+    for batch in batches:
+        for half, text in zip(batch["half"], batch["text"], strict=True):
+            own[half].append(_bytes(text))
+            held[half] += len(own[half][-1])
+            if held[half] >= size:
+                yield half, own[half]
+                own[half], held[half] = [], 0
+    for half in (0, 1):
+        if own[half]:
+            yield half, own[half]
+
 
+#: Numbers as pieces: added up by piece and share, then by piece.
+_PIECES = "piece int, share int, counts binary"
+
+
+def _in_pieces(total: np.ndarray) -> pd.DataFrame:
+    edges = np.linspace(0, len(total), PIECES + 1).astype(int)
+    parts = [zlib.compress(total[a:b].tobytes(), 1) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return pd.DataFrame({"piece": range(PIECES), "share": int(total.sum()) % 64, "counts": parts})
+
+
+def _slot_counter(code: mixing.Code):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
-        for part in _parts(((_bytes(t),) for batch in batches for t in batch["text"]), COUNTED_BYTES):
-            found = mixing.count([t for (t,) in part], code)
-            total = found if total is None else total + found
+        for half, part in _halves(batches, COUNTED_BYTES):
+            if total is None:
+                total = np.zeros((2, 2 * sum(mixing.SLOTS)), np.int64)
+            total[half] += mixing.count(part, code)
         if total is not None:
-            parts = [zlib.compress(total[a:b].tobytes(), 1) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            yield pd.DataFrame({"piece": range(PIECES), "share": int(total.sum()) % 64, "counts": parts})
+            yield _in_pieces(total.ravel())
+
+    return run
+
+
+def _learner(models):  # noqa: ANN001
+    """models is a broadcast: the model that hasn't seen the texts of each half."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        learner = None
+        for half, part in _halves(batches, LEARNED_BYTES):
+            learner = learner or mixing.Learner(models.value[half].weights)
+            learner.add(models.value[half], part)
+        if learner:
+            yield _in_pieces(learner.sums())
 
     return run
 
@@ -101,28 +153,31 @@ def _added(parts: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"piece": [parts["piece"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
 
 
-def slot_counts(training: DataFrame, code: mixing.Code) -> np.ndarray:
-    """Counts of the predictors' slots over all training texts, added in two steps."""
-    parts = training.select("text").mapInPandas(_slot_counter(code), "piece int, share int, counts binary")
+def _sum_of(parts: DataFrame) -> np.ndarray | None:
+    """All tasks' numbers added in two steps; nothing if there are none."""
     parts = parts.groupBy("piece", "share").applyInPandas(_added, "piece int, counts binary")
     parts = parts.groupBy("piece").applyInPandas(_added, "piece int, counts binary").collect()
     if not parts:
-        return np.zeros(2 * sum(mixing.SLOTS), np.int64)
+        return None
     return np.concatenate([np.frombuffer(zlib.decompress(r["counts"]), np.int64) for r in sorted(parts, key=lambda r: r["piece"])])
 
 
-def train(training: DataFrame, texts: int) -> mixing.Model:
-    """The mixing model of the training texts, of which there are so many."""
-    bound = int(min(1.0, SAMPLE_TEXTS / max(1, texts)) * 2**32)
-    rows = training.where((F.octet_length("text") <= SAMPLE_BYTES) & (F.crc32(F.concat(F.lit("mix:"), F.col("id"))) < bound))
-    sample = [_bytes(r["text"]) for r in rows.orderBy("id", "text").select("id", "text").limit(2 * SAMPLE_TEXTS).collect()]
-    code = mixing.code_of(np.bincount(np.frombuffer(b"".join(t + b"\xff" for t in sample), np.uint8), minlength=256))
+def slot_counts(training: DataFrame, code: mixing.Code) -> np.ndarray:
+    """Counts of the predictors' slots over all training texts, one row for each half."""
+    found = _sum_of(training.select("half", "text").mapInPandas(_slot_counter(code), _PIECES))
+    return np.zeros((2, 2 * sum(mixing.SLOTS)), np.int64) if found is None else found.reshape(2, -1)
+
+
+def train(training: DataFrame, histogram: np.ndarray) -> mixing.Model:
+    """The mixing model of all training texts (id, text), in which each byte occurs so often."""
+    training = training.withColumn("half", (F.crc32(F.concat(F.lit("mix:"), F.col("id"))) % 2).cast("int"))
+    code = mixing.code_of(histogram)
     counts = slot_counts(training, code)
-    if not sample:
-        return mixing.start_model(counts, code)
-    unseen = mixing.start_model(counts - mixing.count(sample, code), code)
-    learned = mixing.learn(unseen, sample)
-    return mixing.start_model(counts, code)._replace(weights=learned.weights, refined=learned.refined)
+    model = mixing.start_model(counts[0] + counts[1], code)
+    unseen = training.sparkSession.sparkContext.broadcast([mixing.start_model(counts[1 - half], code) for half in (0, 1)])
+    sums = _sum_of(training.select("half", "text").mapInPandas(_learner(unseen), _PIECES))
+    unseen.unpersist()
+    return model if sums is None else mixing.learned(model, sums)
 
 
 def _head(counts: DataFrame, most: int) -> dict[bytes, int]:
@@ -169,11 +224,11 @@ def scored(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     rows = text_of(documents).select("doc_id", (~training_row(F.col("doc_id"), HELD_OUT)).alias("held_out"), "text")
     training = rows.where("NOT held_out").select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "text")
-    counts = word_counts(training)
+    counts, histogram = word_counts(training)
     total, different, texts = counts.agg(F.sum("n"), F.count("*"), F.sum(F.when(F.col("word") == _END, F.col("n")))).first()
     total, different = total or 0, different or 0
     head = _head(counts.where(F.col("word") != _END), HEAD_WORDS)
-    passed = rows.mapInPandas(_scorer(spark.sparkContext.broadcast(head), spark.sparkContext.broadcast(train(training, texts or 0))), _SCORED)
+    passed = rows.mapInPandas(_scorer(spark.sparkContext.broadcast(head), spark.sparkContext.broadcast(train(training, histogram))), _SCORED)
     passed = saved(passed.withColumn("row", F.monotonically_increasing_id()), "scored")
     # The end mark has a count like any other word, but as it is in every text it is added without a join.
     rare = passed.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times")).where(F.col("word") != _END)

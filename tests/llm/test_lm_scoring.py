@@ -73,3 +73,36 @@ def test_base(spark, monkeypatch, head):
 
 def test_empty(spark):
     assert plain(lm_scoring.scored(empty(spark))) == []
+
+
+def test_what_a_task_learns_is_of_every_text():
+    """The different bytes in their contexts stand for all of them; what learners have seen adds up."""
+    texts = [*TEXTS, b"", b"the cat " * 50, "é漢".encode()]
+    code = mixing.code_of(np.bincount(np.frombuffer(b"".join(t + b"\xff" for t in texts), np.uint8), minlength=256))
+    s, times = mixing.different(texts, code)
+    whole = mixing.sequence(texts, code)
+    assert times.sum() == len(whole.symbols) > 2 * len(times)
+    assert (np.bincount(s.symbols, times, 256) == np.bincount(whole.symbols, minlength=256)).all()
+    total = mixing.count(texts, code)
+    assert (total == sum(mixing.count([t], code) for t in texts)).all()
+    assert total[: 2 * mixing.SLOTS[0]].sum() == code.lengths[whole.symbols].sum()
+    m = mixing.start_model(total, code)
+    learners = [mixing.Learner(m.weights) for _ in texts]
+    for learner, text in zip(learners, texts, strict=True):
+        learner.add(m, [text])
+    sums = sum(learner.sums() for learner in learners)
+    assert sums[: mixing._GATES].sum() == code.lengths[whole.symbols].sum()
+    assert mixing.log_probabilities(mixing.learned(m, sums), texts).sum() > mixing.log_probabilities(m, texts).sum()
+
+
+def test_long_and_late_texts_are_learned_from(spark, monkeypatch):
+    """Every training text reaches a learner: one of more than 50 KB, and each of more than a thousand."""
+    seen = []
+    own = mixing.learned
+    monkeypatch.setattr(mixing, "learned", lambda m, sums: seen.append((m, sums)) or own(m, sums))
+    rows = [(i, f"{TEXTS[i % 9].decode()} {i}") for i in range(1_500)] + [(2_000, "all day " * 10_000), (None, None)]
+    lm_scoring.scored(documents(spark, rows)).collect()
+    ((m, sums),) = seen
+    training = [(t or "").encode() + b"\xff" for i, t in rows if zlib.crc32(b"" if i is None else str(i).encode()) % 10]
+    histogram = np.bincount(np.frombuffer(b"".join(training), np.uint8), minlength=256)
+    assert len(training) > 1_300 and sums[: mixing._GATES].sum() == (m.code.lengths * histogram).sum()
