@@ -35,7 +35,7 @@ STEP = 16
 #: Rests that one task ranks, about.
 RANKED_ROWS = 100_000
 #: Characters of text that are looked up at a time, about.
-ENCODED_CHARS = 4_000_000
+ENCODED_CHARS = 1_000_000
 
 _TOKENS = "doc_id long, doc_tokens long, ids binary"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence long, place int"

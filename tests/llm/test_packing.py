@@ -1,6 +1,8 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -100,3 +102,17 @@ def test_sequences_hold_the_ids(spark):
 
 def test_empty(spark):
     assert plain(packing.pack_documents(empty(spark), PATH)) == []
+
+
+def test_a_batch_is_encoded_in_little_memory():
+    """What is traced while 4 MB of text are encoded: 24 MB at a million characters at a time, 88 MB at four."""
+    texts = [" ".join(f"{chr(97 + k % 26)}{chr(97 + i % 26)}{k % 7}" for k in range(2_500)) for i in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    encoder = token_ids.word_ids(PATH)
+    tracemalloc.start()
+    try:
+        rows = sum(part.num_rows for part in packing._encoded(batch, encoder, 2))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 400 and most < 50_000_000
