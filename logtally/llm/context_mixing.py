@@ -131,6 +131,24 @@ def sequence(texts: list[bytes], code: Code) -> Sequence:
     return _of_keys(*_keys(texts), code)
 
 
+def _firsts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places that between them have every key, and of each key's place the number among these.
+
+    Equal keys are found by a table of hashes; those that another key has displaced from it stand for themselves.
+    """
+    bits = max(1, len(keys).bit_length() + 1)
+    slot = (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.intp)
+    table = np.zeros(1 << bits, np.int32)
+    at = np.arange(len(keys), dtype=np.int32)
+    table[slot] = at
+    found = table.take(slot)
+    found = np.where(keys.take(found) == keys, found, at)
+    stands = np.zeros(len(keys), bool)
+    stands[found] = True
+    number = np.cumsum(stands, dtype=np.int32) - 1
+    return np.flatnonzero(stands), number.take(found)
+
+
 def different(texts: list[bytes], code: Code) -> tuple[Sequence, np.ndarray]:
     """The different bytes in their contexts as a sequence of their own, and how often each occurs."""
     keys = np.sort(_keys(texts)[0])
@@ -243,7 +261,7 @@ class Learner:
         s, times = different(texts, m.code)
         times = times.astype(np.float32)
         self._chunks += 1
-        turns = 4 if self._chunks <= 8 else 1
+        turns = 4 if self._chunks <= 16 else 1
         for depth in range(len(m.code.nodes)):
             node, bit, inputs, gate = _inputs(m, s, depth)
             own = times[: len(bit)]
@@ -292,8 +310,8 @@ def log_probabilities(m: Model, texts: list[bytes]) -> np.ndarray:
     if not texts:
         return np.zeros(0)
     keys, starts = _keys(texts)
-    keys, place = np.unique(keys, return_inverse=True)
-    s = _of_keys(keys, starts, m.code)
+    first, place = _firsts(keys)
+    s = _of_keys(keys[first], starts, m.code)
     # 1 / p of each byte is the product of its decisions'; clipped odds keep it finite.
     inverse = np.ones(len(s.symbols))
     for depth in range(len(m.code.nodes)):

@@ -36,7 +36,7 @@ HEAD_WORDS = 200_000
 COUNTED_WORDS = 250_000
 #: Bytes that are counted, learned from, and scored, at once.
 COUNTED_BYTES = 500_000
-LEARNED_BYTES = 200_000
+LEARNED_BYTES = 500_000
 SCORED_BYTES = 500_000
 PIECES = 64
 
@@ -95,8 +95,9 @@ def word_counts(training: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return counts.where(~of_byte), histogram
 
 
-def _halves(batches: Iterator[pd.DataFrame], size: int) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts of one half and then of the other, about so many bytes at a time."""
+def _halves(batches: Iterator[pd.DataFrame], most: int, least: int | None = None) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts of one half or the other, about so many bytes at a time, or more and more from the least on."""
+    size = least or most
     own: list[list[bytes]] = [[], []]
     held = [0, 0]
     for batch in batches:
@@ -106,6 +107,7 @@ def _halves(batches: Iterator[pd.DataFrame], size: int) -> Iterator[tuple[int, l
             if held[half] >= size:
                 yield half, own[half]
                 own[half], held[half] = [], 0
+                size = min(most, size + size // 4)
     for half in (0, 1):
         if own[half]:
             yield half, own[half]
@@ -139,7 +141,7 @@ def _learner(models):  # noqa: ANN001
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         learner = None
-        for half, part in _halves(batches, LEARNED_BYTES):
+        for half, part in _halves(batches, LEARNED_BYTES, LEARNED_BYTES // 32):
             learner = learner or mixing.Learner(models.value[half].weights)
             learner.add(models.value[half], part)
         if learner:
@@ -208,8 +210,9 @@ def _scorer(head, model):  # noqa: ANN001
                 out = []
                 for (doc_id, held_out, raw), score in zip(part, scores, strict=True):
                     words = raw.lower().split()
-                    base = [logs[w] for w in words if w in logs]
-                    rare = Counter(w for w in words if w not in logs)
+                    found = list(map(logs.get, words))
+                    base = [x for x in found if x is not None]
+                    rare = Counter(w for w, x in zip(words, found, strict=True) if x is None) if len(base) < len(words) else {}
                     rare[b""] = 1
                     bits = -score / math.log(2)
                     out.append((doc_id, held_out, len(words) + 1, len(base), math.fsum(base), score / math.log(10), bits / (len(raw) + 1), [w.decode("utf-8", "replace") for w in rare], list(rare.values())))

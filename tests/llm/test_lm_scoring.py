@@ -106,3 +106,12 @@ def test_long_and_late_texts_are_learned_from(spark, monkeypatch):
     training = [(t or "").encode() + b"\xff" for i, t in rows if zlib.crc32(b"" if i is None else str(i).encode()) % 10]
     histogram = np.bincount(np.frombuffer(b"".join(training), np.uint8), minlength=256)
     assert len(training) > 1_300 and sums[: mixing._GATES].sum() == (m.code.lengths * histogram).sum()
+
+
+@pytest.mark.parametrize("size", [1, 2, 1_000, 50_000])
+def test_different_contexts_stand_for_all(size):
+    rng = np.random.default_rng(size)
+    keys = (rng.zipf(1.3, size) % 5_000).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D)
+    first, place = mixing._firsts(keys)
+    assert (keys[first][place] == keys).all()
+    assert len(np.unique(keys)) <= len(first) <= 1.5 * len(np.unique(keys)) + 5
