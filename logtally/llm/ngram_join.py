@@ -24,9 +24,10 @@ own but have one component, the smallest id of all. A null id is larger than any
 
 from __future__ import annotations
 
+import hashlib
 import math
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -41,8 +42,10 @@ from logtally.llm.words import shingle_hashes, split_words
 
 #: Similarity as a fraction of whole numbers, so that no rounding decides.
 SIMILAR = (80, 100)
-#: Prefix entries that one shard of the first filter holds, about.
+#: Entries that one shard holds, about, where shingles are counted.
 SHARD_ENTRIES = 1_000_000
+#: Shingles of the sets that are sent to the shards together, and ranked together; a longer set goes by itself.
+CHUNK_ENTRIES = 1_000_000
 #: Leaders of a shingle that classes are compared with before all the rest are.
 LEADERS = 6
 #: Bits of a class's mask, in words of 64.
@@ -54,7 +57,10 @@ _SIGNED = "doc_id long, n long, h1 long, h2 long, batch long, at int, own int, s
 # White space between words.
 _SPACE = " \t\n\x0b\f\r"
 
-_SETS = "doc_id long, n long, h1 long, h2 long, tokens array<long>"
+_SETS = "doc_id long, n long, h1 long, h2 long, chunk long, tokens binary"
+_PIECES = "chunk long, first long, last long, shard long, tokens binary, counts binary"
+_COUNTED = "chunk long, first long, last long, shard long, counts binary"
+_RANKED = "cid long, gid string, n long, own long, mask array<long>, prefix array<long>, shared array<long>"
 
 #: Owner of a shingle that several sets of a batch have: they are counted there.
 _MANY = 2**16 - 1
@@ -80,6 +86,21 @@ def least_common(n: int) -> int:
     return extra(least_overlap(n))
 
 
+def _shard_of(tokens: np.ndarray, shards: int) -> np.ndarray:
+    """The shards of shingles, by their high bits: in order if the shingles are."""
+    return ((tokens >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes before all second ones: small ones take little space in a compressed shuffle."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def _numbers(planes: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
 def _signed(shards: int):
     """Signatures of all sets, and the longer prefixes of each batch by shard, every shingle once.
 
@@ -117,7 +138,7 @@ def _signed(shards: int):
             return
         owners[same] = _MANY
         tokens, owners = tokens[new], owners[new]
-        shard = ((tokens >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+        shard = _shard_of(tokens, shards)
         edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
         # 32 bits tell the shingles of a shard apart well enough for a filter.
         low = tokens.astype(np.uint32)
@@ -155,12 +176,105 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sets = [shingle_hashes(split_words(text)) for text in batch["text"]]
         marks = [_signature(tokens) for tokens in sets]
-        yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n": [len(s) for s in sets], "h1": [m[0] for m in marks], "h2": [m[1] for m in marks], "tokens": [s.astype(np.int64) for s in sets]})
+        sizes = np.array([len(s) for s in sets], np.int64)
+        numbers = np.frombuffer(os.urandom(8 * len(sets)), np.int64)
+        # A set opens a chunk if it does not go into the last one.
+        at, held = np.zeros(len(sets), np.int64), 0
+        for i, n in enumerate(sizes):
+            opens = held + n > CHUNK_ENTRIES
+            held = n if opens else held + n
+            at[i] = i if opens or not i else at[i - 1]
+        yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "n": sizes, "h1": [m[0] for m in marks], "h2": [m[1] for m in marks], "chunk": numbers[at], "tokens": [s.tobytes() for s in sets]})
 
 
-def _classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, h1, h2) of every document; the classes that may be linked: cid, low, n, tokens."""
+def _shingles(sets: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(sets["tokens"]), np.uint64)
+
+
+def _pieces(shards: int):
+    """The shingles of each chunk by shard, every one once and with its count; of a chunk that is cut, those of each piece.
+
+    The rows of a chunk are in the order of their numbers, so a piece is all of its chunk from its first class to its last.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for chunk, sets in batch.groupby("chunk"):
+                tokens, counts = np.unique(_shingles(sets), return_counts=True)
+                shard = _shard_of(tokens, shards)
+                edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
+                cuts = list(zip(edges[:-1], edges[1:], strict=True))
+                steps = [_planes(np.diff(tokens[i:j], prepend=np.uint64(0))) for i, j in cuts]
+                yield pd.DataFrame({"chunk": chunk, "first": sets["cid"].iloc[0], "last": sets["cid"].iloc[-1], "shard": shard[edges[:-1]].astype(np.int64), "tokens": steps, "counts": [_planes(counts[i:j].astype("<u4")) for i, j in cuts]})
+
+    return run
+
+
+def _counted(parts: pd.DataFrame) -> pd.DataFrame:
+    """Of one shard's shingles, in the order in which each piece has them, how many classes have them at all."""
+    tokens = [np.cumsum(_numbers(x, "<u8"), dtype=np.uint64) for x in parts["tokens"]]
+    ends = np.cumsum([len(x) for x in tokens])
+    _, which = np.unique(np.concatenate(tokens), return_inverse=True)
+    counts = np.bincount(which, np.concatenate([_numbers(x, "<u4") for x in parts["counts"]])).astype("<i8")[which]
+    return parts[["chunk", "first", "last", "shard"]].assign(counts=[_planes(x) for x in np.split(counts, ends[:-1])])
+
+
+def _ranked(sets: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
+    """The classes of one chunk that can be linked: their group, size, shingles that no other has (``own``), mask, prefix and
+    shared shingles, rare ones first."""
+    sets = sets.sort_values("cid")
+    rows = []
+    for (first, last), parts in counted.groupby(["first", "last"]):
+        piece = sets[sets["cid"].between(first, last)]
+        flat = _shingles(piece)
+        df = np.concatenate([_numbers(x, "<i8") for x in parts.sort_values("shard")["counts"]])
+        df = df[np.unique(flat, return_inverse=True)[1]]
+        end = 0
+        for cid, n in zip(piece["cid"], piece["n"], strict=True):
+            tokens, held = flat[end : end + n], df[end : end + n]
+            end += n
+            keep = held > 1
+            # Shingles are in order already, so those that as many sets have stay so.
+            shared = tokens[keep][np.argsort(held[keep], kind="stable")]
+            own = n - len(shared)
+            # The shingles that no other set has come first and need no entry.
+            length = n - least_overlap(n) + 1 - own
+            if len(shared) < least_overlap(n) or length <= 0:
+                continue
+            mask = np.packbits(np.bincount((shared % np.uint64(MASK)).astype(np.int64), minlength=MASK) % 2 == 1, bitorder="little").view("<i8")
+            prefix = shared[:length].view(np.int64)
+            gid = hashlib.md5(n.to_bytes(8, "little") + prefix.tobytes()).hexdigest()
+            rows.append((cid, gid, n, own, mask, prefix, shared.view(np.int64)))
+    return pd.DataFrame(rows, columns=["cid", "gid", "n", "own", "mask", "prefix", "shared"])
+
+
+def _classes(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, n, h1, h2) of every document; the classes that may be linked, cid, h1, h2, low; those of ``_ranked``.
+
+    The longer prefixes and the whole sets are removed as soon as they have been counted.
+    """
     documents = text_of(documents)
+    with scratch(documents.sparkSession) as keep:
+        signed, heads = _candidates(documents, keep)
+    with scratch(documents.sparkSession) as keep:
+        # One text per class: of rows that share an id only those with the class's own set count.
+        texts = only(documents, heads.select("low").distinct(), "low")
+        sets = saved(texts.mapInPandas(_sets, _SETS).withColumn("cid", F.monotonically_increasing_id()), "sets")
+        wanted = sets.select("cid", "doc_id", "h1", "h2").join(heads, ["h1", "h2"]).where(F.col("doc_id").eqNullSafe(F.col("low")))
+        wanted = saved(wanted.groupBy("h1", "h2").agg(F.min("cid").alias("cid")), "wanted")
+        if wanted.count() < sets.count():
+            # Only ids that repeat come here.
+            sets = sets.join(wanted.select("cid"), "cid", "left_semi")
+            sets = saved(sets.repartition("chunk").sortWithinPartitions("chunk", "cid"), "sets")
+        shards = max(1, math.ceil((sets.agg(F.sum("n")).first()[0] or 0) / SHARD_ENTRIES))
+        counted = sets.select("cid", "chunk", "tokens").mapInPandas(_pieces(shards), _PIECES).groupBy("shard").applyInPandas(_counted, _COUNTED)
+        chunks = sets.select("cid", "n", "chunk", "tokens").groupBy("chunk")
+        ranked = keep(chunks.cogroup(counted.groupBy("chunk")).applyInPandas(_ranked, _RANKED), "ranked")
+        return signed, keep(sets.select("cid", "h1", "h2").join(heads, ["h1", "h2"]), "heads"), ranked
+
+
+def _candidates(documents: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, h1, h2) of every document; h1, h2, low of the classes that share enough of their longer prefixes."""
     chars = documents.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(1, math.ceil(chars / 15 / SHARD_ENTRIES))
     both = saved(documents.mapInPandas(_signed(shards), _SIGNED), "prefixes")
@@ -173,38 +287,15 @@ def _classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     least = f"greatest(1, ((n * {SIMILAR[0]} + {SIMILAR[1] - 1}) div {SIMILAR[1]}) div 5)"
     near = near.where(f"own + coalesce(common, 0) >= {least}").select("h1", "h2").distinct()
     classes = signed.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("low"))
-    heads = saved(classes.join(near, ["h1", "h2"], "left_semi"), "heads")
-    # One text per class: of rows that share an id only those with the class's own set count.
-    texts = only(documents, heads.select("low").distinct(), "low")
-    sets = texts.mapInPandas(_sets, _SETS).join(heads, ["h1", "h2"])
-    sets = sets.where(F.col("doc_id").eqNullSafe(F.col("low"))).dropDuplicates(["h1", "h2"])
-    return signed.select("doc_id", "n", "h1", "h2"), saved(sets.withColumn("cid", F.monotonically_increasing_id()), "sets")
-
-
-def _grouped(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The classes that can be linked with their shared shingles (cid, n, shared), the same with their groups and masks
-    (cid, gid, n, own, mask), and the prefixes of groups: gid, token, rest."""
-    tokens = sets.select("cid", "n", F.explode("tokens").alias("token"))
-    counts = saved(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "counts")
-    known = tokens.join(counts, "token")
-    overlap = f"(n * {SIMILAR[0]} + {SIMILAR[1] - 1}) div {SIMILAR[1]}"
-    words = [f"bit_xor(CASE WHEN shiftrightunsigned(token, 6) & {MASK // 64 - 1} = {i} THEN shiftleft(1L, cast(token & 63 AS int)) ELSE 0L END)" for i in range(MASK // 64)]
-    ranked = (
-        known.groupBy("cid", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("shared"), F.expr(f"array({', '.join(words)})").alias("mask"))
-        .where(f"size(shared) >= {overlap}")
-        # The n - size(shared) shingles that no other set has come first and need no entry.
-        .withColumn("own", F.expr("n - size(shared)"))
-        .withColumn("prefix", F.expr(f"transform(slice(shared, 1, cast(greatest(n - {overlap} + 1 - own, 0) AS int)), x -> x.token)"))
-        .where("size(prefix) > 0")
-        .withColumn("gid", F.md5(F.concat_ws(",", F.col("n").cast("string"), F.expr("transform(prefix, x -> cast(x AS string))"))))
-    )
-    shared = F.expr("transform(shared, x -> x.token)").alias("shared")
-    ranked = saved(ranked.select("cid", "gid", "n", "own", "mask", "prefix", shared), "ranked")
+    heads = keep(classes.join(near, ["h1", "h2"], "left_semi"), "heads")
+    return keep(signed.select("doc_id", "n", "h1", "h2"), "signed"), heads
+
+
+def _entries(ranked: DataFrame) -> DataFrame:
+    """The prefixes of groups: gid, token, rest."""
     groups = ranked.groupBy("gid").agg(F.first("n").alias("n"), F.min("own").alias("own"), F.first("prefix").alias("prefix"))
     entries = groups.select("gid", "n", "own", F.posexplode("prefix").alias("at", "token"))
-    entries = entries.select("gid", "token", F.expr("n - own - at").alias("rest"))
-    return ranked.select("cid", "n", "shared"), ranked.select("cid", "gid", "n", "own", "mask"), saved(entries, "entries")
+    return saved(entries.select("gid", "token", F.expr("n - own - at").alias("rest")), "entries")
 
 
 def _verified(pairs: DataFrame, shared: DataFrame) -> DataFrame:
@@ -220,9 +311,9 @@ def _verified(pairs: DataFrame, shared: DataFrame) -> DataFrame:
     return saved(both.where(linked).select("a", "b"), "linked")
 
 
-def connected(sets: DataFrame) -> DataFrame:
+def connected(ranked: DataFrame) -> DataFrame:
     """(node, component) of the classes that have a link."""
-    shared, members, entries = _grouped(sets)
+    shared, members, entries = ranked.select("cid", "n", "shared"), ranked.select("cid", "gid", "n", "own", "mask"), _entries(ranked)
     # Every class with the leader of its group, and every leader with two leaders of each shingle of its prefix: the
     # one with the fewest shingles of its own, which is likely to be what the others were made from, and any one.
     heads = saved(members.groupBy("gid").agg(F.min_by(F.struct("cid", "n", "own", "mask"), "cid").alias("b")), "heads")
@@ -288,9 +379,9 @@ def _placed(documents: DataFrame) -> DataFrame:
     ``place`` is null for a row without words, and else the same for all rows of a component and for no others.
     """
     with scratch(documents.sparkSession) as keep:
-        signed, sets = _classes(documents)
-        found = connected(sets).withColumnRenamed("node", "cid")
-        of_class = sets.select("cid", "h1", "h2", "low").join(found, "cid")
+        signed, heads, ranked = _classes(documents)
+        found = connected(ranked).withColumnRenamed("node", "cid")
+        of_class = heads.join(found, "cid")
         lowest = saved(of_class.groupBy("component").agg(F.min("low").alias("component_id"), F.min(F.struct("h1", "h2")).alias("place")), "lowest")
         of_class = of_class.select("component", "h1", "h2").join(lowest, "component")
         classes = signed.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("low"), F.count("*").alias("w"))

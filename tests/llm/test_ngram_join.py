@@ -1,8 +1,11 @@
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from logtally.llm import ngram_join, tables
+from logtally.llm.words import shingle_hashes, split_words
 from tests.llm.cases import LONG, ROWS, documents, empty, plain
 
 
@@ -115,6 +118,64 @@ def test_a_hot_shingle_is_dealt_into_shares(spark, monkeypatch):
     assert plain(ngram_join.near_duplicates(documents(spark, rows))) == expected(rows)
 
 
+def test_whole_sets_go_before_pairs_are_compared(spark, monkeypatch, tmp_path):
+    """Prefixes and sets are as large as the texts: none of them is left once the classes are ranked."""
+    labels, verified = [], ngram_join._verified
+
+    def fresh(session, label):
+        labels.append(tmp_path / f"{label}-{len(labels)}")
+        return str(labels[-1])
+
+    left = []
+
+    def seen(pairs, shared):
+        left.append({x.name.split("-")[0] for x in labels if x.exists()})
+        return verified(pairs, shared)
+
+    monkeypatch.setattr(tables, "fresh_dir", fresh)
+    monkeypatch.setattr(ngram_join, "_verified", seen)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(words[20 * i : 20 * i + 100] + [f"end{j}"])) for i in range(10) for j in range(3)]
+    assert plain(ngram_join.near_duplicates(documents(spark, rows))) == expected(rows)
+    assert left and all("ranked" in x and not x & {"prefixes", "sets"} for x in left), left
+
+
+@pytest.mark.parametrize("entries", [1, 150, 10**6])
+def test_ranks_over_chunks_shards_and_pieces(spark, monkeypatch, entries):
+    """Shared shingles by how many classes have them, as counted one by one, however classes and shards are cut; ids repeat."""
+    monkeypatch.setattr(ngram_join, "CHUNK_ENTRIES", entries)
+    monkeypatch.setattr(ngram_join, "SHARD_ENTRIES", 100)
+    rng = random.Random(entries)
+    words = [f"w{i}" for i in range(80)]
+    rows = [(i // 2, " ".join([*words[: rng.randrange(60, 80)], f"end{i % 7}"])) for i in range(40)] + [(None, "another one"), (3, " ".join(words))]
+    pieces = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        docs = documents(spark, rows).repartition(2)
+        with tables.scratch(spark):
+            _, heads, ranked = ngram_join._classes(docs)
+            got = {r["cid"]: r for r in ranked.collect()}
+            names = {(r["h1"], r["h2"]): r["cid"] for r in heads.collect()}
+        assert plain(ngram_join.near_duplicates(docs)) == expected(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", pieces)
+    sets = {tuple(shingle_hashes(split_words(t)).tolist()) for _, t in rows}
+    sets = {names[m]: s for s in sets if (m := ngram_join._signature(np.array(s, np.uint64))) in names}
+    df = Counter(x for s in sets.values() for x in s)
+    assert len(names) == len(sets) > 20 and got
+    for cid, s in sets.items():
+        shared = sorted((df[x], x) for x in s if df[x] > 1)
+        left = len(s) - ngram_join.least_overlap(len(s)) + 1 - (len(s) - len(shared))
+        if len(shared) < ngram_join.least_overlap(len(s)) or left <= 0:
+            assert cid not in got
+            continue
+        row = got[cid]
+        assert [x % 2**64 for x in row["shared"]] == [x for _, x in shared] and row["own"] == len(s) - len(shared) and row["n"] == len(s)
+        assert list(row["prefix"]) == list(row["shared"][:left])
+        bits = Counter(x % ngram_join.MASK for _, x in shared)
+        assert [x % 2**64 for x in row["mask"]] == [sum(1 << b for b in range(64) if bits[64 * i + b] % 2) for i in range(ngram_join.MASK // 64)]
+
+
 def test_scratch_tables_go(spark):
     with tables.scratch(spark) as keep:
         first = tables.saved(spark.range(3), "first")
