@@ -139,8 +139,9 @@ def tokenised(documents: DataFrame, tokenizer: str, end: int = END_ID) -> DataFr
             for batch in batches:
                 yield from _encoded(batch, encoder, end)
         finally:
-            # The worker goes on to other tasks, and these words would stay with it.
+            # The worker goes on to other tasks, and these words and Arrow's free memory would stay with it.
             encoder.clear()
+            pa.default_memory_pool().release_unused()
 
     return text_of(documents).withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, _TOKENS)
 

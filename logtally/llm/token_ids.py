@@ -16,8 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of pieces that a task keeps; beyond it, it starts afresh.
-KEPT_BYTES = 80_000_000
+#: Bytes of pieces that a task keeps, beside what one call brings; beyond it, it starts afresh.
+KEPT_BYTES = 16_000_000
 #: What an entry takes besides its bytes, about.
 _ENTRY = 180
 _IDS = np.dtype("<u2")
