@@ -9,7 +9,8 @@ the refinement adapts to what the mixed result was worth. What several tasks hav
 a set of weights.
 
 All that bears on a byte is the three bytes before, the word so far and the byte itself, 64 bits; what follows from them is
-worked out once for each of the different ones of a chunk.
+worked out once for each of the different ones of a chunk. Where the same is asked of chunk after chunk, a table of bounded size
+keeps it for the ones that come again.
 """
 
 from __future__ import annotations
@@ -28,8 +29,13 @@ _GATES = 8 * 4 * 4
 _STEPS = 33
 #: Weights are added up in such parts of one.
 _WHOLE = 2.0**20
-_WORDLIKE = np.zeros(256, bool)
-_WORDLIKE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+#: Bytes of words, letters in lower case; 0 is what stands between them.
+_FOLDED = np.zeros(256, np.uint8)
+_FOLDED[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = [b | 32 for b in (*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256))]
+#: Contexts that a task keeps, as a power of two; 24 bytes each where they are counted, 16 where they are scored.
+KEPT_BITS = 19
+#: No context is this: an end byte never follows another.
+_FREE = np.uint64(2**64 - 1)
 
 
 class Code(NamedTuple):
@@ -91,15 +97,16 @@ def _keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         real[heads + i] = False
     # Word so far: sums of byte times power, the power taken out again, so that every word starts afresh.
     powers, inverse = _powers(len(raw))
-    wordlike = _WORDLIKE[raw]
-    total = np.cumsum(np.where(wordlike, (raw | np.uint8(32)) * inverse, np.uint64(0)))
-    broken = np.maximum.accumulate(np.where(wordlike, 0, np.arange(len(raw))))
-    word = np.where(wordlike, (total - total[broken]) * powers, np.uint64(0))
-    word = np.r_[np.uint64(0), word[:-1]]
-    key = (word ^ (word >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) & np.uint64(0xFFFFFFFF00000000)
-    key |= raw
-    for i in (1, 2, 3):
-        key[i:] |= raw[:-i].astype(np.uint64) << np.uint64(8 * i)
+    folded = _FOLDED.take(raw)
+    total = np.cumsum(folded * inverse)
+    broken = np.maximum.accumulate(np.where(folded == 0, np.arange(len(raw), dtype=np.int32), np.int32(0)))
+    word = (total - total.take(broken)) * powers
+    word ^= word >> np.uint64(29)
+    word *= np.uint64(0xBF58476D1CE4E5B9)
+    word &= np.uint64(0xFFFFFFFF00000000)
+    # The byte and the three before are four bytes read as one number.
+    key = np.zeros(len(raw), np.uint64)
+    key[3:] = word[2:-1] | np.ndarray(len(raw) - 3, ">u4", raw, strides=(1,)).astype(np.uint32)
     return key[real], np.cumsum(lengths) - lengths
 
 
@@ -131,13 +138,17 @@ def sequence(texts: list[bytes], code: Code) -> Sequence:
     return _of_keys(*_keys(texts), code)
 
 
+def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.intp)
+
+
 def _firsts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places that between them have every key, and of each key's place the number among these.
 
     Equal keys are found by a table of hashes; those that another key has displaced from it stand for themselves.
     """
     bits = max(1, len(keys).bit_length() + 1)
-    slot = (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.intp)
+    slot = _slot(keys, bits)
     table = np.zeros(1 << bits, np.int32)
     at = np.arange(len(keys), dtype=np.int32)
     table[slot] = at
@@ -151,13 +162,18 @@ def _firsts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def different(texts: list[bytes], code: Code) -> tuple[Sequence, np.ndarray]:
     """The different bytes in their contexts as a sequence of their own, and how often each occurs."""
-    keys = np.sort(_keys(texts)[0])
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    times = np.diff(np.r_[first, len(keys)])
-    s = _of_keys(keys[first], np.zeros(1, np.intp), code)
+    keys, times = _unique(_keys(texts)[0])
+    s = _of_keys(keys, np.zeros(1, np.intp), code)
     return s, times[s.order]
 
 
+def _unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ones, in order, and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.r_[np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]])
+    return keys[first], np.diff(np.r_[first, len(keys)])
+
+
 def _slots(s: Sequence, depth: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """The node, the slot of each predictor, and the bit, at one depth of all bytes that have it (the first ones)."""
     n = s.at_depth[depth]
@@ -173,19 +189,60 @@ def _slots(s: Sequence, depth: int) -> tuple[np.ndarray, list[np.ndarray], np.nd
     return node, slots, bit
 
 
-def count(texts: list[bytes], code: Code) -> np.ndarray:
-    """Zeros and ones of every slot of all predictors, as one array."""
-    total = np.zeros(2 * sum(SLOTS), np.int64)
-    if not texts:
-        return total
-    s, times = different(texts, code)
+def _count_keys(total: np.ndarray, keys: np.ndarray, times: np.ndarray, code: Code) -> None:
+    """Adds zeros and ones of every slot to each row of the total, keys occurring as often as the same row of times says."""
+    s = _of_keys(keys, np.zeros(1, np.intp), code)
+    times = times[:, s.order]
     for depth in range(len(code.nodes)):
         _, slots, bit = _slots(s, depth)
         at = 0
         for x, size in zip(slots, SLOTS, strict=True):
-            np.add.at(total, (x << 1 | bit).astype(np.intp) + at, times[: len(bit)])
+            place = (x << 1 | bit).astype(np.intp) + at
+            for own, n in zip(total, times, strict=True):
+                np.add.at(own, place, n[: len(bit)])
             at += 2 * size
-    return total
+
+
+def count(texts: list[bytes], code: Code) -> np.ndarray:
+    """Zeros and ones of every slot of all predictors, as one array."""
+    total = np.zeros((1, 2 * sum(SLOTS)), np.int64)
+    if texts:
+        keys, times = _unique(_keys(texts)[0])
+        _count_keys(total, keys, times[None], code)
+    return total[0]
+
+
+class SlotCounter:
+    """``count`` of many chunks, a row for each kind of text. The slots of the contexts that are kept are worked out once, at the end."""
+
+    def __init__(self, code: Code, kinds: int = 2, bits: int = KEPT_BITS) -> None:
+        self._code, self._bits = code, bits
+        self._total = np.zeros((kinds, 2 * sum(SLOTS)), np.int64)
+        self._keys = np.full(1 << bits, _FREE)
+        self._times = np.zeros((kinds, 1 << bits), np.int64)
+
+    def add(self, kind: int, texts: list[bytes]) -> None:
+        keys = _keys(texts)[0]
+        slot = _slot(keys, self._bits)
+        kept = self._keys.take(slot) == keys
+        np.add.at(self._times[kind], slot[kept], 1)
+        keys, times = _unique(keys[~kept])
+        slot = _slot(keys, self._bits)
+        free = self._keys.take(slot) == _FREE
+        self._keys[slot[free]] = keys[free]
+        kept = self._keys.take(slot) == keys
+        self._times[kind, slot[kept]] += times[kept]
+        if not kept.all():
+            _count_keys(self._total[kind : kind + 1], keys[~kept], times[None, ~kept], self._code)
+
+    def counts(self, at_once: int = 1 << 17) -> np.ndarray:
+        used = np.flatnonzero(self._keys != _FREE)
+        for begin in range(0, len(used), at_once):
+            own = used[begin : begin + at_once]
+            _count_keys(self._total, self._keys[own], self._times[:, own], self._code)
+        self._keys[used] = _FREE
+        self._times[:] = 0
+        return self._total
 
 
 class Model(NamedTuple):
@@ -244,6 +301,15 @@ def _cell(node: np.ndarray, total: np.ndarray) -> np.ndarray:
     return node.astype(np.intp) * _STEPS + step
 
 
+def _lanes(gate: np.ndarray) -> np.ndarray:
+    """Gates in turn in one of four lanes: neighbours mostly have the same gate, and a sum need not wait for the one before."""
+    return gate + (np.arange(len(gate)) & 3) * _GATES
+
+
+def _by_gate(lane: np.ndarray, values: np.ndarray) -> np.ndarray:
+    return np.bincount(lane, values, 4 * _GATES).reshape(4, _GATES).sum(0)
+
+
 class Learner:
     """Online: weights follow the error chunk by chunk, the refinement counts what each chunk's result was then worth.
 
@@ -265,18 +331,20 @@ class Learner:
         for depth in range(len(m.code.nodes)):
             node, bit, inputs, gate = _inputs(m, s, depth)
             own = times[: len(bit)]
-            visits = np.bincount(gate, own, _GATES)
+            lane = _lanes(gate)
+            visits = _by_gate(lane, own)
             self._visits += visits
             n = np.maximum(visits, 32)
             for turn in range(turns):
                 step = self._rate / ((1 + turn) * (1 + self._chunks / 64) ** 0.5)
                 error = own * (bit - 1 / (1 + np.exp(-np.clip(_mix(self.weights, inputs, gate), -30, 30))))
                 for j, x in enumerate(inputs):
-                    self.weights[j] += step * np.clip(np.bincount(gate, error * x, _GATES) / n, -1, 1)
-                self.weights[-1] += step * np.clip(np.bincount(gate, error, _GATES) / n, -1, 1)
+                    self.weights[j] += step * np.clip(_by_gate(lane, error * x) / n, -1, 1)
+                self.weights[-1] += step * np.clip(_by_gate(lane, error) / n, -1, 1)
             cell = _cell(node, _mix(self.weights, inputs, gate))
-            self._good += np.bincount(cell, bit * own, len(self._good))
-            self._every += np.bincount(cell, own, len(self._every))
+            bad, good = np.bincount(cell << 1 | bit.astype(np.intp), own, 2 * len(self._good)).reshape(-1, 2).T
+            self._good += good
+            self._every += good + bad
 
     def sums(self) -> np.ndarray:
         """Whole numbers that can be added up over learners: visits, weights by visits, and what the refinement counted."""
@@ -305,13 +373,36 @@ def learn(m: Model, texts: list[bytes], chunk: int = 16_384) -> Model:
     return learned(m, learner.sums())
 
 
-def log_probabilities(m: Model, texts: list[bytes]) -> np.ndarray:
-    """Natural logarithm of the probability of each text with its end."""
-    if not texts:
-        return np.zeros(0)
-    keys, starts = _keys(texts)
-    first, place = _firsts(keys)
-    s = _of_keys(keys[first], starts, m.code)
+class Scorer:
+    """Natural logarithms of the probabilities of texts. What contexts are worth is kept for the chunks to come."""
+
+    def __init__(self, m: Model, bits: int = KEPT_BITS) -> None:
+        self._model, self._bits = m, bits
+        self._keys, self._lost = np.full(1 << bits, _FREE), np.zeros(1 << bits)
+
+    def add(self, texts: list[bytes]) -> np.ndarray:
+        """Of each text with its end."""
+        if not texts:
+            return np.zeros(0)
+        keys, starts = _keys(texts)
+        slot = _slot(keys, self._bits)
+        lost = self._lost.take(slot)
+        new = np.flatnonzero(self._keys.take(slot) != keys)
+        if len(new):
+            keys = keys.take(new)
+            first, place = _firsts(keys)
+            keys = keys.take(first)
+            own = _lost(self._model, keys)
+            lost[new] = own.take(place)
+            # Of several that share a slot, the last one takes it in both.
+            slot = slot.take(new).take(first)
+            self._keys[slot], self._lost[slot] = keys, own
+        return -np.add.reduceat(lost, starts)
+
+
+def _lost(m: Model, keys: np.ndarray) -> np.ndarray:
+    """What each byte in its context costs."""
+    s = _of_keys(keys, np.zeros(1, np.intp), m.code)
     # 1 / p of each byte is the product of its decisions'; clipped odds keep it finite.
     inverse = np.ones(len(s.symbols))
     for depth in range(len(m.code.nodes)):
@@ -322,4 +413,9 @@ def log_probabilities(m: Model, texts: list[bytes]) -> np.ndarray:
         inverse[: len(odds)] *= 1 + np.exp(odds, dtype=np.float64)
     lost = np.empty(len(inverse))
     lost[s.order] = np.log(inverse)
-    return -np.add.reduceat(lost[place], starts)
+    return lost
+
+
+def log_probabilities(m: Model, texts: list[bytes]) -> np.ndarray:
+    """Natural logarithm of the probability of each text with its end."""
+    return Scorer(m).add(texts)

@@ -125,13 +125,12 @@ def _in_pieces(total: np.ndarray) -> pd.DataFrame:
 
 def _slot_counter(code: mixing.Code):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
+        counter = None
         for half, part in _halves(batches, COUNTED_BYTES):
-            if total is None:
-                total = np.zeros((2, 2 * sum(mixing.SLOTS)), np.int64)
-            total[half] += mixing.count(part, code)
-        if total is not None:
-            yield _in_pieces(total.ravel())
+            counter = counter or mixing.SlotCounter(code)
+            counter.add(half, part)
+        if counter:
+            yield _in_pieces(counter.counts().ravel())
 
     return run
 
@@ -204,9 +203,10 @@ def _scorer(head, model):  # noqa: ANN001
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         logs = {w: math.log10(n + ALPHA) for w, n in head.value.items()}
+        scorer = mixing.Scorer(model.value)
         for batch in batches:
             for part in _parts(zip(batch["doc_id"], batch["held_out"], map(_bytes, batch["text"]), strict=True), SCORED_BYTES):
-                scores = mixing.log_probabilities(model.value, [x[-1] for x in part])
+                scores = scorer.add([x[-1] for x in part])
                 out = []
                 for (doc_id, held_out, raw), score in zip(part, scores, strict=True):
                     words = raw.lower().split()

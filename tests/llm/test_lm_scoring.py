@@ -115,3 +115,28 @@ def test_different_contexts_stand_for_all(size):
     first, place = mixing._firsts(keys)
     assert (keys[first][place] == keys).all()
     assert len(np.unique(keys)) <= len(first) <= 1.5 * len(np.unique(keys)) + 5
+
+
+@pytest.mark.parametrize("bits", [1, 6, 16])
+def test_kept_contexts_count_like_all(bits):
+    """Also where most contexts find their place in the table taken, and in a second use."""
+    texts = [*TEXTS, b"", b"\0\0", "é漢".encode(), b"the cat " * 50]
+    code = mixing.code_of(np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=256))
+    counter = mixing.SlotCounter(code, bits=bits)
+    for i in range(3):
+        counter.add(0, texts[i:])
+        counter.add(1, texts[: i + 1])
+    for half, parts in enumerate(([texts[i:] for i in range(3)], [texts[: i + 1] for i in range(3)])):
+        assert (counter.counts()[half] == sum(mixing.count(part, code) for part in parts)).all()
+
+
+def test_contexts_that_come_again_are_not_worked_out_again(monkeypatch):
+    m, asked, own = model(), [], mixing._lost
+    monkeypatch.setattr(mixing, "_lost", lambda m, keys: asked.append(len(keys)) or own(m, keys))
+    texts = [b"", b"\0", *TEXTS]
+    for bits in (2, 16):
+        scorer = mixing.Scorer(m, bits)
+        asked.clear()
+        first, again, other = scorer.add(texts), scorer.add(texts), scorer.add(texts[::-1])
+        assert (first == again).all() and (first == other[::-1]).all() and (first < 0).all()
+    assert sum(asked[1:]) < 0.1 * asked[0]
